@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -69,3 +69,21 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, total: int, how: st
     here = left.join(F.broadcast(hot), key)
     rest = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
     return here.unionByName(rest)
+
+
+class Memo(dict):
+    """A function's values by argument. The last most arguments or more are remembered, twice as many at most."""
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import bpe, exact_dedup, html_extract, line_dedup, packing, secrets, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,18 +23,54 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, sf_dir), keep="largest")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_common_lines(_documents(spark, sf_dir), min_docs=10, least=1)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(_documents(spark, sf_dir))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_html_extraction": op3_html_extraction,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op8_packing": op8_packing,
+    "op9_secret_scans": op9_secret_scans,
 }
 
-_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS own FROM documents),
+        lines AS (SELECT r, unnest(own) AS line, unnest(range(len(own))) AS i FROM docs),
+        keyed AS (SELECT r, i, line, {_LOWER.format("trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM lines),
+        common AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+        kept AS (SELECT r, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n FROM keyed ANTI JOIN common USING (key) GROUP BY r)
+        SELECT doc_id, len(own)::BIGINT AS n_lines, len(own)::BIGINT - coalesce(n, 0) AS n_dropped, sha256(coalesce(body, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (r)
+    """,
     "op4_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                row_number() OVER (PARTITION BY body ORDER BY doc_id DESC) = 1 AS kept, sha256(body) AS text_sha256
-        FROM (SELECT doc_id, {_LOWER.format("text")} AS body FROM documents)
+        FROM (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS body FROM documents)
         WINDOW w AS (PARTITION BY body)
     """,
 }
