@@ -203,7 +203,7 @@ def _packed(docs: DataFrame, path: str, capacity: int, schema: str, with_ids: bo
         for k, sequence in enumerate(pack(documents(), capacity)):
             offset = 0
             for doc, start, ids, total in sequence:
-                rows.append((doc, start, len(ids), zlib.crc32(ids.tobytes()), total, base + k, offset, *([ids.tolist()] if with_ids else [])))
+                rows.append((doc, start, len(ids), zlib.crc32(ids.tobytes()), total, base + k, offset, *([ids] if with_ids else [])))
                 offset += len(ids)
             if len(rows) > 10_000:
                 yield _rows(rows, with_ids)
@@ -214,9 +214,13 @@ def _packed(docs: DataFrame, path: str, capacity: int, schema: str, with_ids: bo
 
 
 def _rows(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:
-    names = [x.split()[0] for x in SCHEMA.split(", ")] + ["ids"] * with_ids
-    kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
-    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], kind) for i, kind in enumerate(kinds)], names)
+    names = [x.split()[0] for x in SCHEMA.split(", ")]
+    columns = [pa.array([x[i] for x in rows], pa.int64()) for i in range(7)]
+    if with_ids:
+        ends = np.cumsum([0, *(len(x[7]) for x in rows)], dtype=np.int32)
+        flat = np.concatenate([x[7] for x in rows] or [np.empty(0, "<u4")]).astype(np.int32)
+        columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+    return pa.RecordBatch.from_arrays(columns, names + ["ids"] * with_ids)
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -8,10 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_extract, line_dedup, packing, secrets, simhash
+from cuesheet import ship
+
+from . import bpe, exact_dedup, html_extract, langid, line_dedup, merkle, packing, secrets, simhash, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -29,13 +32,22 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op5_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_with_edited(_documents(spark, sf_dir))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
@@ -45,14 +57,22 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return langid.identify(docs, langid.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
     "op3_html_extraction": op3_html_extraction,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_merkle_fingerprints": op5_merkle_fingerprints,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
     "op9_secret_scans": op9_secret_scans,
+    "op10_language_id": op10_language_id,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
