@@ -1,10 +1,683 @@
-"""All queries of the library's own operators."""
+"""All queries of the library's own operators over the fixtures, each with SQL for an independent engine."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from .. import ship
+from ..functions import numbers, quality, text
+from ..operators import align, candidates, crops, frames, report, scan, segments, tuning, windows
+from ..sources import events as event_logs
+from ..sources import showinfo
+from .fixtures import fixture, with_fixtures
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, recursive: bool = False) -> Callable[[Query], Query]:
+    """Registers a query under its function's name, with SQL over the tables and fixtures."""
+
+    def register(function: Query) -> Query:
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[function.__name__] = shipped
+        if sql is not None:
+            ORACLE_SQL[function.__name__] = with_fixtures(sql, recursive) if "fx_" in sql else sql
+        return function
+
+    return register
+
+
+R = "round(({0})::decimal(30,12), {1})::double"
+
+
+def _round(x: str, n: int) -> str:
+    return R.format(x, n)
+
+
+# --- windows ------------------------------------------------------------------------------------------------------
+
+_SEGMENT_MEMBERS = """seg_m AS (SELECT s.*, ix AS window_ix FROM (SELECT *, unnest(generate_series(0, floor(end_ / 45)::bigint + 1)) AS ix FROM fx_segments) s
+    WHERE end_ > ix * 45.0::double AND start < (ix + 1) * 45.0::double)"""
+
+
+@query(f"""{_SEGMENT_MEMBERS},
+    s AS (SELECT video_id, window_ix, count(*) AS n_segments, string_agg(trim(text, chr(32) || chr(9) || chr(10) || chr(13)), ' ' ORDER BY seq) AS txt,
+                 string_agg(DISTINCT speaker, ',' ORDER BY speaker) AS speakers FROM seg_m GROUP BY ALL),
+    f AS (SELECT video_id, floor(timestamp / 45)::bigint AS window_ix, count(*) AS n_frames FROM fx_frames GROUP BY ALL),
+    e AS (SELECT video_id, floor(timestamp / 45)::bigint AS window_ix, count(*) AS n_events FROM fx_events GROUP BY ALL),
+    k AS (SELECT video_id, window_ix, seq AS key_seq FROM (SELECT video_id, floor(timestamp / 45)::bigint AS window_ix, seq,
+          row_number() OVER (PARTITION BY video_id, floor(timestamp / 45)::bigint ORDER BY coalesce(quality_score, 0) DESC, length(ocr_text) DESC, coalesce(avg_conf, -1) DESC, seq) AS r FROM fx_frames) WHERE r = 1)
+    SELECT video_id, window_ix, {_round("window_ix * 45.0::double", 3)} AS window_start, {_round("(window_ix + 1) * 45.0::double", 3)} AS window_end,
+           coalesce(n_segments, 0) AS n_segments, coalesce(n_frames, 0) AS n_frames, coalesce(n_events, 0) AS n_events, coalesce(txt, '') AS transcript_text,
+           coalesce(speakers, '') AS speakers, coalesce(key_seq, -1) AS key_seq
+    FROM s FULL JOIN f USING (video_id, window_ix) FULL JOIN e USING (video_id, window_ix) LEFT JOIN k USING (video_id, window_ix)""")
+def windows_flat(spark, sf_dir):
+    out = windows.build_windows(*(fixture(spark, sf_dir, x) for x in ("fx_segments", "fx_frames", "fx_events")))
+    n = lambda x: F.coalesce(F.size(x), F.lit(0)).cast("long")
+    return out.select(
+        "video_id", "window_ix", "window_start", "window_end", n("segments").alias("n_segments"), n("frames").alias("n_frames"), n("events").alias("n_events"),
+        "transcript_text", F.array_join("speakers_present", ",").alias("speakers"), F.coalesce("key_frame.seq", F.lit(-1)).alias("key_seq"),
+    )
+
+
+@query(f"{_SEGMENT_MEMBERS} SELECT video_id, seq, window_ix, start, end_ FROM seg_m")
+def window_members_segments(spark, sf_dir):
+    return windows.segment_members(fixture(spark, sf_dir, "fx_segments")).select("video_id", "seq", "window_ix", "start", F.col("end").alias("end_"))
+
+
+@query("SELECT video_id, seq, floor(timestamp / 45)::bigint AS window_ix, timestamp FROM fx_frames WHERE timestamp >= 0")
+def window_members_frames(spark, sf_dir):
+    return windows.point_members(fixture(spark, sf_dir, "fx_frames")).select("video_id", "seq", "window_ix", "timestamp")
+
+
+@query("SELECT video_id, seq, floor(timestamp / 45)::bigint AS window_ix, event_type FROM fx_events WHERE timestamp >= 0")
+def window_members_events(spark, sf_dir):
+    return windows.point_members(fixture(spark, sf_dir, "fx_events")).select("video_id", "seq", "window_ix", "event_type")
+
+
+@query("""SELECT video_id, window_ix, seq AS key_seq, frame_path, quality_score FROM (SELECT *, floor(timestamp / 45)::bigint AS window_ix,
+    row_number() OVER (PARTITION BY video_id, floor(timestamp / 45)::bigint ORDER BY coalesce(quality_score, 0) DESC, length(ocr_text) DESC, coalesce(avg_conf, -1) DESC, seq) AS r FROM fx_frames) WHERE r = 1""")
+def window_key_frame(spark, sf_dir):
+    k = windows.key_frames(fixture(spark, sf_dir, "fx_frames"))
+    return k.select("video_id", "window_ix", F.col("key_frame.seq").alias("key_seq"), "key_frame.frame_path", "key_frame.quality_score")
+
+
+@query(f"{_SEGMENT_MEMBERS} SELECT DISTINCT video_id, window_ix, speaker FROM seg_m WHERE speaker <> ''")
+def window_speakers(spark, sf_dir):
+    own = windows.segment_members(fixture(spark, sf_dir, "fx_segments"))
+    sets = own.groupBy("video_id", "window_ix").agg(F.collect_set(F.when(F.col("speaker") != "", F.col("speaker"))).alias("s"))
+    return sets.select("video_id", "window_ix", F.explode("s").alias("speaker"))
+
+
+# --- alignment ----------------------------------------------------------------------------------------------------
+
+_SCORE = """((1.0 - least(1.0, greatest(s.start - f.timestamp, f.timestamp - s.end_, 0.0) / 10.0::double)) * 0.5::double
+    + (1.0 - least(1.0, abs(f.timestamp - (s.start + s.end_) / 2.0::double) / 10.0::double)) * 0.3::double + coalesce(f.quality_score, 0.0) * 0.2::double)"""
+_RANKED = f"""scored AS (SELECT s.video_id, s.seq, f.seq AS frame_seq, f.timestamp, f.frame_path, coalesce(f.quality_score, 0) AS q, {_SCORE} AS score
+    FROM fx_segments s JOIN fx_frames f ON s.video_id = f.video_id AND f.timestamp BETWEEN s.start - 10.0::double AND s.end_ + 10.0::double),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY video_id, seq ORDER BY score DESC, q DESC, timestamp, frame_seq) AS rank FROM scored)"""
+
+
+@query(f"{_RANKED} SELECT video_id, seq, rank, frame_seq, {_round('score', 4)} AS attach_score FROM ranked WHERE rank <= 3")
+def align_topk(spark, sf_dir):
+    top = align.top_candidates(fixture(spark, sf_dir, "fx_segments"), fixture(spark, sf_dir, "fx_frames"), 10.0, 3)
+    return top.select("video_id", "seq", F.col("rank").cast("long").alias("rank"), F.col("frame.seq").alias("frame_seq"), numbers.round_to(F.col("score"), 4).alias("attach_score"))
+
+
+@query(f"""{_RANKED} SELECT s.video_id, s.seq, r.timestamp AS frame_timestamp, r.frame_path, coalesce({_round('r.score', 4)}, 0.0) AS attach_score,
+    CASE WHEN r.seq IS NULL THEN 'no_in_range_candidate' ELSE 'candidate_attached' END AS attach_reason,
+    (SELECT count(*) FROM ranked x WHERE x.video_id = s.video_id AND x.seq = s.seq AND x.rank <= 3) AS n_candidates
+    FROM fx_segments s LEFT JOIN ranked r ON s.video_id = r.video_id AND s.seq = r.seq AND r.rank = 1""")
+def align_attach(spark, sf_dir):
+    out = align.build_dataset(fixture(spark, sf_dir, "fx_segments"), fixture(spark, sf_dir, "fx_frames"))
+    return out.select("video_id", "seq", "frame_timestamp", "frame_path", "attach_score", "attach_reason", F.size("frame_candidates").cast("long").alias("n_candidates"))
+
+
+@query(f"""near AS (SELECT s.video_id, s.seq, f.seq AS frame_seq, abs(f.timestamp - (s.start + s.end_) / 2.0::double) AS gap,
+        row_number() OVER (PARTITION BY s.video_id, s.seq ORDER BY abs(f.timestamp - (s.start + s.end_) / 2.0::double), f.timestamp, f.seq) AS r
+        FROM fx_segments s JOIN fx_frames f USING (video_id))
+    SELECT s.video_id, s.seq, coalesce(n.frame_seq, -1) AS frame_seq, CASE WHEN gap IS NOT NULL THEN {_round('1.0 - least(1.0, gap / 10.0::double)', 4)} END AS score
+    FROM fx_segments s LEFT JOIN near n ON s.video_id = n.video_id AND s.seq = n.seq AND r = 1 AND gap <= 10.0::double""")
+def align_nearest(spark, sf_dir):
+    out = align.nearest(fixture(spark, sf_dir, "fx_segments"), fixture(spark, sf_dir, "fx_frames"))
+    return out.select("video_id", "seq", F.coalesce("frame.seq", F.lit(-1)).alias("frame_seq"), numbers.round_to(F.col("score"), 4).alias("score"))
+
+
+def _as_of(compare: str, order: str) -> str:
+    return f"""found AS (SELECT s.video_id, s.seq, f.seq AS frame_seq, f.timestamp, row_number() OVER (PARTITION BY s.video_id, s.seq ORDER BY f.timestamp {order}, f.seq {order}) AS r
+        FROM fx_segments s JOIN fx_frames f ON s.video_id = f.video_id AND f.timestamp {compare} (s.start + s.end_) / 2.0::double)
+    SELECT s.video_id, s.seq, coalesce(f.frame_seq, -1) AS frame_seq, f.timestamp AS frame_timestamp FROM fx_segments s LEFT JOIN found f ON s.video_id = f.video_id AND s.seq = f.seq AND r = 1"""
+
+
+def _neighbour(spark, sf_dir, side):
+    out = align.prev_next(fixture(spark, sf_dir, "fx_segments"), fixture(spark, sf_dir, "fx_frames"))
+    return out.select("video_id", "seq", F.coalesce(f"{side}.seq", F.lit(-1)).alias("frame_seq"), F.col(f"{side}.timestamp").alias("frame_timestamp"))
+
+
+@query(_as_of("<", "DESC"))
+def align_prev(spark, sf_dir):
+    return _neighbour(spark, sf_dir, "prev")
+
+
+@query(_as_of(">=", ""))
+def align_next(spark, sf_dir):
+    return _neighbour(spark, sf_dir, "next")
+
+
+# --- text quality -------------------------------------------------------------------------------------------------
+
+_QUALITY = r"""t AS (SELECT *, regexp_extract_all(text, '\S+') AS tokens, len(regexp_extract_all(text, '[A-Za-z][A-Za-z''\-]*')) AS words FROM fx_ocr),
+    m AS (SELECT *, len(tokens) AS n,
+            len(list_filter(tokens, lambda x: length(regexp_replace(x, '[^\p{L}]', '', 'g')) = 0
+                OR length(regexp_replace(x, '[\p{L}\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨_\-''.]', '', 'g')) / length(x)::double > 0.25)) AS weird,
+            len(list_filter(tokens, lambda x: length(x) >= 18 AND length(regexp_replace(x, '[^\p{L}]', '', 'g')) / length(x)::double > 0.8 AND NOT regexp_matches(x, '[-_]'))) AS joined,
+            len(list_filter(regexp_split_to_array(text, '\n'), lambda x: trim(x) <> '')) AS nl, length(regexp_replace(text, '[^.,:;!?()\[\]]', '', 'g')) AS marks FROM t),
+    r AS (SELECT *, CASE WHEN n = 0 THEN 0 ELSE least(1.0, words / n::double) END AS lex, CASE WHEN n = 0 THEN 1 ELSE weird / n::double END AS wr, CASE WHEN n = 0 THEN 0 ELSE joined / n::double END AS jr,
+            CASE WHEN n = 0 THEN 0 ELSE least(1.0, least(1.0, nl / 16.0::double) * 0.45::double + least(1.0, marks / greatest(1.0, length(text) / 24.0::double)) * 0.55::double) END AS st,
+            coalesce(greatest(0.0, least(1.0, avg_conf / 100.0::double)), 0.5) AS unit FROM m),
+    q AS (SELECT *, greatest(0.0, least(1.0, lex * 0.65::double + (1.0 - wr) * 0.25::double + (1.0 - jr) * 0.10::double)) AS lexical FROM r),
+    z AS (SELECT *, CASE WHEN trim(regexp_replace(text, '\s+', ' ', 'g')) = '' THEN 0.0 ELSE greatest(0.0, least(1.0, unit * 0.45::double + lexical * 0.40::double + st * 0.15::double)) END AS quality FROM q)"""
+
+
+@query(f"""{_QUALITY} SELECT video_id, {_round("quality", 4)} AS quality_score, length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS text_len, n::bigint AS token_count, words::bigint AS word_count,
+    {_round("lex", 4)} AS lexicality, {_round("wr", 4)} AS weird_token_ratio, {_round("jr", 4)} AS long_joined_ratio, {_round("st", 4)} AS structure_score, {_round("lexical", 4)} AS lexical_score FROM z""")
+def ocr_quality_score(spark, sf_dir):
+    out = quality.with_quality(fixture(spark, sf_dir, "fx_ocr"))
+    m = lambda x: F.col(f"quality_metrics.{x}")
+    return out.select("video_id", "quality_score", *(m(x).cast("long").alias(x) for x in ("text_len", "token_count", "word_count")), *(m(x).alias(x) for x in ("lexicality", "weird_token_ratio", "long_joined_ratio", "structure_score", "lexical_score")))
+
+
+@query(f"""{_QUALITY} SELECT video_id, unnest(list_filter([CASE WHEN unit < 0.65 THEN 'low_confidence' END, CASE WHEN lexical < 0.60 THEN 'low_lexicality' END,
+    CASE WHEN jr > 0.08 THEN 'suspicious_joined_tokens' END, CASE WHEN quality < 0.55 THEN 'garble_like' END], lambda x: x IS NOT NULL)) AS flag FROM z""")
+def ocr_quality_flags(spark, sf_dir):
+    return quality.with_quality(fixture(spark, sf_dir, "fx_ocr")).select("video_id", F.explode("quality_flags").alias("flag"))
+
+
+@query(f"""{_QUALITY} SELECT l.quality, l.toxic, count(*) AS n, {_round(f"sum({R.format('z.quality', 4)}::decimal(30,12)) / count(*)", 6)} AS mean_score
+    FROM z JOIN labels l ON z.video_id = l.doc_id GROUP BY ALL""")
+def label_vs_quality(spark, sf_dir):
+    scored = quality.with_quality(fixture(spark, sf_dir, "fx_ocr"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").withColumnRenamed("quality", "label")
+    mean = F.sum(F.col("quality_score").cast("decimal(30,12)")) / F.count("*")
+    out = scored.join(labels, scored["video_id"] == labels["doc_id"]).groupBy("label", "toxic").agg(F.count("*").alias("n"), numbers.round_to(mean, 6).alias("mean_score"))
+    return out.withColumnRenamed("label", "quality")
+
+
+_SIZES = "(VALUES (1, 1920, 1080), (2, 640, 480), (3, 7, 9), (4, 1, 1)) AS v(id, w, h)"
+
+
+@query(f"""SELECT id, name, x1::int AS x1, y1::int AS y1, x2::int AS x2, y2::int AS y2 FROM (
+    SELECT id, 'FULL' AS name, 0 AS x1, 0 AS y1, w AS x2, h AS y2 FROM {_SIZES}
+    UNION ALL SELECT id, 'TOP', 0, 0, w, floor(h * 0.20::double) FROM {_SIZES} UNION ALL SELECT id, 'LEFT', 0, 0, floor(w * 0.25::double), h FROM {_SIZES}
+    UNION ALL SELECT id, 'MAIN', floor(w * 0.15::double), floor(h * 0.15::double), floor(w * 0.85::double), floor(h * 0.85::double) FROM {_SIZES}
+    UNION ALL SELECT id, 'BOTTOM', 0, floor(h * 0.80::double), w, h FROM {_SIZES}
+    UNION ALL SELECT id, 'MANUAL_01', least(w - 1, 5), least(h - 1, 6), least(w, 300), least(h, 200) FROM {_SIZES} WHERE least(w, 300) > least(w - 1, 5) AND least(h, 200) > least(h - 1, 6))""")
+def crop_boxes(spark, sf_dir):
+    images = spark.createDataFrame([(1, 1920, 1080), (2, 640, 480), (3, 7, 9), (4, 1, 1)], "id int, width int, height int")
+    return crops.crop_boxes(images, "preset", ["5,6,300,200"]).select("id", "name", "box.*")
+
+
+_BOXES = "(VALUES (1, -5, -5, 50, 50), (2, 90, 90, 200, 200), (3, 150, 10, 160, 20), (4, 10, 10, 20, 20)) AS v(id, x1, y1, x2, y2)"
+
+
+@query(f"""SELECT id, CASE WHEN ok THEN a END AS x1, CASE WHEN ok THEN b END AS y1, CASE WHEN ok THEN c END AS x2, CASE WHEN ok THEN d END AS y2 FROM (SELECT *, c > a AND d > b AS ok FROM (
+    SELECT id, greatest(0, least(99, x1)) AS a, greatest(0, least(99, y1)) AS b, greatest(1, least(100, x2)) AS c, greatest(1, least(100, y2)) AS d FROM {_BOXES}))""")
+def clip_box(spark, sf_dir):
+    rows = spark.createDataFrame([(1, -5, -5, 50, 50), (2, 90, 90, 200, 200), (3, 150, 10, 160, 20), (4, 10, 10, 20, 20)], "id int, x1 int, y1 int, x2 int, y2 int")
+    clipped = crops.clip_box(crops.box(*(F.col(x) for x in ("x1", "y1", "x2", "y2"))), F.lit(100), F.lit(100))
+    return rows.select("id", clipped.alias("b")).select("id", "b.*")
+
+
+# --- choice of candidates -----------------------------------------------------------------------------------------
+
+_BY_RANK = "coalesce(quality_score, 0) DESC, length(text) DESC, coalesce(avg_conf, 0) DESC, seq"
+
+
+@query(f"SELECT doc_id, variant, quality_score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY {_BY_RANK}) AS r FROM fx_candidates) WHERE r = 1")
+def best_candidate(spark, sf_dir):
+    return candidates.best_candidate(fixture(spark, sf_dir, "fx_candidates"), ["doc_id"]).select("doc_id", "variant", "quality_score")
+
+
+@query("""SELECT doc_id, CASE WHEN length(trim(regexp_replace(b, '\\s+', ' ', 'g'))) > length(trim(regexp_replace(a, '\\s+', ' ', 'g'))) THEN b ELSE a END AS text
+    FROM (SELECT doc_id, substring(text, 1, (doc_id % 50)::bigint) AS a, substring(text, 3, 25) AS b FROM documents)""")
+def psm_better(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    a, b = (F.struct(F.expr(x).alias("text")) for x in ("substring(text, 1, cast(doc_id % 50 as int))", "substring(text, 3, 25)"))
+    return docs.select("doc_id", candidates.better_pass(a, b)["text"].alias("text"))
+
+
+@query("""a AS (SELECT * FROM fx_candidates WHERE variant = 'google_a'), b AS (SELECT * FROM fx_candidates WHERE variant = 'google_b'), z AS (SELECT * FROM fx_candidates WHERE variant = 'azure_read'),
+    asked_b AS (SELECT a.doc_id FROM a WHERE coalesce(error, '') <> '' OR quality_score < 0.55),
+    two AS (SELECT * FROM a UNION ALL SELECT b.* FROM b JOIN asked_b USING (doc_id)),
+    best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(quality_score, 0) DESC, length(text) DESC, coalesce(avg_conf, 0) DESC, seq) AS r FROM two) WHERE r = 1),
+    asked_z AS (SELECT doc_id FROM best WHERE coalesce(error, '') <> '' OR quality_score < 0.55),
+    three AS (SELECT * FROM two UNION ALL SELECT z.* FROM z JOIN asked_z USING (doc_id)),
+    final AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(quality_score, 0) DESC, length(text) DESC, coalesce(avg_conf, 0) DESC, seq) AS r,
+              count(*) OVER (PARTITION BY doc_id) AS n FROM three) WHERE r = 1)
+    SELECT doc_id, variant, quality_score, error, n AS n_asked, provider = 'azure' AS fallback_used FROM final""")
+def provider_cascade(spark, sf_dir):
+    out = candidates.cascade(fixture(spark, sf_dir, "fx_candidates"), ["doc_id"])
+    return out.select("doc_id", "variant", "quality_score", "error", F.col("n_asked").cast("long").alias("n_asked"), "fallback_used")
+
+
+@query(f"""c AS (SELECT video_id, utterance_id, CASE WHEN word_ix % 9 = 0 THEN NULL WHEN word_ix % 5 = 0 THEN -1.0 ELSE ((word_ix * 37) % 101) / 100.0::double END AS conf FROM fx_words),
+    ok AS (SELECT video_id, utterance_id, (CASE WHEN conf <= 1.0 THEN conf * 100.0::double ELSE conf END) AS p FROM c WHERE conf >= 0)
+    SELECT w.video_id, w.utterance_id, {_round(_round("sum(p::decimal(30,6))::double / count(p)", 2), 1)} AS avg_conf
+    FROM (SELECT DISTINCT video_id, utterance_id FROM fx_words) w LEFT JOIN ok USING (video_id, utterance_id) GROUP BY ALL""")
+def conf_flatten_mean(spark, sf_dir):
+    conf = F.expr("case when word_ix % 9 = 0 then null when word_ix % 5 = 0 then -1.0D else ((word_ix * 37) % 101) / 100.0D end")
+    words = fixture(spark, sf_dir, "fx_words").select("video_id", "utterance_id", F.struct("word_ix", F.col("text"), conf.alias("confidence")).alias("w"))
+    lines = words.groupBy("video_id", "utterance_id").agg(F.sort_array(F.collect_list("w")).alias("ws"))
+    blocks = F.array(F.struct(F.array(F.struct(F.lit("x").alias("text"), F.transform("ws", lambda w: F.struct(F.when(w["confidence"] >= 0, w["confidence"]).alias("confidence"))).alias("words"))).alias("lines")))
+    return lines.select("video_id", "utterance_id", numbers.round_to(candidates.flatten_lines(blocks)["avg_conf"], 1).alias("avg_conf"))
+
+
+# --- scalar functions ---------------------------------------------------------------------------------------------
+
+_SPEAKERS = "(VALUES (1, '0'), (2, '1'), (3, '26'), (4, 'a'), (5, ' B '), (6, 'host'), (7, ''), (8, NULL), (9, '25')) AS v(id, raw)"
+
+
+@query(f"""SELECT id, CASE WHEN x = '' THEN NULL WHEN regexp_full_match(x, '[A-Za-z]') THEN upper(x) WHEN regexp_full_match(x, '[0-9]+') AND x::int <= 25 THEN chr(65 + x::int)
+        WHEN regexp_full_match(x, '[0-9]+') THEN 'S' || x ELSE upper(x) END AS alpha,
+    CASE WHEN x = '' THEN NULL WHEN regexp_full_match(x, '[0-9]+') THEN x WHEN regexp_full_match(x, '[A-Za-z]') THEN (ord(upper(x)) - 64)::varchar ELSE x END AS number
+    FROM (SELECT id, trim(raw) AS x FROM {_SPEAKERS})""")
+def normalize_speaker(spark, sf_dir):
+    rows = spark.createDataFrame([(1, "0"), (2, "1"), (3, "26"), (4, "a"), (5, " B "), (6, "host"), (7, ""), (8, None), (9, "25")], "id int, raw string")
+    return rows.select("id", text.speaker_label(F.col("raw"), "alpha").alias("alpha"), text.speaker_label(F.col("raw"), "numeric").alias("number"))
+
+
+@query("SELECT id, coalesce(try_cast(x AS double) / 1000.0::double, 0.0) AS seconds FROM (VALUES (1, '1500'), (2, NULL), (3, 'x'), (4, ' 20.5 '), (5, '0')) AS v(id, x)")
+def ms_to_seconds(spark, sf_dir):
+    rows = spark.createDataFrame([(1, "1500"), (2, None), (3, "x"), (4, " 20.5 "), (5, "0")], "id int, x string")
+    return rows.select("id", numbers.ms_to_seconds(F.col("x")).alias("seconds"))
+
+
+@query("""SELECT video_id, seq, printf('%02d:%02d:%02d,%03d', ms // 3600000, ms % 3600000 // 60000, ms % 60000 // 1000, ms % 1000) AS stamp
+    FROM (SELECT video_id, seq, round(start::decimal(30,12) * 1000)::bigint AS ms FROM fx_segments)""")
+def srt_stamp(spark, sf_dir):
+    return fixture(spark, sf_dir, "fx_segments").select("video_id", "seq", text.srt_stamp(F.col("start")).alias("stamp"))
+
+
+@query("SELECT video_id, seq, printf('%010.3f', timestamp) AS stamp FROM fx_frames")
+def file_stamp(spark, sf_dir):
+    return fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", text.file_stamp(F.col("timestamp")).alias("stamp"))
+
+
+@query("""SELECT id, CASE WHEN s < 60 THEN printf('%.1fs', s) WHEN floor(s / 60) < 60 THEN printf('%dm %ds', floor(s / 60)::bigint, round_even(s % 60, 0)::bigint)
+    ELSE printf('%dh %dm', floor(floor(s / 60) / 60)::bigint, floor(s / 60)::bigint % 60) END AS said
+    FROM (VALUES (1, 0.0::double), (2, 59.95), (3, 61.0), (4, 119.7), (5, 3599.0), (6, 3600.0), (7, 9000.0)) AS v(id, s)""")
+def human_duration(spark, sf_dir):
+    rows = spark.createDataFrame([(1, 0.0), (2, 59.95), (3, 61.0), (4, 119.7), (5, 3599.0), (6, 3600.0), (7, 9000.0)], "id int, s double")
+    return rows.select("id", text.human_duration(F.col("s")).alias("said"))
+
+
+@query("""SELECT id, CASE WHEN trim(x) = '' THEN NULL ELSE CASE lower(trim(x)) WHEN 'eng' THEN 'en' WHEN 'spa' THEN 'es' WHEN 'fra' THEN 'fr' WHEN 'deu' THEN 'de' ELSE trim(x) END END AS hint
+    FROM (VALUES (1, 'eng'), (2, ' SPA '), (3, 'ita'), (4, ''), (5, NULL)) AS v(id, x)""")
+def lang_hint(spark, sf_dir):
+    rows = spark.createDataFrame([(1, "eng"), (2, " SPA "), (3, "ita"), (4, ""), (5, None)], "id int, x string")
+    return rows.select("id", text.language_hint(F.col("x")).alias("hint"))
+
+
+@query("""s AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY seq) AS i FROM fx_segments),
+    t AS (SELECT *, round(start::decimal(30,12) * 1000)::bigint AS a, round(end_::decimal(30,12) * 1000)::bigint AS b FROM s)
+    SELECT video_id, i AS cue, i || chr(10) || printf('%02d:%02d:%02d,%03d', a // 3600000, a % 3600000 // 60000, a % 60000 // 1000, a % 1000) || ' --> '
+        || printf('%02d:%02d:%02d,%03d', b // 3600000, b % 3600000 // 60000, b % 60000 // 1000, b % 1000) || chr(10) || trim(text, chr(32) || chr(9) || chr(10) || chr(13)) AS lines FROM t""")
+def srt_lines(spark, sf_dir):
+    from ..sources.sinks import srt_cues
+
+    return srt_cues(fixture(spark, sf_dir, "fx_segments"), ["seq"]).select("video_id", F.col("cue").cast("long").alias("cue"), "lines")
+
+
+_TIGHTEN = r"trim(regexp_replace(regexp_replace(regexp_replace({0}, '\s+([,.;:!?])', '\1', 'g'), '\(\s+', '(', 'g'), '\s+\)', ')', 'g'))"
+
+
+@query(f"SELECT video_id, utterance_id, {_TIGHTEN.format(chr(34) + 't' + chr(34))} AS text FROM (SELECT video_id, utterance_id, string_agg(text, ' ' ORDER BY word_ix) AS t FROM fx_words GROUP BY ALL)")
+def join_tokens(spark, sf_dir):
+    own = fixture(spark, sf_dir, "fx_words").groupBy("video_id", "utterance_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("word_ix", "text"))), lambda x: x["text"]).alias("t"))
+    return own.select("video_id", "utterance_id", text.join_tokens(F.col("t")).alias("text"))
+
+
+# --- segmentation -------------------------------------------------------------------------------------------------
+
+_PAUSED = """fx_paused AS (SELECT video_id, utterance_id, word_ix, text, start + (word_ix // 60) * 0.0 AS start, end_ FROM fx_words)"""
+_SPLIT = r"""w AS (SELECT *, row_number() OVER (PARTITION BY video_id, utterance_id ORDER BY word_ix) AS i FROM fx_words),
+    rec AS (SELECT video_id, utterance_id, i, word_ix, text, start, end_, start AS t0, 0::bigint AS chunk, 'start' AS cut FROM w WHERE i = 1
+        UNION ALL SELECT video_id, utterance_id, i, word_ix, text, start, end_, CASE WHEN c IS NULL THEN t0 ELSE start END, CASE WHEN c IS NULL THEN chunk ELSE chunk + 1 END, c
+        FROM (SELECT n.*, r.t0, r.chunk, CASE WHEN regexp_matches(r.text, '[.!?;:]$') THEN 'start' WHEN greatest(0.0, n.start - r.end_) >= 0.6::double THEN 'silence_gap' WHEN n.end_ - r.t0 >= 5.0::double THEN 'max_duration' END AS c
+              FROM rec r JOIN w n ON r.video_id = n.video_id AND r.utterance_id = n.utterance_id AND n.i = r.i + 1)),
+    chunks AS (SELECT video_id, utterance_id, chunk, min(start) AS start, max(end_) AS end_, string_agg(text, ' ' ORDER BY i) AS t, arg_min(cut, i) AS cut, arg_max(text, i) AS last FROM rec GROUP BY ALL),
+    split AS (SELECT video_id, utterance_id, chunk, start, end_, """ + _TIGHTEN.format("t") + r""" AS text,
+        CASE WHEN regexp_matches(last, '[.!?;:]$') THEN 'punctuation' ELSE coalesce(lead(cut) OVER (PARTITION BY video_id, utterance_id ORDER BY chunk), 'tail') END AS split_reason FROM chunks)"""
+
+
+@query(f"{_SPLIT} SELECT video_id, utterance_id, chunk, {_round('start', 3)} AS start, {_round('end_', 3)} AS end_, text, split_reason FROM split", recursive=True)
+def split_utterances(spark, sf_dir):
+    return segments.split_words(fixture(spark, sf_dir, "fx_words"), 5.0, 0.6).withColumnRenamed("end", "end_")
+
+
+def _merge(source: str, order: str, least: str) -> str:
+    return f"""o AS (SELECT *, row_number() OVER w AS i, lag(speaker) OVER w AS before FROM {source} WINDOW w AS (PARTITION BY video_id ORDER BY {order})),
+    g AS (SELECT *, sum(CASE WHEN i = 1 OR end_ - start >= {least}::double OR speaker IS DISTINCT FROM before THEN 1 ELSE 0 END) OVER (PARTITION BY video_id ORDER BY i) AS grp FROM o),
+    merged AS (SELECT video_id, grp, arg_min(start, i) AS start, max(end_) AS end_, arg_min(speaker, i) AS speaker, arg_min(split_reason, i) || repeat('+merged_short', (count(*) - 1)::bigint) AS split_reason,
+        CASE WHEN count(*) = 1 THEN any_value(text) ELSE {_TIGHTEN.format("string_agg(trim(text, chr(32) || chr(9) || chr(10) || chr(13)), ' ' ORDER BY i)")} END AS text,
+        arg_min(key, i) AS key FROM g GROUP BY video_id, grp)"""
+
+
+@query(f"""src AS (SELECT video_id, seq, seq AS key, start, end_, CASE WHEN seq % 3 = 0 THEN 'x' ELSE speaker END AS speaker, text, 'tail' AS split_reason FROM fx_segments),
+    {_merge('src', 'start, end_, seq', '20.0')} SELECT video_id, key AS seq, start, end_, speaker, text, split_reason FROM merged""")
+def merge_short_segments(spark, sf_dir):
+    own = fixture(spark, sf_dir, "fx_segments").select("video_id", "seq", "start", "end", F.expr("case when seq % 3 = 0 then 'x' else speaker end").alias("speaker"), "text", F.lit("tail").alias("split_reason"))
+    return segments.merge_short(own, ["start", "end", "seq"], 20.0).withColumnRenamed("end", "end_")
+
+
+@query(f"""{_SPLIT}, src AS (SELECT s.video_id, s.utterance_id AS key, s.chunk, s.utterance_id, {_round('s.start', 3)} AS start, {_round('s.end_', 3)} AS end_, f.speaker, s.text, s.split_reason
+        FROM split s JOIN fx_segments f ON f.video_id = s.video_id AND f.seq = s.utterance_id),
+    {_merge('src', 'start, end_, utterance_id, chunk', '3.0')}
+    SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY grp) AS segment_id, start, end_, speaker, text, split_reason, key AS parent_utterance_id, 'assemblyai' AS asr_provider FROM merged""", recursive=True)
+def refine_segments(spark, sf_dir):
+    said = fixture(spark, sf_dir, "fx_segments").select("video_id", F.col("seq").alias("utterance_id"), "start", "end", "text", "speaker", F.lit(None).cast("double").alias("speaker_confidence"))
+    out = segments.refine_segments(said, fixture(spark, sf_dir, "fx_words"), 5.0, 0.6, 3.0)
+    return out.select("video_id", F.col("segment_id").cast("long").alias("segment_id"), "start", F.col("end").alias("end_"), "speaker", "text", "split_reason", "parent_utterance_id", "asr_provider")
+
+
+# --- frame policy -------------------------------------------------------------------------------------------------
+
+
+def _greedy(source: str, epsilon: str, compare: str = ">", name: str = "kept") -> str:
+    return f"""{name}_o AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY timestamp, seq) AS rn FROM {source}),
+    {name} AS (SELECT video_id, rn, timestamp, seq FROM {name}_o WHERE rn = 1
+        UNION ALL SELECT video_id, rn, timestamp, seq FROM (SELECT o.video_id, o.rn, o.timestamp, o.seq, row_number() OVER (PARTITION BY o.video_id ORDER BY o.rn) AS k
+            FROM {name} r JOIN {name}_o o ON o.video_id = r.video_id AND o.rn > r.rn AND abs(o.timestamp - r.timestamp) {compare} {epsilon}::double) WHERE k = 1)"""
+
+
+@query(f"{_greedy('fx_frames', '2.5')} SELECT video_id, seq, timestamp, row_number() OVER (PARTITION BY video_id ORDER BY rn) AS original_index FROM kept", recursive=True)
+def merge_epsilon(spark, sf_dir):
+    out = frames.merge_entries(fixture(spark, sf_dir, "fx_frames"), 2.5)
+    return out.select("video_id", "seq", "timestamp", F.col("original_index").cast("long").alias("original_index"))
+
+
+@query(f"{_greedy('fx_frames', '0.2')} SELECT video_id, timestamp FROM kept", recursive=True)
+def unique_ts(spark, sf_dir):
+    return scan.keep_spaced(fixture(spark, sf_dir, "fx_frames").select("video_id", "timestamp", "seq"), 0.2).select("video_id", "timestamp")
+
+
+_GRID = "fx_grid AS (SELECT video_id, seq, round(timestamp) AS timestamp FROM fx_frames)"
+
+
+@query(f"{_GRID}, {_greedy('fx_grid', '3.0', '>=')} SELECT video_id, seq, timestamp FROM kept", recursive=True)
+def legacy_merge(spark, sf_dir):
+    grid = fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", F.round("timestamp").alias("timestamp"))
+    return frames.merge_legacy(grid, 3.0).select("video_id", "seq", "timestamp")
+
+
+@query(f"""{_greedy('fx_frames', '2.0')}, a AS (SELECT video_id, unnest([0.0::double, greatest(0.0, duration - 0.5)]) AS anchor FROM fx_videos WHERE duration > 0)
+    SELECT video_id, {_round('anchor', 3)} AS timestamp FROM a WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.video_id = a.video_id AND abs(a.anchor - k.timestamp) <= 2.0::double)""", recursive=True)
+def anchors(spark, sf_dir):
+    return frames.required_anchors(fixture(spark, sf_dir, "fx_frames"), fixture(spark, sf_dir, "fx_videos"), 2.0)
+
+
+@query(f"""pts AS (SELECT video_id, timestamp, seq FROM fx_frames UNION ALL SELECT video_id, unnest([0.0::double, greatest(0.0, duration - 0.5)]), 4611686018427387904 FROM fx_videos WHERE duration > 0),
+    {_greedy('pts', '0.2')}, gaps AS (SELECT *, lead(timestamp) OVER (PARTITION BY video_id ORDER BY rn) AS until FROM kept),
+    fill AS (SELECT video_id, until, timestamp + k * 8.0::double AS p FROM (SELECT *, unnest(generate_series(1, floor((until - timestamp) / 8.0::double)::bigint)) AS k FROM gaps WHERE until - timestamp > 8.0))
+    SELECT video_id, {_round('p', 3)} AS timestamp FROM fill WHERE p < until - 0.2::double""", recursive=True)
+def gap_fill(spark, sf_dir):
+    return frames.gap_fill(fixture(spark, sf_dir, "fx_frames"), fixture(spark, sf_dir, "fx_videos"), 8.0)
+
+
+@query(f"""SELECT video_id, {_round("i * 15.0::double", 3)} AS timestamp, 'sample' AS source, (i + 1)::int AS original_index
+    FROM (SELECT video_id, unnest(generate_series(0, ceil(duration / 15.0)::bigint - 1)) AS i FROM fx_videos WHERE duration > 0)""")
+def sample_grid(spark, sf_dir):
+    return frames.sample_grid(fixture(spark, sf_dir, "fx_videos"), 15.0)
+
+
+@query("""SELECT video_id, seq, timestamp FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY timestamp, seq) - 1 AS i, greatest(1, count(*) OVER (PARTITION BY video_id) // 5) AS step FROM fx_frames)
+    WHERE i % step = 0 AND i // step < 5""")
+def systematic_sample(spark, sf_dir):
+    return frames.systematic_sample(fixture(spark, sf_dir, "fx_frames")).select("video_id", "seq", "timestamp")
+
+
+@query(f"SELECT DISTINCT video_id, {_round('timestamp - 100', 2)} AS timestamp FROM fx_frames WHERE timestamp >= 100")
+def lookup_points(spark, sf_dir):
+    shifted = fixture(spark, sf_dir, "fx_frames").select("video_id", numbers.round_to(F.col("timestamp") - 100, 2).alias("timestamp"))
+    return frames.lookup_points(shifted.filter("timestamp >= 0"))
+
+
+@query(f"""f AS (SELECT video_id, seq, row_number() OVER (PARTITION BY video_id ORDER BY seq) AS k FROM fx_frames), p AS (SELECT video_id, k, timestamp FROM (SELECT video_id, timestamp, row_number() OVER (PARTITION BY video_id ORDER BY timestamp, seq) AS k FROM fx_frames) WHERE k % 10 <> 0)
+    SELECT f.video_id, f.seq, {_round('coalesce(p.timestamp, (f.k - 1)::double)', 3)} AS timestamp FROM f LEFT JOIN p USING (video_id, k)""")
+def positional_pairs(spark, sf_dir):
+    own = fixture(spark, sf_dir, "fx_frames")
+    number = lambda *order: F.expr(f"row_number() over (partition by video_id order by {', '.join(order)})")
+    stamps = own.select("video_id", "timestamp", number("timestamp", "seq").alias("k")).filter("k % 10 <> 0")
+    return frames.pair_by_position(own.select("video_id", "seq", number("seq").alias("k")), stamps).select("video_id", "seq", "timestamp")
+
+
+# --- near-duplicates of frames ------------------------------------------------------------------------------------
+
+
+def _suppress(transition: str) -> str:
+    keep = f"d IS NULL OR ({transition})"
+    return f"""o AS (SELECT f.*, h.hash_hi AS hi, h.hash_lo AS lo, row_number() OVER (PARTITION BY video_id ORDER BY timestamp, seq) AS rn FROM fx_frames f JOIN fx_hash h USING (vec_id)),
+    rec AS (SELECT video_id, rn, seq, timestamp, [{{'t': timestamp, 'hi': hi, 'lo': lo, 'p': frame_path, 's': seq}}] AS held, 'kept' AS status, NULL::varchar AS duplicate_of, NULL::bigint AS hash_distance FROM o WHERE rn = 1
+        UNION ALL SELECT video_id, rn, seq, timestamp, CASE WHEN {keep} THEN list_append(held, {{'t': timestamp, 'hi': hi, 'lo': lo, 'p': frame_path, 's': seq}}) ELSE held END,
+            CASE WHEN {keep} THEN 'kept' ELSE 'dropped' END, d.p, bit_count(xor(d.hi, hi)) + bit_count(xor(d.lo, lo))
+        FROM (SELECT n.video_id, n.rn, n.seq, n.timestamp, n.hi, n.lo, n.frame_path, r.held,
+                list_filter(r.held, lambda x: n.timestamp - x.t <= 10.0 AND bit_count(xor(x.hi, n.hi)) + bit_count(xor(x.lo, n.lo)) <= 28)[-1] AS d
+              FROM rec r JOIN o n ON n.video_id = r.video_id AND n.rn = r.rn + 1))"""
+
+
+def _marked(spark, sf_dir, **more):
+    own = fixture(spark, sf_dir, "fx_frames").select("video_id", "timestamp", "seq", "frame_path", "vec_id")
+    hashed = own.join(fixture(spark, sf_dir, "fx_hash"), "vec_id")
+    return scan.suppress_near_duplicates(hashed, 10.0, 28, **more)
+
+
+@query(f"{_suppress('false')} SELECT video_id, seq, timestamp FROM rec WHERE status = 'kept'", recursive=True)
+def dedupe_kept(spark, sf_dir):
+    return _marked(spark, sf_dir).filter("status = 'kept'").select("video_id", "seq", "timestamp")
+
+
+@query(f"{_suppress('false')} SELECT video_id, seq, duplicate_of, hash_distance FROM rec WHERE status = 'dropped'", recursive=True)
+def dedupe_dropped(spark, sf_dir):
+    return _marked(spark, sf_dir).filter("status = 'dropped'").select("video_id", "seq", "duplicate_of", "hash_distance")
+
+
+def _synthetic_delta(row, kept):
+    return (row["seq"] * 7 + kept["seq"] * 3) % 20 / 1000.0
+
+
+@query(f"{_suppress('timestamp - d.t <= 2.5 AND ((seq * 7 + d.s * 3) % 20) / 1000.0 >= 0.012')} SELECT video_id, seq, status, duplicate_of, coalesce(hash_distance, -1) AS hash_distance FROM rec", recursive=True)
+def dedupe_transition(spark, sf_dir):
+    return _marked(spark, sf_dir, delta=_synthetic_delta).select("video_id", "seq", "status", "duplicate_of", F.coalesce("hash_distance", F.lit(-1)).alias("hash_distance"))
+
+
+@query()
+def backfill_rounds(spark, sf_dir):
+    own = fixture(spark, sf_dir, "fx_frames").select("video_id", "timestamp", "seq", "frame_path", "vec_id").join(fixture(spark, sf_dir, "fx_hash"), "vec_id")
+    if not spark.sparkContext.getCheckpointDir():
+        import tempfile
+
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
+    suppress = lambda x: scan.suppress_near_duplicates(x.drop("status", "duplicate_of", "hash_distance", "drop_blocked_reason", "candidate_delta_ratio"), 10.0, 28)
+
+    def fetch(points: DataFrame) -> DataFrame:
+        made = points.withColumns({"seq": F.lit(0).cast("long"), "frame_path": F.concat(F.lit("fill/"), text.file_stamp(F.col("timestamp"))), "vec_id": F.lit(-1).cast("long")})
+        return made.withColumns({"hash_hi": F.pmod(F.xxhash64("video_id", "timestamp"), F.lit(2**32)), "hash_lo": F.pmod(F.xxhash64("timestamp", "video_id"), F.lit(2**32))})
+
+    kept = suppress(own).filter("status = 'kept'").select(*own.columns)
+    out = frames.backfill(kept, fixture(spark, sf_dir, "fx_videos"), fetch, suppress, 8.0)
+    return out.select("video_id", "timestamp", "frame_path", "status", "dropped_phase")
+
+
+# --- events and logs ----------------------------------------------------------------------------------------------
+
+
+@query(f"""e AS (SELECT row_number() OVER (ORDER BY event_id) AS i, event_id, epoch_us(ts)::double / 1000000.0::double AS t, event_type, props FROM events)
+    SELECT i AS event_id, {_round('t', 3)} AS timestamp, event_type, json_extract_string(props, '$.k') AS k FROM e WHERE event_type IN ('click', 'scroll', 'key')""".replace("e AS", "WITH e AS", 1))
+def events_clean(spark, sf_dir):
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    number = F.row_number().over(Window.orderBy("event_id"))
+    t = F.unix_micros(F.col("ts").cast("timestamp")).cast("double") / 1_000_000.0
+    fields = F.create_map(F.lit("ts"), t.cast("string"), F.lit("type"), F.concat(F.lit(" "), F.upper("event_type")), F.lit("payload"), F.col("props"))
+    out = event_logs.clean_events(raw.select(number.alias("position"), fields.alias("fields")))
+    return out.select(F.col("event_id").cast("long").alias("event_id"), "timestamp", "event_type", F.get_json_object("payload", "$.k").alias("k"))
+
+
+@query("""SELECT id, try_cast(nullif(regexp_extract(line, 'pts_time:([0-9eE+\\-.]+)', 1), '') AS double) AS pts FROM (VALUES (1, '[Parsed_showinfo_1] n: 0 pts_time:1.25 fmt'), (2, 'frame= 1'),
+    (3, '[Parsed_showinfo_1] n: 1 pts_time:3e1'), (4, 'showinfo pts_time:--'), (5, 'pts_time:7')) AS v(id, line) WHERE contains(line, 'showinfo') AND contains(line, 'pts_time:') AND pts IS NOT NULL""")
+def showinfo_parse(spark, sf_dir):
+    lines = [(1, "[Parsed_showinfo_1] n: 0 pts_time:1.25 fmt"), (2, "frame= 1"), (3, "[Parsed_showinfo_1] n: 1 pts_time:3e1"), (4, "showinfo pts_time:--"), (5, "pts_time:7")]
+    return showinfo.parse_lines(spark.createDataFrame(lines, "id int, value string")).select("id", "pts")
+
+
+@query()
+def events_formats(spark, sf_dir):
+    rows = ['{"ts": 1.5, "type": "click", "payload": {"x": 1}}', '{"time": "2.25", "event": "KEY", "code": "a"}', '{"ts": "bad", "type": "click"}', "not json", "", '{"timestamp": 0.5, "type": "scroll", "payload": "far"}']
+    lines = spark.createDataFrame(list(enumerate(rows, 1)), "position int, value string")
+    return event_logs.from_lines(lines, strict=False)
+
+
+# --- report -------------------------------------------------------------------------------------------------------
+
+
+_COVERAGE = """c AS (SELECT video_id, count(*) AS n, max(timestamp - prev) AS gap, max(timestamp) AS last FROM (SELECT video_id, timestamp, lag(timestamp, 1, 0.0::double) OVER (PARTITION BY video_id ORDER BY timestamp) AS prev FROM fx_frames) GROUP BY video_id),
+    cov AS (SELECT v.video_id, coalesce(n, 0) AS kept_frames, CASE WHEN n IS NULL THEN duration ELSE greatest(0.0, gap, greatest(0.0, duration - last)) END AS max_gap_sec, CASE WHEN n IS NULL THEN duration ELSE greatest(0.0, duration - last) END AS tail_gap_sec FROM fx_videos v LEFT JOIN c USING (video_id))"""
+_P95 = "p AS (SELECT video_id, count(*) AS segment_count, list_sort(list(end_ - start))[floor(0.95::double * (count(*) - 1))::bigint + 1] AS p95_segment_duration_sec FROM fx_segments GROUP BY video_id)"
+_RATES = f"""{_RANKED}, att AS (SELECT s.video_id, count(*) AS dataset_records, count(r.seq) AS attached_records, count(r.seq) / count(*)::double AS attach_rate
+    FROM fx_segments s LEFT JOIN ranked r ON s.video_id = r.video_id AND s.seq = r.seq AND r.rank = 1 GROUP BY s.video_id)"""
+_STATS = """ocr AS (SELECT video_id, count(*) AS frame_records, count(*) FILTER (trim(ocr_text) <> '') / count(*)::double AS ocr_nonempty_rate, count(*) FILTER (coalesce(quality_score, 0) < 0.55) / count(*)::double AS low_quality_rate,
+    count(*) FILTER (seq % 17 = 0) AS provider_error_count, count(*) FILTER (seq % 5 = 0) AS fallback_used_count, sum(seq % 4 - CASE WHEN seq % 4 > 0 THEN 1 ELSE 0 END)::bigint AS retry_invocations,
+    count(*) FILTER (seq % 4 = 3) AS azure_candidate_count FROM fx_frames GROUP BY video_id)"""
+
+
+def _frame_ocr(spark, sf_dir):
+    providers = F.expr("slice(array('google', 'google', 'azure'), 1, cast(seq % 4 as int))")
+    return fixture(spark, sf_dir, "fx_frames").select("video_id", F.col("ocr_text").alias("text"), "quality_score", F.expr("if(seq % 17 = 0, 1, 0)").alias("n_errors"), F.expr("seq % 5 = 0").alias("fallback_used"), providers.alias("providers"))
+
+
+def _dataset(spark, sf_dir):
+    return align.build_dataset(fixture(spark, sf_dir, "fx_segments"), fixture(spark, sf_dir, "fx_frames"))
+
+
+@query(f"{_COVERAGE} SELECT video_id, kept_frames, {_round('max_gap_sec', 3)} AS max_gap_sec, {_round('tail_gap_sec', 3)} AS tail_gap_sec FROM cov")
+def coverage_gaps(spark, sf_dir):
+    out = report.coverage(fixture(spark, sf_dir, "fx_frames"), fixture(spark, sf_dir, "fx_videos"))
+    return out.select("video_id", "kept_frames", *(numbers.round_to(F.col(x), 3).alias(x) for x in ("max_gap_sec", "tail_gap_sec")))
+
+
+@query(f"{_P95} SELECT video_id, segment_count, {_round('p95_segment_duration_sec', 3)} AS p95_segment_duration_sec FROM p")
+def p95_segment(spark, sf_dir):
+    return report.p95_durations(fixture(spark, sf_dir, "fx_segments")).withColumn("p95_segment_duration_sec", numbers.round_to(F.col("p95_segment_duration_sec"), 3))
+
+
+@query(f"{_RATES} SELECT video_id, dataset_records, attached_records, {_round('attach_rate', 4)} AS attach_rate FROM att")
+def attach_rate(spark, sf_dir):
+    return report.attach_rates(_dataset(spark, sf_dir)).withColumn("attach_rate", numbers.round_to(F.col("attach_rate"), 4))
+
+
+@query(f"{_STATS} SELECT * REPLACE ({_round('ocr_nonempty_rate', 4)} AS ocr_nonempty_rate, {_round('low_quality_rate', 4)} AS low_quality_rate) FROM ocr")
+def ocr_stats(spark, sf_dir):
+    return report.ocr_stats(_frame_ocr(spark, sf_dir)).withColumns({x: numbers.round_to(F.col(x), 4) for x in ("ocr_nonempty_rate", "low_quality_rate")})
+
+
+_REPORT = f"""{_COVERAGE}, {_P95}, {_RATES}, {_STATS},
+    rep AS (SELECT v.video_id, {_round('v.duration', 3)} AS duration_seconds, 45.0::double AS window_seconds, kept_frames, {_round('max_gap_sec', 3)} AS max_gap_sec, {_round('tail_gap_sec', 3)} AS tail_gap_sec,
+        coalesce(segment_count, 0) AS segment_count, {_round('coalesce(p95_segment_duration_sec, 0)', 3)} AS p95_segment_duration_sec, coalesce(dataset_records, 0) AS dataset_records, coalesce(attached_records, 0) AS attached_records,
+        {_round('coalesce(attach_rate, 0)', 4)} AS attach_rate, coalesce(frame_records, 0) AS frame_records, {_round('coalesce(ocr_nonempty_rate, 0)', 4)} AS ocr_nonempty_rate, {_round('coalesce(low_quality_rate, 0)', 4)} AS low_quality_rate,
+        coalesce(provider_error_count, 0) AS provider_error_count, coalesce(fallback_used_count, 0) AS fallback_used_count, coalesce(retry_invocations, 0) AS retry_invocations, coalesce(azure_candidate_count, 0) AS azure_candidate_count
+        FROM fx_videos v LEFT JOIN cov USING (video_id) LEFT JOIN p USING (video_id) LEFT JOIN att USING (video_id) LEFT JOIN ocr USING (video_id))"""
+
+
+def _report(spark, sf_dir):
+    own = fixture(spark, sf_dir, "fx_frames")
+    return report.quality_report(fixture(spark, sf_dir, "fx_videos"), own, fixture(spark, sf_dir, "fx_segments"), _dataset(spark, sf_dir), _frame_ocr(spark, sf_dir))
+
+
+@query(f"{_REPORT} SELECT * FROM rep")
+def quality_report(spark, sf_dir):
+    return _report(spark, sf_dir)
+
+
+@query(_REPORT + " SELECT video_id, name, round(observed::decimal(30,12), 4)::double AS observed, operator, target, CASE operator WHEN '>=' THEN observed >= target ELSE observed <= target END AS passed FROM (" + " UNION ALL ".join(
+    f"SELECT video_id, '{name}' AS name, {name}::double AS observed, '{op}' AS operator, {target}::double AS target FROM rep" for name, op, target in report.GATES) + ")")
+def quality_gates(spark, sf_dir):
+    return report.evaluate_gates(_report(spark, sf_dir))
+
+
+# --- tuning -------------------------------------------------------------------------------------------------------
+
+_PROBES = f"""sc AS (SELECT video_id, count(*) AS n FROM fx_frames WHERE source = 'scene' GROUP BY video_id),
+    tx AS (SELECT video_id, avg(length(ocr_text)) AS len, {_round("sum(coalesce(avg_conf, 50.0)::decimal(20,6))::double / count(*)", 6)} AS conf FROM fx_frames WHERE seq % 3 = 0 GROUP BY video_id),
+    pr AS (SELECT v.*, {_round("coalesce(n, 0) / greatest(duration / 60.0::double, 0.01)", 6)} AS scene_changes_per_minute, {_round("coalesce(len, 200.0) * CASE WHEN v.video_id % 2 = 0 THEN 10 ELSE 1 END", 6)} AS avg_text_length, coalesce(conf, 70.0) AS avg_ocr_confidence
+        FROM fx_videos v LEFT JOIN sc USING (video_id) LEFT JOIN tx USING (video_id))"""
+_TUNED = f"""{_PROBES}, b AS (SELECT *, CASE WHEN scene_changes_per_minute > 6 THEN 5.0 WHEN scene_changes_per_minute > 2 THEN 10.0 ELSE 20.0 END AS base FROM pr),
+    tn AS (SELECT video_id, greatest(CASE WHEN duration < 120 THEN greatest(3.0, least(base, 5.0)) ELSE base END, CASE WHEN duration > 1800 THEN 15.0 ELSE 0.0 END)::double AS periodic_interval_seconds,
+        CASE WHEN height < 720 THEN 3.0 WHEN height <= 1080 THEN 2.0 ELSE 1.5 END::double AS ocr_scale, CASE WHEN avg_text_length < 100 THEN 'none' ELSE 'preset' END AS ocr_crops,
+        CASE WHEN duration > 1800 THEN 3.0 WHEN duration < 120 THEN 1.5 ELSE 2.0 END::double AS dedupe_time_gap_sec, CASE WHEN duration > 1800 THEN 8 WHEN duration < 120 THEN 5 ELSE 6 END AS dedupe_hash_threshold,
+        CASE WHEN height < 720 THEN 'low res (' WHEN height <= 1080 THEN 'HD (' ELSE 'high res (' END || height || 'p)' AS scale_reason FROM b)"""
+
+
+def _probes(spark, sf_dir):
+    own = fixture(spark, sf_dir, "fx_frames")
+    samples = own.filter("seq % 3 = 0").select("video_id", F.col("ocr_text").alias("text"), F.col("avg_conf").alias("conf"))
+    out = tuning.probe_rates(fixture(spark, sf_dir, "fx_videos"), own.filter("source = 'scene'"), samples)
+    scaled = F.col("avg_text_length") * F.expr("case when video_id % 2 = 0 then 10 else 1 end")
+    return out.withColumns({"scene_changes_per_minute": numbers.round_to(F.col("scene_changes_per_minute"), 6), "avg_text_length": numbers.round_to(scaled, 6), "avg_ocr_confidence": numbers.round_to(F.col("avg_ocr_confidence"), 6)})
+
+
+@query(f"{_PROBES} SELECT video_id, scene_changes_per_minute, avg_text_length, avg_ocr_confidence FROM pr")
+def probe_rates(spark, sf_dir):
+    return _probes(spark, sf_dir).select("video_id", "scene_changes_per_minute", "avg_text_length", "avg_ocr_confidence")
+
+
+@query(f"{_TUNED} SELECT * FROM tn")
+def tune_params(spark, sf_dir):
+    return tuning.tune(_probes(spark, sf_dir)).select("video_id", "periodic_interval_seconds", "ocr_scale", "ocr_crops", "dedupe_time_gap_sec", "dedupe_hash_threshold", "scale_reason")
+
+
+@query(f"""{_TUNED}, long AS (SELECT video_id, 'periodic_interval_seconds' AS parameter, '15.0' AS default_value, periodic_interval_seconds::varchar AS tuned_value FROM tn
+    UNION ALL SELECT video_id, 'max_frame_gap_seconds', '15.0', periodic_interval_seconds::varchar FROM tn UNION ALL SELECT video_id, 'ocr_scale', '2.0', ocr_scale::varchar FROM tn UNION ALL SELECT video_id, 'ocr_crops', 'preset', ocr_crops FROM tn
+    UNION ALL SELECT video_id, 'dedupe_time_gap_sec', '2.0', dedupe_time_gap_sec::varchar FROM tn UNION ALL SELECT video_id, 'dedupe_hash_threshold', '6', dedupe_hash_threshold::varchar FROM tn)
+    SELECT *, default_value <> tuned_value AS changed FROM long""")
+def tune_diff(spark, sf_dir):
+    return tuning.compare_with_defaults(tuning.tune(_probes(spark, sf_dir)))
+
+
+@query("""SELECT a, g, z, CASE WHEN a THEN 'assemblyai' ELSE 'whisper' END AS transcribe_provider, CASE WHEN g THEN 'google' ELSE 'tesseract' END AS ocr_provider, CASE WHEN g AND z THEN 'azure' ELSE 'none' END AS ocr_fallback_provider
+    FROM (VALUES (true), (false)) AS x(a), (VALUES (true), (false)) AS y(g), (VALUES (true), (false)) AS w(z)""")
+def provider_stack(spark, sf_dir):
+    rows = spark.createDataFrame([(a, g, z) for a in (True, False) for g in (True, False) for z in (True, False)], "a boolean, g boolean, z boolean")
+    return rows.select("a", "g", "z", tuning.provider_stack(F.col("a"), F.col("g"), F.col("z")).alias("p")).select("a", "g", "z", "p.*")
+
+
+@query("""SELECT video_id, seq, CASE WHEN starts_with(p, '/data/out/') THEN substring(p, 11) ELSE p END AS frame_path FROM (SELECT video_id, seq, CASE WHEN seq % 3 = 0 THEN '/data/out/' ELSE '/other/' END || frame_path AS p FROM fx_frames)""")
+def relativize(spark, sf_dir):
+    p = F.concat(F.expr("case when seq % 3 = 0 then '/data/out/' else '/other/' end"), F.col("frame_path"))
+    return fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", text.relative_path(p, "/data/out").alias("frame_path"))
+
+
+@query("""SELECT * FROM (VALUES (1, 1280, 720, 29.97002997002997::double), (2, 1920, 1080, 30.0), (3, 640, 480, 30.0), (4, 1920, 480, 25.0), (5, 10, 20, 240.0), (6, 10, 20, 30.0)) AS v(id, width, height, fps)""")
+def fps_parse(spark, sf_dir):
+    rows = [(1, "1280,720,30000/1001"), (2, ""), (3, "640,480,30/0"), (4, "x,480,25"), (5, "10,20,1000/1"), (6, "10,20,a/b")]
+    return spark.createDataFrame(rows, "id int, line string").select("id", tuning.parse_stream_line(F.col("line")).alias("s")).select("id", "s.*")
+
+
+@query("SELECT video_id, seq, timestamp FROM fx_frames WHERE timestamp < least(200.0::double, 1.5 * 60.0)")
+def trim_max_seconds(spark, sf_dir):
+    limit = numbers.trim_seconds(F.lit(200.0), F.lit(1.5))
+    return fixture(spark, sf_dir, "fx_frames").filter(F.col("timestamp") < limit).select("video_id", "seq", "timestamp")
+
+
+# --- images -------------------------------------------------------------------------------------------------------
+
+
+@query()
+def phash_numpy(spark, sf_dir):
+    from ..operators import images
+
+    return images.with_phash(images.drawn(fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "vec_id"))).select("video_id", "seq", "hash_hi", "hash_lo", "phash_hex")
+
+
+@query()
+def pixel_delta(spark, sf_dir):
+    from ..operators import images
+
+    own = images.drawn(fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "vec_id"))
+    by = Window.partitionBy("video_id").orderBy("seq")
+    return own.withColumn("before", F.lag("image").over(by)).select("video_id", "seq", images.delta_ratio(F.col("image"), F.col("before")).alias("delta"))
+
+
+@query()
+def preprocess(spark, sf_dir):
+    from ..operators import images
+
+    own = images.drawn(fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "vec_id"))
+    return own.select("video_id", "seq", images.preprocessed(F.col("image")).alias("image")).select("video_id", "seq", "image.height", "image.width", F.sha2("image.data", 256).alias("sha"))
