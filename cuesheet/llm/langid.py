@@ -26,6 +26,8 @@ FITTED_PER_LANGUAGE = 3000
 #: Places in the tables of letter groups, and what is added to each count.
 BUCKETS = 1 << 15
 ADDED = 0.3
+#: Texts whose words are labelled together, which bounds a task's memory.
+ROWS = 512
 #: What a switch of language costs, in nats, and a word in a language that does not use its script.
 SWITCH = 10.0
 FOREIGN = 60.0
@@ -205,7 +207,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in slices(batches, 1024):
+        for batch in slices(batches, ROWS):
             words = [words_of(x) for x in texts(batch.column("text"))]
             out = [_verdict(model, x, y) for x, y in zip(words, label_words(model, words))]
             yield pa.RecordBatch.from_arrays(
@@ -248,7 +250,10 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.pandas_udf("string")
     def lang(column):
-        words = [words_of(x or "") for x in column]
-        return pd.Series([_verdict(shared.value, x, y)[0] for x, y in zip(words, label_words(shared.value, words))])
+        out = []
+        for at in range(0, len(column), ROWS):
+            words = [words_of(x or "") for x in column.iloc[at : at + ROWS]]
+            out += [_verdict(shared.value, x, y)[0] for x, y in zip(words, label_words(shared.value, words))]
+        return pd.Series(out, dtype=object)
 
     return docs.withColumn("__lang", lang(F.col("text").cast("string"))).filter(F.col("__lang") != UNKNOWN).select(*docs.columns)
