@@ -12,7 +12,8 @@ def round_to(x: Column, digits: int) -> Column:
 
 
 def clamp01(x: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+    """x within 0 to 1; null if it is null, which greatest and least would pass over."""
+    return F.when(x.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)))
 
 
 def conf_to_unit(conf: Column) -> Column:

@@ -163,7 +163,7 @@ _QUALITY = r"""t AS (SELECT *, regexp_extract_all(text, '\S+') AS tokens, len(re
             len(list_filter(regexp_split_to_array(text, '\n'), lambda x: trim(x) <> '')) AS nl, length(regexp_replace(text, '[^.,:;!?()\[\]]', '', 'g')) AS marks FROM t),
     r AS (SELECT *, CASE WHEN n = 0 THEN 0 ELSE least(1.0, words / n::double) END AS lex, CASE WHEN n = 0 THEN 1 ELSE weird / n::double END AS wr, CASE WHEN n = 0 THEN 0 ELSE joined / n::double END AS jr,
             CASE WHEN n = 0 THEN 0 ELSE least(1.0, least(1.0, nl / 16.0::double) * 0.45::double + least(1.0, marks / greatest(1.0, length(text) / 24.0::double)) * 0.55::double) END AS st,
-            coalesce(greatest(0.0, least(1.0, avg_conf / 100.0::double)), 0.5) AS unit FROM m),
+            CASE WHEN avg_conf IS NULL THEN 0.5 ELSE greatest(0.0, least(1.0, avg_conf / 100.0::double)) END AS unit FROM m),
     q AS (SELECT *, greatest(0.0, least(1.0, lex * 0.65::double + (1.0 - wr) * 0.25::double + (1.0 - jr) * 0.10::double)) AS lexical FROM r),
     z AS (SELECT *, CASE WHEN trim(regexp_replace(text, '\s+', ' ', 'g')) = '' THEN 0.0 ELSE greatest(0.0, least(1.0, unit * 0.45::double + lexical * 0.40::double + st * 0.15::double)) END AS quality FROM q)"""
 
