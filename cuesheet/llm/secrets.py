@@ -88,7 +88,7 @@ class Ledger:
 
         paths = materialise(docs.mapInArrow(address, "doc_id long, blob string"))
         # One path for each unseen blob; a blob that only rows without an identifier have is fetched by its address.
-        fetch = self.unseen(paths.groupBy("blob").agg(F.min("doc_id").alias("path")))
+        fetch = self.unseen(paths.groupBy("blob").agg(F.min("doc_id").alias("path")), rules)
 
         def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             packer = zstandard.ZstdCompressor(level=1)
