@@ -12,6 +12,8 @@ from .text import LINE_END, TOKEN, compact_length, strip
 WORD = r"[A-Za-z][A-Za-z'\-]*"
 DIGITS = r"\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨"
 PUNCTUATION = r".,:;!?()\[\]"
+#: Tokens but those of up to 16 letters and a full stop at most, which are neither weird nor joined whatever they are.
+ODD_TOKEN = r"(?U)(?<![^\s\x1c-\x1f])(?!\p{L}{1,16}\.?(?![^\s\x1c-\x1f]))[^\s\x1c-\x1f]+"
 LOW_CONFIDENCE, LOW_LEXICALITY, MANY_JOINED, GARBLED = 0.65, 0.60, 0.08, 0.55
 
 
@@ -28,32 +30,43 @@ def _is_joined(token: Column) -> Column:
     return (F.length(token) >= 18) & (_letters(token) / F.length(token) > 0.8) & ~token.rlike("[-_]")
 
 
-def lexical_metrics(text: Column) -> Column:
-    """token_count, word_count, lexicality, weird_token_ratio, long_joined_ratio, structure_score, not rounded."""
+def text_counts(text: Column) -> Column:
+    """What the patterns find in a text: all that reads the text itself."""
     text = F.coalesce(text, F.lit(""))
-    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    n = F.size(tokens)
-    words = F.regexp_count(text, F.lit(WORD))
-    share = lambda count: clamp01(F.try_divide(count.cast("double"), n))
-    lines = F.size(F.filter(F.split(text, LINE_END), lambda x: strip(x) != ""))
-    marks = F.length(F.regexp_replace(text, f"[^{PUNCTUATION}]", ""))
-    structure = clamp01(F.least(F.lit(1.0), lines / 16.0) * 0.45 + F.least(F.lit(1.0), marks / F.greatest(F.lit(1.0), F.length(text) / 24.0)) * 0.55)
+    return F.struct(
+        F.regexp_count(text, F.lit(TOKEN)).alias("tokens"),
+        F.regexp_count(text, F.lit(WORD)).alias("words"),
+        F.regexp_extract_all(text, F.lit(ODD_TOKEN), F.lit(0)).alias("odd"),
+        F.size(F.filter(F.split(text, LINE_END), lambda x: strip(x) != "")).alias("lines"),
+        F.length(F.regexp_replace(text, f"[^{PUNCTUATION}]", "")).alias("marks"),
+        F.length(text).alias("length"),
+        compact_length(text).alias("compact"),
+    )
+
+
+def lexical_metrics(counts: Column) -> Column:
+    """token_count, word_count, lexicality, weird_token_ratio, long_joined_ratio, structure_score, not rounded, from text_counts."""
+    n = counts["tokens"]
     some = n > 0
+    share = lambda count: clamp01(F.try_divide(count.cast("double"), n))
+    density = F.least(F.lit(1.0), counts["marks"] / F.greatest(F.lit(1.0), counts["length"] / 24.0))
+    structure = clamp01(F.least(F.lit(1.0), counts["lines"] / 16.0) * 0.45 + density * 0.55)
     return F.struct(
         n.alias("token_count"),
-        F.when(some, words).otherwise(0).alias("word_count"),
-        F.when(some, share(words)).otherwise(0.0).alias("lexicality"),
-        F.when(some, share(F.size(F.filter(tokens, _is_weird)))).otherwise(1.0).alias("weird_token_ratio"),
-        F.when(some, share(F.size(F.filter(tokens, _is_joined)))).otherwise(0.0).alias("long_joined_ratio"),
+        F.when(some, counts["words"]).otherwise(0).alias("word_count"),
+        F.when(some, share(counts["words"])).otherwise(0.0).alias("lexicality"),
+        F.when(some, share(F.size(F.filter(counts["odd"], _is_weird)))).otherwise(1.0).alias("weird_token_ratio"),
+        F.when(some, share(F.size(F.filter(counts["odd"], _is_joined)))).otherwise(0.0).alias("long_joined_ratio"),
         F.when(some, structure).otherwise(0.0).alias("structure_score"),
+        counts["compact"].alias("text_len"),
     )
 
 
-def score_text(metrics: Column, text: Column, conf: Column) -> Column:
-    """Score, flags and metrics from lexical_metrics (as a column of its own, so that it is computed once)."""
+def score_text(metrics: Column, conf: Column) -> Column:
+    """Score, flags and rounded metrics from lexical_metrics and the recogniser's confidence."""
     unit = conf_to_unit(conf)
     lexical = clamp01(metrics["lexicality"] * 0.65 + (1.0 - metrics["weird_token_ratio"]) * 0.25 + (1.0 - metrics["long_joined_ratio"]) * 0.10)
-    size = compact_length(F.coalesce(text, F.lit("")))
+    size = metrics["text_len"]
     quality = F.when(size == 0, 0.0).otherwise(clamp01(unit * 0.45 + lexical * 0.40 + metrics["structure_score"] * 0.15))
     flags = F.array_compact(
         F.array(
@@ -79,6 +92,13 @@ def score_text(metrics: Column, text: Column, conf: Column) -> Column:
 
 
 def with_quality(df, text: str = "text", conf: str = "avg_conf"):
-    """df with quality_score, quality_flags and quality_metrics of its text; columns of these names are replaced."""
-    scored = df.withColumn("__m", lexical_metrics(F.col(text))).withColumn("__q", score_text(F.col("__m"), F.col(text), F.col(conf)))
-    return scored.withColumns({x: F.col(f"__q.{x}") for x in ("quality_score", "quality_flags", "quality_metrics")}).drop("__m", "__q")
+    """df with quality_score, quality_flags and quality_metrics of its text; columns of these names are replaced.
+
+    Each step goes through a generator of one row, as projections on top of each other are merged by the optimizer,
+    which would then run the patterns over the text again for each place that uses what they found.
+    """
+    once = lambda column, name: F.explode_outer(F.array(column)).alias(name)
+    scored = df.select("*", once(text_counts(F.col(text)), "__c"))
+    scored = scored.select("*", once(lexical_metrics(F.col("__c")), "__m"))
+    scored = scored.select("*", once(score_text(F.col("__m"), F.col(conf)), "__q"))
+    return scored.withColumns({x: F.col(f"__q.{x}") for x in ("quality_score", "quality_flags", "quality_metrics")}).drop("__c", "__m", "__q")

@@ -39,11 +39,11 @@ def drawn(frames: DataFrame) -> DataFrame:
 
     @F.pandas_udf(IMAGE)
     def draw(vec: pd.Series, seq: pd.Series) -> pd.DataFrame:
-        y, x = np.mgrid[0:48, 0:64]
+        y, x = np.mgrid[0:24, 0:32]
         out = []
         for v, s in zip(vec, seq):
             image = 127 + 60 * np.sin(x * (1 + v % 7) / 9) + 60 * np.cos(y * (1 + v % 5) / 7)
-            image[(s % 5) * 8 : (s % 5) * 8 + 6, (s % 7) * 8 : (s % 7) * 8 + 6] = 255
+            image[(s % 5) * 4 : (s % 5) * 4 + 3, (s % 7) * 4 : (s % 7) * 4 + 3] = 255
             out.append(np.clip(image, 0, 255))
         return _struct(out)
 
@@ -135,6 +135,11 @@ def _around(image: np.ndarray) -> np.ndarray:
     return np.stack([padded[y : y + h, x : x + w] for y in range(3) for x in range(3)])
 
 
+def _middle(image: np.ndarray) -> np.ndarray:
+    """The median of the nine values around each pixel."""
+    return np.partition(_around(image), 4, axis=0)[4]
+
+
 def blur(image: np.ndarray, radius: float) -> np.ndarray:
     reach = max(1, int(3 * radius))
     weights = np.exp(-(np.arange(-reach, reach + 1) ** 2) / (2 * radius**2))
@@ -181,7 +186,7 @@ def preprocessed(image: Column, scale: float = 2.0, mode: str = "adaptive", deno
             own = _array(int(row.height), int(row.width), row.data)
             own = stretch(_resize(own, max(1, int(own.shape[0] * scale)), max(1, int(own.shape[1] * scale))))
             own = sharpen(own, 2, 175, 3) if sharp else own
-            own = np.median(_around(own), axis=0) if denoise else own
+            own = _middle(own) if denoise else own
             out.append(np.rint(threshold(own, mode)))
         return _struct(out)
 
@@ -198,7 +203,7 @@ def variants(image: Column) -> Column:
             own = _array(int(row.height), int(row.width), row.data).astype(np.float64)
             a = sharpen(stretch(own, 1), 1.8, 150, 2)
             around = _around(own).sum(axis=0) - own
-            b = np.median(_around(np.clip(own * 5.2 - around * 0.525, 0, 255)), axis=0)
+            b = _middle(np.clip(own * 5.2 - around * 0.525, 0, 255))
             rows.append((np.rint(a).astype(np.uint8).tobytes(), threshold(b, "adaptive", 31, 9).astype(np.uint8).tobytes()))
         return pd.DataFrame(rows, columns=["a", "b"])
 

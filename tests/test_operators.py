@@ -150,6 +150,10 @@ def test_quality_of_empty_and_plain_text(spark):
     assert rows[0]["quality_score"] == 0.0 and rows[0]["quality_flags"] == ["low_confidence", "low_lexicality", "garble_like"]
     assert rows[1]["quality_flags"] == [] and rows[1]["quality_metrics"]["word_count"] == 5
     assert rows[2]["quality_score"] == 0.0
+    odd = "a, 12345 x-y ab.c internationalisation internationalisation, snake_case_that_is_long_indeed (ok) ... élan"
+    m = quality.with_quality(spark.createDataFrame([(odd, 50.0)], "text string, avg_conf double")).first()["quality_metrics"]
+    # Weird: "a,", "12345", "(ok)" and "..."; joined: the two long words.
+    assert (m["token_count"], m["weird_token_ratio"], m["long_joined_ratio"]) == (10, 0.4, 0.2)
 
 
 def words(spark, *items):
@@ -270,7 +274,7 @@ def test_images(spark):
     row = images.with_phash(broken).first()
     assert row["hash_hi"] is None and row["phash_error"]
     got = drawn.select(images.preprocessed(F.col("image"), mode="otsu").alias("p"), images.delta_ratio(F.col("image"), F.col("image")).alias("d"), images.variants(F.col("image")).alias("v")).first()
-    assert (got["p"]["height"], got["p"]["width"], got["d"]) == (96, 128, 0.0) and set(got["p"]["data"]) <= {0, 255} and len(got["v"]["a"]) == 48 * 64
+    assert (got["p"]["height"], got["p"]["width"], got["d"]) == (48, 64, 0.0) and set(got["p"]["data"]) <= {0, 255} and len(got["v"]["a"]) == 24 * 32
 
 
 def test_backfill_leaves_no_large_gap(spark):
