@@ -23,6 +23,8 @@ from .common import slices, texts
 UNKNOWN = "und"
 #: Labelled documents of each language that the model is fitted on, about: those of the smallest hashes of doc_id.
 FITTED_PER_LANGUAGE = 3000
+#: Languages that are learned at most, those with the most labelled documents.
+MAX_LANGUAGES = 500
 #: Places in the tables of letter groups, and what is added to each count.
 BUCKETS = 1 << 15
 ADDED = 0.3
@@ -108,12 +110,12 @@ def fit(docs: DataFrame, per_language: int = FITTED_PER_LANGUAGE) -> Model:
     """Learns from the rows of docs (doc_id, text, lang) that are not held out and have text and lang."""
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     labelled = labelled.filter(~is_held_out() & F.col("lang").isNotNull())
-    sizes = {x["lang"]: x["n"] for x in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {x["lang"]: x["n"] for x in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(_NAMES), 0), bool))
     share = F.create_map(*(F.lit(y) for lang in languages for y in (lang, min(1.0, per_language / sizes[lang]))))
-    sampled = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003)
+    sampled = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < F.coalesce(share[F.col("lang")], F.lit(0.0)) * 1_000_003)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups_of = np.zeros((len(languages), BUCKETS), dtype=np.int64)

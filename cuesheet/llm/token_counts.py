@@ -9,7 +9,7 @@ those of the nodes above, whichever and however many pre-tokens go through it. T
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 import sentencepiece
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from .common import slices, texts
 
 MARK = "▁"
-#: Pre-tokens whose counts a Python worker remembers.
+#: Texts whose pre-tokens form a trie.
+ROWS = 1024
+#: Pre-tokens whose counts are remembered; as many again may be.
 REMEMBERED = 300_000
 
 
@@ -36,21 +38,28 @@ class Counter:
     """Counts tokens of pre-tokens; a code point in no piece is cut into its UTF-8 bytes, each scored below all pieces."""
 
     def __init__(self, scores: dict[str, float]):
-        self.scores = scores
-        self.longest = max(map(len, scores), default=1)
         self.byte = min(scores.values(), default=0.0) - 10
+        #: The ends of pieces, with the scores of those that are pieces: what is in none of them ends the look back.
+        self.ends: dict[str, float | None] = {x[i:]: None for x in scores for i in range(1, len(x))}
+        self.ends.update(scores)
         self.known: dict[str, int] = {}
-
-    def learn(self, words: Iterable[str]) -> None:
-        """Adds the counts of the words that are new: one walk of their trie."""
-        scores, known, longest = self.scores.get, self.known, self.longest
-        new = sorted({x for x in words if x not in known})
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
+        self.older: dict[str, int] = {}
+
+    def learn(self, words: set[str]) -> None:
+        """Adds the counts of the words that are new, in one walk of their trie; afterwards known has all words."""
+        if len(self.known) + len(words) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        known, older, ends = self.known, self.older, self.ends
+        new = []
+        for word in words - known.keys():
+            if word in older:
+                known[word] = older[word]
+            else:
+                new.append(word)
         before = ""
         # The forward scores and token counts of the nodes from the root to the word before.
         best, count = [0.0], [0]
-        for word in new:
+        for word in sorted(new):
             text = MARK + word
             shared = 0
             for x, y in zip(before, text):
@@ -61,12 +70,15 @@ class Counter:
             for end in range(shared + 1, len(text) + 1):
                 size = len(text[end - 1].encode("utf-8", "surrogatepass"))
                 top, fewest = best[end - 1] + size * self.byte, count[end - 1] + size
-                for start in range(max(0, end - longest), end):
-                    score = scores(text[start:end])
-                    if score is not None:
-                        score += best[start]
-                        if score > top or score == top and count[start] + 1 < fewest:
-                            top, fewest = score, count[start] + 1
+                for start in range(end - 1, -1, -1):
+                    score = ends.get(text[start:end], 1.0)
+                    if score is None:
+                        continue
+                    if score > 0:
+                        break
+                    score += best[start]
+                    if score > top or score == top and count[start] + 1 < fewest:
+                        top, fewest = score, count[start] + 1
                 best.append(top)
                 count.append(fewest)
             known[word] = count[-1]
@@ -75,7 +87,7 @@ class Counter:
     def count(self, batch: list[str]) -> list[tuple[int, int]]:
         """Tokens and pre-tokens of each text."""
         words = [x.split() for x in batch]
-        self.learn(y for x in words for y in x)
+        self.learn({y for x in words for y in x})
         known = self.known
         return [(sum([known[y] for y in x]), len(x)) for x in words]
 
@@ -90,7 +102,7 @@ def count_tokens(docs: DataFrame, path: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(scores.value)
-        for batch in slices(batches):
+        for batch in slices(batches, ROWS):
             out = counter.count(texts(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.int64())], ["doc_id", "n_tokens", "n_pretokens"])
 
