@@ -57,7 +57,7 @@ def test_an_empty_table_passes_through(spark, empty, tmp_path):
 def test_queries_against_sql(spark, name):
     connection = duckdb.connect()
     connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
-    want = connection.execute(ORACLE_SQL[name]).fetch_arrow_table()
+    want = connection.execute(ORACLE_SQL[name]).to_arrow_table()
     got = QUERIES[name](spark, str(DATA)).toArrow()
     columns = sorted(want.column_names)
     assert sorted(got.column_names) == columns
