@@ -35,7 +35,7 @@ def test_query(spark, duck, name):
     got = QUERIES[name](spark, str(DATA)).toArrow()
     assert got.num_rows > 0
     if name in ORACLE_SQL:
-        want = duck.execute(ORACLE_SQL[name]).fetch_arrow_table()
+        want = duck.execute(ORACLE_SQL[name]).to_arrow_table()
         columns = sorted(want.column_names)
         assert sorted(got.column_names) == columns
         assert rows(got, columns) == rows(want, columns)
