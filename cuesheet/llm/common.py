@@ -10,15 +10,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cuesheet import ship
+
 #: At most so many keys can each hold more than 1/HOT_KEYS of all rows, so a table of them is small at any input size.
 HOT_KEYS = 2000
 
 #: Documents handed to Python at a time; a text is never split over two batches.
 ROWS_PER_CHUNK = 256
 
+#: Rows of a batch in Parquet's reader and between Spark and Python, which both hold batches whole: texts can be long.
+BATCH_ROWS = 512
+
 NULL_ID = -(2**63)
 
 
+def prepare(spark: SparkSession) -> None:
+    """Sends the package to the executors and sets the session's batches to BATCH_ROWS rows, if they are larger."""
+    ship(spark)
+    for key in ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch"):
+        if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+            spark.conf.set(key, str(BATCH_ROWS))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or on one machine a temporary one."""
     sc = spark.sparkContext

@@ -8,13 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuesheet import ship
-
 from . import bpe, exact_dedup, html_extract, langid, line_dedup, merkle, packing, secrets, simhash, token_counts
+from .common import prepare
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -32,7 +31,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
+    prepare(spark)
     return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
