@@ -58,15 +58,22 @@ def fingerprint(text: bytes, words: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (a signed 64-bit number) of each row of docs (doc_id, text)."""
+def fingerprints(docs: DataFrame, digests: bool = False) -> DataFrame:
+    """doc_id, fp (a signed 64-bit number), and digest (of the text) if asked for, of each row of docs (doc_id, text)."""
+    own = ["doc_id", "digest"] if digests else ["doc_id"]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fps = np.array([fingerprint(x) for x in utf8(batch.column("text"))], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, own), pa.array(fps)], [*own, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sign, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _digest().alias("digest")).select("text", *own)
+    return rows.mapInArrow(sign, ", ".join(f"{x} long" for x in [*own, "fp"]))
+
+
+def _digest() -> F.Column:
+    """What tells rows of the same doc_id apart: a hash of the text."""
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 @cache
@@ -147,23 +154,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     repeat a doc_id count as documents of their own; rows without one belong to components but never name them, and a
     component of such rows alone has a null component_id. An empty table gives no rows; other columns are not read.
     """
-    own = materialise(fingerprints(docs))
+    out = _components(materialise(fingerprints(docs)))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size")
+
+
+def _components(own: DataFrame) -> DataFrame:
+    """own (doc_id, fp, and more) with component_id and component_size."""
     total = own.count()
     distinct = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
     roots = materialise(connected_components(links_between(distinct)))
     named = materialise(distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root")))
     best = named.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("component_size"), F.count("*").alias("k"))
     labels = materialise(join_unique(named, materialise(best), "root", total, n="k"))
-    out = join_unique(own, labels, "fp", total)
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size")
+    return join_unique(own, labels, "fp", total)
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns: one document, of the smallest doc_id, for each component.
 
-    Rows without a doc_id stay where their component has no row with one. Rows that repeat a doc_id in one component
-    stay or go together: exact deduplication comes first.
+    Each row goes by its own component, also where rows without a doc_id or of the same doc_id are in others. Rows
+    without a doc_id stay where their component has no row with one. Rows that repeat a doc_id in one component stay
+    or go together: exact deduplication comes first.
     """
-    own = near_duplicates(docs)
-    gone = own.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("doc_id").alias("__id"), F.lit(True).alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]), "left_anti").select(*docs.columns)
+    own = _components(materialise(fingerprints(docs, digests=True)))
+    gone = own.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (_digest() == F.col("__digest"))
+    return docs.join(gone, same, "left_anti").select(*docs.columns)

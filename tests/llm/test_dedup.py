@@ -163,6 +163,14 @@ def test_one_document_of_each_component_stays(spark):
     assert {x["doc_id"] for x in kept.collect()} == set(by.values())
 
 
+def test_rows_of_one_or_no_identifier_go_each_by_its_component(spark):
+    rng = random.Random(11)
+    a, b, c, d = (sentence(rng, 400) for _ in range(4))
+    rows = [(7, a), (None, a + " "), (None, b), (3, c), (5, c + " "), (5, d)]
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(kept) == sorted([(7, a), (None, b), (3, c), (5, d)], key=repr)
+
+
 def test_components_of_a_chain_a_star_and_a_ring(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, x) for x in range(101, 180)] + [(200 + i, 200 + (i + 1) % 7) for i in range(7)] + [(5, 5), (5, 4)]
     got = dict(rows_of(components.connected_components(spark.createDataFrame(links, "u long, v long"))))
