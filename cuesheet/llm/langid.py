@@ -247,7 +247,10 @@ def spans(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs whose text has a language, with all their columns: texts that are null or have no letters go."""
+    """The rows of docs whose text has a language, with all their columns: texts that are null or have no letters go.
+
+    Texts with letters stay also if there were no labels to learn from; their language is und then.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("string")
@@ -255,7 +258,7 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
         out = []
         for at in range(0, len(column), ROWS):
             words = [words_of(x or "") for x in column.iloc[at : at + ROWS]]
-            out += [_verdict(shared.value, x, y)[0] for x, y in zip(words, label_words(shared.value, words))]
+            out += [_verdict(shared.value, x, y)[0] if x else None for x, y in zip(words, label_words(shared.value, words))]
         return pd.Series(out, dtype=object)
 
-    return docs.withColumn("__lang", lang(F.col("text").cast("string"))).filter(F.col("__lang") != UNKNOWN).select(*docs.columns)
+    return docs.withColumn("__lang", lang(F.col("text").cast("string"))).filter(F.col("__lang").isNotNull()).select(*docs.columns)

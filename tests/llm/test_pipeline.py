@@ -7,6 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 from llm_cases import odd_rows
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cuesheet.llm import exact_dedup, langid, secrets, simhash
@@ -47,6 +48,15 @@ def test_each_stage_takes_effect(spark, clashing, tmp_path):
         docs = after
 
 
+def test_texts_stay_where_no_row_has_a_label(spark, clashing, tmp_path):
+    docs = clashing.withColumn("lang", F.lit(None).cast("string"))
+    out = corpus_pipeline.identified(spark, docs, str(tmp_path))
+    want = [x["text"] for x in docs.collect() if any(map(str.isalpha, x["text"] or ""))]
+    assert want and sorted(x["text"] for x in out.collect()) == sorted(want)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
 def test_an_empty_table_passes_through(spark, empty, tmp_path):
     empty.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
