@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import HOT_KEYS, join_unique, materialise, slices, utf8
 from .components import connected_components
+from .near_copies import alike_groups
 
 SEED = 42
 SHINGLE = 3
@@ -169,14 +170,18 @@ def _components(own: DataFrame) -> DataFrame:
     return join_unique(own, labels, "fp", total)
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, words: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """The rows of docs that stay, with all their columns: one document, of the smallest doc_id, for each component.
 
-    Each row goes by its own component, also where rows without a doc_id or of the same doc_id are in others. Rows
-    without a doc_id stay where their component has no row with one. Rows that repeat a doc_id in one component stay
-    or go together: exact deduplication comes first.
+    Documents link by their fingerprints of three words, or, where a similarity is given, if that of their sets of
+    shingles of so many words is as high. Each row goes by its own component, also where rows without a doc_id or of
+    the same doc_id are in others. Rows without a doc_id stay where their component has no row with one. Rows that
+    repeat a doc_id in one component stay or go together: exact deduplication comes first.
     """
-    own = _components(materialise(fingerprints(docs, digests=True)))
+    if similarity is None:
+        own = _components(materialise(fingerprints(docs, digests=True)))
+    else:
+        own = alike_groups(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest"), F.col("text").cast("string").alias("text")), words, similarity)
     gone = own.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (_digest() == F.col("__digest"))
     return docs.join(gone, same, "left_anti").select(*docs.columns)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import random
 from pathlib import Path
 
 import duckdb
 import pytest
-from llm_cases import odd_rows
+from llm_cases import COLUMNS, odd_rows, sentence
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cuesheet.llm import exact_dedup, langid, secrets, simhash
+from cuesheet.llm import exact_dedup, langid, near_copies, secrets, simhash
 from cuesheet.llm.queries import ORACLE_SQL, QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
@@ -57,6 +58,36 @@ def test_texts_stay_where_no_row_has_a_label(spark, clashing, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
 
 
+@pytest.mark.parametrize("most", [32, 3])
+def test_near_copies_are_dropped_as_by_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(near_copies, "MAX_PAIRED", most)
+    rng = random.Random(3)
+    rows, shared = [], sentence(rng, 20)
+    for k in range(12):
+        base = sentence(rng, 150).split() + (shared.split() if k % 2 else [])
+        rows.append((len(rows), " ".join(base)))
+        for edits in (1, 2, 3, 4, 5, 9):
+            own = list(base)
+            for at in rng.sample(range(150), edits):
+                own[at] = f"new{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    sets = [{tuple(x.split()[i : i + 5]) for i in range(len(x.split()) - 4)} for _, x in rows]
+    linked = [[j for j, b in enumerate(sets) if i != j and 5 * len(a & b) >= 4 * len(a | b)] for i, a in enumerate(sets)]
+    seen, want = set(), []
+    for i in range(len(rows)):
+        if i not in seen:
+            want.append(i)
+            stack = [i]
+            while stack:
+                x = stack.pop()
+                if x not in seen:
+                    seen.add(x)
+                    stack += linked[x]
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in rows], COLUMNS)
+    got = {x["doc_id"] for x in corpus_pipeline.near_copies(spark, docs, "").collect()}
+    assert 12 < len(want) < 60 and sorted(got) == want
+
+
 def test_an_empty_table_passes_through(spark, empty, tmp_path):
     empty.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
