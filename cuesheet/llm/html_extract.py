@@ -172,22 +172,16 @@ def surge_and_dive(lengths: list[int], window: int = WINDOW) -> tuple[int, int]:
 
 
 def main_text(page: str) -> str:
-    """The page's main text: its blocks joined by one space; empty if there is none."""
-    lines = lines_of(page)
-    lengths = [x.length for x in lines]
-    own: dict[int, int] = {}
-    for x in lines:
-        if x.article and not x.chrome:
-            own[x.article] = own.get(x.article, 0) + len(x.text)
-    if own:
-        # The page says which lines are its article's: the others count nothing, links in these count in full.
-        best = max(own, key=lambda k: (own[k], -k))
-        lengths = [len(x.text) if x.article == best and not x.chrome else 0 for x in lines]
-        counted = [i for i, x in enumerate(lengths) if x]
-        start, end = counted[0], counted[-1] + 1
-    else:
-        start, end = surge_and_dive(lengths)
-    return " ".join(x.text for x in lines[start:end] if not x.chrome and (not own or x.article == best))
+    """The page's main text: its blocks joined by one space; empty if there is none.
+
+    Chrome is left out before the windows slide, so it never parts the text. Where the page marks articles, all lines
+    of all articles outside chrome are its text, links in them too.
+    """
+    lines = [x for x in lines_of(page) if not x.chrome]
+    if own := [x for x in lines if x.article]:
+        return " ".join(x.text for x in own)
+    start, end = surge_and_dive([x.length for x in lines])
+    return " ".join(x.text for x in lines[start:end])
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -54,6 +54,12 @@ def test_odd_pages(page, text):
     assert html_extract.main_text(page) == text
 
 
+def test_chrome_does_not_part_the_text_and_all_articles_stay():
+    advert = "<div class='advert'><p>buy</p><p>this</p><p>now</p><p>please</p></div>"
+    assert html_extract.main_text(f"<div><p>first paragraph</p>{advert}<p>second one</p></div>") == "first paragraph second one"
+    assert html_extract.main_text("<article>first part</article><p>between</p><article>second</article><aside><article>no</article></aside>") == "first part second"
+
+
 def test_surges_and_dives():
     assert html_extract.surge_and_dive([0, 5, 0, 0, 0, 9, 0, 0, 20, 3, 0, 0, 0, 4]) == (5, 10)
     assert html_extract.surge_and_dive([]) == (0, 0)
