@@ -21,18 +21,18 @@ from pyspark.sql import functions as F
 from .common import join_unique, materialise, slices, texts, utf8
 
 #: Changes whenever RULES or their checks do.
-RULES_VERSION = "1"
+RULES_VERSION = "2"
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: Strings of which an ASSIGN match has one, in lower case.
 ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
-#: What the scan finds besides the base kinds: a string that must be there, and the pattern.
+#: What the scan finds besides the base kinds: strings of which one must be there, and the pattern.
 FURTHER = {
-    "private_key": ("-----BEGIN", re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[^-]*-----END (?:[A-Z]+ )*PRIVATE KEY-----)?")),
-    "web_token": ("eyJ", re.compile(r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")),
-    "prefixed": ("_", re.compile(r"\b(?:gh[pousr]|glpat|sk_live|rk_live)_[A-Za-z0-9]{20,}")),
+    "private_key": (("-----BEGIN",), re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:(?:[^-]|-(?!----BEGIN ))*?-----END (?:[A-Z]+ )*PRIVATE KEY-----)?")),
+    "web_token": (("eyJ",), re.compile(r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")),
+    "prefixed": (("_", "glpat-"), re.compile(r"\b(?:(?:gh[pousr]|sk_live|rk_live)_[A-Za-z0-9]{20,}|glpat-[A-Za-z0-9_-]{20,})")),
 }
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, *FURTHER)
@@ -53,8 +53,8 @@ def find_spans(text: str) -> list[Span]:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     if b"x" * 32 in data.translate(_HEX_BYTES):
         out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    for k, (sign, rule) in enumerate(FURTHER.values(), len(BASE)):
-        if sign in text:
+    for k, (signs, rule) in enumerate(FURTHER.values(), len(BASE)):
+        if any(x in text for x in signs):
             out += [(m.start(), k, m.end()) for m in rule.finditer(text)]
     return sorted(out)
 

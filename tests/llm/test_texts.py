@@ -391,3 +391,9 @@ def test_viterbi():
     got = np.split(langid.viterbi(scores, lengths, 4.0), np.cumsum(lengths)[:-1])
     for own, part in zip(got, np.split(scores.astype(np.float64), np.cumsum(lengths)[:-1])):
         assert own.tolist() == (brute_viterbi(part.tolist(), 4.0) if len(part) else [])
+
+
+def test_keys_with_headers_and_gitlab_tokens_are_found_whole():
+    key = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\nabc+/\n-----END RSA PRIVATE KEY-----"
+    text = f"a {key} b {key} c glpat-ab_1-" + "x" * 16 + " d"
+    assert secrets.redact(text, secrets.written(secrets.find_spans(text))) == "a <SECRET> b <SECRET> c <SECRET> d"
