@@ -1,10 +1,10 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one for each block element, with the length of each line's text outside links and
-chrome (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles count nothing). Over
-the lines a window slides; where the sum of lengths surges from nothing the main text begins, and where it dives to
-nothing it ends. All lines with text outside chrome between the first surge and the last dive of an article are kept,
-short ones too.
+Markup is stripped into lines, one for each block element, in one pass over the page. Chrome (menus, headers, footers,
+sidebars, notices, adverts, forms, readers' comments, scripts and styles) is left out, so it never parts the text. The
+other lines have a length: that of their text outside links. Where a page marks articles, lines in them count whole
+and lines outside of them nothing. Over the lengths a window slides; where the sum surges from nothing the text begins,
+where it dives to nothing it ends, on every page. The text between a surge and its dive is kept.
 """
 
 from __future__ import annotations
@@ -21,26 +21,60 @@ from .common import slices, texts
 
 #: Lines whose lengths are summed in a window.
 WINDOW = 3
+#: Share of the longest stretch's length from which another stretch of a page without articles is text as well.
+ALSO_TEXT = 0.2
 
-#: Elements of HTML, by how they affect the text.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+#: Elements of HTML, by how they affect the text. All others are part of a line.
+BLOCK = frozenset("address article aside blockquote body br caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul xmp".split())
 VOID = frozenset("area base basefont br col embed frame hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math canvas audio video textarea title head xmp noembed noframes".split())
+#: What these hold is no text of the page.
+RAW = frozenset("script style template iframe textarea title noembed noframes".split())
 CHROME = frozenset("nav header footer aside form button select dialog menu fieldset".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ARTICLES = frozenset(("article", "main"))
 #: Elements whose end tag may be missing: an open one ends where one of the named elements begins.
-CLOSED_BY = {"p": frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
+CLOSED_BY = {
+    "p": frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()),
+    "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"]),
+}
 #: Words in class or id, and roles, that mark chrome.
-CHROME_WORDS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr header menu modal nav navbar navigation newsletter notice notices paywall popup promo promoted promotion related respond share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget".split())
+CHROME_WORDS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment commentlist comments consent cookie cookies disqus footer gdpr header menu modal nav navbar navigation newsletter notice notices paywall popup promo promoted promotion related replies respond share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget".split())
 CHROME_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
+#: Words that say what an element holds, so that a name such as sidebar-right beside them says how it is laid out.
+CONTENT_WORDS = frozenset("article body container content entry layout main page post story text wrapper".split())
+#: What a compound name is about if it begins so, and what a header is one of if its name begins so.
+NOT_CHROME_FIRST = frozenset("has with no without".split())
+PAGE_HEADERS = frozenset("global main masthead page site top".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_NAME = re.compile(r"/?[A-Za-z][^\s/>]*")
+#: A tag's rest up to its end; a quoted value, which follows an equals sign, may hold ends of tags.
+_REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>""")
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>"']++))?""")
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
-def _is_chrome(name: str, attributes: str) -> bool:
-    if name in CHROME:
+def _names_chrome(name: str, value: str) -> bool:
+    """Whether a class or id marks an element of this name as chrome."""
+    tokens = value.split()
+    for token in tokens:
+        words = _WORD.findall(token)
+        if not words or words[0] in NOT_CHROME_FIRST:
+            continue
+        if len(words) == 1:
+            if words[0] in CHROME_WORDS:
+                return True
+        elif name in BLOCK and (words[0] in CHROME_WORDS or words[-1] in CHROME_WORDS):
+            content = words[-1] == "header" and words[0] not in PAGE_HEADERS and words[0] not in CHROME_WORDS
+            if not content and not any((x := _WORD.findall(other)) and x[-1] in CONTENT_WORDS for other in tokens if other != token):
+                return True
+    return False
+
+
+def _is_chrome(name: str, attributes: str, inside: bool) -> bool:
+    """Whether an element is chrome by itself; inside: in an article or section, whose header is part of it."""
+    if name in CHROME and not (name == "header" and inside):
         return True
     if not attributes or name in ("html", "body", "main"):
         return False
@@ -48,147 +82,192 @@ def _is_chrome(name: str, attributes: str) -> bool:
         kind, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if kind == "hidden" or kind == "aria-hidden" and value == "true":
             return True
-        if kind == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+        if kind == "style" and _HIDDEN.search(value):
             return True
         if kind == "role" and value in CHROME_ROLES:
             return True
-        if kind in ("class", "id"):
-            for token in value.split():
-                words = _WORD.findall(token)
-                if words and words[0] not in ("has", "with", "no") and (words[0] in CHROME_WORDS or words[-1] in CHROME_WORDS):
-                    return True
+        if kind in ("class", "id") and name not in HEADINGS and _names_chrome(name, value):
+            return True
     return False
 
 
 class Line:
-    """Text of one block: the text itself, its length outside links and chrome, and the article it is in (0: none)."""
+    """Text of one block outside chrome: the text, its length outside links, whether a heading h1, and its article (0: none)."""
 
-    __slots__ = ("article", "chrome", "length", "text")
+    __slots__ = ("article", "length", "text", "top")
 
-    def __init__(self, text: str, length: int, chrome: bool, article: int):
-        self.text, self.length, self.chrome, self.article = text, length, chrome, article
+    def __init__(self, text: str, length: int, top: bool, article: int):
+        self.text, self.length, self.top, self.article = text, length, top, article
 
 
-def lines_of(page: str) -> list[Line]:
-    """The non-empty lines of a page, in order, with character references decoded and white space made single."""
-    lines: list[Line] = []
-    open_tags: list[tuple[str, bool, int]] = []
-    parts: list[str] = []
-    linked = 0
-    chrome = in_link = article = articles = 0
-
-    def end_line() -> None:
-        nonlocal linked
-        if parts:
-            text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
-            parts.clear()
-            if text:
-                lines.append(Line(text, 0 if chrome else max(0, len(text) - linked), chrome > 0, article))
-        linked = 0
-
-    def close(at: int) -> None:
-        nonlocal chrome, article, in_link
-        for name, was_chrome, outer in reversed(open_tags[at:]):
-            if name not in INLINE:
-                end_line()
-            chrome -= was_chrome
-            in_link -= name == "a"
-            if name in ("article", "main"):
-                article = outer
-        del open_tags[at:]
-
-    at, n = 0, len(page)
-    while at < n:
-        m = _TAG.search(page, at)
-        piece = page[at : m.start() if m else n]
-        if piece:
-            parts.append(piece)
-            if in_link:
-                linked += len(piece.strip())
-        if not m:
-            break
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
-        if not name:
-            continue
-        ends, attributes = m[1] or m[4], m[3] or m[6] or ""
-        if ends:
-            found = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == name), None)
-            if found is not None:
-                close(found)
-            elif name == "p":
-                end_line()
-            continue
+class Reader:
+    """Reads a page once: each tag is looked at once, and what is open is found by name."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.lines: list[Line] = []
+        #: Of each open element: name, whether chrome, whether a link, the article around it.
+        self.open: list[tuple[str, bool, bool, int]] = []
+        #: Places in open of the blocks, and of the elements of each name.
+        self.blocks: list[int] = []
+        self.named: dict[str, list[int]] = {}
+        self.parts: list[str] = []
+        self.linked = self.links = self.chrome = self.article = self.articles = 0
+        self.quotes = True
+
+    def end_line(self) -> None:
+        if self.parts:
+            text = _SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
+            self.parts.clear()
+            if text and not self.chrome:
+                self.lines.append(Line(text, max(0, len(text) - self.linked), bool(self.named.get("h1")), self.article))
+        self.linked = 0
+
+    def close(self, at: int) -> None:
+        while len(self.open) > at:
+            name, chrome, link, outer = self.open[-1]
+            if name in BLOCK:
+                self.end_line()
+                self.blocks.pop()
+            if name in ARTICLES:
+                self.article = outer
+            self.open.pop()
+            self.named[name].pop()
+            self.chrome -= chrome
+            self.links -= link
+
+    def add_text(self, text: str) -> None:
+        if text:
+            self.parts.append(text)
+            if self.links:
+                self.linked += len(text.strip())
+
+    def after(self, mark: str, at: int) -> int:
+        """What follows the next mark; the page's end if there is none."""
+        found = self.page.find(mark, at)
+        return len(self.page) if found < 0 else found + len(mark)
+
+    def tag_end(self, at: int) -> int:
+        """Where the tag whose name ends at at ends; -1 if nowhere."""
+        if self.quotes:
+            if m := _REST.match(self.page, at):
+                return m.end()
+            self.quotes = False  # quotes are out of step from here on, and are not heeded any more
+        return self.page.find(">", at) + 1 or -1
+
+    def start(self, name: str, attributes: str, at: int) -> int:
+        """Opens an element whose tag ends at at; returns where to go on."""
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            if name == "head" and not end:
-                continue
-            if not attributes.rstrip().endswith("/"):
-                at = end.end() if end else n
-            continue
+            m = re.compile(rf"</{name}\s*+>", re.I).search(self.page, at)
+            return m.end() if m else len(self.page)
         if name in VOID:
-            if name not in INLINE:
-                end_line()
-            continue
-        for i in range(len(open_tags) - 1, -1, -1):
-            own = open_tags[i][0]
+            if name in BLOCK:
+                self.end_line()
+            return at
+        for i in reversed(self.blocks):
+            own = self.open[i][0]
             if name in CLOSED_BY.get(own, ()):
-                close(i)
+                self.close(i)
                 break
-            if own not in INLINE and own not in CLOSED_BY:
+            if own not in CLOSED_BY:
+                break
+        if name in BLOCK:
+            self.end_line()
+            self.blocks.append(len(self.open))
+        elif attributes.endswith("/"):
+            return at
+        own = self.named.setdefault(name, [])
+        if name == "a" and own and (not self.blocks or own[-1] > self.blocks[-1]):  # links don't nest
+            self.close(own[-1])
+        chrome = _is_chrome(name, attributes, self.article > 0 or bool(self.named.get("section")))
+        link = name == "a" and "href" in attributes.lower()
+        own.append(len(self.open))
+        self.open.append((name, chrome, link, self.article))
+        self.chrome += chrome
+        self.links += link
+        if name in ARTICLES and not self.article:
+            self.articles += 1
+            self.article = self.articles
+        return at
+
+    def read(self) -> list[Line]:
+        page, at, look = self.page, 0, 0
+        # What is before at was read; what is before look is known to hold no more markup.
+        while (tag := page.find("<", look)) >= 0:
+            m = _NAME.match(page, tag + 1)
+            after = page[tag + 1 : tag + 4]
+            if not m and after[:1] not in ("!", "?", "/"):
+                look = tag + 1
+                continue
+            if m and (end := self.tag_end(m.end())) < 0:  # no tag ends any more, so what is left is text
                 break
-        if name not in INLINE:
-            end_line()
-        marked = _is_chrome(name, attributes)
-        open_tags.append((name, marked, article))
-        chrome += marked
-        in_link += name == "a"
-        if name in ("article", "main") and not article:
-            articles += 1
-            article = articles
-    close(0)
-    end_line()
-    return lines
-
-
-def surge_and_dive(lengths: list[int], window: int = WINDOW) -> tuple[int, int]:
-    """The first and last line, end exclusive, of the text with the largest sum between a surge and its dive.
-
-    A surge is a line with text whose window before it is empty; a dive is where the window from a line on is.
+            self.add_text(page[at:tag])
+            if not m:
+                at = self.after("-->", tag + 2) if after == "!--" else self.after("]]>" if page.startswith("<![CDATA[", tag) else ">", tag)
+            else:
+                name, at = m[0].lower(), end
+                if name[0] != "/":
+                    at = self.start(name, page[m.end() : end - 1].rstrip(), end)
+                elif own := self.named.get(name[1:]):
+                    self.close(own[-1])
+                elif name == "/p":
+                    self.end_line()
+            look = at
+        self.add_text(page[at:])
+        self.close(0)
+        self.end_line()
+        return self.lines
+
+
+def lines_of(page: str) -> list[Line]:
+    """The non-empty lines of a page outside chrome, in order, with character references decoded and white space made single."""
+    return Reader(page).read()
+
+
+def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
+    """First and last line, end exclusive, of each stretch between a surge and its dive.
+
+    A surge is a line with a length where there was none; a dive is where the window that follows a line sums to nothing.
     """
-    sums = [sum(lengths[i : i + window]) for i in range(len(lengths))]
-    best, start, total, out = 0, None, 0, (0, 0)
+    out, start, ahead = [], None, sum(lengths[1 : window + 1])
     for i, length in enumerate(lengths):
-        if start is None:
-            if not length:
-                continue
-            start, total = i, 0
-        total += length
-        if i + 1 == len(lengths) or not sums[i + 1]:
-            if total > best:
-                best, out = total, (start, i + 1)
+        if start is None and length:
+            start = i
+        if start is not None and not ahead:
+            out.append((start, i + 1))
             start = None
+        ahead -= lengths[i + 1] if i + 1 < len(lengths) else 0
+        ahead += lengths[i + 1 + window] if i + 1 + window < len(lengths) else 0
     return out
 
 
 def main_text(page: str) -> str:
     """The page's main text: its blocks joined by one space; empty if there is none.
 
-    Chrome is left out before the windows slide, so it never parts the text. Where the page marks articles, all lines
-    of all articles outside chrome are its text, links in them too.
+    On a page that marks articles (outermost article and main elements), their lines count whole and others nothing,
+    and all stretches stay without the lines that count nothing. On other pages the stretch of the largest length
+    stays, with those of a fifth of it or more and those with a heading of the first rank, links in them too.
     """
-    lines = [x for x in lines_of(page) if not x.chrome]
-    if own := [x for x in lines if x.article]:
-        return " ".join(x.text for x in own)
-    start, end = surge_and_dive([x.length for x in lines])
-    return " ".join(x.text for x in lines[start:end])
+    lines = lines_of(page)
+    marked = any(x.article for x in lines)
+    lengths = [(len(x.text) if x.article else 0) if marked else x.length for x in lines]
+    found = [(a, b, sum(lengths[a:b])) for a, b in stretches(lengths)]
+    most = max((n for _, _, n in found), default=0)
+    out = []
+    for a, b, n in found:
+        if marked:
+            out += [lines[i].text for i in range(a, b) if lengths[i]]
+        elif n >= ALSO_TEXT * most or any(x.top for x in lines[a:b]):
+            out += [x.text for x in lines[a:b]]
+    return " ".join(out)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """The main text of every row of pages (page_id, url, html): page_id, url, text, n_chars (its code points).
 
     Null or empty html, and pages without text outside chrome, give the empty text. Each row is read by itself, so
-    repeated rows give repeated results; an empty table gives no rows. Other columns of pages are not read.
+    repeated rows and ties in page_id give a row each; an empty table gives no rows. A page of any length is read whole,
+    in time proportional to it. Other columns of pages are not read, whatever their names.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

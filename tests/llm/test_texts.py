@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import html
 import math
 import random
 import re
 import zlib
 from collections import defaultdict
+from html.parser import HTMLParser
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -19,7 +22,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cuesheet.llm import bpe, html_extract, langid, merkle, packing, secrets, token_counts
+from cuesheet.llm.queries import QUERIES
 
+DATA = Path("/root/testdata/sf0.001")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -60,10 +65,171 @@ def test_chrome_does_not_part_the_text_and_all_articles_stay():
     assert html_extract.main_text("<article>first part</article><p>between</p><article>second</article><aside><article>no</article></aside>") == "first part second"
 
 
-def test_surges_and_dives():
-    assert html_extract.surge_and_dive([0, 5, 0, 0, 0, 9, 0, 0, 20, 3, 0, 0, 0, 4]) == (5, 10)
-    assert html_extract.surge_and_dive([]) == (0, 0)
-    assert html_extract.surge_and_dive([0, 0]) == (0, 0)
+def test_stretches_between_surges_and_dives():
+    assert html_extract.stretches([0, 5, 0, 0, 0, 9, 0, 0, 20, 3, 0, 0, 0, 4]) == [(1, 2), (5, 10), (13, 14)]
+    assert html_extract.stretches([]) == [] and html_extract.stretches([0, 0]) == []
+    rng = random.Random(4)
+    for _ in range(300):
+        lengths = [rng.choice([0, 0, 0, 1, 7]) for _ in range(rng.randrange(25))]
+        window = rng.randrange(1, 5)
+        # A line is in a stretch if it has a length, or if one before and one in the window after have.
+        inside = [x > 0 for x in lengths]
+        for i in range(len(lengths)):
+            for j in range(i + 1, min(len(lengths), i + window + 1)):
+                if lengths[i] and lengths[j]:
+                    inside[i : j + 1] = [True] * (j + 1 - i)
+        want, i = [], 0
+        while i < len(lengths):
+            if inside[i]:
+                j = next((k for k in range(i, len(lengths)) if not inside[k]), len(lengths))
+                # Two stretches may touch only where no window joins them.
+                want.append((i, j))
+                i = j
+            else:
+                i += 1
+        assert html_extract.stretches(lengths, window) == want, (lengths, window)
+
+
+def test_the_windows_decide_on_pages_without_articles():
+    links = "<ul>" + "<li><a href='x'>some other page</a></li>" * 4 + "</ul>"
+    body = "<p>" + "first words of the text " * 5 + "</p><p>Short.</p><p>" + "more of the text " * 8 + "</p>"
+    page = f"<div><p>Skip this</p>{links}{body}{links}<p>tiny</p></div>"
+    want = " ".join([("first words of the text " * 5).strip(), "Short.", ("more of the text " * 8).strip()])
+    assert html_extract.main_text(page) == want
+    assert html_extract.main_text(f"<h1>Title</h1>{links}{body}") == "Title " + want
+    assert html_extract.main_text(f"<div>{body}{links}{body}</div>") == want + " " + want
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><header><h1>Title</h1></header>body</article>", "Title body"), ("<article><h2 class='section-header'>Part</h2>foo<img src=x>bar</article>", "Part foobar"), ("<article>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b<noscript>c</noscript></article>", "a x=2 bc"),
+        ("<article>t<footer>f</footer><aside>s</aside><form>g</form></article>", "t"), ("<div class='content sidebar-right'><p>kept</p></div><div class='sidebar-right'>not</div>", "kept"), ("<div class='entry-header'>Head</div><p>x</p>", "Head x"), ("<div class='site-header'>Head</div><p>x</p>", "x"),
+        ("<p data-id='ad' title='class=ad'>kept</p><p class=ad>no</p>", "kept"), ("<p>a<b>b</p>c", "ab c"), ("<article>x<script>'</p>'</script><svg/>y</article>", "xy"), ("<a name=top>all of <b>this</b> is text", "all of this is text"), ("<p>1 <3 2</p></", "1 <3 2"),
+    ],
+)
+def test_more_pages(page, text):
+    assert html_extract.main_text(page) == text
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<a>x", '<a b="', '<a b=">" ', "<svg/>", "<script>", "<head>", "<!--", "<", "<td><p>", "<a href=x>", "= '", "<![CDATA[", "<li><dd>", "</a", "<p class='a "])
+def test_hostile_pages_take_linear_time(unit):
+    from time import process_time
+
+    took = []
+    for n in (40_000, 160_000):
+        began = process_time()
+        html_extract.main_text(unit * (n // len(unit)))
+        took.append(process_time() - began)
+    assert took[1] < 12 * took[0] + 0.2
+
+
+class Tree(HTMLParser):
+    """A page by the standard library's parser, for pages whose tags are all closed: (name, chrome, children)."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.stack = [("html", False, [])]
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, name, attrs):
+        known = dict(attrs)
+        words = (known.get("class") or "").split()
+        chrome = name in ("nav", "footer", "aside", "form", "header", "script", "style") or bool({"ad", "cookie-notice", "comments", "sidebar"} & set(words)) or "hidden" in known
+        node = (name, chrome, [])
+        self.stack[-1][2].append(node)
+        if name not in ("br", "img"):
+            self.stack.append(node)
+
+    def handle_endtag(self, name):
+        if name not in ("br", "img"):
+            self.stack.pop()
+
+    def handle_data(self, data):
+        self.stack[-1][2].append(data)
+
+
+def brute_main_text(page):
+    lines, run = [], []
+
+    def end(article):
+        text = " ".join("".join(x for x, _ in run).split())
+        if text:
+            lines.append((text, max(0, len(text) - sum(len(x.strip()) for x, link in run if link)), article))
+        run.clear()
+
+    def walk(node, article, link):
+        name, chrome, children = node
+        if chrome:
+            end(article) if name not in ("script", "style") else None
+            return
+        around, article, link = article, article or name == "article", link or name == "a"
+        block = name not in ("a", "b", "i", "img", "html")
+        if block:
+            end(around)
+        if name != "br":
+            for x in children:
+                if isinstance(x, str):
+                    run.append((x, link))
+                else:
+                    walk(x, article, link)
+            if block:
+                end(article)
+
+    walk(Tree(page).stack[0], False, False)
+    end(False)
+    marked = any(x[2] for x in lines)
+    lengths = [(len(t) if a else 0) if marked else n for t, n, a in lines]
+    groups, last = [], None
+    for i, n in enumerate(lengths):
+        if n:
+            groups = [*groups[:-1], (groups[-1][0], i + 1)] if last is not None and i - last <= html_extract.WINDOW else [*groups, (i, i + 1)]
+            last = i
+    most = max((sum(lengths[a:b]) for a, b in groups), default=0)
+    kept = [i for a, b in groups for i in range(a, b) if (lengths[i] if marked else sum(lengths[a:b]) >= html_extract.ALSO_TEXT * most)]
+    return " ".join(lines[i][0] for i in kept)
+
+
+def random_page(rng, depth=0):
+    out = []
+    for _ in range(rng.randrange(1, 6)):
+        kind = rng.random()
+        if kind < 0.35 or depth > 4:
+            out.append(rng.choice(["word ", " two words", "&amp; ", "\n  ", "é&nbsp;x", "long run of several words "]))
+        elif kind < 0.5:
+            tag = rng.choice(["a href='x'", "b", "i"])
+            out.append(f"<{tag}>{rng.choice(['link', 'bold text', ' '])}</{tag[0]}>")
+        elif kind < 0.55:
+            out.append(rng.choice(["<br>", "<img src='x>y'>", "<!-- <p>no</p> -->", "<script>var a = '<p>';</script>"]))
+        else:
+            tag = rng.choice(["p", "div", "section", "ul", "li", "h2", "nav", "aside", "footer", "form", "div class='ad'", "div class='comments'", "div hidden", "article" if depth < 2 else "div"])
+            inner = random_page(rng, depth + 1) if tag not in ("p", "h2") else rng.choice(["a paragraph", "short", "", "x <b>y</b> z"])
+            if tag == "li":
+                tag = "div"
+            out.append(f"<{tag}>{inner}</{tag.split()[0]}>")
+    return "".join(out)
+
+
+def test_pages_against_brute_force(spark):
+    rng = random.Random(12)
+    rows = [(i, f"u{i}", random_page(rng)) for i in range(1500)]
+    got = {x["page_id"]: (x["text"], x["n_chars"]) for x in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, _, page in rows:
+        want = brute_main_text(page)
+        assert got[i] == (want, len(want)), page
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="needs the test tables")
+def test_the_whole_query_against_brute_force(spark):
+    pages = {x["page_id"]: x["html"] for x in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
+    got = {x["page_id"]: x["text"] for x in QUERIES["op3_html_extraction"](spark, str(DATA)).collect()}
+    assert got.keys() == pages.keys()
+    for k, page in pages.items():
+        own = re.sub(r"<(script|style)>.*?</\1>|<!--.*?-->", "", re.search(r"<article>(.*)</article>", page, re.S)[1], flags=re.S)
+        blocks = re.split(r"</?(?:p|h1|h2|br|ul|li|div|blockquote|table|tr|td|section)\b[^>]*>", own)
+        want = [" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in blocks]
+        assert got[k] == " ".join(x for x in want if x)
 
 
 def test_pages_of_a_table(spark):
