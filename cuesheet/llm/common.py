@@ -6,8 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuesheet import ship
@@ -37,21 +39,101 @@ def scratch_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="cuesheet-")
         sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+#: Folders of tables that materialise wrote, by application.
+_written: dict[str, list[str]] = {}
+
+
 def materialise(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
-    """Writes df as Parquet under the shared folder and reads it back, which cuts its lineage."""
+    """Writes df as Parquet under the shared folder and reads it back, which cuts its lineage.
+
+    The table stays until clean_up, as what is made from it may still be read.
+    """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/cuesheet/{uuid.uuid4().hex}"
     df.write.options(**(options or {})).parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mark(spark: SparkSession) -> int:
+    """How many tables this application has written so far, for clean_up."""
+    return len(_written.get(spark.sparkContext.applicationId, []))
+
+
+def clean_up(spark: SparkSession, since: int = 0, until: int | None = None) -> int:
+    """Deletes the tables that materialise wrote in this application after the first since ones (up to until).
+
+    For callers that have stored an operator's result, and for loops whose earlier tables nothing reads any more.
+    Returns the number of tables deleted.
+    """
+    own = _written.get(spark.sparkContext.applicationId, [])
+    gone = [i for i in range(len(own))[since:until] if own[i]]
+    for i in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(own[i])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        own[i] = ""
+    return len(gone)
+
+
+#: Bits of a key filter for each key, and of any filter at most (32 MB, which is what is broadcast); a fuller one lets more through.
+BITS_PER_KEY, MAX_FILTER_BITS = 16, 1 << 28
+
+
+class KeyFilter:
+    """A Bloom filter of 64-bit keys: may_hold is true for all keys that are in it and for few others."""
+
+    def __init__(self, words: np.ndarray, places: int):
+        self.words, self.places = words, places
+
+    @staticmethod
+    def at(keys: np.ndarray, bits: int, places: int) -> np.ndarray:
+        """Where the filter holds each key: keys by places."""
+        x = keys.view(np.uint64)
+        return np.stack([((x ^ (x >> np.uint64(29 + i))) * np.uint64(0x9E3779B97F4A7C15 + 2 * i) >> np.uint64(20)) & np.uint64(bits - 1) for i in range(places)], axis=1)
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        at = self.at(keys, 64 * len(self.words), self.places)
+        return ((self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)
+
+
+def key_filter(keys: DataFrame, key: str = "key") -> KeyFilter:
+    """The filter of a column of longs without nulls. Only its bits, which are bounded, come to the driver."""
+    n = keys.count()
+    bits = 1 << 12
+    while bits < min(MAX_FILTER_BITS, BITS_PER_KEY * n):
+        bits *= 2
+    places = max(1, min(4, round(0.69 * bits / max(n, 1))))
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = KeyFilter.at(batch.column(0).to_numpy(zero_copy_only=False), bits, places).ravel()
+            masks = np.left_shift(np.uint64(1), at & np.uint64(63)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(masks)], ["word", "mask"])
+
+    rows = keys.select(key).mapInArrow(marks, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    words = np.zeros(bits // 64, dtype=np.int64)
+    words[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64)
+    return KeyFilter(words.view(np.uint64), places)
+
+
+def may_hold(made: KeyFilter, spark: SparkSession) -> Callable[[Column], Column]:
+    """made as a function of a column of longs; only these go to Python, whatever else a row holds."""
+    shared = spark.sparkContext.broadcast((made.words, made.places))
+
+    @F.pandas_udf("boolean")
+    def probe(keys: pd.Series) -> pd.Series:
+        return pd.Series(KeyFilter(*shared.value).may_hold(keys.to_numpy(np.int64)))
+
+    return probe
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_PER_CHUNK) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches into smaller ones, so that the Python objects of few texts live at a time."""
     for batch in batches:

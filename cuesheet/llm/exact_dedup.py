@@ -1,9 +1,10 @@
 """Exact deduplication by a log-structured merge index of text digests.
 
-A memtable is the digests of one task, which its flush sorts and writes as one run: a Parquet file in digest order
-with a Bloom filter and the smallest and largest digest of each row group. Compaction merges the runs to one entry
-per digest, with the identifier that stays and the number of rows. Digests of more than one row are hits, whose
-texts are compared byte by byte.
+A task's memtable maps digests to the identifier that stays and the number of rows; when it is full or the task ends it
+is flushed as a sorted run. Compaction merges runs by ranges of digests to one entry each. Every run has a filter of
+its digests: a lookup asks a run for those digests only that pass its filter. Rows whose digest is no hit (no other row
+has it) are answered without meeting the index, as the hits' filter does not let them pass; the texts of hits are
+compared byte by byte.
 
 Texts are equal if they are the same after A-Z are lower-cased; null is the empty text.
 """
@@ -12,103 +13,153 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, join_unique, materialise, slices, utf8
+from .common import NULL_ID, KeyFilter, join_unique, key_filter, materialise, may_hold, slices, utf8
 
-RUN_OPTIONS = {"parquet.bloom.filter.enabled#key": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
-
-#: Bits of the filter of hit digests, which is broadcast; a larger number of hits makes it let more rows through.
-MAX_FILTER_BITS = 1 << 26
+#: Entries of a task's memtable.
+MEMTABLE = 200_000
+#: Runs that an index has at most before they are merged.
+FANOUT = 4
 
 
 def _normalised(column: pa.Array) -> list[bytes]:
     return utf8(pc.ascii_lower(column))
 
 
-def flush_runs(docs: DataFrame, key_bytes: int = 32) -> DataFrame:
-    """The sorted runs of docs (doc_id, text): key, sha (of the normalised text), doc_id, entry_id.
+def _sha(column: pa.Array) -> list[bytes]:
+    return [hashlib.sha256(x).digest() for x in _normalised(column)]
+
+
+def _key(sha: str = "sha") -> F.Column:
+    """What a digest is in filters."""
+    return F.xxhash64(sha)
+
+
+def signed(docs: DataFrame, key_bytes: int = 32) -> DataFrame:
+    """doc_id, key, sha (of the normalised text), entry_id of each row of docs (doc_id, text).
 
     key is the first key_bytes bytes of sha; fewer than 32 serve tests of colliding digests.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
-            sha = [hashlib.sha256(x).digest() for x in _normalised(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([x[:key_bytes] for x in sha], pa.binary()), pa.array(sha, pa.binary())],
-                ["doc_id", "key", "sha"],
-            )
+            sha = _sha(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x[:key_bytes] for x in sha], pa.binary()), pa.array(sha, pa.binary())], ["doc_id", "key", "sha"])
 
-    signed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sign, "doc_id long, key binary, sha binary")
-    runs = signed.withColumn("entry_id", F.monotonically_increasing_id())
-    return materialise(runs.sortWithinPartitions("key"), RUN_OPTIONS)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sign, "doc_id long, key binary, sha binary")
+    return materialise(rows.withColumn("entry_id", F.monotonically_increasing_id()))
 
 
-def _extreme(keep: str):
+def _extreme(keep: str, doc: str, entry: str):
+    """The entry that stays; a null identifier stays only among nulls."""
     if keep not in ("largest", "smallest"):
         raise ValueError("keep must be largest or smallest")
-    if keep == "largest":
-        return F.max(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "entry_id"))
-    return F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "entry_id"))
+    null = NULL_ID if keep == "largest" else 2**63 - 1
+    best = (F.max if keep == "largest" else F.min)(F.struct(F.coalesce(doc, F.lit(null)).alias("id"), F.col(entry).alias("entry")))
+    return F.struct(F.nullif(best["id"], F.lit(null)).alias("id"), best["entry"].alias("entry"))
 
 
-def compact(runs: DataFrame, keep: str = "largest", by: tuple[str, ...] = ("key",)) -> DataFrame:
-    """Merges runs to one entry per digest: key, keep_id, keep_entry, n (rows)."""
-    merged = runs.groupBy(*by).agg(_extreme(keep).alias("best"), F.count("*").alias("n"))
-    null = NULL_ID if keep == "largest" else 2**63 - 1
-    return merged.select(*by, F.nullif(F.col("best.id"), F.lit(null)).alias("keep_id"), F.col("best.entry_id").alias("keep_entry"), "n")
+ENTRY = "key binary, keep_id long, keep_entry long, n long"
 
 
-def _places(keys: list[bytes], bits: int) -> np.ndarray:
-    """Where the filter holds each key: an array of keys by 3."""
-    words = np.frombuffer(b"".join(x[:24].ljust(24, b"\0") for x in keys), dtype="<u8").reshape(-1, 3)
-    return (words % np.uint64(bits)).astype(np.int64)
+def flush(rows: DataFrame, keep: str = "largest", most: int = MEMTABLE) -> DataFrame:
+    """The memtables of rows (doc_id, key, entry_id): key, keep_id, keep_entry, n, sorted by key in each run."""
+    largest = keep == "largest"
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table: dict[bytes, list] = {}
 
-def _hit_filter(hits: DataFrame) -> tuple[np.ndarray, int]:
-    """A Bloom filter of the hits' keys, of a bounded number of bits."""
-    bits = 1 << 16
-    while bits < min(MAX_FILTER_BITS, 16 * hits.count()):
-        bits *= 2
+        def flushed() -> pa.RecordBatch:
+            own = sorted(table.items())
+            table.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in own], pa.binary()), *(pa.array([x[i] for _, x in own], pa.int64()) for i in range(3))], ["key", "keep_id", "keep_entry", "n"]
+            )
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = _places(batch.column("key").to_pylist(), bits).ravel()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at >> 6), pa.array(np.left_shift(np.uint64(1), (at & 63).astype(np.uint64)).view(np.int64))], ["word", "mask"]
-            )
+            for doc, key, entry in zip(*(batch.column(x).to_pylist() for x in ("doc_id", "key", "entry_id"))):
+                held = table.get(key)
+                if held is None:
+                    table[key] = [doc, entry, 1]
+                    continue
+                held[2] += 1
+                # A known identifier goes before an unknown one, then the extreme one, of one identifier the extreme entry.
+                if (doc is not None, *((doc or 0, entry) if largest else (-(doc or 0), -entry))) > (held[0] is not None, *((held[0] or 0, held[1]) if largest else (-(held[0] or 0), -held[1]))):
+                    held[:2] = doc, entry
+            if len(table) >= most:
+                yield flushed()
+        yield flushed()
+
+    return rows.select("doc_id", "key", "entry_id").mapInArrow(run, ENTRY)
+
+
+def merge(runs: DataFrame, keep: str = "largest", by: tuple[str, ...] = ("key",)) -> DataFrame:
+    """Runs merged to one entry per digest, by ranges of digests, in order: by, keep_id, keep_entry, n."""
+    ranges = runs.repartitionByRange(*by).sortWithinPartitions(*by)
+    merged = ranges.groupBy(*by).agg(_extreme(keep, "keep_id", "keep_entry").alias("best"), F.sum("n").alias("n"))
+    return merged.select(*by, F.col("best.id").alias("keep_id"), F.col("best.entry").alias("keep_entry"), "n")
+
+
+@dataclass
+class MergeIndex:
+    """Runs with their filters. add flushes rows as a run, and merges the runs if they have become too many."""
+
+    keep: str = "largest"
+    fanout: int = FANOUT
+    runs: list[tuple[DataFrame, KeyFilter]] = field(default_factory=list)
+
+    def _append(self, run: DataFrame) -> None:
+        self.runs.append((run, key_filter(run.select(_key("key").alias("key")))))
+
+    def add(self, rows: DataFrame) -> None:
+        """Adds rows (doc_id, key, entry_id)."""
+        self._append(materialise(merge(materialise(flush(rows, self.keep)), self.keep)))
+        if len(self.runs) > self.fanout:
+            self.compact()
+
+    def compact(self) -> None:
+        together = self.runs[0][0]
+        for run, _ in self.runs[1:]:
+            together = together.unionByName(run)
+        self.runs.clear()
+        self._append(materialise(merge(together, self.keep)))
+
+    def find(self, keys: DataFrame) -> DataFrame:
+        """The entries of keys (key, each once) that the index has: a run is asked for what passes its filter."""
+        out = None
+        for run, made in self.runs:
+            asked = keys.filter(may_hold(made, keys.sparkSession)(_key("key"))).join(run, "key")
+            out = asked if out is None else out.unionByName(asked)
+        return keys.sparkSession.createDataFrame([], ENTRY) if out is None else merge(out, self.keep)
+
+
+def hit_texts(docs: DataFrame, hits: KeyFilter, key_bytes: int = 32) -> DataFrame:
+    """The normalised texts of docs whose digest may be a hit (the filter lets all hits through): doc_id, key, sha, body."""
+    passing = docs.sparkSession.sparkContext.broadcast((hits.words, hits.places))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    words = hits.select("key").mapInArrow(mark, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
-    out = np.zeros(bits // 64, dtype=np.int64)
-    out[words["word"].to_numpy(dtype=np.int64)] = words["mask"].to_numpy(dtype=np.int64)
-    return out.view(np.uint64), bits
+    @F.arrow_udf("binary")
+    def sha(text: pa.Array) -> pa.Array:
+        return pa.array(_sha(text), pa.binary())
 
+    @F.pandas_udf("boolean")
+    def may(keys):
+        import pandas as pd
 
-def hit_texts(docs: DataFrame, hits: DataFrame, key_bytes: int = 32) -> DataFrame:
-    """The normalised texts of docs whose digest may be a hit (the filter lets all hits through): doc_id, key, sha, body."""
-    words, bits = _hit_filter(hits)
-    passing = docs.sparkSession.sparkContext.broadcast(words)
+        return pd.Series(KeyFilter(*passing.value).may_hold(keys.to_numpy("int64")))
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = passing.value
-        for batch in slices(batches, 1024):
-            body = _normalised(batch.column("text"))
-            sha = [hashlib.sha256(x).digest() for x in body]
-            keys = [x[:key_bytes] for x in sha]
-            at = _places(keys, bits)
-            ok = np.flatnonzero(((table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).all(axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(ok)), *(pa.array([x[i] for i in ok], pa.binary()) for x in (keys, sha, body))],
-                ["doc_id", "key", "sha", "body"],
-            )
+    @F.arrow_udf("binary")
+    def body(text: pa.Array) -> pa.Array:
+        return pa.array(_normalised(text), pa.binary())
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(probe, "doc_id long, key binary, sha binary, body binary")
+    keyed = rows.withColumn("sha", sha("text")).withColumn("key", F.substring("sha", 1, key_bytes))
+    return keyed.filter(may(_key("key"))).select("doc_id", "key", "sha", body("text").alias("body"))
 
 
 def exact_groups(docs: DataFrame, keep: str = "largest", key_bytes: int = 32) -> DataFrame:
@@ -116,40 +167,63 @@ def exact_groups(docs: DataFrame, keep: str = "largest", key_bytes: int = 32) ->
 
     keep: which identifier of a group stays, the largest or the smallest. keep_id is null if no row of the group has
     one. Exactly one row of each group has kept set, also where rows repeat an identifier or have none (a null
-    identifier stays only in a group of nulls). An empty table gives no rows. Other columns of docs are not read.
+    identifier stays only in a group of nulls), so of ties one row stays, whichever. An empty table gives no rows.
+    Texts of any length are read whole. Other columns of docs are not read, whatever their names.
 
     A digest under which the comparison finds two different texts is split by the texts themselves.
     """
-    runs = flush_runs(docs, key_bytes)
-    index = materialise(compact(runs, keep))
-    total = runs.count()
-    hits = index.filter("n > 1")
-    bodies = hit_texts(docs, hits, key_bytes)
+    spark = docs.sparkSession
+    rows = signed(docs, key_bytes)
+    index = MergeIndex(keep)
+    index.add(rows)
+    entries, _ = index.runs[0]
+    hits = materialise(entries.filter("n > 1"))
+    hit_filter = key_filter(hits.select(_key("key").alias("key")))
+    passes = may_hold(hit_filter, spark)(_key("key"))
+
+    bodies = hit_texts(docs, hit_filter, key_bytes)
     compared = bodies.groupBy("key").agg(F.min("body").alias("low"), F.max("body").alias("high"))
     split = materialise(compared.filter("low <> high").select("key"))
 
-    whole = join_unique(runs, index.withColumn("group_size", F.col("n")), "key", total)
-    columns = ["doc_id", "keep_id", "group_size", F.expr("entry_id = keep_entry").alias("kept"), F.lower(F.hex("sha")).alias("text_sha256")]
+    digest = F.lower(F.hex("sha")).alias("text_sha256")
+    alone = rows.filter(~passes).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), digest)
+    near = rows.filter(passes)
+    met = join_unique(near, hits.withColumn("group_size", F.col("n")), "key", near.count(), "left")
     if not split.isEmpty():
-        whole = whole.join(split, "key", "left_anti")
-        own = materialise(bodies.join(split, "key", "left_semi").withColumn("entry_id", F.monotonically_increasing_id()))
-        apart = compact(own, keep, ("key", "body")).withColumn("group_size", F.col("n")).drop("n")
-        return whole.select(*columns).unionByName(own.join(apart, ["key", "body"]).select(*columns))
-    return whole.select(*columns)
+        met = met.join(split, "key", "left_anti")
+    # What passes the filter by chance has no entry among the hits.
+    single = F.col("group_size").isNull()
+    out = alone.unionByName(met.select("doc_id", F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), (single | F.coalesce(F.col("entry_id") == F.col("keep_entry"), F.lit(False))).alias("kept"), digest))
+    if split.isEmpty():
+        return out
+    own = materialise(bodies.join(split, "key", "left_semi").withColumn("entry_id", F.monotonically_increasing_id()))
+    apart = own.groupBy("key", "body").agg(_extreme(keep, "doc_id", "entry_id").alias("best"), F.count("*").alias("group_size"))
+    parted = own.join(apart, ["key", "body"]).select("doc_id", F.col("best.id").alias("keep_id"), "group_size", (F.col("entry_id") == F.col("best.entry")).alias("kept"), digest)
+    return out.unionByName(parted)
 
 
 def drop_exact_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
-    """The rows of docs that stay, with all their columns.
+    """The rows of docs that stay, with all their columns, whatever their names.
 
-    Of rows that have both identifier and text in common, one stays.
+    Of equal texts (null is the empty one) the row of the largest, or smallest, identifier stays; of rows that have
+    both identifier and text in common, one. An empty table gives no rows; texts of any length are compared whole.
+    Only rows that may be copies, or repeat an identifier and a text, are moved; the others stay in their tasks.
     """
-    kept = exact_groups(docs, keep).filter("kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__id"), F.col("text_sha256").alias("__sha"))
-
-    @F.pandas_udf("string")
-    def sha(column):
-        return column.map(lambda x: hashlib.sha256((x or "").encode().lower()).hexdigest())
-
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "__sha": sha(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    one = Window.partitionBy("__id", "__sha").orderBy("__sha")
-    rows = keyed.join(kept, ["__id", "__sha"], "left_semi").withColumn("__n", F.row_number().over(one))
-    return rows.filter("__n = 1").select(*docs.columns)
+    spark = docs.sparkSession
+    groups = materialise(exact_groups(docs, keep))
+    pair = F.xxhash64(F.coalesce("doc_id", F.lit(NULL_ID)), "text_sha256")
+    named = groups.filter("group_size > 1").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text_sha256", "kept", pair.alias("pair"))
+    pairs = materialise(named.groupBy("id", "text_sha256", "pair").agg(F.max("kept").alias("stays"), F.count("*").alias("n")).filter("n > 1 or not stays"))
+    gone = may_hold(key_filter(pairs, "pair"), spark)
+
+    @F.arrow_udf("string")
+    def sha(text: pa.Array) -> pa.Array:
+        return pa.array([hashlib.sha256(x).hexdigest() for x in _normalised(text)], pa.string())
+
+    keyed = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), sha(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_sha256"))
+    keyed = keyed.withColumn("may", gone(F.xxhash64("id", "text_sha256")))
+    met = keyed.filter("may").join(pairs.select("id", "text_sha256", "stays"), ["id", "text_sha256"], "left").filter("stays is null or stays")
+    one = Window.partitionBy("id", "text_sha256").orderBy("text_sha256")
+    # Rows of a pair that repeats are copies of each other but for other columns; pairs that don't have one row.
+    repeats = met.filter("stays").withColumn("at", F.row_number().over(one)).filter("at = 1")
+    return keyed.filter("not may").select("row.*").unionByName(met.filter("stays is null").select("row.*")).unionByName(repeats.select("row.*"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_KEYS, join_unique, materialise, slices, utf8
+from .common import HOT_KEYS, join_unique, key_filter, materialise, may_hold, slices, utf8
 from .components import connected_components
 from .near_copies import alike_groups
 
@@ -182,6 +182,10 @@ def drop_near_copies(docs: DataFrame, words: int = SHINGLE, similarity: float |
         own = _components(materialise(fingerprints(docs, digests=True)))
     else:
         own = alike_groups(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest"), F.col("text").cast("string").alias("text")), words, similarity)
-    gone = own.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (_digest() == F.col("__digest"))
-    return docs.join(gone, same, "left_anti").select(*docs.columns)
+    gone = materialise(own.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("doc_id").alias("id"), "digest", F.xxhash64("doc_id", "digest").alias("key")).distinct())
+    # Most rows stay where they are: only those that may be gone are compared.
+    may_be_gone = may_hold(key_filter(gone), docs.sparkSession)
+    keyed = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), _digest().alias("digest"))
+    passing = may_be_gone(F.xxhash64("id", "digest"))
+    met = keyed.filter(passing).join(gone.drop("key"), keyed["id"].eqNullSafe(gone["id"]) & (keyed["digest"] == gone["digest"]), "left_anti")
+    return keyed.filter(~passing).select("row.*").unionByName(met.select("row.*"))

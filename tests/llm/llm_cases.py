@@ -6,7 +6,7 @@ import random
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside, as columns of the input.
-CLASHING = ("key", "fp", "fingerprint", "n", "keep_id", "blob", "entry_id", "entry", "hash", "chunk", "spans", "root", "component_id", "kept", "sha", "id", "far", "held_out", "score", "ids", "k", "pieces", "body", "u", "v")
+CLASHING = ("key", "fp", "fingerprint", "n", "keep_id", "blob", "entry_id", "entry", "hash", "chunk", "spans", "root", "component_id", "kept", "sha", "id", "far", "held_out", "score", "ids", "k", "pieces", "body", "u", "v", "row", "pair", "stays", "may", "at", "digest", "node", "__lang", "__id", "__sha", "__n", "__blob", "__spans", "__masked", "__gone")
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
 

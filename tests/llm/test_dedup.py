@@ -45,8 +45,41 @@ def test_exact_groups(spark, clashing, key_bytes, keep):
 
 
 def test_exact_collisions_are_met(spark, odd):
-    runs = exact_dedup.flush_runs(odd, 1)
-    assert runs.select("key").distinct().count() < runs.select("sha").distinct().count()
+    rows = exact_dedup.signed(odd, 1)
+    assert rows.select("key").distinct().count() < rows.select("sha").distinct().count()
+
+
+@pytest.mark.parametrize("keep", ["largest", "smallest"])
+def test_runs_are_merged_and_asked(spark, keep):
+    rng = random.Random(3)
+    index = exact_dedup.MergeIndex(keep, fanout=2)
+    all_rows = []
+    for batch in range(5):
+        own = [(rng.choice([None, rng.randrange(50)]), bytes([rng.randrange(40)]), 1000 * batch + i) for i in range(60)]
+        all_rows += own
+        index.add(spark.createDataFrame(own, "doc_id long, key binary, entry_id long").repartition(3))
+        assert len(index.runs) <= 2
+    best = max if keep == "largest" else min
+    want = {}
+    for doc, key, entry in all_rows:
+        want.setdefault(key, []).append((doc, entry))
+    keys = spark.createDataFrame([(bytes([i]),) for i in range(60)], "key binary")
+    got = {bytes(x["key"]): (x["keep_id"], x["keep_entry"], x["n"]) for x in index.find(keys).collect()}
+    for key, own in want.items():
+        known = [x for x in own if x[0] is not None] or [(0, x[1]) for x in own]
+        doc, entry = best(known)
+        assert got.pop(key) == (doc if any(x[0] is not None for x in own) else None, entry, len(own))
+    assert not got
+    assert exact_dedup.MergeIndex().find(keys).count() == 0
+
+
+def test_memtables_are_flushed_when_full(spark):
+    rows = spark.createDataFrame([(i, bytes([i % 7]), i) for i in range(100)], "doc_id long, key binary, entry_id long").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    runs = exact_dedup.flush(rows, most=5).collect()
+    assert len(runs) > 7 and sum(x["n"] for x in runs) == 100
+    merged = exact_dedup.merge(exact_dedup.flush(rows, most=5)).collect()
+    assert sorted((bytes(x["key"])[0], x["keep_id"]) for x in merged) == [(k, max(i for i in range(100) if i % 7 == k)) for k in range(7)]
 
 
 def test_exact_dedup_of_nothing(empty):

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 from llm_cases import COLUMNS, odd_rows, sentence
 from pyspark.sql import functions as F
@@ -58,9 +60,28 @@ def test_texts_stay_where_no_row_has_a_label(spark, clashing, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
 
 
-@pytest.mark.parametrize("most", [32, 3])
-def test_near_copies_are_dropped_as_by_brute_force(spark, monkeypatch, most):
-    monkeypatch.setattr(near_copies, "MAX_PAIRED", most)
+def test_hashes_are_packed():
+    rng = np.random.default_rng(1)
+    for values in ([], [0], [5, 5, 6], rng.integers(0, 1 << 48, 5000), rng.integers(0, 300, 400)):
+        own = np.sort(np.array(values, dtype=np.uint64))
+        assert near_copies.unpack(near_copies.pack(own)).tolist() == own.tolist()
+
+
+def test_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "SHARD", 100)
+    rng = random.Random(1)
+    pool = [rng.getrandbits(64) - 2**63 for _ in range(800)]
+    rows = [([rng.choice(pool) for _ in range(rng.randrange(6))],) for _ in range(300)]
+    counts = Counter(x for own, in rows for x in set(own))
+    twice = Counter(x for own, in rows for x in own)
+    got = {x["key"] for x in near_copies.repeated_keys(spark.createDataFrame(rows, "keys array<long>").repartition(3), 800).collect()}
+    assert {(x % 2**64) >> 16 for x, n in counts.items() if n > 1} <= got == {(x % 2**64) >> 16 for x, n in twice.items() if n > 1}
+
+
+@pytest.mark.parametrize("apart", [32, 2])
+def test_near_copies_are_dropped_as_by_brute_force(spark, monkeypatch, apart):
+    monkeypatch.setattr(near_copies, "APART", apart)
+    monkeypatch.setattr(near_copies, "MANY_PAIRS", 0)
     rng = random.Random(3)
     rows, shared = [], sentence(rng, 20)
     for k in range(12):
