@@ -7,6 +7,7 @@ Over a text's words the Viterbi algorithm with a penalty for switching finds the
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,8 +24,9 @@ from .common import slices, texts
 UNKNOWN = "und"
 #: Labelled documents of each language that the model is fitted on, about: those of the smallest hashes of doc_id.
 FITTED_PER_LANGUAGE = 3000
-#: Languages that are learned at most, those with the most labelled documents.
-MAX_LANGUAGES = 500
+#: What a text must reach to be kept: the share of its letters that its language has, and by how many nats a letter its
+#: words' languages must say more about them than an even guess over the tables. Strings of random letters reach 1 or less.
+LEAST_SHARE, LEAST_GAIN = 0.4, 5.0
 #: Places in the tables of letter groups, and what is added to each count.
 BUCKETS = 1 << 15
 ADDED = 0.3
@@ -107,10 +109,15 @@ def is_held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def fit(docs: DataFrame, per_language: int = FITTED_PER_LANGUAGE) -> Model:
-    """Learns from the rows of docs (doc_id, text, lang) that are not held out and have text and lang."""
+    """Learns from the rows of docs (doc_id, text, lang) that are not held out and have text and lang.
+
+    All languages of these rows are learned, each from about per_language rows: those of the smallest hashes of
+    doc_id, so repeated rows are drawn together. The model has BUCKETS numbers for each language. Without labelled rows
+    it has no languages.
+    """
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     labelled = labelled.filter(~is_held_out() & F.col("lang").isNotNull())
-    sizes = {x["lang"]: x["n"] for x in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    sizes = {x["lang"]: x["n"] for x in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(_NAMES), 0), bool))
@@ -178,15 +185,22 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH) ->
     return back
 
 
-def label_words(model: Model, words: list[list[str]]) -> list[np.ndarray]:
-    """The place in model.languages of each word of each text."""
+def _labelled(model: Model, words: list[list[str]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each word of each text the place in model.languages of its label, and its score under that."""
     lengths = np.array([len(x) for x in words], dtype=np.int64)
     flat = [y for x in words for y in x]
     if not flat or not model.languages:
-        return [np.zeros(len(x), dtype=np.int64) for x in words]
+        return [np.zeros(len(x), dtype=np.int64) for x in words], [np.zeros(len(x)) for x in words]
     codes, distinct = pd.factorize(np.array(flat, dtype=object))
-    labels = viterbi(model.scores(list(distinct))[codes], lengths)
-    return np.split(labels, np.cumsum(lengths)[:-1])
+    scores = model.scores(list(distinct))
+    labels = viterbi(scores[codes], lengths)
+    cuts = np.cumsum(lengths)[:-1]
+    return np.split(labels, cuts), np.split(scores[codes, labels], cuts)
+
+
+def label_words(model: Model, words: list[list[str]]) -> list[np.ndarray]:
+    """The place in model.languages of each word of each text."""
+    return _labelled(model, words)[0]
 
 
 def _verdict(model: Model, words: list[str], labels: np.ndarray) -> tuple[str, float]:
@@ -222,7 +236,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def spans(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and spans, an array of lang, start, end (code points, end exclusive): a language's run of words each."""
+    """doc_id and spans of every row of docs (doc_id, text): an array of lang, start, end (code points, end exclusive).
+
+    A span is a language's run of words. Null and empty texts, texts without letters, and all texts if there were no
+    labels to learn from, have none. Each row is read by itself, so repeated rows and ties in doc_id give a row each;
+    texts of any length are read whole; an empty table gives no rows. Other columns are not read.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
@@ -246,19 +265,31 @@ def spans(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(find, "doc_id long, spans array<struct<lang: string, start: long, end: long>>")
 
 
-def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs whose text has a language, with all their columns: texts that are null or have no letters go.
+def keep_identified(docs: DataFrame, model: Model, languages: list[str] | None = None, least_share: float = LEAST_SHARE, least_gain: float = LEAST_GAIN) -> DataFrame:
+    """The rows of docs whose text is in one of the languages (None: all that were learned), with all their columns.
 
-    Texts with letters stay also if there were no labels to learn from; their language is und then.
+    A text stays if its language is one of these, has least_share of its letters or more, and its words, each under
+    the label that the Viterbi path gives it, gain least_gain nats a letter or more over an even guess; so random
+    strings and texts in languages that were not learned go. Null, empty and other texts without letters go always. If
+    there were no labels to learn from, all texts with letters stay. Each row is judged by itself, whatever its
+    doc_id, so repeated rows stay or go together; texts of any length are judged whole; of languages with as many
+    letters the first in order counts. An empty table stays empty. Columns may have any names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    even = 3 * math.log(BUCKETS)
 
-    @F.pandas_udf("string")
-    def lang(column):
-        out = []
+    @F.pandas_udf("boolean")
+    def stays(column: pd.Series) -> pd.Series:
+        model, out = shared.value, []
         for at in range(0, len(column), ROWS):
             words = [words_of(x or "") for x in column.iloc[at : at + ROWS]]
-            out += [_verdict(shared.value, x, y)[0] if x else None for x, y in zip(words, label_words(shared.value, words))]
-        return pd.Series(out, dtype=object)
-
-    return docs.withColumn("__lang", lang(F.col("text").cast("string"))).filter(F.col("__lang").isNotNull()).select(*docs.columns)
+            for own, labels, scores in zip(words, *_labelled(model, words)):
+                if not own or not model.languages:
+                    out.append(bool(own))
+                    continue
+                lang, share = _verdict(model, own, labels)
+                gain = float(scores.sum()) / sum(map(len, own)) + even
+                out.append((languages is None or lang in languages) and share >= least_share and gain >= least_gain)
+        return pd.Series(out, dtype=bool)
+
+    return docs.filter(stays(F.col("text").cast("string")))

@@ -1,24 +1,22 @@
 """Secret scans with an incremental ledger of blobs.
 
-Every version of a text is a blob, whose address is the SHA-256 of its bytes. The ledger holds which blobs were
-scanned under which version of the rules, and what was found. A scan takes the pairs of blob and rule version that
-the ledger lacks, fetches each such blob's text once, and adds to the ledger; findings are joined back to every path
-(row) of the blob.
+Every version of a text is a blob, whose address is the SHA-256 of its bytes. The ledger, a table that outlives the
+session, holds which blobs were scanned under which version of the rules, and what was found. A scan first joins
+addresses only, for the pairs of blob and rule version that the ledger lacks; a filter of these then says in each task
+which texts to scan where they are, so no text leaves its task. Findings are joined back to every path (row) of a blob.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_unique, materialise, slices, texts, utf8
+from .common import join_unique, key_filter, materialise, may_hold, scratch_root, slices, texts
 
 #: Changes whenever RULES or their checks do.
 RULES_VERSION = "2"
@@ -66,43 +64,43 @@ def written(spans: list[Span]) -> str:
 LEDGER = "blob string, rules string, n_assign long, n_access long, n_hex long, base string, spans string"
 
 
-@dataclass
+def _blob(text: str = "text") -> F.Column:
+    """A text's address; null has the empty text's."""
+    return F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)
+
+
 class Ledger:
-    """What was found in each blob under each version of the rules; None before the first scan."""
+    """What was found in each blob under each version of the rules: a Parquet table at path, which may exist already.
+
+    Without a path it is a new table in the shared folder. A scan appends to it once, when all of its blobs are done.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark = spark
+        self.path = path or f"{scratch_root(spark)}/cuesheet/ledger-{uuid.uuid4().hex}"
+        place = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            spark.createDataFrame([], LEDGER).write.parquet(self.path)
 
-    findings: DataFrame | None = None
+    @property
+    def findings(self) -> DataFrame:
+        return self.spark.read.schema(LEDGER).parquet(self.path)
 
     def unseen(self, blobs: DataFrame, rules: str = RULES_VERSION) -> DataFrame:
         """The rows of blobs (blob, ...) that were not scanned under these rules."""
-        if self.findings is None:
-            return blobs
         return blobs.join(self.findings.filter(F.col("rules") == rules).select("blob"), "blob", "left_anti")
 
     def scan(self, docs: DataFrame, rules: str = RULES_VERSION) -> DataFrame:
         """Scans the blobs of docs (doc_id, text) that are unseen and adds them; returns doc_id, blob of every row."""
-        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-
-        def address(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, 1024):
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([hashlib.sha256(x).hexdigest() for x in utf8(batch.column("text"))], pa.string())], ["doc_id", "blob"])
-
-        paths = materialise(docs.mapInArrow(address, "doc_id long, blob string"))
-        # One path for each unseen blob; a blob that only rows without an identifier have is fetched by its address.
-        fetch = self.unseen(paths.groupBy("blob").agg(F.min("doc_id").alias("path")), rules)
-
-        def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            packer = zstandard.ZstdCompressor(level=1)
-            for batch in slices(batches, 1024):
-                data = utf8(batch.column("text"))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([hashlib.sha256(x).hexdigest() for x in data], pa.string()), pa.array([packer.compress(x) for x in data], pa.binary())],
-                    ["path", "blob", "body"],
-                )
+        addressed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _blob().alias("blob"))
+        paths = materialise(addressed.select("doc_id", "blob"))
+        # One path for each unseen blob.
+        wanted = materialise(self.unseen(paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id")), rules).withColumn("pair", F.xxhash64("doc_id", "blob")))
+        asked = may_hold(key_filter(wanted, "pair"), self.spark)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            opener = zstandard.ZstdDecompressor()
             for batch in slices(batches):
-                found = [find_spans(opener.decompress(x).decode()) for x in batch.column("body").to_pylist()]
+                found = [find_spans(x) for x in texts(batch.column("text"))]
                 count = [[sum(kind == k for _, kind, _ in x) for x in found] for k in range(3)]
                 base = [written([y for y in x if y[1] < len(BASE)]) for x in found]
                 yield pa.RecordBatch.from_arrays(
@@ -110,12 +108,10 @@ class Ledger:
                     ["blob", "rules", "n_assign", "n_access", "n_hex", "base", "spans"],
                 )
 
-        bodies = docs.mapInArrow(squeeze, "path long, blob string, body binary")
-        wanted = bodies.join(fetch, bodies["path"].eqNullSafe(fetch["path"]) & (bodies["blob"] == fetch["blob"]), "left_semi")
-        found = wanted.select("blob", "body").mapInArrow(scan, LEDGER)
-        # Rows that repeat an identifier and a text were scanned each; the ledger gets one.
-        found = materialise(found.dropDuplicates(["blob"]))
-        self.findings = found if self.findings is None else self.findings.unionByName(found)
+        found = addressed.filter(asked(F.xxhash64("doc_id", "blob"))).select("blob", "text").mapInArrow(scan, LEDGER)
+        # What the filter let through by chance, or rows of one identifier and text scanned more than once, go.
+        new = materialise(found.dropDuplicates(["blob"]).join(wanted.select("blob"), "blob", "left_semi"))
+        new.write.mode("append").parquet(self.path)
         return paths
 
     def of(self, paths: DataFrame, rules: str = RULES_VERSION) -> DataFrame:
@@ -129,10 +125,10 @@ def scan_secrets(docs: DataFrame, ledger: Ledger | None = None) -> DataFrame:
     """The findings in every row of docs (doc_id, text): doc_id, blob, n_assign, n_access, n_hex, base, spans.
 
     base and spans list kind:start:end by start, then kind in the order of KINDS, joined by commas. Null counts as the
-    empty text, without findings. Rows that repeat a doc_id or have none get a row each. An empty table gives no rows.
-    Other columns of docs are not read.
+    empty text, without findings. Rows that repeat a doc_id, a text or both, or have no doc_id, get a row each. Texts of
+    any length are scanned whole. An empty table gives no rows. Other columns of docs are not read, whatever their names.
     """
-    ledger = ledger or Ledger()
+    ledger = ledger or Ledger(docs.sparkSession)
     return ledger.of(ledger.scan(docs))
 
 
@@ -151,20 +147,28 @@ def redact(text: str, spans: str, mask: str = "<SECRET>") -> str:
 def redact_secrets(docs: DataFrame, ledger: Ledger | None = None) -> DataFrame:
     """docs with each secret in its text replaced by a mark, and n_chars, if there is such a column, counted anew.
 
-    A row is joined to its findings by its blob's address, so rows without an identifier are covered too. Texts
-    without findings, null included, stay as they are.
+    A row is joined to its findings by its blob's address, so rows without an identifier and repeated rows are covered
+    too. Texts without findings, null and empty ones included, stay as they are and where they are: only rows that may
+    have findings are moved. Columns keep their order, whatever their names. An empty table stays empty.
     """
-    found = scan_secrets(docs, ledger).filter("spans <> ''").select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")).distinct()
-    keyed = docs.withColumn("__blob", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    spark = docs.sparkSession
+    ledger = ledger or Ledger(spark)
+    paths = ledger.scan(docs)
+    hits = ledger.findings.filter((F.col("rules") == RULES_VERSION) & (F.col("spans") != "")).select("blob", "spans")
+    sizes = paths.groupBy("blob").agg(F.count("*").alias("n"))
+    found = materialise(hits.join(sizes, "blob"))
+    hit = may_hold(key_filter(found.select(F.xxhash64("blob").alias("key"))), spark)
 
     @F.pandas_udf("string")
     def masked(text, spans):
         return text.combine(spans, lambda a, b: None if a is None else redact(a, b))
 
-    sizes = materialise(found.join(keyed.groupBy("__blob").agg(F.count("*").alias("n")), "__blob"))
-    hit = join_unique(keyed, sizes, "__blob", docs.count(), "left")
-    out = hit.withColumn("__masked", masked(F.when(F.col("__spans").isNotNull(), F.col("text")), F.col("__spans")))
-    changed = {"text": F.coalesce("__masked", "text")}
+    keyed = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), _blob().alias("blob")).withColumn("may", hit(F.xxhash64("blob")))
+    met = join_unique(keyed.filter("may").select("blob", "row"), found, "blob", paths.count(), "left")
+    clean = met.filter("spans is null").select("row.*")
+    dirty = met.filter("spans is not null").withColumn("masked", masked(F.col("row.text").cast("string"), F.col("spans")))
+    changed = {"text": F.col("masked").cast(docs.schema["text"].dataType)}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("__masked")).cast(docs.schema["n_chars"].dataType)
-    return out.withColumns(changed).select(*docs.columns)
+        changed["n_chars"] = F.length("masked").cast(docs.schema["n_chars"].dataType)
+    dirty = dirty.select(*(changed.get(x, F.col("row")[x]).alias(x) for x in docs.columns))
+    return keyed.filter("not may").select("row.*").unionByName(clean).unionByName(dirty)

@@ -9,12 +9,13 @@ import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from html.parser import HTMLParser
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from llm_cases import odd_rows, rows_of, sentence
@@ -462,16 +463,23 @@ def test_findings_come_back_to_every_path(spark, clashing):
     assert got.filter("spans like '%private_key%'").count() == 2 and got.filter("spans like '%prefixed%'").count() == 2
 
 
-def test_only_unseen_blobs_are_scanned(spark):
-    ledger = secrets.Ledger()
+def test_only_unseen_blobs_are_scanned(spark, tmp_path, monkeypatch):
     table = lambda *texts: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ledger = secrets.Ledger(spark, str(tmp_path / "ledger"))
     ledger.scan(table("a", "b", "a"))
     assert ledger.findings.count() == 2
-    paths = ledger.scan(table("b", "c token=abcdefgh1", "b"))
-    assert ledger.findings.count() == 3
-    assert rows_of(ledger.of(paths), "doc_id", "n_assign") == [(0, 0), (1, 1), (2, 0)]
-    ledger.scan(table("a"), rules="next")
-    assert ledger.findings.groupBy("rules").count().count() == 2
+    # A second session opens the same ledger; what it has seen is not scanned again, so a broken rule does not show.
+    again = secrets.Ledger(spark.newSession(), str(tmp_path / "ledger"))
+    paths = again.scan(table("b", "c token=abcdefgh1", "b", None))
+    assert again.findings.count() == 4
+    assert rows_of(again.of(paths), "doc_id", "n_assign") == [(0, 0), (1, 1), (2, 0), (3, 0)]
+    files = set((tmp_path / "ledger").glob("*.parquet"))
+    assert rows_of(again.unseen(paths.select("blob"))) == []
+    again.scan(table("b", "b"))
+    added = [x for x in (tmp_path / "ledger").glob("*.parquet") if x not in files]
+    assert sum(pq.read_metadata(x).num_rows for x in added) == 0
+    again.scan(table("a"), rules="next")
+    assert again.findings.groupBy("rules").count().count() == 2
 
 
 def test_secrets_are_masked(spark, clashing, empty):
@@ -521,6 +529,65 @@ def test_languages_of_texts_not_learned_from(spoken, clashing, empty, spark):
     assert kept.filter("text = 'A'").count() == clashing.filter("text = 'A'").count()
 
 
+def test_texts_of_no_learned_language_go(spoken, spark):
+    rng = random.Random(4)
+    model = langid.fit(spoken)
+    noise = " ".join("".join(rng.choice("qxzjkvwbfg") for _ in range(8)) for _ in range(30))
+    rows = [(1, speech(rng, ENGLISH)), (2, speech(rng, GERMAN)), (3, noise), (4, "一二三 四五六"), (5, speech(rng, ENGLISH, 10) + " " + speech(rng, RUSSIAN, 9) + " " + speech(rng, GERMAN, 9)), (None, speech(rng, RUSSIAN)), (7, None), (8, "12 !")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = lambda **more: {x["doc_id"] for x in langid.keep_identified(docs, model, **more).collect()}
+    assert kept() - {5} == {1, 2, None}
+    assert kept(languages=["en"]) - {5} == {1} and kept(least_share=0.6) == {1, 2, None}
+    assert kept(least_share=0.0, least_gain=-99.0) == {1, 2, 3, 4, 5, None}
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="needs the test tables")
+def test_the_whole_language_query_against_brute_force(spark):
+    """Counts in dictionaries, by the rows themselves; the places of letter groups in the tables are the operator's."""
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang").collect()
+    place = lambda *points: int(langid._mix(np.array([{1: lambda b: b, 2: lambda a, b: a << 21 | b | 1 << 43, 3: lambda a, b, c: (a << 42) ^ (b << 21) ^ c ^ 1 << 63}[len(points)](*points) % 2**64], dtype=np.uint64))[0])
+    known: dict[str, list[int]] = {}
+
+    def groups(word):
+        if word not in known:
+            x = [2, *map(ord, word), 2]
+            known[word] = [p for i in range(1, len(x) - 1) for p in (place(x[i]), place(x[i - 1], x[i]), place(*x[i - 1 : i + 2]))]
+        return known[word]
+
+    split = lambda text: [x.lower() for x in re.findall(r"[^\W\d_]+", text or "")]
+    held = lambda doc: zlib.crc32(str(doc).encode()) % 4 == 2
+    counts = defaultdict(Counter)
+    for x in rows:
+        if x["lang"] is not None and not held(x["doc_id"]):
+            for word in split(x["text"]):
+                counts[x["lang"]].update(groups(word))
+    languages = sorted(counts)
+    size = {lang: math.log(sum(counts[lang].values()) + langid.ADDED * langid.BUCKETS) for lang in languages}
+    scored: dict[str, list[float]] = {}
+    got = {x["doc_id"]: x for x in QUERIES["op10_language_id"](spark, str(DATA)).collect()}
+    assert len(got) == len(rows)
+    right = asked = 0
+    for x in rows:
+        words = split(x["text"])
+        for word in words:
+            if word not in scored:
+                scored[word] = [sum(math.log(counts[lang][g] + langid.ADDED) - size[lang] for g in groups(word)) for lang in languages]
+        row = got[x["doc_id"]]
+        assert row["held_out"] == held(x["doc_id"])
+        if not words:
+            assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+            continue
+        letters = Counter()
+        for word, k in zip(words, brute_viterbi([scored[y] for y in words], langid.SWITCH)):
+            letters[languages[k]] += len(word)
+        best = max(languages, key=lambda y: letters[y])
+        assert row["lang_pred"] == best and row["score"] == pytest.approx(letters[best] / sum(letters.values()), abs=1e-3)
+        if row["held_out"] and x["lang"] is not None:
+            asked += 1
+            right += row["lang_pred"] == x["lang"]
+    assert right >= 0.97 * asked > 0
+
+
 def test_labels_of_held_out_rows_have_no_influence(spoken):
     a = langid.fit(spoken)
     b = langid.fit(spoken.withColumn("lang", F.when(langid.is_held_out(), "xx").otherwise(F.col("lang"))))
