@@ -1,22 +1,24 @@
 """Packing of token sequences by Karmarkar-Karp multiway differencing.
 
-A task reads its documents in order and gathers their tokens up to a group of windows. Documents longer than a window
-are cut into pieces; the differencing method spreads a group's pieces over the windows: each piece is a partial
-partition with all windows but one empty, and the two partial partitions of the largest imbalance are merged, large
-sums of one with small sums of the other, until one is left. As pieces may be cut, what near-equal windows have beyond
-the capacity is cut off and fills those below it. Where a window still exceeds the capacity, as there is too little
-room in all, there is one window more.
-
-What a task has left at its end fills fewer windows and, as sequences of a power of two are not padded, shorter ones
-of such lengths. Tasks share nothing, so nothing is shuffled.
+A task reads its documents in order. Tokens of a document beyond a window are cut into full windows; what is left of
+each document is one piece, and the pieces of a group of windows are placed whole by differencing: each piece is a
+partial partition with all windows but one empty, and the two partial partitions of the largest imbalance are merged,
+large sums of one with small sums of the other, until one is left. Where a window then exceeds the capacity, there is
+one window more, and the pieces are placed anew. The near-equal windows have some room left: it is filled with tokens
+of the documents that come next, so only these are cut, and nothing is padded.
+
+At a task's end nothing comes next, and the emptiest windows are cut up to fill the others. At most one sequence of a
+task is padded. Tasks share nothing, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import zlib
 from array import array
+from collections import deque
 from collections.abc import Iterator
 from itertools import count
 
@@ -38,7 +40,13 @@ END_BYTES = END.to_bytes(4, "little")
 #: Words whose ids a Python worker remembers.
 REMEMBERED = 250_000
 
-#: The file's pattern, restated for lower-case texts of U+0000 to U+00FF only, where the classes are short.
+#: The settings of a tokenizer file under which _NARROW stands for its pattern.
+KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+KNOWN_SETTINGS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": KNOWN_PATTERN}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+#: That pattern, restated for lower-case texts of U+0000 to U+00FF only, where the classes are short.
 _LETTER, _NUMBER, _SPACE = "a-zA-ZªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
 _NARROW = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_NUMBER}{_LETTER}]+")
 
@@ -50,9 +58,15 @@ def _byte_letters() -> list[str]:
 
 
 class Words:
-    """Ids of texts by a tokenizer file of words, without special tokens of its own accord."""
+    """Ids of texts by a tokenizer file, without special tokens of its own accord.
+
+    Where the file has the known settings, words of narrow texts are split here and their ids remembered; all else is
+    the library's.
+    """
 
     def __init__(self, data: str):
+        file = json.loads(data)
+        self.known_file = all(file.get(k) == v for k, v in KNOWN_SETTINGS.items()) and file.get("post_processor") is None
         self.tokenizer = Tokenizer.from_str(data)
         self.model = self.tokenizer.model
         self.letters = dict(enumerate(_byte_letters()))
@@ -69,7 +83,7 @@ class Words:
         """The ids of a text, then END."""
         try:
             text.encode("latin-1")
-            narrow = not any(x in text for x in self.special)
+            narrow = self.known_file and not any(x in text for x in self.special)
         except UnicodeEncodeError:
             narrow = False
         if not narrow:
@@ -110,75 +124,87 @@ def difference(lengths: list[int], windows: int) -> list[list[int]]:
 Piece = tuple[int | None, int, np.ndarray, int]
 
 
-def cut(pieces: list[Piece], tokens: int) -> tuple[list[Piece], list[Piece]]:
-    """The first tokens of the pieces, and the rest."""
-    first: list[Piece] = []
-    for k, (doc, start, ids, total) in enumerate(pieces):
+def place(pieces: list[Piece], capacity: int) -> list[list[Piece]]:
+    """The pieces, whole, in near-equal windows of the capacity at most, as few as differencing finds by adding one at a time."""
+    sizes = [len(x[2]) for x in pieces]
+    windows = -(-sum(sizes) // capacity)
+    while pieces:
+        places = difference(sizes, windows)
+        if all(sum(sizes[i] for i in own) <= capacity for own in places):
+            return [[pieces[i] for i in own] for own in places]
+        windows += 1
+    return []
+
+
+def take(source: deque[Piece], tokens: int) -> list[Piece]:
+    """The first tokens of a source, as far as it goes; what is left of a piece stays in it."""
+    out: list[Piece] = []
+    while tokens and source:
+        doc, start, ids, total = source.popleft()
         if len(ids) > tokens:
-            rest = [(doc, start + tokens, ids[tokens:], total), *pieces[k + 1 :]]
-            return first + ([(doc, start, ids[:tokens], total)] if tokens else []), rest
-        first.append((doc, start, ids, total))
+            source.appendleft((doc, start + tokens, ids[tokens:], total))
+            ids = ids[:tokens]
+        out.append((doc, start, ids, total))
         tokens -= len(ids)
-    return first, []
-
-
-def level(windows: list[list[Piece]], capacity: int) -> list[list[Piece]]:
-    """The windows with what exceeds the capacity cut off and put where there is room, as far as there is."""
-    out, over = [], []
-    for pieces in windows:
-        first, rest = cut(pieces, capacity)
-        out.append(first)
-        over += rest
-    for pieces in out:
-        room = capacity - sum(len(x[2]) for x in pieces)
-        if room and over:
-            first, over = cut(over, room)
-            pieces += first
-    if over:
-        out[-1] += over
     return out
 
 
-def spread(pieces: list[Piece], windows: int, capacity: int) -> list[list[Piece]]:
-    """The pieces in near-equal windows of the capacity at most: windows of them, or more if that takes more."""
-    if not pieces:
-        return []
-    while True:
-        places = difference([len(x[2]) for x in pieces], windows)
-        out = level([[pieces[i] for i in x] for x in places], capacity)
-        if all(sum(len(x[2]) for x in own) <= capacity for own in out):
-            return out
-        windows += 1
+def tokens_of(pieces: list[Piece]) -> int:
+    return sum(len(x[2]) for x in pieces)
+
 
+def fill(windows: list[list[Piece]], source: deque[Piece], capacity: int) -> list[list[Piece]]:
+    """The windows with their room filled from the source, which is less than that, then from the emptiest windows.
 
-def whole_windows(pieces: list[Piece], capacity: int) -> list[Piece]:
-    """The pieces, with those longer than a window cut into windows and a rest."""
-    return [(doc, start + at, ids[at : at + capacity], total) for doc, start, ids, total in pieces for at in range(0, len(ids), capacity)]
+    All are full but one at most.
+    """
+    left = deque(sorted(windows, key=tokens_of))
+    out = []
+    while left:
+        own = left.pop()
+        while (room := capacity - tokens_of(own)) and (source or left):
+            if not source:
+                source.extend(left.popleft())
+            own += take(source, room)
+        out.append(own)
+    if source:
+        out.append(take(source, capacity))
+    return out
 
 
 def pack(documents: Iterator[tuple[int | None, np.ndarray]], capacity: int = CAPACITY, group: int = GROUP) -> Iterator[list[Piece]]:
     """The sequences of documents (doc_id, ids): each a list of pieces."""
-    held: list[Piece] = []
-    tokens = 0
-    for doc, ids in documents:
-        if not len(ids):
-            continue
-        held.append((doc, 0, ids, len(ids)))
-        tokens += len(ids)
-        while tokens >= group * capacity:
-            now, held = cut(held, group * capacity)
-            tokens -= group * capacity
-            yield from spread(whole_windows(now, capacity), group, capacity)
-    whole = tokens // capacity
-    now, held = cut(held, whole * capacity)
-    tokens -= whole * capacity
-    yield from spread(whole_windows(now, capacity), whole, capacity)
-    # Less than a window is left: powers of two, the largest first.
-    while tokens:
-        size = 1 << (tokens.bit_length() - 1)
-        now, held = cut(held, size)
-        tokens -= size
-        yield now
+    source: deque[Piece] = deque()
+    more = True
+
+    def read() -> bool:
+        for doc, ids in documents:
+            if len(ids):
+                source.append((doc, 0, ids, len(ids)))
+                return True
+        return False
+
+    while more or source:
+        pieces: list[Piece] = []
+        tokens = 0
+        while tokens < group * capacity and (source or (more and (more := read()))):
+            doc, start, ids, total = source.popleft()
+            whole = len(ids) - len(ids) % capacity
+            for at in range(0, whole, capacity):
+                yield [(doc, start + at, ids[at : at + capacity], total)]
+            if len(ids) > whole:
+                pieces.append((doc, start + whole, ids[whole:], total))
+                tokens += len(ids) - whole
+        windows = place(pieces, capacity)
+        room = len(windows) * capacity - tokens
+        while more and tokens_of(source) < room:
+            more = read()
+        if more:
+            for own in windows:
+                own += take(source, capacity - tokens_of(own))
+        else:
+            windows = fill(windows, source, capacity)
+        yield from windows
 
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -229,7 +255,8 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> Data
     A document's ids are those of the tokenizer file, then END; null is the empty text, of END alone. Each id is in
     exactly one piece; a sequence's pieces follow each other from offset 0 without gaps and have capacity ids at most.
     Rows that repeat a doc_id, or have none, are documents of their own. An empty table gives no rows. Other columns
-    are not read. Sequence ids are unique, not dense: the partition's number and a count in it.
+    are not read, whatever their names. A text of any length is cut into as many pieces as it takes. Sequence ids are
+    unique, not dense: the partition's number and a count in it.
     """
     return _packed(docs, path, capacity, SCHEMA, False)
 
