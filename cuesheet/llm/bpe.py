@@ -1,10 +1,11 @@
 """Byte-level BPE encoding and decoding by overlapping chunks.
 
-Texts longer than a chunk are cut into chunks that overlap; tasks split them into pre-tokens side by side. A chunk's
-first boundaries may be wrong, as it can start within a pre-token, and so may be those that touch its end. The
-pattern looks only ahead, so from a boundary that two chunks share they agree: there the later chunk takes over. Where
-no boundary of the overlap is shared, the earlier chunk's split is carried on through the later one's text.
-Pre-tokens are then encoded one by one; decoding joins the raw bytes of the ids.
+Texts longer than a chunk are cut, in one pass, into chunks that overlap; tasks split them into pre-tokens and encode
+these side by side. A chunk's first boundaries may be wrong, as it can start within a pre-token, and so may be those
+that touch its end. The pattern looks only ahead, so from a boundary that two chunks share they agree: there the later
+chunk takes over. Each chunk finds that place by itself, as it holds the next one's beginning. What is stitched in the
+end are ids. A text in which two chunks share no boundary (a run of letters longer than the overlap) is encoded whole.
+Decoding joins the raw bytes of the ids.
 """
 
 from __future__ import annotations
@@ -15,23 +16,25 @@ import re
 from collections.abc import Iterator
 from itertools import chain
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, slices, texts
+from .common import Memo, materialise, slices, texts
 
-CHUNK = 1 << 16
-OVERLAP = 1 << 10
+CHUNK = 1 << 14
+OVERLAP = 1 << 9
 #: Code points that decide where a pre-token ends, at most, beyond those of the pre-token.
 SURE = 3
 #: Pre-tokens whose ids a Python worker remembers.
 REMEMBERED = 250_000
 
-#: The pattern of the rank files, restated for texts of U+0000 to U+00FF only, where the classes are short.
+#: Fixed value: the pattern of the rank files.
+KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: That pattern, restated for texts of U+0000 to U+00FF only, where the classes are short.
 _LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
 _NARROW = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_NUMBER}{_LETTER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
@@ -58,14 +61,24 @@ class Coder:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.wide = regex.compile(pattern)
+        self.known_pattern = pattern == KNOWN_PATTERN
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.digits_of = {rank: str(rank) for rank in ranks.values()}
         #: The ids of pre-tokens.
         self.known = Memo(lambda piece: tuple(self.encoding.encode_ordinary(piece)), REMEMBERED)
 
     def pieces(self, text: str) -> list[str]:
-        """The pre-tokens of a text, in order; together they are the text."""
-        return _NARROW.findall(text) if is_narrow(text) else self.wide.findall(text)
+        """The pre-tokens of a text, in order: the pattern's matches. Under the known pattern they are the whole text."""
+        if self.known_pattern and is_narrow(text):
+            return _NARROW.findall(text)
+        return [m[0] for m in self.wide.finditer(text)]
+
+    def places(self, text: str) -> list[tuple[int, str]]:
+        """The pre-tokens with where they start."""
+        if self.known_pattern:
+            pieces = self.pieces(text)
+            return list(zip(starts_of(pieces, 0), pieces))
+        return [(m.start(), m[0]) for m in self.wide.finditer(text)]
 
     def encode(self, text: str) -> list[int]:
         return self.ids(self.pieces(text))
@@ -92,36 +105,32 @@ def starts_of(pieces: list[str], at: int) -> list[int]:
     return out
 
 
-def stitch(chunks: list[tuple[int, list[str]]], split) -> list[str]:
-    """The pre-tokens of a text from those of its chunks: (start, pre-tokens) by start, each overlapping the next.
+def shared_start(own: list[tuple[int, str]], following: list[tuple[int, str]], sure: int) -> int | None:
+    """The first place, up to sure, where a piece of both begins."""
+    begins = {at for at, _ in following}
+    return next((at for at, _ in own if at in begins and at <= sure), None)
 
-    split: from a text to its pre-tokens.
+
+def encode_chunk(coder: Coder, part: str, chunk: int, last: bool) -> tuple[list[int], list[int], list[int], int | None]:
+    """Ids of a chunk's pre-tokens up to where the next one takes over, and what the one before needs to stitch.
+
+    part: the chunk's text, with the overlap unless it is the last. Returns the ids, the places in the overlap's length
+    at which pre-tokens start and how many ids are before each, and the place in the next chunk where that takes over:
+    None if the two share no boundary.
     """
-    start, own = chunks[0]
-    done: list[str] = []
-    for following, pieces in chunks[1:]:
-        begins = dict(zip(starts_of(pieces, following), range(len(pieces))))
-        end = start + sum(map(len, own))
-        # Pieces that end within SURE of the chunk's end may be cut short by it.
-        at, sure, sync = start, 0, None
-        while sure < len(own) and at <= end - SURE:
-            if at in begins:
-                sync = begins[at]
-                break
-            at += len(own[sure])
-            sure += 1
-        if sync is not None:
-            done += own[:sure]
-            own = pieces[sync:]
-        else:
-            if at > end - SURE and sure:
-                sure -= 1
-                at -= len(own[sure])
-            tail = "".join(own[sure:])
-            done += own[:sure]
-            own = split(tail + "".join(pieces)[end - following :])
-        start = at
-    return done + own
+    places = coder.places(part)
+    over = None
+    if not last:
+        own = [x for x in places if x[0] >= chunk]
+        head = coder.places(part[chunk:])
+        # Pieces that end within SURE of the part's end may be cut short by it, so the last start that counts is before.
+        starts = [(at - chunk, x) for at, x in own if at + len(x) <= len(part) - SURE]
+        over = shared_start(starts, head, len(part))
+        places = [x for x in places if over is not None and x[0] < chunk + over]
+    ids = [coder.known[x] for _, x in places]
+    before = np.cumsum([0, *map(len, ids)]).tolist()
+    heads = [(at, n) for (at, _), n in zip(places, before) if at <= len(part) - chunk or at <= OVERLAP]
+    return list(chain.from_iterable(ids)), [at for at, _ in heads], [n for _, n in heads], over
 
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -160,25 +169,47 @@ def _encoded(docs: DataFrame, path: str, pattern: str, schema: str, result, chun
             rows = [result(coder, coder.encode(x)) for x in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([x[k] for x in rows], t) for k, t in enumerate(_types(schema)))], names)
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_of()
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 16):
-            pieces = [coder.pieces(x) for x in batch.column("part").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("doc_id", "entry", "k")), pa.array(pieces, pa.list_(pa.string()))], ["doc_id", "entry", "k", "pieces"])
-
-    def join(group: pd.DataFrame) -> pd.DataFrame:
+            for doc, entry, text in zip(*(batch.column(x).to_pylist() for x in ("doc_id", "entry", "text"))):
+                starts = range(0, len(text), chunk)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([doc] * len(starts), pa.int64()), pa.array([entry] * len(starts), pa.int64()), pa.array(range(len(starts)), pa.int64()), pa.array([at + chunk >= len(text) for at in starts]), pa.array([text[at : at + chunk + overlap] for at in starts], pa.string())],
+                    ["doc_id", "entry", "k", "last", "part"],
+                )
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of()
-        group = group.sort_values("k")
-        pieces = stitch([(int(k) * chunk, list(x)) for k, x in zip(group["k"], group["pieces"])], coder.pieces)
-        out = result(coder, coder.ids(pieces))
-        return pd.DataFrame({"doc_id": group["doc_id"].iloc[:1].astype("Int64"), **{name: [x] for name, x in zip(names[1:], out)}})
-
-    short = docs.filter(f"text is null or length(text) <= {chunk + overlap}").mapInArrow(whole, schema)
-    long = docs.filter(f"length(text) > {chunk + overlap}").withColumn("entry", F.monotonically_increasing_id())
-    places = F.explode(F.expr(f"sequence(0L, (length(text) - 1) div {chunk})"))
-    parts = long.select("doc_id", "entry", "text", places.alias("k")).select("doc_id", "entry", "k", F.expr(f"substring(text, cast(k * {chunk} as int) + 1, {chunk + overlap})").alias("part"))
-    dealt = parts.repartition("entry", "k").mapInArrow(split, "doc_id long, entry long, k long, pieces array<string>")
-    return short.unionByName(dealt.groupBy("entry").applyInPandas(join, schema))
+        for batch in slices(batches, 16):
+            out = [encode_chunk(coder, x, chunk, last) for x, last in zip(batch.column("part").to_pylist(), batch.column("last").to_pylist())]
+            lists = [pa.array([x[i] for x in out], pa.list_(pa.int32())) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("doc_id", "entry", "k", "last")), *lists, pa.array([x[3] for x in out], pa.int32())], ["doc_id", "entry", "k", "last", "ids", "starts", "before", "over"])
+
+    def join(key, group):
+        """A text's chunks in order: from each the ids from where it takes over."""
+        rows = sorted(group.to_pylist(), key=lambda x: x["k"])
+        ids: list[int] = []
+        over: int | None = 0
+        whole = False
+        for x in rows:
+            known = dict(zip(x["starts"], x["before"]))
+            if x["k"] and (over is None or (over not in known and x["ids"])):
+                whole = True
+                break
+            ids += x["ids"][known.get(over, 0) if x["k"] else 0 :]
+            over = x["over"]
+        out = [None] * (len(names) - 1) if whole else result(coder_of(), ids)
+        columns = [pa.array([rows[0]["doc_id"]], pa.int64()), *(pa.array([x], t) for x, t in zip(out, _types(schema))), pa.array([rows[0]["entry"]], pa.int64()), pa.array([whole])]
+        return pa.Table.from_arrays(columns, [*names, "entry", "whole"])
+
+    cuts = f"length(text) > {chunk + overlap}"
+    short = docs.filter(f"text is null or not {cuts}").mapInArrow(whole, schema)
+    long = materialise(docs.filter(cuts).withColumn("entry", F.monotonically_increasing_id()))
+    parts = long.mapInArrow(cut, "doc_id long, entry long, k long, last boolean, part string").repartition("entry", "k")
+    encoded = parts.mapInArrow(encode, "doc_id long, entry long, k long, last boolean, ids array<int>, starts array<int>, before array<int>, over int")
+    joined = materialise(encoded.groupBy("entry").applyInArrow(join, f"{schema}, entry long, whole boolean"))
+    unshared = long.join(joined.filter("whole").select("entry"), "entry", "left_semi").select("doc_id", "text")
+    return short.unionByName(joined.filter("not whole").select(*names)).unionByName(unshared.mapInArrow(whole, schema))
 
 
 def _types(schema: str) -> list[pa.DataType]:
@@ -189,9 +220,10 @@ def _types(schema: str) -> list[pa.DataType]:
 def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """doc_id, ids of every row of docs (doc_id, text); null is the empty text, which has no ids.
 
-    path: a file of ranks; pattern: what splits a text into pre-tokens, with no look behind. Special tokens are
-    ordinary text. Each row is encoded by itself: repeated rows and null identifiers give a row each. An empty table
-    gives no rows. Other columns are not read.
+    path: a file of ranks; pattern: what splits a text into pre-tokens, with no look behind and looking SURE code points
+    ahead at most. Special tokens are ordinary text. Each row is encoded by itself: repeated rows, ties and null
+    identifiers give a row each. Texts of any length are encoded whole, long ones by chunks in several tasks. An empty
+    table gives no rows. Other columns are not read, whatever their names.
     """
     return _encoded(docs, path, pattern, IDS, lambda coder, ids: (ids,), chunk, overlap)
 

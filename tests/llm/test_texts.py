@@ -305,15 +305,35 @@ LETTERS = [*" \t\n\r\x0b\x0c\x1c\x85\xa0'", "st", "re", " ABC", "é", "ß", "²"
 
 def test_pieces_and_stitching(encoding):
     coder = bpe.Coder(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    assert coder.known_pattern
     rng = random.Random(1)
+    shared = unshared = 0
     for k in range(3000):
         text = "".join(rng.choice(LETTERS[: 20 if k % 2 else None]) for _ in range(rng.randrange(30)))
         ids = coder.encode(text)
         assert ids == encoding.encode_ordinary(text), text
         assert coder.decode(ids) == text.encode()
         chunk, overlap = rng.randrange(3, 12), rng.randrange(0, 9)
-        parts = [(at, coder.pieces(text[at : at + chunk + overlap])) for at in range(0, max(1, len(text)), chunk)]
-        assert bpe.stitch(parts, coder.pieces) == coder.pieces(text), (text, chunk, overlap)
+        stitched, over = [], 0
+        for at in range(0, max(1, len(text)), chunk):
+            own, starts, before, then = bpe.encode_chunk(coder, text[at : at + chunk + overlap], chunk, at + chunk >= len(text))
+            known = dict(zip(starts, before))
+            if over is None or at and own and over not in known:
+                over = None
+                break
+            stitched += own[known.get(over, 0) if at else 0 :]
+            over = then
+            shared += at > 0
+        assert over is None or stitched == ids, (text, chunk, overlap)
+        unshared += over is None and len(text) > chunk
+    assert shared > 500 and unshared > 100
+
+
+def test_other_patterns_split_by_themselves():
+    coder = bpe.Coder(bpe.read_ranks(RANKS), r"[a-z]+|\s+|.")
+    assert coder.pieces("Hello World é") == ["H", "ello", " ", "W", "orld", " ", "é"]
+    own = tiktoken.Encoding("x", pat_str=r"[a-z]+|\s+|.", mergeable_ranks={b: i for b, i in coder.encoding._mergeable_ranks.items()}, special_tokens={})
+    assert coder.encode("Hello World é") == own.encode_ordinary("Hello World é")
 
 
 @pytest.mark.parametrize(("chunk", "overlap"), [(bpe.CHUNK, bpe.OVERLAP), (50, 8)])
