@@ -27,7 +27,7 @@ SPACE = b" \t\n\x0b\x0c\r"
 #: Keys that fewer documents hold are not indexed.
 INDEXED_FROM = 2
 SHARD_KEYS = 1 << 16
-#: Bytes of arrays up to which they are broadcast.
+#: Bytes of arrays, as they are in a Python worker's memory, up to which they are broadcast.
 MAX_BROADCAST = 64 << 20
 #: Room for each key on a level of the perfect hash.
 ROOM = 1.5
@@ -56,46 +56,52 @@ class PerfectHash:
     """A minimal perfect hash of distinct 64-bit keys: on each level a key alone in its place stays, the others go on.
 
     A key's value is the number of places taken before its own. Limasset et al., Fast and scalable minimal perfect
-    hashing for massive key sets, 2017.
+    hashing for massive key sets, 2017. A level is bits in words of 64, with the number of bits set before each word.
     """
 
-    def __init__(self, levels: list[np.ndarray]):
+    def __init__(self, levels: list[tuple[int, np.ndarray]]):
         self.levels = levels
-        self.before = np.cumsum([0, *(int(x.sum()) for x in levels)])
-        self.ranks = [np.cumsum(x, dtype=np.int64) - x for x in levels]
+        self.ranks, before = [], 0
+        for _, words in levels:
+            counts = np.bitwise_count(words).astype(np.int64)
+            ends = np.cumsum(counts)
+            self.ranks.append((before + ends - counts).astype(np.uint32))
+            before += int(ends[-1])
 
     @classmethod
     def build(cls, keys: np.ndarray) -> PerfectHash:
         levels, left = [], keys
         while len(left):
-            at = _mix(left, len(levels)) % np.uint64(max(1, int(ROOM * len(left))))
-            taken = np.bincount(at.astype(np.int64), minlength=max(1, int(ROOM * len(left)))) == 1
-            levels.append(taken)
-            left = left[~taken[at.astype(np.int64)]]
+            size = max(1, int(ROOM * len(left)))
+            at = (_mix(left, len(levels)) % np.uint64(size)).astype(np.int64)
+            taken = np.bincount(at, minlength=-(-size // 64) * 64) == 1
+            levels.append((size, np.packbits(taken, bitorder="little").view("<u8")))
+            left = left[~taken[at]]
         return cls(levels)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The value of each key; -1, or any value, for keys that were not there."""
         out = np.full(len(keys), -1, dtype=np.int64)
         left = np.arange(len(keys))
-        for level, taken in enumerate(self.levels):
-            at = (_mix(keys[left], level) % np.uint64(len(taken))).astype(np.int64)
-            hit = taken[at]
-            out[left[hit]] = self.before[level] + self.ranks[level][at[hit]]
+        for level, ((size, words), ranks) in enumerate(zip(self.levels, self.ranks)):
+            at = _mix(keys[left], level) % np.uint64(size)
+            word, bit = words[at >> np.uint64(6)], np.uint64(1) << (at & np.uint64(63))
+            hit = (word & bit) != 0
+            out[left[hit]] = ranks[at[hit] >> np.uint64(6)] + np.bitwise_count(word[hit] & (bit[hit] - np.uint64(1))).astype(np.int64)
             left = left[~hit]
         return out
 
     def to_bytes(self) -> bytes:
-        return b"".join(len(x).to_bytes(8, "little") + np.packbits(x).tobytes() for x in self.levels)
+        return b"".join(size.to_bytes(8, "little") + words.tobytes() for size, words in self.levels)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> PerfectHash:
         levels, at = [], 0
         while at < len(data):
-            n = int.from_bytes(data[at : at + 8], "little")
-            size = (n + 7) // 8
-            levels.append(np.unpackbits(np.frombuffer(data, np.uint8, size, at + 8), count=n).astype(bool))
-            at += 8 + size
+            size = int.from_bytes(data[at : at + 8], "little")
+            words = np.frombuffer(data, "<u8", -(-size // 64), at + 8)
+            levels.append((size, words))
+            at += 8 + words.nbytes
         return cls(levels)
 
 
@@ -133,7 +139,7 @@ class Shard:
         at = self.perfect.find(self._keys(low, high, self.seed))
         if not len(self.counts):
             return np.zeros(len(hashes), dtype=np.int64)
-        return np.where((at >= 0) & (self.prints[at] == high), self.counts[at], 0)
+        return np.where((at >= 0) & (self.prints[at] == high), self.counts[at].astype(np.int64), 0)
 
 
 def _memtable(held: Counter) -> pa.RecordBatch:
@@ -173,7 +179,7 @@ def build_index(counts: DataFrame, shards: int) -> DataFrame:
 
 
 def _load(row) -> Shard:
-    return Shard(int(row["seed"]), PerfectHash.from_bytes(bytes(row["perfect"])), np.frombuffer(row["prints"], "<u8"), np.frombuffer(row["counts"], "<u4").astype(np.int64))
+    return Shard(int(row["seed"]), PerfectHash.from_bytes(bytes(row["perfect"])), np.frombuffer(row["prints"], "<u8"), np.frombuffer(row["counts"], "<u4"))
 
 
 def _drop(texts: list[bytes], gone: list[list[bool]]) -> list[list]:
@@ -255,8 +261,8 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, least: int = 1, max_b
 
     A text is split at line feeds; null and the empty text are one empty line. A key of at least least code points
     that at least min_docs (2 or more) rows hold loses all its lines everywhere; the other lines stay in order. A row
-    counts once for a key however often it has the line, and rows that repeat a doc_id count each. An empty table
-    gives no rows. Other columns of docs are not read.
+    counts once for a key however often it has the line, and rows that repeat a doc_id, a text or both count each. Texts
+    of any length are read whole. An empty table gives no rows. Other columns of docs are not read, whatever their names.
     """
     if min_docs < INDEXED_FROM or least < 1:
         raise ValueError(f"min_docs must be {INDEXED_FROM} or more, least 1 or more")
@@ -264,6 +270,7 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, least: int = 1, max_b
     counts = materialise(count_lines(docs, least).filter(F.col("n") >= INDEXED_FROM))
     shards = max(1, -(-counts.count() // SHARD_KEYS))
     index = materialise(build_index(counts, shards))
-    size = index.agg(F.sum(F.length("perfect") + F.length("prints") + F.length("counts"))).first()[0] or 0
+    # The arrays are used as they are; a word of the perfect hash has four more bytes, for what is set before it.
+    size = index.agg(F.sum(F.length("perfect") * 1.5 + F.length("prints") + F.length("counts"))).first()[0] or 0
     probe = _probe_broadcast if size <= max_broadcast else _probe_shuffled
     return probe(docs, index, shards, min_docs, least)

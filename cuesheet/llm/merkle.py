@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, slices, texts
+from .common import slices, texts
 
 LEAF = 100
 #: Bytes of the digests that the fingerprint has of inner nodes and leaves.
@@ -155,37 +155,50 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def compare_with_edited(docs: DataFrame, chunks: int | None = None) -> DataFrame:
+#: Bytes of texts of a chunk, about: what a task compares, and holds of it only two texts at a time.
+CHUNK_BYTES = 32 << 20
+#: Code points of a text that part rows of one doc_id.
+PART_BY = 32
+
+
+def compare_with_edited(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Every row of docs (doc_id, text) against an edited text and the next document.
 
     Documents follow each other by falling doc_id, after the last the first; rows that share a doc_id by rising text,
     those without one come last. A document alone is its own next. The edited text has the last floor(n_chars / 2)
-    code points replaced by the first as many, or all, of the next document. Null is the empty text. An empty table
-    gives no rows. Other columns are not read. Returns doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next (the likeness to the edited text's and the next document's tree).
-
-    Ranges of doc_id are chunks, whose texts meet in one shuffle; a copy of the first document of each range goes to
-    the range before it, so that tasks need nothing of each other.
+    code points replaced by the first as many, or all, of the next document. Null is the empty text; texts of any
+    length are read whole; repeated rows get a row each. An empty table gives no rows. Other columns are not read,
+    whatever their names. Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
+    near_next (the likeness to the edited text's and the next document's tree).
+
+    Ranges of this order are chunks of about chunk_bytes, whose texts meet in one shuffle; rows of one doc_id are parted
+    by the beginnings of their texts. A copy of the first document of each range goes to the range before it, so that
+    tasks need nothing of each other.
     """
-    spark = docs.sparkSession
-    partitions = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    key = F.coalesce("doc_id", F.lit(NULL_ID))
-    # Spark's own range partitioner cuts the identifiers, which are all that this reads: a row per range comes back.
-    ranges = docs.select(key.alias("id")).repartitionByRange(4 * partitions, "id").groupBy(F.spark_partition_id()).agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    bounds = sorted((x["low"], x["high"]) for x in ranges.collect())
+    # Rising, so that bounds can be looked up: the larger identifier first, and those without one last.
+    rank = F.coalesce(-F.col("doc_id"), F.lit(2**63 - 1))
+    place = docs.select(rank.alias("rank"), F.substring(F.coalesce("text", F.lit("")), 1, PART_BY).alias("begin"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    total = place.agg(F.sum("size")).first()[0] or 0
+    partitions = max(1, -(-total // chunk_bytes))
+    spark = docs.sparkSession
+    partitions = max(partitions, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (1 << 20))), 1)
+    # Spark's own range partitioner cuts the order; a row per range comes back.
+    ranges = place.repartitionByRange(partitions, "rank", "begin").groupBy(F.spark_partition_id()).agg(F.min(F.struct("rank", "begin")).alias("low"), F.max(F.struct("rank", "begin")).alias("high"))
+    bounds = sorted((tuple(x["low"]), tuple(x["high"])) for x in ranges.collect())
     lows = [x for x, _ in bounds]
-    above = {high: (k + 1) % len(bounds) for k, (_, high) in enumerate(bounds)}
+    # The first rows of a range are copied to the range before it.
+    before = {low: (k - 1) % len(bounds) for k, low in enumerate(lows)}
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
-            ids = batch.column("id").to_pylist()
-            chunk = [bisect.bisect_right(lows, x) - 1 for x in ids]
-            far = [i for i, x in enumerate(ids) if x in above]
-            rows = pa.array([*range(len(ids)), *far], pa.int64())
+            keys = list(zip(batch.column("rank").to_pylist(), batch.column("begin").to_pylist()))
+            chunk = [bisect.bisect_right(lows, x) - 1 for x in keys]
+            far = [i for i, x in enumerate(keys) if x in before]
+            rows = pa.array([*range(len(keys)), *far], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([*chunk, *(above[ids[i]] for i in far)], pa.int64()), pa.array([False] * len(ids) + [True] * len(far)), *(batch.column(x).take(rows) for x in ("id", "doc_id", "text"))],
-                ["chunk", "far", "id", "doc_id", "text"],
+                [pa.array([*chunk, *(before[keys[i]] for i in far)], pa.int32()), pa.array([False] * len(keys) + [True] * len(far)), *(batch.column(x).take(rows) for x in ("rank", "doc_id", "text"))],
+                ["chunk", "far", "rank", "doc_id", "text"],
             )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,6 +220,6 @@ def compare_with_edited(docs: DataFrame, chunks: int | None = None) -> DataFrame
                 last, done = (None, chunk) if far else ((doc, text, own), done)
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate([pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()])], [x.split()[0] for x in RESULT.split(", ")])
 
-    dealt = docs.select(key.alias("id"), "doc_id", "text").mapInArrow(deal, "chunk long, far boolean, id long, doc_id long, text string")
-    ordered = dealt.repartition(partitions, "chunk").sortWithinPartitions("chunk", "far", F.desc("id"), F.coalesce("text", F.lit("")))
+    dealt = docs.select(rank.alias("rank"), F.substring(F.coalesce("text", F.lit("")), 1, PART_BY).alias("begin"), "doc_id", "text").mapInArrow(deal, "chunk int, far boolean, rank long, doc_id long, text string")
+    ordered = dealt.repartitionById(max(1, len(bounds)), "chunk").sortWithinPartitions("chunk", "far", "rank", F.coalesce("text", F.lit("")))
     return ordered.mapInArrow(compare, RESULT)

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from .common import slices, texts
 
 MARK = "▁"
-#: Texts whose pre-tokens form a trie.
-ROWS = 1024
+#: Texts whose pre-tokens form a trie, at most: batches may be smaller.
+ROWS = 512
 #: Pre-tokens whose counts are remembered; as many again may be.
 REMEMBERED = 300_000
 
@@ -95,8 +95,9 @@ class Counter:
 def count_tokens(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, n_pretokens of every row of docs (doc_id, text).
 
-    path: a vocabulary file. Texts that are null or white space have no tokens. Each row is counted by itself, so
-    repeated rows give repeated results; an empty table gives no rows. Other columns are not read.
+    path: a vocabulary file. Texts that are null, empty or white space have no tokens. Each row is counted by itself, so
+    repeated rows and ties in doc_id give a row each; texts of any length are counted whole; an empty table gives no
+    rows. Other columns are not read, whatever their names.
     """
     scores = docs.sparkSession.sparkContext.broadcast(read_scores(path))
 

@@ -11,6 +11,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 from html.parser import HTMLParser
 from pathlib import Path
 
@@ -269,8 +270,13 @@ def test_leaves_cover_the_text(text):
     assert merkle._weight(sections) + text.count("\n") == len(text)
 
 
-def test_edited_texts(spark, clashing):
-    rows = odd()
+@pytest.mark.parametrize("chunk_bytes", [1 << 25, 2000])
+def test_edited_texts(spark, clashing, chunk_bytes):
+    rng = random.Random(3)
+    # Many rows of one identifier, and of none, which chunks part by their texts.
+    more = [(x, sentence(rng, 30)) for x in (77, None) for _ in range(120)]
+    clashing = clashing.select("doc_id", "text", "chunk").unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
+    rows = odd() + more
     order = sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), x[1] or ""))
     want = []
     for k, (doc, text) in enumerate(order):
@@ -279,7 +285,7 @@ def test_edited_texts(spark, clashing):
         edited = text[: len(text) - half] + after[:half]
         trees = [merkle.tree(x) for x in (text, edited, after)]
         want.append((doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), merkle.write(*trees[0]), merkle.write(*trees[1]), merkle.likeness(trees[0], trees[1]), merkle.likeness(trees[0], trees[2])))
-    got = rows_of(merkle.compare_with_edited(clashing), "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    got = rows_of(merkle.compare_with_edited(clashing, chunk_bytes), "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
     assert got == sorted(want, key=repr)
 
 
@@ -375,9 +381,9 @@ def test_token_counts(clashing, empty):
     words = ["".join(rng.choice("etaoin shrdlué中😀") for _ in range(rng.randrange(1, 12))).replace(" ", "x") for _ in range(500)]
     counter.learn(set(words))
     assert all(counter.known[x] == brute_count(x, scores, counter.byte) for x in words)
-    want = [(d, sum(brute_count(x, scores, counter.byte) for x in (t or "")[:3000].split()), len((t or "")[:3000].split())) for d, t in odd()]
-    short = clashing.withColumn("text", F.substring("text", 1, 3000))
-    assert rows_of(token_counts.count_tokens(short, PIECES), "doc_id", "n_tokens", "n_pretokens") == sorted(want, key=repr)
+    by_word = lru_cache(None)(lambda x: brute_count(x, scores, counter.byte))
+    want = [(d, sum(map(by_word, (t or "").split())), len((t or "").split())) for d, t in odd()]
+    assert rows_of(token_counts.count_tokens(clashing, PIECES), "doc_id", "n_tokens", "n_pretokens") == sorted(want, key=repr)
     assert token_counts.count_tokens(empty, PIECES).count() == 0
 
 
