@@ -6,14 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .numbers import clamp01, conf_to_unit, round_to
-from .text import LINE_END, TOKEN, compact_length, strip
+from .text import SPACE_CLASS
 
 #: Patterns of words, digits and punctuation, the weights of the scores, and the flags' limits.
 WORD = r"[A-Za-z][A-Za-z'\-]*"
 DIGITS = r"\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨"
 PUNCTUATION = r".,:;!?()\[\]"
-#: Tokens but those of up to 16 letters and a full stop at most, which are neither weird nor joined whatever they are.
-ODD_TOKEN = r"(?U)(?<![^\s\x1c-\x1f])(?!\p{L}{1,16}\.?(?![^\s\x1c-\x1f]))[^\s\x1c-\x1f]+"
+#: A token of up to 16 letters, and a full stop at most, is neither weird nor joined, whatever it is.
+PLAIN_TOKEN = r"^\p{L}{1,16}\.?$"
+#: A line with more than white space, from its first character on.
+FULL_LINE = rf"[^{SPACE_CLASS}][^\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]*"
 LOW_CONFIDENCE, LOW_LEXICALITY, MANY_JOINED, GARBLED = 0.65, 0.60, 0.08, 0.55
 
 
@@ -30,17 +32,21 @@ def _is_joined(token: Column) -> Column:
     return (F.length(token) >= 18) & (_letters(token) / F.length(token) > 0.8) & ~token.rlike("[-_]")
 
 
-def text_counts(text: Column) -> Column:
-    """What the patterns find in a text: all that reads the text itself."""
+def tokens_of(text: Column) -> Column:
+    return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACE_CLASS}]+"), lambda x: x != "")
+
+
+def text_counts(text: Column, tokens: Column) -> Column:
+    """What is found in a text and its tokens: all that reads the text itself."""
     text = F.coalesce(text, F.lit(""))
     return F.struct(
-        F.regexp_count(text, F.lit(TOKEN)).alias("tokens"),
+        F.size(tokens).alias("tokens"),
         F.regexp_count(text, F.lit(WORD)).alias("words"),
-        F.regexp_extract_all(text, F.lit(ODD_TOKEN), F.lit(0)).alias("odd"),
-        F.size(F.filter(F.split(text, LINE_END), lambda x: strip(x) != "")).alias("lines"),
-        F.length(F.regexp_replace(text, f"[^{PUNCTUATION}]", "")).alias("marks"),
+        F.filter(tokens, lambda x: ~x.rlike(PLAIN_TOKEN)).alias("odd"),
+        F.regexp_count(text, F.lit(FULL_LINE)).alias("lines"),
+        F.regexp_count(text, F.lit(f"[{PUNCTUATION}]")).alias("marks"),
         F.length(text).alias("length"),
-        compact_length(text).alias("compact"),
+        F.length(F.array_join(tokens, " ")).alias("compact"),
     )
 
 
@@ -95,10 +101,12 @@ def with_quality(df, text: str = "text", conf: str = "avg_conf"):
     """df with quality_score, quality_flags and quality_metrics of its text; columns of these names are replaced.
 
     Each step goes through a generator of one row, as projections on top of each other are merged by the optimizer,
-    which would then run the patterns over the text again for each place that uses what they found.
+    which would then run the patterns over the text again for each place that uses what they found. The text is split
+    into tokens once; tokens are tested one by one.
     """
     once = lambda column, name: F.explode_outer(F.array(column)).alias(name)
-    scored = df.select("*", once(text_counts(F.col(text)), "__c"))
+    scored = df.select("*", once(tokens_of(F.col(text)), "__t"))
+    scored = scored.select("*", once(text_counts(F.col(text), F.col("__t")), "__c")).drop("__t")
     scored = scored.select("*", once(lexical_metrics(F.col("__c")), "__m"))
     scored = scored.select("*", once(score_text(F.col("__m"), F.col(conf)), "__q"))
     return scored.withColumns({x: F.col(f"__q.{x}") for x in ("quality_score", "quality_flags", "quality_metrics")}).drop("__c", "__m", "__q")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 SPACES = r"(?U)[\s\x1c-\x1f]+"
 TOKEN = r"(?U)[^\s\x1c-\x1f]+"
+#: White space again, as a class of characters by itself, which is matched faster.
+SPACE_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LINE_END = "\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85  ]"
 
 

@@ -52,22 +52,31 @@ def top_candidates(segments: DataFrame, frames: DataFrame, max_gap: float = 10.0
     return ranked.filter(F.col("rank") <= max(1, int(k)))
 
 
-def prev_next(segments: DataFrame, frames: DataFrame) -> DataFrame:
+def prev_next(segments: DataFrame, frames: DataFrame, bucket: float = 300.0) -> DataFrame:
     """Each segment with the last frame before its middle (prev) and the first at or after it (next), as structs.
 
     Both tables are put in one order of time, in which a segment's middle comes before a frame of the same time; of
-    frames of one time the largest seq is prev and the smallest is next.
+    frames of one time the largest seq is prev and the smallest is next. Frames without a time are none of them.
+
+    Time is cut into buckets, each ordered by itself, so a long recording is spread over tasks. What is before and
+    after a bucket comes from the first and last frame of the others, a row a bucket.
     """
     shape = F.struct(*[x for x in frames.columns if x != "video_id"])
-    points = frames.select("video_id", F.col("timestamp").alias("__t"), F.lit(1).alias("__kind"), F.col("seq").alias("__seq"), shape.alias("__frame"), F.lit(None).cast(segments.drop("video_id").schema).alias("__segment"))
+    points = frames.filter("timestamp is not null").select("video_id", F.col("timestamp").alias("__t"), F.lit(1).alias("__kind"), F.col("seq").alias("__seq"), shape.alias("__frame"), F.lit(None).cast(segments.drop("video_id").schema).alias("__segment"))
     middles = segments.select("video_id", ((F.col("start") + F.col("end")) / 2.0).alias("__t"), F.lit(0).alias("__kind"), F.col("seq").alias("__seq"), F.lit(None).cast(points.schema["__frame"].dataType).alias("__frame"), F.struct(*[x for x in segments.columns if x != "video_id"]).alias("__segment"))
-    by = Window.partitionBy("video_id").orderBy("__t", "__kind", "__seq")
-    prev = F.last("__frame", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    both = points.unionByName(middles).withColumn("__b", F.floor(F.col("__t") / bucket))
+    past = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy("video_id", "__b")
+    prev = F.last("__frame", ignorenulls=True).over(past(own.orderBy("__t", "__kind", "__seq")))
     # Read backwards, the first frame ahead is the last one seen.
-    back = Window.partitionBy("video_id").orderBy(F.desc("__t"), F.desc("__kind"), F.desc("__seq"))
-    following = F.last("__frame", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
-    both = points.unionByName(middles).withColumns({"prev": prev, "next": following}).filter("__kind = 0")
-    return both.select("video_id", "__segment.*", "prev", "next")
+    following = F.last("__frame", ignorenulls=True).over(past(own.orderBy(F.desc("__t"), F.desc("__kind"), F.desc("__seq"))))
+    inside = both.withColumns({"prev": prev, "next": following}).filter("__kind = 0")
+    at = F.when(F.col("__kind") == 1, F.struct("__t", "__seq"))
+    edges = both.groupBy("video_id", "__b").agg(F.min_by("__frame", at).alias("__first"), F.max_by("__frame", at).alias("__last"))
+    buckets = Window.partitionBy("video_id")
+    carried = edges.select("video_id", "__b", F.last("__last", ignorenulls=True).over(past(buckets.orderBy("__b"))).alias("__before"), F.last("__first", ignorenulls=True).over(past(buckets.orderBy(F.desc("__b")))).alias("__after"))
+    found = inside.join(carried, ["video_id", "__b"], "left")
+    return found.select("video_id", "__segment.*", F.coalesce("prev", "__before").alias("prev"), F.coalesce("next", "__after").alias("next"))
 
 
 def nearest(segments: DataFrame, frames: DataFrame, max_gap: float = 10.0) -> DataFrame:

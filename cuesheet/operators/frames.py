@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
+from ..scratch import scratch_root
 from .scan import keep_spaced
 
 #: Distance from a recording's end at which its last frame is wanted.
@@ -103,6 +104,7 @@ def backfill(kept: DataFrame, videos: DataFrame, fetch, suppress, max_gap: float
     Each round merges the fetched frames in at epsilon and deduplicates again; frames that it drops are marked by
     dropped_phase. Rounds stop when there is nothing to fill. Returns kept and dropped frames.
     """
+    scratch_root(kept.sparkSession)
     dropped = None
     for k in range(1, rounds + 1):
         found = fetch(gap_fill(kept, videos, max_gap)).checkpoint()

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import struct
+import uuid
+import zlib
 from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyarrow.fs import FileSystem
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import file_stamp
+
 IMAGE = "height int, width int, data binary"
 
 
@@ -34,17 +40,22 @@ def gray_of_source(image: Column) -> Column:
     return convert(image)
 
 
+#: Height and width of drawn images.
+DRAWN = (48, 64)
+
+
 def drawn(frames: DataFrame) -> DataFrame:
-    """frames (vec_id, seq) with an image each, drawn by rule: bands by vec_id, a block by seq."""
+    """frames (vec_id, seq) with an image each, drawn by a rule in whole numbers: a texture by vec_id, a white block by seq."""
 
     @F.pandas_udf(IMAGE)
     def draw(vec: pd.Series, seq: pd.Series) -> pd.DataFrame:
-        y, x = np.mgrid[0:24, 0:32]
+        y, x = np.mgrid[0 : DRAWN[0], 0 : DRAWN[1]]
         out = []
         for v, s in zip(vec, seq):
-            image = 127 + 60 * np.sin(x * (1 + v % 7) / 9) + 60 * np.cos(y * (1 + v % 5) / 7)
-            image[(s % 5) * 4 : (s % 5) * 4 + 3, (s % 7) * 4 : (s % 7) * 4 + 3] = 255
-            out.append(np.clip(image, 0, 255))
+            image = (7 * x * x + 13 * y * y + x * y * (v % 17 + 3) + 31 * v) % 256
+            top, left = s % 5 * 8, s % 7 * 8
+            image[top : top + 6, left : left + 6] = 255
+            out.append(image)
         return _struct(out)
 
     return frames.withColumn("image", draw("vec_id", "seq"))
@@ -116,12 +127,52 @@ def delta_ratio(a: Column, b: Column) -> Column:
                 continue
             u, v = _array(int(p.height), int(p.width), p.data), _array(int(q.height), int(q.width), q.data)
             h, w = min(u.shape[0], v.shape[0]), min(u.shape[1], v.shape[1])
-            out.append(float(np.abs(u[:h, :w].astype(np.float32) - v[:h, :w]).mean() / 255.0))
+            total = np.abs(u[:h, :w].astype(np.int16) - v[:h, :w]).sum(dtype=np.int64)
+            out.append(float(total) / (h * w * 255.0) if h * w else 0.0)
         return pd.Series(out)
 
     return differ(a, b)
 
 
+def read_images(spark: SparkSession, path: str) -> DataFrame:
+    """The image files of a folder: path, image (gray). Files that are no images are left out."""
+    found = spark.read.format("image").option("dropInvalid", True).load(path)
+    return found.select(F.col("image.origin").alias("path"), gray_of_source(F.col("image")).alias("image"))
+
+
+def png_bytes(image: np.ndarray) -> bytes:
+    """A gray image as a PNG file."""
+    height, width = image.shape
+    rows = np.zeros((height, width + 1), dtype=np.uint8)
+    rows[:, 1:] = image
+    part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    head = struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", head) + part(b"IDAT", zlib.compress(rows.tobytes())) + part(b"IEND", b"")
+
+
+def write_images(frames: DataFrame, folder: str) -> DataFrame:
+    """Writes each image of frames (video_id, timestamp, image) as folder/video_id/frame_SSSSSS.mmm.png; adds processed_path.
+
+    Of frames of one recording and millisecond the one that is written last stays. A file is written beside its place
+    and then moved there, so a task that is run again leaves whole files only. folder: where all executors can write.
+    """
+    placed = frames.withColumn("processed_path", F.concat(F.lit(folder.rstrip("/") + "/"), F.col("video_id").cast("string"), F.lit("/frame_"), file_stamp(F.col("timestamp")), F.lit(".png")))
+
+    @F.pandas_udf("string")
+    def write(paths: pd.Series, images: pd.DataFrame) -> pd.Series:
+        for path, row in zip(paths, images.itertuples()):
+            system, place = FileSystem.from_uri(path)
+            parent, _, name = place.rpartition("/")
+            system.create_dir(parent, recursive=True)
+            beside = f"{parent}/.{uuid.uuid4().hex}-{name}"
+            with system.open_output_stream(beside) as out:
+                out.write(png_bytes(_array(int(row.height), int(row.width), row.data)))
+            system.move(beside, place)
+        return paths
+
+    return placed.withColumn("processed_path", write("processed_path", "image"))
+
+
 def stretch(image: np.ndarray, cutoff: float = 0.0) -> np.ndarray:
     """Contrast stretched to 0 to 255, without cutoff percent of the pixels at either end."""
     low, high = np.percentile(image, [cutoff, 100 - cutoff], method="nearest")

@@ -91,8 +91,22 @@ def evaluate_gates(report: DataFrame, targets: dict[str, float] | None = None) -
     return out.select("video_id", "name", round_to(F.col("observed"), 4).alias("observed"), "operator", round_to(F.col("target"), 4).alias("target"), passed.alias("passed"))
 
 
+def run_counts(videos: DataFrame, segments: DataFrame, utterances: DataFrame, kept_frames: DataFrame) -> DataFrame:
+    """What a run says of itself: video_id, segments, speaker_rows (rows of utterances), speakers (distinct ones), frames."""
+    count = lambda x, name, *more: x.groupBy("video_id").agg(F.count("*").alias(name), *more)
+    out = videos.select("video_id")
+    for x in (count(segments, "segments"), count(utterances, "speaker_rows", F.count_distinct("speaker").alias("speakers")), count(kept_frames, "frames")):
+        out = out.join(x, "video_id", "left")
+    return out.na.fill(0, ["segments", "speaker_rows", "speakers", "frames"])
+
+
+def failed_gates(gates: DataFrame) -> DataFrame:
+    """name, n: the gates that some recordings failed, and how many."""
+    return gates.filter("not passed").groupBy("name").agg(F.count("*").alias("n"))
+
+
 def enforce(gates: DataFrame) -> None:
     """Raises if a gate failed, naming the failed gates."""
-    failed = [f"{x['name']} ({x['n']})" for x in gates.filter("not passed").groupBy("name").agg(F.count("*").alias("n")).orderBy("name").collect()]
+    failed = [f"{x['name']} ({x['n']})" for x in failed_gates(gates).orderBy("name").collect()]
     if failed:
         raise ValueError("quality gates failed, with the number of recordings: " + ", ".join(failed))

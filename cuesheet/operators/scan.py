@@ -5,40 +5,63 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def ordered_scan(df: DataFrame, key: str, order: list, columns: list[str], start: Callable, step: Callable, schema: str) -> DataFrame:
+def ordered_scan(df: DataFrame, key: str | list[str], order: list, columns: list[str], start: Callable, step: Callable, schema: str) -> DataFrame:
     """Runs step over the rows of each key in order, and adds what it returns to them.
 
     start() makes a key's state; step(state, row) returns the new columns' values, with row a dict of columns. schema
     lists the new columns. Rows stream through a task in key order, so memory holds one key's state and one batch,
-    not the key's rows; the state is what bounds a long recording.
+    not the key's rows; the state is what bounds a long recording. Only columns are read in Python; the others pass by.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    keys = [key] if isinstance(key, str) else key
     added = StructType.fromDDL(schema)
     names = added.names
     kinds = [x.type for x in to_arrow_schema(added)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, state, first = None, None, True
+        current, state = None, None
         for batch in batches:
-            values = zip(*(batch.column(x).to_pylist() for x in [key, *columns]))
+            owners = zip(*(batch.column(x).to_pylist() for x in keys))
+            values = zip(*(batch.column(x).to_pylist() for x in columns))
             out = []
-            for own, *rest in values:
-                if first or own != current:
-                    current, state, first = own, start(), False
+            for own, rest in zip(owners, values):
+                if own != current:
+                    current, state = own, start()
                 out.append(step(state, dict(zip(columns, rest))))
             arrays = [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *names])
 
-    ordered = df.repartition(key).sortWithinPartitions(key, *order)
+    ordered = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return ordered.mapInArrow(run, StructType([*df.schema.fields, *added.fields]))
 
 
+def numbered(df: DataFrame, by: str, width: int, name: str) -> DataFrame:
+    """df with each row's place, from 1, in the order of a column of whole numbers without repeats.
+
+    Rows are ordered in ranges of width numbers; what is before a range comes from the ranges' counts, a row a range.
+    """
+    counts = df.groupBy(F.expr(f"{by} div {width}").alias("__b")).agg(F.count("*").alias("__n"))
+    before = counts.select("__b", F.coalesce(F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    placed = df.withColumn("__b", F.expr(f"{by} div {width}")).withColumn("__i", F.row_number().over(Window.partitionBy("__b").orderBy(by)))
+    return placed.join(before, "__b").withColumn(name, F.col("__i") + F.col("__before")).drop("__b", "__i", "__before")
+
+
+def numbered_as_read(rows: DataFrame, name: str) -> DataFrame:
+    """rows of a file's scan (and what maps or explodes them) with their place in it, from 1: nothing is shuffled."""
+    low = (1 << 33) - 1
+    placed = rows.withColumn("__id", F.monotonically_increasing_id())
+    counts = placed.groupBy(F.shiftright("__id", 33).alias("__p")).agg(F.count("*").alias("__n"))
+    before = counts.select("__p", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))  # a row for each split of the file
+    own = placed.withColumns({"__p": F.shiftright("__id", 33), "__i": F.col("__id").bitwiseAND(F.lit(low)) + 1})
+    return own.join(F.broadcast(before), "__p").withColumn(name, F.col("__i") + F.col("__before")).drop("__p", "__i", "__before", "__id")
+
+
 def keep_spaced(df: DataFrame, epsilon: float = 0.2, key: str = "video_id", ts: str = "timestamp", seq: str = "seq", strict: bool = True) -> DataFrame:
     """Rows whose ts is more than epsilon after the last row kept of their key; the first row of a key stays.
 
@@ -66,11 +89,12 @@ def suppress_near_duplicates(
     transition_delta: float = 0.012,
     key: str = "video_id",
     delta: Callable | None = None,
+    delta_columns: tuple[str, ...] = (),
 ) -> DataFrame:
     """Marks frames whose hash is close to that of a frame kept shortly before.
 
     df: key, timestamp, seq, frame_path, hash_hi, hash_lo (the hash's two 32-bit halves; null where the image can't be
-    read), and delta_column values if delta is given. A frame is compared with the kept ones from the newest on, as
+    read), and delta_columns, which delta reads besides these. A frame is compared with the kept ones from the newest on, as
     long as they are no more than time_gap older; the first within max_distance bits is its duplicate, and the frame
     is dropped, unless transitions are preserved, it is no more than transition_gap older, and delta(row, kept) is at
     least transition_delta. Frames without a hash stay but are compared with no other. Adds status (kept or dropped),
@@ -78,7 +102,7 @@ def suppress_near_duplicates(
 
     The state of a recording is the frames kept in the last time_gap seconds.
     """
-    columns = [x for x in df.columns if x != key]
+    columns = list(dict.fromkeys(["timestamp", "seq", "frame_path", "hash_hi", "hash_lo", *delta_columns]))
 
     def step(state: dict, row: dict):
         if row["hash_hi"] is None or row["hash_lo"] is None:

@@ -53,7 +53,7 @@ def split_words(words: DataFrame, max_seconds: float = 25.0, silence: float = 0.
         return (state["chunk"], cut)
 
     columns = ["start", "end", "__silent", "__pointed", "__first"]
-    marked = ordered_scan(own, "video_id", ["utterance_id", "word_ix"], columns, dict, step, "chunk long, cut string")
+    marked = ordered_scan(own, ["video_id", "utterance_id"], ["word_ix"], columns, dict, step, "chunk long, cut string")
     # The reason of a chunk is the cut that starts the next one; a cut after punctuation says so.
     chunks = marked.groupBy("video_id", "utterance_id", "chunk").agg(
         F.min_by("start", "word_ix").alias("start"),

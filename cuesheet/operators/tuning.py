@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 #: What holds without tuning, and without a probe of text.
 DEFAULTS = {"periodic_interval_seconds": 15.0, "max_frame_gap_seconds": 15.0, "ocr_scale": 2.0, "ocr_crops": "preset", "dedupe_time_gap_sec": 2.0, "dedupe_hash_threshold": 6}
 NO_TEXT_LENGTH, NO_TEXT_CONFIDENCE, NO_WORD_CONFIDENCE = 200.0, 70.0, 50.0
@@ -23,6 +25,34 @@ def probe_rates(videos: DataFrame, scenes: DataFrame, samples: DataFrame) -> Dat
     return out.withColumns({"scene_changes_per_minute": rate, "avg_text_length": F.coalesce("length", F.lit(NO_TEXT_LENGTH)), "avg_ocr_confidence": F.coalesce("conf", F.lit(NO_TEXT_CONFIDENCE))}).drop("n", "length", "conf")
 
 
+def probe(videos: DataFrame, streams: DataFrame, audio: DataFrame, sampled: DataFrame, scenes: DataFrame, read: DataFrame) -> DataFrame:
+    """A recording's probe: its streams, how many frames were sampled and changed scene, and how much text these have.
+
+    videos: video_id, duration; those without a duration over 0 raise. streams: video_id, line of its video stream (as
+    parse_stream_line reads it). audio: video_id, line for its audio streams, of which one that is not blank counts.
+    sampled, scenes: video_id of each frame. read: video_id, text, conf of the frames whose text was read.
+    """
+    some = F.when(F.col("duration") > 0, F.col("duration")).otherwise(F.raise_error(F.concat(F.lit("no duration: "), F.col("video_id").cast("string"))).cast("double"))
+    sizes = streams.select("video_id", parse_stream_line(F.col("line")).alias("s")).select("video_id", "s.*")
+    heard = audio.groupBy("video_id").agg(F.max(strip(F.coalesce("line", F.lit(""))) != "").alias("has_audio"))
+    count = lambda x, name: x.groupBy("video_id").agg(F.count("*").alias(name))
+    rates = probe_rates(videos.select("video_id", "duration"), scenes.select("video_id"), read)
+    out = rates.withColumn("duration", some)
+    unknown = F.struct(F.lit(1920).alias("width"), F.lit(1080).alias("height"), F.lit(30.0).alias("fps"))
+    for x in (sizes, heard, count(sampled, "sample_frame_count"), count(scenes, "scene_frame_count")):
+        out = out.join(x, "video_id", "left")
+    known = {x: F.coalesce(F.col(x), unknown[x]) for x in ("width", "height", "fps")}
+    zero = {x: F.coalesce(F.col(x), F.lit(0).cast("long")) for x in ("sample_frame_count", "scene_frame_count")}
+    return out.withColumns({**known, **zero, "has_audio": F.coalesce("has_audio", F.lit(False))}).withColumnRenamed("duration", "duration_seconds")
+
+
+#: How the reasons for tuned parameters begin.
+HIGH_RATE, SOME_RATE, LOW_RATE = "high", "moderate", "low"
+LOW_RES, MIDDLE_RES, HIGH_RES = "low res", "HD", "high res"
+SPARSE, DENSE = "sparse text detected", "dense text detected"
+LONG, SHORT, STANDARD = "long video (>30min)", "short video (<2min)", "standard duration"
+
+
 def tune(probes: DataFrame) -> DataFrame:
     """probes (duration, height, scene_changes_per_minute, avg_text_length) with the tuned parameters and reasons."""
     rate, duration, height = F.col("scene_changes_per_minute"), F.col("duration"), F.col("height")
@@ -42,10 +72,10 @@ def tune(probes: DataFrame) -> DataFrame:
             "ocr_crops": F.when(sparse, "none").otherwise("preset"),
             "dedupe_time_gap_sec": long_or_short(3.0, 1.5, 2.0),
             "dedupe_hash_threshold": long_or_short(8, 5, 6),
-            "frame_reason": F.when(rate > 6, per_minute("high")).when(rate > 2, per_minute("moderate")).otherwise(per_minute("low")),
-            "scale_reason": F.when(height < 720, lines("low res")).when(height <= 1080, lines("HD")).otherwise(lines("high res")),
-            "crops_reason": F.when(sparse, "sparse text detected").otherwise("dense text detected"),
-            "dedup_reason": long_or_short("long video (>30min)", "short video (<2min)", "standard duration"),
+            "frame_reason": F.when(rate > 6, per_minute(HIGH_RATE)).when(rate > 2, per_minute(SOME_RATE)).otherwise(per_minute(LOW_RATE)),
+            "scale_reason": F.when(height < 720, lines(LOW_RES)).when(height <= 1080, lines(MIDDLE_RES)).otherwise(lines(HIGH_RES)),
+            "crops_reason": F.when(sparse, SPARSE).otherwise(DENSE),
+            "dedup_reason": long_or_short(LONG, SHORT, STANDARD),
         }
     )
 

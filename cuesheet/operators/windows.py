@@ -47,7 +47,7 @@ def build_windows(segments: DataFrame, frames: DataFrame, events: DataFrame | No
 
     Returns video_id, window_ix, window_start, window_end, transcript_text (stripped texts that are not blank, joined
     by spaces in order of seq), segments, frames and events (arrays of structs in order of seq), key_frame,
-    speakers_present, asr_providers, ocr_providers (sorted). A recording whose largest time is 0 has no windows. Lists
+    speakers_present, asr_providers, ocr_providers (sorted). Of frames their seq and six fields stay. A recording whose largest time is 0 has no windows. Lists
     are bounded by what a window of its width holds.
     """
     key = ["video_id", "window_ix"]
@@ -59,6 +59,9 @@ def build_windows(segments: DataFrame, frames: DataFrame, events: DataFrame | No
         times = times.union(x)
     timed = times.groupBy("video_id").agg(F.max("t").alias("m")).filter("m > 0").select("video_id")
 
+    brief = [x for x in ("timestamp", "frame_path", "ocr_text", "avg_conf", "ocr_provider", "quality_score") if x in frames.columns]
+    frames = frames.select("video_id", "seq", *brief)
+
     def listed(members: DataFrame, name: str, *more) -> DataFrame:
         shape = F.struct("seq", *[x for x in members.columns if x not in ("video_id", "window_ix", "seq")])
         return members.groupBy(*key).agg(F.array_sort(F.collect_list(shape), lambda a, b: F.when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1).otherwise(0)).alias(name), *more)

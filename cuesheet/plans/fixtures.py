@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..scratch import spread
+
 _TS = "(unix_micros(cast(ts as timestamp)) div 1000) % 300000"
 _TS_DUCK = "(epoch_us(ts) // 1000) % 300000"
 
@@ -50,9 +52,9 @@ SPARK = {
         select doc_id, 0 as seq, 'google' as provider, 'google_a' as variant, text, cast((doc_id * 37) % 101 as double) as avg_conf,
                case when doc_id % 11 = 0 then 'timeout' end as error, ((doc_id * 31) % 100) / 100.0D as quality_score from documents
         union all
-        select doc_id, 1, 'google', 'google_b', substring(text, 1, 40), cast((doc_id * 41) % 101 as double), null, ((doc_id * 17) % 100) / 100.0D from documents
+        select doc_id, 1, 'google', 'google_b', replace(text, 'e', ' '), cast((doc_id * 41) % 101 as double), null, ((doc_id * 17) % 100) / 100.0D from documents
         union all
-        select doc_id, 2, 'azure', 'azure_read', substring(text, 5, 60), null, case when doc_id % 13 = 0 then 'throttled' end, ((doc_id * 53) % 100) / 100.0D from documents""",
+        select doc_id, 2, 'azure', 'azure_read', concat(replace(text, ' ', '  '), case when doc_id % 2 = 0 then ' end' else '' end), null, case when doc_id % 13 = 0 then 'throttled' end, ((doc_id * 53) % 100) / 100.0D from documents""",
 }
 
 DUCK = {
@@ -81,7 +83,7 @@ DUCK = {
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The fixture over the tables of sf_dir."""
     text = SPARK[name]
-    tables = {x: spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("events", "conversations", "documents", "embeddings") if re.search(rf"\bfrom {x}\b", text)}
+    tables = {x: (spread if x == "documents" else lambda df: df)(spark.read.parquet(f"{sf_dir}/{x}.parquet")) for x in ("events", "conversations", "documents", "embeddings") if re.search(rf"\bfrom {x}\b", text)}
     for x in tables:
         text = re.sub(rf"\bfrom {x}\b", f"from {{{x}}}", text)
     return spark.sql(text, **tables)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import ship
 from ..functions import numbers, quality, text
-from ..operators import align, candidates, crops, frames, report, scan, segments, tuning, windows
+from ..operators import align, candidates, crops, frames, report, scan, segments, settings, tuning, windows
+from ..operators import frame_ocr as recognition
 from ..sources import events as event_logs
 from ..sources import showinfo
 from .fixtures import fixture, with_fixtures
@@ -228,11 +229,11 @@ def best_candidate(spark, sf_dir):
 
 
 @query("""SELECT doc_id, CASE WHEN length(trim(regexp_replace(b, '\\s+', ' ', 'g'))) > length(trim(regexp_replace(a, '\\s+', ' ', 'g'))) THEN b ELSE a END AS text
-    FROM (SELECT doc_id, substring(text, 1, (doc_id % 50)::bigint) AS a, substring(text, 3, 25) AS b FROM documents)""")
+    FROM (SELECT doc_id, max(text) FILTER (variant = 'google_b') AS a, max(text) FILTER (variant = 'azure_read') AS b FROM fx_candidates GROUP BY doc_id)""")
 def psm_better(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    a, b = (F.struct(F.expr(x).alias("text")) for x in ("substring(text, 1, cast(doc_id % 50 as int))", "substring(text, 3, 25)"))
-    return docs.select("doc_id", candidates.better_pass(a, b)["text"].alias("text"))
+    of = lambda v: F.max(F.when(F.col("variant") == v, F.struct("text")))
+    both = fixture(spark, sf_dir, "fx_candidates").groupBy("doc_id").agg(of("google_b").alias("a"), of("azure_read").alias("b"))
+    return both.select("doc_id", candidates.better_pass(F.col("a"), F.col("b"))["text"].alias("text"))
 
 
 @query("""a AS (SELECT * FROM fx_candidates WHERE variant = 'google_a'), b AS (SELECT * FROM fx_candidates WHERE variant = 'google_b'), z AS (SELECT * FROM fx_candidates WHERE variant = 'azure_read'),
@@ -482,10 +483,6 @@ def dedupe_transition(spark, sf_dir):
 @query()
 def backfill_rounds(spark, sf_dir):
     own = fixture(spark, sf_dir, "fx_frames").select("video_id", "timestamp", "seq", "frame_path", "vec_id").join(fixture(spark, sf_dir, "fx_hash"), "vec_id")
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
     suppress = lambda x: scan.suppress_near_duplicates(x.drop("status", "duplicate_of", "hash_distance", "drop_blocked_reason", "candidate_delta_ratio"), 10.0, 28)
 
     def fetch(points: DataFrame) -> DataFrame:
@@ -500,14 +497,13 @@ def backfill_rounds(spark, sf_dir):
 # --- events and logs ----------------------------------------------------------------------------------------------
 
 
-@query(f"""e AS (SELECT row_number() OVER (ORDER BY event_id) AS i, event_id, (epoch_us(ts) // 1000) / 1000.0::double AS t, event_type, props FROM events)
+@query(f"""e AS (SELECT row_number() OVER (ORDER BY event_id) AS i, event_id, epoch_us(ts) / 1000000.0::double AS t, event_type, props FROM events)
     SELECT i AS event_id, {_round('t', 3)} AS timestamp, event_type, json_extract_string(props, '$.k') AS k FROM e WHERE event_type IN ('click', 'scroll', 'key')""".replace("e AS", "WITH e AS", 1))
 def events_clean(spark, sf_dir):
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
-    number = F.row_number().over(Window.orderBy("event_id"))
-    t = F.expr("(unix_micros(cast(ts as timestamp)) div 1000) / 1000.0D")
+    raw = scan.numbered(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id", 1 << 20, "position")
+    t = F.expr("unix_micros(cast(ts as timestamp)) / 1000000.0D")
     fields = F.create_map(F.lit("ts"), t.cast("string"), F.lit("type"), F.concat(F.lit(" "), F.upper("event_type")), F.lit("payload"), F.col("props"))
-    out = event_logs.clean_events(raw.select(number.alias("position"), fields.alias("fields")))
+    out = event_logs.clean_events(raw.select("position", fields.alias("fields")))
     return out.select(F.col("event_id").cast("long").alias("event_id"), "timestamp", "event_type", F.get_json_object("payload", "$.k").alias("k"))
 
 
@@ -518,7 +514,7 @@ def showinfo_parse(spark, sf_dir):
     return showinfo.parse_lines(spark.createDataFrame(lines, "id int, value string")).select("id", "pts")
 
 
-@query()
+@query("""SELECT id::int AS event_id, timestamp, event_type, payload FROM (VALUES (1, 1.5::double, 'click', '{"x":1}'), (2, 2.25, 'key', '{"code":"a"}'), (6, 0.5, 'scroll', '{"raw":"far"}')) AS v(id, timestamp, event_type, payload)""")
 def events_formats(spark, sf_dir):
     rows = ['{"ts": 1.5, "type": "click", "payload": {"x": 1}}', '{"time": "2.25", "event": "KEY", "code": "a"}', '{"ts": "bad", "type": "click"}', "not json", "", '{"timestamp": 0.5, "type": "scroll", "payload": "far"}']
     lines = spark.createDataFrame(list(enumerate(rows, 1)), "position int, value string")
@@ -595,7 +591,8 @@ def quality_gates(spark, sf_dir):
 # --- tuning -------------------------------------------------------------------------------------------------------
 
 _PROBES = f"""sc AS (SELECT video_id, count(*) AS n FROM fx_frames WHERE source = 'scene' GROUP BY video_id),
-    tx AS (SELECT video_id, avg(length(ocr_text)) AS len, {_round("sum(coalesce(avg_conf, 50.0)::decimal(20,6))::double / count(*)", 6)} AS conf FROM fx_frames WHERE seq % 3 = 0 GROUP BY video_id),
+    sy AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY timestamp, seq) - 1 AS i, greatest(1, count(*) OVER (PARTITION BY video_id) // 5) AS step FROM fx_frames WHERE source = 'sample'),
+    tx AS (SELECT video_id, avg(length(ocr_text)) AS len, {_round("sum(coalesce(avg_conf, 50.0)::decimal(20,6))::double / count(*)", 6)} AS conf FROM sy WHERE i % step = 0 AND i // step < 5 GROUP BY video_id),
     pr AS (SELECT v.*, {_round("coalesce(n, 0) / greatest(duration / 60.0::double, 0.01)", 6)} AS scene_changes_per_minute, {_round("coalesce(len, 200.0) * CASE WHEN v.video_id % 2 = 0 THEN 10 ELSE 1 END", 6)} AS avg_text_length, coalesce(conf, 70.0) AS avg_ocr_confidence
         FROM fx_videos v LEFT JOIN sc USING (video_id) LEFT JOIN tx USING (video_id))"""
 _TUNED = f"""{_PROBES}, b AS (SELECT *, CASE WHEN scene_changes_per_minute > 6 THEN 5.0 WHEN scene_changes_per_minute > 2 THEN 10.0 ELSE 20.0 END AS base FROM pr),
@@ -605,9 +602,14 @@ _TUNED = f"""{_PROBES}, b AS (SELECT *, CASE WHEN scene_changes_per_minute > 6 T
         CASE WHEN height < 720 THEN 'low res (' WHEN height <= 1080 THEN 'HD (' ELSE 'high res (' END || height || 'p)' AS scale_reason FROM b)"""
 
 
+def _read_samples(own):
+    """The frames whose text a probe reads: a few of the sampled ones, evenly over the recording."""
+    return frames.systematic_sample(own.filter("source = 'sample'")).select("video_id", F.col("ocr_text").alias("text"), F.col("avg_conf").alias("conf"))
+
+
 def _probes(spark, sf_dir):
     own = fixture(spark, sf_dir, "fx_frames")
-    samples = own.filter("seq % 3 = 0").select("video_id", F.col("ocr_text").alias("text"), F.col("avg_conf").alias("conf"))
+    samples = _read_samples(own)
     out = tuning.probe_rates(fixture(spark, sf_dir, "fx_videos"), own.filter("source = 'scene'"), samples)
     scaled = F.col("avg_text_length") * F.expr("case when video_id % 2 = 0 then 10 else 1 end")
     return out.withColumns({"scene_changes_per_minute": numbers.round_to(F.col("scene_changes_per_minute"), 6), "avg_text_length": numbers.round_to(scaled, 6), "avg_ocr_confidence": numbers.round_to(F.col("avg_ocr_confidence"), 6)})
@@ -658,21 +660,41 @@ def trim_max_seconds(spark, sf_dir):
 
 # --- images -------------------------------------------------------------------------------------------------------
 
+_PIXEL = "CASE WHEN y >= {s} % 5 * 8 AND y < {s} % 5 * 8 + 6 AND x >= {s} % 7 * 8 AND x < {s} % 7 * 8 + 6 THEN 255 ELSE (7 * x * x + 13 * y * y + x * y * ({v} % 17 + 3) + 31 * {v}) % 256 END"
 
-@query()
+
+def _box_weights(n: int, size: int) -> str:
+    """What each of size pixels adds to each of n, as a table i, j, w."""
+    ratio = size / n
+    low, high = f"greatest(i * {ratio}::double, j)", f"least((i + 1) * {ratio}::double, j + 1)"
+    return f"(SELECT i, j, ({high} - {low}) / {ratio}::double AS w FROM (SELECT unnest(range({n})) AS i), (SELECT unnest(range({size})) AS j) WHERE {high} > {low})"
+
+
+@query(f"""WITH v AS (SELECT DISTINCT vec_id AS v FROM embeddings), px AS (SELECT v, y, x, ({_PIXEL.format(s='v', v='v')})::double AS p FROM v, (SELECT unnest(range(48)) AS y), (SELECT unnest(range(64)) AS x)),
+    a AS (SELECT v, i, x, sum(w * p) AS p FROM px JOIN {_box_weights(32, 48)} ON j = y GROUP BY v, i, x), b AS (SELECT v, a.i AS y, w.i AS x, sum(w * p) AS p FROM a JOIN {_box_weights(32, 64)} w ON w.j = a.x GROUP BY ALL),
+    c AS (SELECT u, i, cos(pi() * u * (2 * i + 1) / 64.0) AS c FROM (SELECT unnest(range(8)) AS u), (SELECT unnest(range(32)) AS i)),
+    d AS (SELECT v, u, x, sum(p * c) AS p FROM b JOIN c ON c.i = b.y GROUP BY v, u, x), e AS (SELECT v, d.u AS a, c.u AS b, sum(p * c) AS p FROM d JOIN c ON c.i = d.x GROUP BY ALL),
+    m AS (SELECT *, 8 * a + b AS ix, p > median(p) OVER (PARTITION BY v) AS bit FROM e),
+    h AS (SELECT v AS vec_id, sum(CASE WHEN bit AND ix < 32 THEN 1::bigint << (31 - ix)::int ELSE 0 END)::bigint AS hash_hi, sum(CASE WHEN bit AND ix >= 32 THEN 1::bigint << (63 - ix)::int ELSE 0 END)::bigint AS hash_lo FROM m GROUP BY v)
+    SELECT vec_id, hash_hi, hash_lo, printf('%08x%08x', hash_hi, hash_lo) AS phash_hex FROM h""")
 def phash_numpy(spark, sf_dir):
     from ..operators import images
 
-    return images.with_phash(images.drawn(fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "vec_id"))).select("video_id", "seq", "hash_hi", "hash_lo", "phash_hex")
+    own = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.col("vec_id").alias("seq")).distinct()
+    return images.with_phash(images.drawn(own)).select("vec_id", "hash_hi", "hash_lo", "phash_hex")
 
 
-@query()
+@query(f"""o AS (SELECT video_id, seq, vec_id, lag(seq) OVER w AS seq0, lag(vec_id) OVER w AS vec0 FROM fx_frames WINDOW w AS (PARTITION BY video_id ORDER BY seq)),
+    d AS (SELECT video_id, seq, sum(abs(({_PIXEL.format(s='seq', v='vec_id')}) - ({_PIXEL.format(s='seq0', v='vec0')}))) / (48 * 64 * 255.0::double) AS delta
+        FROM o, (SELECT unnest(range(48)) AS y), (SELECT unnest(range(64)) AS x) WHERE seq0 IS NOT NULL GROUP BY ALL)
+    SELECT o.video_id, o.seq, {_round("coalesce(delta, 0.0)", 9)} AS delta FROM o LEFT JOIN d USING (video_id, seq)""")
 def pixel_delta(spark, sf_dir):
     from ..operators import images
 
     own = images.drawn(fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "vec_id"))
     by = Window.partitionBy("video_id").orderBy("seq")
-    return own.withColumn("before", F.lag("image").over(by)).select("video_id", "seq", images.delta_ratio(F.col("image"), F.col("before")).alias("delta"))
+    delta = images.delta_ratio(F.col("image"), F.col("before"))
+    return own.withColumn("before", F.lag("image").over(by)).select("video_id", "seq", numbers.round_to(delta, 9).alias("delta"))
 
 
 @query()
@@ -681,3 +703,122 @@ def preprocess(spark, sf_dir):
 
     own = images.drawn(fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "vec_id"))
     return own.select("video_id", "seq", images.preprocessed(F.col("image")).alias("image")).select("video_id", "seq", "image.height", "image.width", F.sha2("image.data", 256).alias("sha"))
+
+
+# --- what the larger operators hold ---------------------------------------------------------------------------------
+
+
+@query("""SELECT video_id, floor(timestamp / 45)::bigint AS window_ix, seq, timestamp, frame_path, ocr_text, avg_conf, ocr_provider, quality_score FROM fx_frames WHERE timestamp >= 0""")
+def window_frames(spark, sf_dir):
+    out = windows.build_windows(*(fixture(spark, sf_dir, x) for x in ("fx_segments", "fx_frames", "fx_events")))
+    return out.select("video_id", "window_ix", F.inline("frames"))
+
+
+@query(f"""{_RANKED} SELECT video_id, seq, rank, timestamp, frame_path, (SELECT ocr_provider FROM fx_frames f WHERE f.video_id = ranked.video_id AND f.seq = frame_seq) AS ocr_provider,
+    (SELECT quality_score FROM fx_frames f WHERE f.video_id = ranked.video_id AND f.seq = frame_seq) AS quality_score, {_round('score', 4)} AS attach_score FROM ranked WHERE rank <= 3""")
+def align_candidates(spark, sf_dir):
+    out = _dataset(spark, sf_dir).select("video_id", "seq", F.posexplode("frame_candidates").alias("i", "c"))
+    return out.select("video_id", "seq", (F.col("i") + 1).cast("long").alias("rank"), "c.*")
+
+
+@query(f"""r AS (SELECT video_id, seq, CASE WHEN seq % 5 = 0 THEN NULL ELSE start END AS start, end_, trim(CASE WHEN seq % 4 = 0 THEN ' ' ELSE text END, chr(32) || chr(9) || chr(10) || chr(13)) AS text, speaker, seq / 10.0::double AS confidence FROM fx_segments)
+    SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY seq) AS utterance_id, {_round('coalesce(start, 0.0)', 3)} AS start, {_round('coalesce(end_, 0.0)', 3)} AS end_, text, speaker, confidence AS speaker_confidence FROM r WHERE text <> ''""")
+def normalize_utterances(spark, sf_dir):
+    raw = fixture(spark, sf_dir, "fx_segments").withColumns({"start": F.expr("if(seq % 5 = 0, null, start)"), "text": F.expr("if(seq % 4 = 0, ' ', concat(' ', text, '\n'))"), "confidence": F.col("seq") / 10.0})
+    out = segments.normalise_utterances(raw)
+    return out.withColumn("utterance_id", F.col("utterance_id").cast("long")).withColumnRenamed("end", "end_")
+
+
+@query("""SELECT video_id, coalesce(string_agg('[' || speaker || ']' || chr(10) || t, chr(10) || chr(10) ORDER BY seq) FILTER (t <> ''), '') AS text
+    FROM (SELECT video_id, seq, speaker, CASE WHEN seq % 3 = 1 THEN '' ELSE trim(text, chr(32) || chr(9) || chr(10) || chr(13)) END AS t FROM fx_segments) GROUP BY video_id""")
+def labelled_texts(spark, sf_dir):
+    said = fixture(spark, sf_dir, "fx_segments").select("video_id", F.struct("seq", F.col("speaker").alias("name"), F.expr("if(seq % 3 = 1, ' ', text)").alias("text")).alias("c"))
+    return said.groupBy("video_id").agg(F.sort_array(F.collect_list("c")).alias("cs")).select("video_id", text.labelled_text(F.col("cs")).alias("text"))
+
+
+@query(f"""w AS (SELECT video_id, utterance_id, CASE WHEN word_ix % 9 = 0 THEN NULL WHEN word_ix % 5 = 0 THEN -1.0 ELSE ((word_ix * 37) % 101) / 100.0::double END AS c FROM fx_words),
+    s AS (SELECT video_id, utterance_id, unnest([((word_ix * 13) % 100)::double, CASE WHEN word_ix % 4 = 0 THEN -1.0 ELSE 0.25::double END]) AS c FROM fx_words),
+    u AS (SELECT * FROM w UNION ALL SELECT * FROM s UNION ALL SELECT DISTINCT video_id, utterance_id, 0.5::double FROM fx_words UNION ALL SELECT DISTINCT video_id, utterance_id, 88.0::double FROM fx_words)
+    SELECT video_id, utterance_id, {_round("sum((CASE WHEN c <= 1 THEN c * 100.0::double ELSE c END)::decimal(30,6))::double / count(*)", 2)} AS avg_conf FROM u WHERE c >= 0 GROUP BY ALL""")
+def conf_all_levels(spark, sf_dir):
+    word = F.struct("word_ix", F.expr("case when word_ix % 9 = 0 then null when word_ix % 5 = 0 then -1.0D else ((word_ix * 37) % 101) / 100.0D end").alias("confidence"), F.expr("array(named_struct('confidence', cast((word_ix * 13) % 100 as double)), named_struct('confidence', if(word_ix % 4 = 0, -1.0D, 0.25D)))").alias("symbols"))
+    own = fixture(spark, sf_dir, "fx_words").groupBy("video_id", "utterance_id").agg(F.sort_array(F.collect_list(F.struct("word_ix", word.alias("w"))), asc=True).alias("ws"))
+    words = F.transform("ws", lambda x: x["w"])
+    pages = F.array(F.struct(F.lit(0.5).alias("confidence"), F.array(F.struct(F.lit(None).cast("double").alias("confidence"), F.array(F.struct(F.lit(88.0).alias("confidence"), words.alias("words"))).alias("paragraphs"))).alias("blocks")))
+    return own.select("video_id", "utterance_id", candidates.flatten_pages(pages).alias("avg_conf"))
+
+
+@query("""SELECT video_id, coalesce(n, 0) AS segments, coalesce(u, 0) AS speaker_rows, coalesce(d, 0) AS speakers, coalesce(f, 0) AS frames FROM fx_videos
+    LEFT JOIN (SELECT video_id, count(*) AS n, count(*) FILTER (seq % 2 = 0) AS u, count(DISTINCT speaker) FILTER (seq % 2 = 0) AS d FROM fx_segments GROUP BY video_id) USING (video_id) LEFT JOIN (SELECT video_id, count(*) AS f FROM fx_frames GROUP BY video_id) USING (video_id)""")
+def run_counts(spark, sf_dir):
+    said = fixture(spark, sf_dir, "fx_segments")
+    return report.run_counts(fixture(spark, sf_dir, "fx_videos"), said, said.filter("seq % 2 = 0"), fixture(spark, sf_dir, "fx_frames"))
+
+
+@query(_REPORT + ", g AS (" + " UNION ALL ".join(f"SELECT '{name}' AS name, {name} {op} {target} AS passed FROM rep" for name, op, target in report.GATES) + ") SELECT name, count(*) AS n FROM g WHERE NOT passed GROUP BY name")
+def failed_gates(spark, sf_dir):
+    return report.failed_gates(report.evaluate_gates(_report(spark, sf_dir)))
+
+
+@query(f"""a AS (SELECT video_id, timestamp, seq, 0 AS k, source FROM fx_frames WHERE source = 'scene' UNION ALL SELECT video_id, timestamp, seq, 1, source FROM fx_frames WHERE source = 'sample'
+        UNION ALL SELECT video_id, {_round("i * 15.0::double", 3)}, i + 1, 2, 'grid' FROM (SELECT video_id, unnest(generate_series(0, ceil(duration / 15.0)::bigint - 1)) AS i FROM fx_videos WHERE duration > 0))
+    SELECT video_id, timestamp, source, row_number() OVER (PARTITION BY video_id ORDER BY k, seq) AS seq FROM a""")
+def union_frames(spark, sf_dir):
+    own = fixture(spark, sf_dir, "fx_frames").select("video_id", "timestamp", "seq", "source")
+    grid = frames.sample_grid(fixture(spark, sf_dir, "fx_videos"), 15.0).select("video_id", "timestamp", F.col("original_index").alias("seq"), F.lit("grid").alias("source"))
+    return frames.union_frames(own.filter("source = 'scene'"), own.filter("source = 'sample'"), grid).select("video_id", "timestamp", "source", "seq")
+
+
+@query("""SELECT * FROM (VALUES (1, 'auto', 'assemblyai', 'google', 'azure', 3.0::double, 'none', 3, 45.0::double), (2, 'local_safe', 'whisper', 'tesseract', 'none', 2.0, 'preset', 5, 45.0), (3, 'quality_first', 'whisper', 'google', 'azure', 2.0, 'preset', 3, 30.0),
+    (4, 'auto', 'whisper', 'google', 'none', 1.5, 'preset', 3, 45.0)) AS v(video_id, profile, transcribe_provider, ocr_provider, ocr_fallback_provider, ocr_scale, ocr_crops, align_topk, window_seconds)""")
+def config_overlay(spark, sf_dir):
+    rows = [(1, None, None, None, None, None), (2, "local_safe", None, None, 5, None), (3, "quality_first", "whisper", None, None, 30.0), (4, "local_safe", None, "google", None, None)]
+    runs = spark.createDataFrame(rows, "video_id int, profile string, transcribe_provider string, ocr_provider string, align_topk int, window_seconds double")
+    tuned = spark.createDataFrame([(1, 3.0, "none"), (4, 1.5, "preset")], "video_id int, ocr_scale double, ocr_crops string")
+    return settings.effective_settings(runs, tuned).select("video_id", "profile", "transcribe_provider", "ocr_provider", "ocr_fallback_provider", "ocr_scale", "ocr_crops", "align_topk", "window_seconds")
+
+
+_STREAM = "CASE video_id % 4 WHEN 0 THEN '1280,' || height || ',30000/1001' WHEN 1 THEN 'x,' || height || ',25' WHEN 2 THEN '640,480,30/0' END"
+
+
+@query(f"""{_PROBES}, n AS (SELECT video_id, count(*) FILTER (source = 'sample') AS sampled, count(*) FILTER (source = 'scene') AS scenes FROM fx_frames GROUP BY video_id)
+    SELECT video_id, duration AS duration_seconds, CASE video_id % 4 WHEN 0 THEN 1280 WHEN 2 THEN 640 ELSE 1920 END AS width, CASE video_id % 4 WHEN 2 THEN 480 WHEN 3 THEN 1080 ELSE height END AS height,
+        {_round("CASE video_id % 4 WHEN 0 THEN 30000 / 1001.0::double WHEN 1 THEN 25.0 ELSE 30.0 END", 9)} AS fps, video_id % 3 = 0 AS has_audio, coalesce(sampled, 0) AS sample_frame_count, coalesce(scenes, 0) AS scene_frame_count,
+        scene_changes_per_minute, {_round("coalesce(len, 200.0)", 6)} AS avg_text_length, avg_ocr_confidence FROM pr LEFT JOIN tx USING (video_id) LEFT JOIN n USING (video_id)""")
+def probe_chain(spark, sf_dir):
+    videos, own = fixture(spark, sf_dir, "fx_videos"), fixture(spark, sf_dir, "fx_frames")
+    streams = videos.select("video_id", F.expr(_STREAM).alias("line")).filter("line is not null")
+    audio = videos.select("video_id", F.explode(F.array(F.lit(" "), F.expr("if(video_id % 3 = 0, 'audio', '')"))).alias("line"))
+    out = tuning.probe(videos, streams, audio, own.filter("source = 'sample'"), own.filter("source = 'scene'"), _read_samples(own))
+    digits = {"fps": 9, "scene_changes_per_minute": 6, "avg_text_length": 6, "avg_ocr_confidence": 6}
+    return out.select("video_id", "duration_seconds", "width", "height", "has_audio", "sample_frame_count", "scene_frame_count", *(numbers.round_to(F.col(x), n).alias(x) for x, n in digits.items()))
+
+
+_BOX_NAMES = "(VALUES (1, 'FULL'), (2, 'TOP'), (3, 'LEFT'), (4, 'MAIN'), (5, 'BOTTOM'))"
+_BOX_TEXT = "case when (seq + place) % 4 = 0 then '' when (seq + place) % 3 = 0 and psm = 11 then {0} else ocr_text end"
+_BOX_CONF = "case when (seq + place) % 5 = 0 then null else cast((seq * 7 + place * 13 + psm) % 101 as double) end"
+
+
+@query(f"""asked AS (SELECT f.video_id, f.seq, f.ocr_text, place, name, psm FROM fx_frames f, {_BOX_NAMES} AS b(place, name), (VALUES (6), (11)) AS p(psm)),
+    said AS (SELECT *, {_BOX_TEXT.format("ocr_text || ' once more'")} AS said, {_BOX_CONF} AS conf FROM asked),
+    crop AS (SELECT a.video_id, a.seq, a.place, a.name, length(b.said) > length(a.said) AS second, CASE WHEN length(b.said) > length(a.said) THEN b.said ELSE a.said END AS said, CASE WHEN length(b.said) > length(a.said) THEN b.conf ELSE a.conf END AS conf
+        FROM said a JOIN said b USING (video_id, seq, place) WHERE a.psm = 6 AND b.psm = 11),
+    fr AS (SELECT video_id, seq, count(*) AS n_crops, count(*) FILTER (second) AS n_second, coalesce(string_agg('[' || name || ']' || chr(10) || said, chr(10) || chr(10) ORDER BY place) FILTER (said <> ''), '') AS text,
+        {_round("sum(conf::decimal(30,6))::double / count(conf)", 2)} AS avg_conf FROM crop GROUP BY ALL), {_QUALITY.replace("fx_ocr", "fr")}
+    SELECT video_id, seq, text AS full_text, avg_conf, n_crops, n_second, {_round("quality", 4)} AS quality_score FROM z""")
+def frame_ocr(spark, sf_dir):
+    own = fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "ocr_text", F.lit(640).alias("width"), F.lit(480).alias("height"))
+    answers = recognition.crop_requests(own, [6, 11]).withColumns({"text": F.expr(_BOX_TEXT.format("concat(ocr_text, ' once more')")), "avg_conf": F.expr(_BOX_CONF)})
+    out = recognition.frame_records(answers, 6)
+    second = F.size(F.filter("ocr.crops", lambda x: x["psm_used"] == 11)).cast("long")
+    return out.select("video_id", "seq", "ocr.full_text", "ocr.avg_conf", F.size("ocr.crops").cast("long").alias("n_crops"), second.alias("n_second"), "quality_score")
+
+
+@query(f"""asked AS (SELECT f.video_id, f.seq, f.ocr_text, place, name, psm FROM fx_frames f, {_BOX_NAMES} AS b(place, name), (VALUES (6), (11)) AS p(psm)),
+    said AS (SELECT *, {_BOX_TEXT.format("ocr_text || ' once more'")} AS said, {_BOX_CONF} AS conf FROM asked)
+    SELECT a.video_id, a.seq, a.name, CASE WHEN length(b.said) > length(a.said) THEN b.said ELSE a.said END AS text, CASE WHEN length(b.said) > length(a.said) THEN b.conf ELSE a.conf END AS avg_conf, CASE WHEN length(b.said) > length(a.said) THEN 11 ELSE 6 END AS psm_used,
+        CASE a.place WHEN 4 THEN 96 ELSE 0 END AS x1, CASE a.place WHEN 4 THEN 72 WHEN 5 THEN 384 ELSE 0 END AS y1 FROM said a JOIN said b USING (video_id, seq, place) WHERE a.psm = 6 AND b.psm = 11""")
+def frame_ocr_crops(spark, sf_dir):
+    own = fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "ocr_text", F.lit(640).alias("width"), F.lit(480).alias("height"))
+    answers = recognition.crop_requests(own, [6, 11]).withColumns({"text": F.expr(_BOX_TEXT.format("concat(ocr_text, ' once more')")), "avg_conf": F.expr(_BOX_CONF)})
+    return recognition.better_crops(answers, 6).select("video_id", "seq", "name", "text", "avg_conf", "psm_used", "box.x1", "box.y1")

@@ -6,11 +6,12 @@ decimals), event_type (click, scroll or key), payload (a JSON object).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
 from ..functions.text import EDGE_SPACE, LINE_END
+from ..operators.scan import numbered_as_read
 
 #: The types that are kept, and the keys that are no payload.
 EVENT_TYPES = ("click", "scroll", "key")
@@ -63,21 +64,23 @@ def from_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     """The events of a log file, in the form that its suffix names; other suffixes are JSON lines of which bad ones are left out.
 
-    A log file belongs to one recording and is read whole, which gives its lines their positions.
+    Lines and rows are read in splits and numbered by the counts of the splits before; blank lines before the first
+    event don't count. A JSON document is one value, and read whole.
     """
     kind = path.rsplit(".", 1)[-1].lower()
     if kind in ("csv", "tsv"):
         table = spark.read.csv(path, header=True, sep="," if kind == "csv" else "\t")
-        placed = table.withColumn("__at", F.monotonically_increasing_id())
         names = [x for x in table.columns]
         fields = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*(F.coalesce(F.col(f"`{x}`"), F.lit("")) for x in names)))
-        position = F.row_number().over(Window.partitionBy(F.lit(path)).orderBy("__at"))
-        return clean_events(placed.select(position.alias("position"), fields.alias("fields"))).orderBy("timestamp", "event_id")
-    whole = spark.read.text(path, wholetext=True).select(_strip(F.col("value")).alias("value"))
+        return clean_events(numbered_as_read(table.select(fields.alias("fields")), "position")).orderBy("timestamp", "event_id")
     if kind == "json":
+        whole = spark.read.text(path, wholetext=True).select(_strip(F.col("value")).alias("value"))
         doc = F.parse_json("value")
         listed = F.when(F.schema_of_variant(doc).startswith("ARRAY"), F.col("value")).otherwise(F.get_json_object("value", "$.events"))
         rows = whole.filter("value <> ''").select(F.posexplode(F.from_json(listed, f"array<{FIELDS}>")).alias("i", "fields"))
         return clean_events(rows.select((F.col("i") + 1).alias("position"), "fields")).orderBy("timestamp", "event_id")
-    lines = whole.filter("value <> ''").select(F.posexplode(F.split("value", LINE_END)).alias("i", "value")).select((F.col("i") + 1).alias("position"), "value")
-    return from_lines(lines, strict=kind in ("jsonl", "ndjson")).orderBy("timestamp", "event_id")
+    lines = numbered_as_read(spark.read.text(path).select(F.explode(F.split("value", LINE_END)).alias("value")), "position")
+    some = lines.filter(_strip(F.col("value")) != "")
+    first = some.agg(F.min("position").alias("first"))
+    placed = some.join(F.broadcast(first), some["position"] >= first["first"]).select((F.col("position") - F.col("first") + 1).alias("position"), "value")
+    return from_lines(placed, strict=kind in ("jsonl", "ndjson")).orderBy("timestamp", "event_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
@@ -27,6 +27,11 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def read_json(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """What write_json wrote; or, with lines False, JSON documents that go over several lines."""
+    return spark.read.json(path, multiLine=not lines)
+
+
 def relativize(df: DataFrame, root: str) -> DataFrame:
     """df with all strings in fields named *_path, at any depth, relative to root where they are under it."""
 

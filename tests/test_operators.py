@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cuesheet.functions import numbers, quality, text
-from cuesheet.operators import align, candidates, crops, frames, report, scan, segments, tuning, windows
+from cuesheet.operators import align, candidates, crops, frame_ocr, frames, images, report, scan, segments, settings, tuning, windows
 from cuesheet.sources import events, providers, showinfo, sinks
 
 FRAMES = "video_id long, seq long, timestamp double, frame_path string, ocr_provider string, quality_score double, ocr_text string, avg_conf double"
@@ -265,7 +265,6 @@ def test_providers(spark):
 
 
 def test_images(spark):
-    from cuesheet.operators import images
 
     drawn = images.drawn(spark.createDataFrame([(3, 1), (3, 1), (4, 2)], "vec_id long, seq long"))
     hashed = images.with_phash(drawn).collect()
@@ -274,7 +273,7 @@ def test_images(spark):
     row = images.with_phash(broken).first()
     assert row["hash_hi"] is None and row["phash_error"]
     got = drawn.select(images.preprocessed(F.col("image"), mode="otsu").alias("p"), images.delta_ratio(F.col("image"), F.col("image")).alias("d"), images.variants(F.col("image")).alias("v")).first()
-    assert (got["p"]["height"], got["p"]["width"], got["d"]) == (48, 64, 0.0) and set(got["p"]["data"]) <= {0, 255} and len(got["v"]["a"]) == 24 * 32
+    assert (got["p"]["height"], got["p"]["width"], got["d"]) == (96, 128, 0.0) and set(got["p"]["data"]) <= {0, 255} and len(got["v"]["a"]) == 24 * 32
 
 
 def test_backfill_leaves_no_large_gap(spark):
@@ -283,3 +282,77 @@ def test_backfill_leaves_no_large_gap(spark):
     suppress = lambda x: scan.suppress_near_duplicates(x.drop("status"), 2.0, 0)
     out = frames.backfill(kept, video(spark, 30.5), fetch, suppress, 10.0)
     assert values(out.filter("status = 'kept'"), "timestamp") == [0.0, 10.0, 20.0, 30.0]
+
+
+def test_a_long_recording_is_cut_into_buckets(spark):
+    rng = random.Random(6)
+    frames_ = [frame(i, round(rng.random() * 900, 1)) for i in range(60)] + [frame(100, 0.0), frame(101, 899.9), frame(102, 450.0), frame(103, 450.0)]
+    segments_ = [segment(i, a := round(rng.random() * 1000, 1), a + 3) for i in range(80)] + [segment(200, 449.0, 451.0), segment(201, 2000.0, 2001.0)]
+    own, seg = spark.createDataFrame(frames_, FRAMES), spark.createDataFrame(segments_, SEGMENTS)
+    for bucket in (1.0, 37.0, 300.0):
+        for x in align.prev_next(seg, own, bucket).collect():
+            middle = (x["start"] + x["end"]) / 2
+            before = max(((f[2], f[1]) for f in frames_ if f[2] < middle), default=None)
+            after = min(((f[2], f[1]) for f in frames_ if f[2] >= middle), default=None)
+            assert (x["prev"] and (x["prev"]["timestamp"], x["prev"]["seq"])) == before
+            assert (x["next"] and (x["next"]["timestamp"], x["next"]["seq"])) == after
+
+
+def test_rows_are_numbered_in_order_and_as_read(spark, tmp_path):
+    ids = random.Random(2).sample(range(-500, 5000), 300)
+    got = values(scan.numbered(spark.createDataFrame([(x,) for x in ids], "id long").repartition(5), "id", 97, "k"), "k", "id")
+    assert got == list(enumerate(sorted(ids), 1))
+    (tmp_path / "log.txt").write_text("".join(f"line {i}\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = spark.read.text(str(tmp_path / "log.txt"))
+        assert lines.rdd.getNumPartitions() > 3
+        assert values(scan.numbered_as_read(lines, "k"), "k", "value") == [(i + 1, f"line {i}") for i in range(5000)]
+        many = tmp_path / "many.jsonl"
+        many.write_text("\n \n" + "".join(f'{{"ts": {i}, "type": "click"}}\n' for i in range(3000)))
+        assert [(x["event_id"], x["timestamp"]) for x in events.read_events(spark, str(many)).collect()] == [(i + 1, float(i)) for i in range(3000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_images_are_written_and_read_back(spark, tmp_path):
+    made = images.drawn(spark.createDataFrame([(1, 0.5, 3, 1), (1, 12.25, 4, 2), (2, 0.5, 5, 3)], "video_id long, timestamp double, vec_id long, seq long"))
+    folder = tmp_path.as_uri()
+    paths = values(images.write_images(made, folder), "processed_path")
+    assert [x.removeprefix(folder) for x in paths] == ["/1/frame_000000.500.png", "/1/frame_000012.250.png", "/2/frame_000000.500.png"]
+    values(images.write_images(made, folder), "processed_path")  # again, over those that are there
+    back = images.read_images(spark, f"{tmp_path}/1").select("path", "image.*").collect()
+    want = {bytes(x["data"]) for x in made.filter("video_id = 1").select("image.data").collect()}
+    assert {bytes(x["data"]) for x in back} == want and {(x["height"], x["width"]) for x in back} == {images.DRAWN}
+
+
+def test_frames_without_answers_for_a_pass(spark):
+    shape = "video_id long, seq long, name string, box struct<x1: int, y1: int, x2: int, y2: int>, place int, psm int, text string, avg_conf double"
+    answers = spark.createDataFrame([(1, 1, "FULL", None, 1, 11, "only the second", 50.0), (1, 1, "TOP", None, 2, 6, " ", None), (1, 2, "FULL", None, 1, 6, None, None)], shape)
+    got = {x["seq"]: x for x in frame_ocr.frame_records(answers, 6).collect()}
+    assert got[1]["ocr"]["full_text"] == "[FULL]\nonly the second" and got[1]["ocr"]["avg_conf"] == 50.0 and got[1]["ocr"]["crops"][0]["psm_used"] == 11
+    assert got[2]["ocr"]["full_text"] == "" and got[2]["ocr"]["avg_conf"] is None and got[2]["quality_score"] == 0.0
+    assert got[1]["provider_candidates"][0]["provider"] == "tesseract" and not got[1]["fallback_used"]
+
+
+def test_settings_are_checked(spark):
+    runs = spark.createDataFrame([(1, None, None)], "video_id int, profile string, align_mode string")
+    row = settings.effective_settings(runs).first()
+    assert (row["profile"], row["ocr_provider"], row["align_mode"], row["window_seconds"]) == ("quality_first", "google", "overlap_topk", 45.0)
+    with pytest.raises(Exception, match="not a value of align_mode"):
+        settings.effective_settings(runs.fillna("sideways", ["align_mode"])).collect()
+
+
+def test_json_is_written_and_read_back(spark, tmp_path):
+    df = spark.createDataFrame([(1, None), (2, "é")], "id long, text string")
+    sinks.write_json(df, str(tmp_path / "out"))
+    assert {(x["id"], x["text"]) for x in sinks.read_json(spark, str(tmp_path / "out")).collect()} == {(1, None), (2, "é")}
+    (tmp_path / "doc.json").write_text('[\n {"a": 1},\n {"a": 2}\n]')
+    assert values(sinks.read_json(spark, str(tmp_path / "doc.json"), lines=False), "a") == [1, 2]
+
+
+def test_a_recording_without_text_gets_one_segment(spark):
+    videos = spark.createDataFrame([(1, 10.0), (2, 20.0)], "video_id long, duration double")
+    own = spark.createDataFrame([segment(0, 0, 1)], SEGMENTS)
+    said = spark.createDataFrame([(1, "a"), (2, "b")], "video_id long, text string")
+    assert values(providers.fallback_segments(videos, own, said), "video_id", "start", "end", "text", "split_reason") == [(2, 0.0, 20.0, "b", "global_fallback")]
