@@ -30,7 +30,7 @@ OVERLAP = 1 << 9
 #: Code points that decide where a pre-token ends, at most, beyond those of the pre-token.
 SURE = 3
 #: Pre-tokens whose ids a Python worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 
 #: Fixed value: the pattern of the rank files.
 KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -205,7 +205,7 @@ def _encoded(docs: DataFrame, path: str, pattern: str, schema: str, result, chun
     cuts = f"length(text) > {chunk + overlap}"
     short = docs.filter(f"text is null or not {cuts}").mapInArrow(whole, schema)
     long = materialise(docs.filter(cuts).withColumn("entry", F.monotonically_increasing_id()))
-    parts = long.mapInArrow(cut, "doc_id long, entry long, k long, last boolean, part string").repartition("entry", "k")
+    parts = long.mapInArrow(cut, "doc_id long, entry long, k long, last boolean, part string").repartition(max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "entry", "k")
     encoded = parts.mapInArrow(encode, "doc_id long, entry long, k long, last boolean, ids array<int>, starts array<int>, before array<int>, over int")
     joined = materialise(encoded.groupBy("entry").applyInArrow(join, f"{schema}, entry long, whole boolean"))
     unshared = long.join(joined.filter("whole").select("entry"), "entry", "left_semi").select("doc_id", "text")

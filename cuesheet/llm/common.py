@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuesheet import ship
+from cuesheet.scratch import scratch_root
 
 #: At most so many keys can each hold more than 1/HOT_KEYS of all rows, so a table of them is small at any input size.
 HOT_KEYS = 2000
@@ -27,37 +27,31 @@ NULL_ID = -(2**63)
 
 
 def prepare(spark: SparkSession) -> None:
-    """Sends the package to the executors and sets the session's batches to BATCH_ROWS rows, if they are larger."""
+    """Sends the package to the executors and sets the session's batches to BATCH_ROWS rows, if they are larger.
+
+    Small results of a shuffle are put together by their size, not dealt over all cores: the operators have many such
+    steps, each of which would write a file and start a task for each core.
+    """
     ship(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     for key in ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch"):
         if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
             spark.conf.set(key, str(BATCH_ROWS))
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or on one machine a temporary one."""
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not base:
-        if sc.master != "local" and not sc.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="cuesheet-")
-        sc.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
 #: Folders of tables that materialise wrote, by application.
 _written: dict[str, list[str]] = {}
 
 
-def materialise(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
+def materialise(df: DataFrame, compact: bool = False) -> DataFrame:
     """Writes df as Parquet under the shared folder and reads it back, which cuts its lineage.
 
-    The table stays until clean_up, as what is made from it may still be read.
+    compact: for narrow results of a scan, which are put together to few files instead of one for each split. The table
+    stays until clean_up, as what is made from it may still be read.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/cuesheet/{uuid.uuid4().hex}"
-    df.write.options(**(options or {})).parquet(path)
+    (df.hint("rebalance") if compact else df).write.parquet(path)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 

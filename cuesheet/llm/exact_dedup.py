@@ -12,9 +12,11 @@ Texts are equal if they are the same after A-Z are lower-cased; null is the empt
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -37,8 +39,23 @@ def _sha(column: pa.Array) -> list[bytes]:
 
 
 def _key(sha: str = "sha") -> F.Column:
-    """What a digest is in filters."""
-    return F.xxhash64(sha)
+    """What a digest is in filters: its first eight bytes."""
+    return F.conv(F.hex(F.substring(F.rpad(F.col(sha), F.lit(8), F.lit(b"\0")), 1, 8)), 16, -10).cast("long")
+
+
+def _keys(sha: list[bytes]) -> np.ndarray:
+    """The same for a list of digests."""
+    return np.frombuffer(b"".join(x[:8].ljust(8, b"\0") for x in sha), dtype=">i8").astype(np.int64)
+
+
+def _pair(ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """What an identifier and a digest are in filters."""
+    return (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64) ^ keys
+
+
+def _lowered(text: F.Column) -> F.Column:
+    """The normalised text, for rows that are few: Python is faster for whole tables."""
+    return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
 
 
 def signed(docs: DataFrame, key_bytes: int = 32) -> DataFrame:
@@ -53,7 +70,7 @@ def signed(docs: DataFrame, key_bytes: int = 32) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x[:key_bytes] for x in sha], pa.binary()), pa.array(sha, pa.binary())], ["doc_id", "key", "sha"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sign, "doc_id long, key binary, sha binary")
-    return materialise(rows.withColumn("entry_id", F.monotonically_increasing_id()))
+    return materialise(rows.withColumn("entry_id", F.monotonically_increasing_id()), compact=True)
 
 
 def _extreme(keep: str, doc: str, entry: str):
@@ -119,7 +136,7 @@ class MergeIndex:
 
     def add(self, rows: DataFrame) -> None:
         """Adds rows (doc_id, key, entry_id)."""
-        self._append(materialise(merge(materialise(flush(rows, self.keep)), self.keep)))
+        self._append(materialise(merge(flush(rows, self.keep), self.keep)))
         if len(self.runs) > self.fanout:
             self.compact()
 
@@ -144,22 +161,13 @@ def hit_texts(docs: DataFrame, hits: KeyFilter, key_bytes: int = 32) -> DataFram
     passing = docs.sparkSession.sparkContext.broadcast((hits.words, hits.places))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    @F.arrow_udf("binary")
-    def sha(text: pa.Array) -> pa.Array:
-        return pa.array(_sha(text), pa.binary())
-
-    @F.pandas_udf("boolean")
-    def may(keys):
-        import pandas as pd
-
-        return pd.Series(KeyFilter(*passing.value).may_hold(keys.to_numpy("int64")))
+    @F.arrow_udf("boolean")
+    def may(text: pa.Array) -> pa.Array:
+        return pa.array(KeyFilter(*passing.value).may_hold(_keys([x[:key_bytes] for x in _sha(text)])))
 
-    @F.arrow_udf("binary")
-    def body(text: pa.Array) -> pa.Array:
-        return pa.array(_normalised(text), pa.binary())
-
-    keyed = rows.withColumn("sha", sha("text")).withColumn("key", F.substring("sha", 1, key_bytes))
-    return keyed.filter(may(_key("key"))).select("doc_id", "key", "sha", body("text").alias("body"))
+    near = rows.filter(may("text")).select("doc_id", F.encode(_lowered(F.col("text")), "UTF-8").alias("body"))
+    signed = near.withColumn("sha", F.unhex(F.sha2("body", 256)))
+    return signed.select("doc_id", F.substring("sha", 1, key_bytes).alias("key"), "sha", "body")
 
 
 def exact_groups(docs: DataFrame, keep: str = "largest", key_bytes: int = 32) -> DataFrame:
@@ -187,7 +195,7 @@ def exact_groups(docs: DataFrame, keep: str = "largest", key_bytes: int = 32) ->
 
     digest = F.lower(F.hex("sha")).alias("text_sha256")
     alone = rows.filter(~passes).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), digest)
-    near = rows.filter(passes)
+    near = materialise(rows.filter(passes), compact=True)
     met = join_unique(near, hits.withColumn("group_size", F.col("n")), "key", near.count(), "left")
     if not split.isEmpty():
         met = met.join(split, "key", "left_anti")
@@ -209,21 +217,25 @@ def drop_exact_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
     both identifier and text in common, one. An empty table gives no rows; texts of any length are compared whole.
     Only rows that may be copies, or repeat an identifier and a text, are moved; the others stay in their tasks.
     """
-    spark = docs.sparkSession
-    groups = materialise(exact_groups(docs, keep))
-    pair = F.xxhash64(F.coalesce("doc_id", F.lit(NULL_ID)), "text_sha256")
-    named = groups.filter("group_size > 1").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text_sha256", "kept", pair.alias("pair"))
-    pairs = materialise(named.groupBy("id", "text_sha256", "pair").agg(F.max("kept").alias("stays"), F.count("*").alias("n")).filter("n > 1 or not stays"))
-    gone = may_hold(key_filter(pairs, "pair"), spark)
-
-    @F.arrow_udf("string")
-    def sha(text: pa.Array) -> pa.Array:
-        return pa.array([hashlib.sha256(x).hexdigest() for x in _normalised(text)], pa.string())
-
-    keyed = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), sha(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_sha256"))
-    keyed = keyed.withColumn("may", gone(F.xxhash64("id", "text_sha256")))
-    met = keyed.filter("may").join(pairs.select("id", "text_sha256", "stays"), ["id", "text_sha256"], "left").filter("stays is null or stays")
+    groups = materialise(exact_groups(docs, keep).filter("group_size > 1").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text_sha256", "kept"))
+    pairs = materialise(groups.groupBy("id", "text_sha256").agg(F.max("kept").alias("stays"), F.count("*").alias("n")).filter("n > 1 or not stays"))
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = _keys([bytes.fromhex(x[:16]) for x in batch.column("text_sha256").to_pylist()])
+            yield pa.RecordBatch.from_arrays([pa.array(_pair(batch.column("id").to_numpy(zero_copy_only=False), keys))], ["key"])
+
+    made = key_filter(materialise(pairs.select("id", "text_sha256").mapInArrow(paired, "key long")))
+    passing = docs.sparkSession.sparkContext.broadcast((made.words, made.places))
+
+    @F.arrow_udf("boolean")
+    def may(ids: pa.Array, text: pa.Array) -> pa.Array:
+        return pa.array(KeyFilter(*passing.value).may_hold(_pair(ids.to_numpy(zero_copy_only=False), _keys(_sha(text)))))
+
+    own_id, text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.col("text").cast("string")
+    keyed = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), own_id.alias("id"), text.alias("text")).withColumn("may", may("id", "text"))
+    met = keyed.filter("may").select("row", "id", F.sha2(F.encode(_lowered(F.col("text")), "UTF-8"), 256).alias("text_sha256"))
+    # What passes by chance is no pair and has one row; rows of a pair are copies of each other but for other columns.
     one = Window.partitionBy("id", "text_sha256").orderBy("text_sha256")
-    # Rows of a pair that repeats are copies of each other but for other columns; pairs that don't have one row.
-    repeats = met.filter("stays").withColumn("at", F.row_number().over(one)).filter("at = 1")
-    return keyed.filter("not may").select("row.*").unionByName(met.filter("stays is null").select("row.*")).unionByName(repeats.select("row.*"))
+    left = met.join(pairs.select("id", "text_sha256", "stays"), ["id", "text_sha256"], "left").filter("stays is null or stays")
+    return keyed.filter("not may").select("row.*").unionByName(left.withColumn("at", F.row_number().over(one)).filter("at = 1").select("row.*"))

@@ -38,7 +38,7 @@ GROUP = 64
 END = 1
 END_BYTES = END.to_bytes(4, "little")
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 
 #: The settings of a tokenizer file under which _NARROW stands for its pattern.
 KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

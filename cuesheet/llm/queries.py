@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cuesheet.scratch import spread
+
 from . import bpe, exact_dedup, html_extract, langid, line_dedup, merkle, packing, secrets, simhash, token_counts
 from .common import prepare
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return html_extract.extract(spread(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
 def op5_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

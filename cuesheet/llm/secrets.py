@@ -16,7 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_unique, key_filter, materialise, may_hold, scratch_root, slices, texts
+from cuesheet.scratch import scratch_root
+
+from .common import KeyFilter, join_unique, key_filter, materialise, may_hold, slices, texts
 
 #: Changes whenever RULES or their checks do.
 RULES_VERSION = "2"
@@ -93,13 +95,16 @@ class Ledger:
     def scan(self, docs: DataFrame, rules: str = RULES_VERSION) -> DataFrame:
         """Scans the blobs of docs (doc_id, text) that are unseen and adds them; returns doc_id, blob of every row."""
         addressed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _blob().alias("blob"))
-        paths = materialise(addressed.select("doc_id", "blob"))
+        paths = materialise(addressed.select("doc_id", "blob"), compact=True)
         # One path for each unseen blob.
         wanted = materialise(self.unseen(paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id")), rules).withColumn("pair", F.xxhash64("doc_id", "blob")))
-        asked = may_hold(key_filter(wanted, "pair"), self.spark)
+        made = key_filter(wanted, "pair")
+        asked = self.spark.sparkContext.broadcast((made.words, made.places))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            filtered = KeyFilter(*asked.value)
             for batch in slices(batches):
+                batch = batch.filter(pa.array(filtered.may_hold(batch.column("pair").to_numpy(zero_copy_only=False))))
                 found = [find_spans(x) for x in texts(batch.column("text"))]
                 count = [[sum(kind == k for _, kind, _ in x) for x in found] for k in range(3)]
                 base = [written([y for y in x if y[1] < len(BASE)]) for x in found]
@@ -108,7 +113,7 @@ class Ledger:
                     ["blob", "rules", "n_assign", "n_access", "n_hex", "base", "spans"],
                 )
 
-        found = addressed.filter(asked(F.xxhash64("doc_id", "blob"))).select("blob", "text").mapInArrow(scan, LEDGER)
+        found = addressed.select("blob", F.xxhash64("doc_id", "blob").alias("pair"), "text").mapInArrow(scan, LEDGER)
         # What the filter let through by chance, or rows of one identifier and text scanned more than once, go.
         new = materialise(found.dropDuplicates(["blob"]).join(wanted.select("blob"), "blob", "left_semi"))
         new.write.mode("append").parquet(self.path)
@@ -165,10 +170,10 @@ def redact_secrets(docs: DataFrame, ledger: Ledger | None = None) -> DataFrame:
 
     keyed = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), _blob().alias("blob")).withColumn("may", hit(F.xxhash64("blob")))
     met = join_unique(keyed.filter("may").select("blob", "row"), found, "blob", paths.count(), "left")
-    clean = met.filter("spans is null").select("row.*")
-    dirty = met.filter("spans is not null").withColumn("masked", masked(F.col("row.text").cast("string"), F.col("spans")))
+    dirty = F.col("spans").isNotNull()
+    met = met.withColumn("masked", masked(F.when(dirty, F.col("row.text").cast("string")), F.col("spans")))
     changed = {"text": F.col("masked").cast(docs.schema["text"].dataType)}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length("masked").cast(docs.schema["n_chars"].dataType)
-    dirty = dirty.select(*(changed.get(x, F.col("row")[x]).alias(x) for x in docs.columns))
-    return keyed.filter("not may").select("row.*").unionByName(clean).unionByName(dirty)
+    met = met.select(*(F.when(dirty, changed[x]).otherwise(F.col("row")[x]).alias(x) if x in changed else F.col("row")[x].alias(x) for x in docs.columns))
+    return keyed.filter("not may").select("row.*").unionByName(met)

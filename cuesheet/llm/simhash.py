@@ -155,7 +155,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     repeat a doc_id count as documents of their own; rows without one belong to components but never name them, and a
     component of such rows alone has a null component_id. An empty table gives no rows; other columns are not read.
     """
-    out = _components(materialise(fingerprints(docs)))
+    out = _components(materialise(fingerprints(docs), compact=True))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size")
 
 

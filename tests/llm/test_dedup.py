@@ -87,6 +87,12 @@ def test_exact_dedup_of_nothing(empty):
     assert exact_dedup.drop_exact_copies(empty).columns == empty.columns
 
 
+def test_filter_keys_are_the_same_in_both_forms(spark):
+    digests = [hashlib.sha256(bytes([i])).digest()[: 32 if i % 3 else 1] for i in range(200)]
+    got = [x["key"] for x in spark.createDataFrame([(i, x) for i, x in enumerate(digests)], "i int, sha binary").select("i", exact_dedup._key().alias("key")).orderBy("i").collect()]
+    assert got == exact_dedup._keys(digests).tolist()
+
+
 def test_exact_copies_are_dropped(clashing):
     out = exact_dedup.drop_exact_copies(clashing)
     assert out.columns == clashing.columns

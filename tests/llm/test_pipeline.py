@@ -8,9 +8,11 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
 from llm_cases import COLUMNS, odd_rows, sentence
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from cuesheet.llm import exact_dedup, langid, near_copies, secrets, simhash
@@ -109,6 +111,62 @@ def test_near_copies_are_dropped_as_by_brute_force(spark, monkeypatch, apart):
     assert 12 < len(want) < 60 and sorted(got) == want
 
 
+ENGLISH = "the of and to in that is was for with on are this be which have from not they".split()
+GERMAN = "der die und den von zu das mit sich des auf für ist im dem nicht ein eine als".split()
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def spoken(rng, words, n):
+    return " ".join(rng.choice(words) + rng.choice(["", "", ".", ","]) for _ in range(n))
+
+
+def test_the_pipeline_against_brute_force(spark, tmp_path):
+    """Each stage by hand over a table with all that they look for: what is left, and the ids it is packed as."""
+    rng = random.Random(21)
+    rows = [(i, spoken(rng, words, 150), lang) for i, (words, lang) in enumerate([(ENGLISH, "en"), (GERMAN, "de")] * 25)]
+    noise = ["".join(rng.choice("qxzjkvwp") for _ in range(9)) for _ in range(60)]
+    rows += [(100, " ".join(noise), None), (101, None, "en"), (102, "", None), (103, "123 !?", "en"), (104, "言語 が 違う 文章", None)]
+    rows += [(200 + i, rows[i][1].upper() if i % 2 else rows[i][1], rows[i][2]) for i in range(8)]
+    for i in range(300, 310):  # two of 150 words changed touch ten of 146 shingles at most
+        own = rows[i - 290][1].split()
+        for at in rng.sample(range(150), 2):
+            own[at] = "other"
+        rows.append((i, " ".join(own), "en"))
+    secret = 'and token = "3f76bb46f51625a07193ae74d1cc485f" is set'
+    rows += [(400 + i, spoken(rng, ENGLISH, 80) + f"\n{secret}\n" + spoken(rng, ENGLISH, 40), "en") for i in range(5)]
+    rows += [(None, spoken(rng, GERMAN, 90), "de")]
+    spark.createDataFrame([(d, t, lang, "s", len(t or ""), "x") for d, t, lang in rows], COLUMNS + ", spans string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    left = [(d, t) for d, t, _ in rows if d is None or d < 100 or d >= 200]
+    by_text: dict[str, list] = {}
+    for d, t in left:
+        by_text.setdefault(lowered(t), []).append((d if d is not None else -1, t))
+    left = [max(x, key=lambda y: y[0]) for x in by_text.values()]
+    sets = [{tuple(lowered(t).split()[i : i + 5]) for i in range(len(t.split()) - 4)} for _, t in left]
+    roots = list(range(len(left)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                roots = [roots[j] if x == roots[i] else x for x in roots]
+    kept = {}
+    for (d, t), root in zip(left, roots):
+        if root not in kept or d < kept[root][0]:
+            kept[root] = (d, t)
+    want = {}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for d, t in kept.values():
+        own = t.replace('token = "3f76bb46f51625a07193ae74d1cc485f', "<SECRET>")
+        want[None if d == -1 else d] = [*tokenizer.encode(own, add_special_tokens=False).ids, 1]
+    got: dict = {}
+    for x in sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda x: x["start"]):
+        got.setdefault(x["doc_id"], []).extend(x["ids"])
+    assert 50 < len(want) < len(rows) - 15
+    assert got == want
+
+
 def test_an_empty_table_passes_through(spark, empty, tmp_path):
     empty.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
