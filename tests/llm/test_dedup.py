@@ -10,8 +10,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from cuesheet.llm import components, exact_dedup, line_dedup, simhash
+from cuesheet.llm import common, components, exact_dedup, line_dedup, simhash
 
 from llm_cases import COLUMNS, odd_rows, rows_of, sentence
 
@@ -258,3 +259,31 @@ def test_perfect_hash_is_minimal_and_knows_strangers():
     hashes = [xxhash.xxh3_128_digest(bytes([i % 256, i // 256])) for i in range(3000)]
     shard = line_dedup.Shard.build(hashes[:2000], np.arange(2000) + 2)
     assert shard.count(hashes).tolist() == [*range(2, 2002), *[0] * 1000]
+
+
+def test_filters_hold_their_keys_and_few_others(spark):
+    rng = np.random.default_rng(8)
+    keys = rng.integers(-(2**63), 2**63 - 1, 3000)
+    made = common.key_filter(spark.createDataFrame([(int(x),) for x in keys[:2000]], "key long"))
+    assert made.may_hold(keys[:2000]).all() and made.may_hold(keys[2000:]).sum() < 20
+    passed = spark.createDataFrame([(int(x),) for x in keys], "key long").filter(common.may_hold(made, spark)(F.col("key"))).count()
+    assert passed == made.may_hold(keys).sum()
+    nothing = common.key_filter(spark.createDataFrame([], "key long"))
+    assert not nothing.may_hold(keys).any()
+
+
+def test_a_full_filter_lets_more_through_but_loses_none(spark, monkeypatch):
+    monkeypatch.setattr(common, "MAX_FILTER_BITS", 1 << 10)
+    monkeypatch.setattr(common, "BITS_PER_KEY", 1)
+    keys = np.random.default_rng(9).integers(-(2**63), 2**63 - 1, 5000)
+    made = common.key_filter(spark.createDataFrame([(int(x),) for x in keys], "key long"))
+    assert made.may_hold(keys).all()
+
+
+def test_written_tables_are_deleted(spark):
+    began = common.mark(spark)
+    a, b = (common.materialise(spark.range(10)) for _ in range(2))
+    assert common.clean_up(spark, began, began + 1) == 1 and b.count() == 10
+    assert common.clean_up(spark, began) == 1 and common.clean_up(spark, began) == 0
+    with pytest.raises(Exception, match="(?i)not.*exist|path"):
+        spark.read.parquet(a.inputFiles()[0]).count()
