@@ -497,11 +497,11 @@ def backfill_rounds(spark, sf_dir):
 # --- events and logs ----------------------------------------------------------------------------------------------
 
 
-@query(f"""e AS (SELECT row_number() OVER (ORDER BY event_id) AS i, event_id, epoch_us(ts) / 1000000.0::double AS t, event_type, props FROM events)
+@query(f"""e AS (SELECT row_number() OVER (ORDER BY event_id) AS i, event_id, (epoch_us(ts) % 300000000) / 1000000.0::double AS t, event_type, props FROM events)
     SELECT i AS event_id, {_round('t', 3)} AS timestamp, event_type, json_extract_string(props, '$.k') AS k FROM e WHERE event_type IN ('click', 'scroll', 'key')""".replace("e AS", "WITH e AS", 1))
 def events_clean(spark, sf_dir):
     raw = scan.numbered(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id", 1 << 20, "position")
-    t = F.expr("unix_micros(cast(ts as timestamp)) / 1000000.0D")
+    t = F.expr("(unix_micros(cast(ts as timestamp)) % 300000000) / 1000000.0D")
     fields = F.create_map(F.lit("ts"), t.cast("string"), F.lit("type"), F.concat(F.lit(" "), F.upper("event_type")), F.lit("payload"), F.col("props"))
     out = event_logs.clean_events(raw.select("position", fields.alias("fields")))
     return out.select(F.col("event_id").cast("long").alias("event_id"), "timestamp", "event_type", F.get_json_object("payload", "$.k").alias("k"))
