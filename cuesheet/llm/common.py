@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -76,8 +77,14 @@ def clean_up(spark: SparkSession, since: int = 0, until: int | None = None) -> i
     return len(gone)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets the driver drop what nothing refers to any more: plans, broadcasts, and the shuffle files behind them."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: Bits of a key filter for each key, and of any filter at most (32 MB, which is what is broadcast); a fuller one lets more through.
-BITS_PER_KEY, MAX_FILTER_BITS = 16, 1 << 28
+BITS_PER_KEY, MAX_FILTER_BITS = 10, 1 << 28
 
 
 class KeyFilter:
