@@ -17,6 +17,8 @@ from cuesheet.scratch import scratch_root
 
 #: At most so many keys can each hold more than 1/HOT_KEYS of all rows, so a table of them is small at any input size.
 HOT_KEYS = 2000
+#: Items or characters of the one column of such a row that may be long, so the table of hot keys has a bound in bytes too.
+HOT_WIDTH = 4096
 
 #: Documents handed to Python at a time; a text is never split over two batches.
 ROWS_PER_CHUNK = 256
@@ -152,16 +154,21 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def join_unique(left: DataFrame, right: DataFrame, key: str, total: int, how: str = "inner", n: str = "n") -> DataFrame:
+def join_unique(left: DataFrame, right: DataFrame, key: str, total: int, how: str = "inner", n: str = "n", width: str | None = None) -> DataFrame:
     """left joined with right, which has one row per key and in column n the key's number of rows in left.
 
     Keys of more than total / HOT_KEYS rows are at most HOT_KEYS, so these rows of right are broadcast and the
-    rows of a hot key stay where they are; the others meet in a shuffle in which no key is large.
-    how: inner or left. n is dropped.
+    rows of a hot key stay where they are; the others meet in a shuffle in which no key is large. width: a column of
+    right that may be long; hot rows in which it has more than HOT_WIDTH items or characters are not broadcast but left
+    to the shuffle, whose large partitions Spark splits. how: inner or left. n is dropped.
     """
     most = max(total // HOT_KEYS, 1)
-    hot = right.filter(F.col(n) > most).drop(n)
-    cold = right.filter(F.col(n) <= most).drop(n)
+    is_hot = F.col(n) > most
+    if width is not None:
+        size = F.size(width) if right.schema[width].dataType.typeName() == "array" else F.coalesce(F.length(width), F.lit(0))
+        is_hot &= size <= HOT_WIDTH
+    hot = right.filter(is_hot).drop(n)
+    cold = right.filter(~is_hot).drop(n)
     here = left.join(F.broadcast(hot), key)
     rest = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
     return here.unionByName(rest)

@@ -123,7 +123,7 @@ class Ledger:
         """The findings of each row of paths (doc_id, blob)."""
         sizes = paths.groupBy("blob").agg(F.count("*").alias("n"))
         own = materialise(self.findings.filter(F.col("rules") == rules).drop("rules").join(sizes, "blob"))
-        return join_unique(paths, own, "blob", paths.count())
+        return join_unique(paths, own, "blob", paths.count(), width="spans")
 
 
 def scan_secrets(docs: DataFrame, ledger: Ledger | None = None) -> DataFrame:
@@ -169,7 +169,7 @@ def redact_secrets(docs: DataFrame, ledger: Ledger | None = None) -> DataFrame:
         return text.combine(spans, lambda a, b: None if a is None else redact(a, b))
 
     keyed = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), _blob().alias("blob")).withColumn("may", hit(F.xxhash64("blob")))
-    met = join_unique(keyed.filter("may").select("blob", "row"), found, "blob", paths.count(), "left")
+    met = join_unique(keyed.filter("may").select("blob", "row"), found, "blob", paths.count(), "left", width="spans")
     dirty = F.col("spans").isNotNull()
     met = met.withColumn("masked", masked(F.when(dirty, F.col("row.text").cast("string")), F.col("spans")))
     changed = {"text": F.col("masked").cast(docs.schema["text"].dataType)}
