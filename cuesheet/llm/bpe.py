@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import Memo, materialise, slices, texts
 
-CHUNK = 1 << 14
-OVERLAP = 1 << 9
+CHUNK = 1 << 16
+OVERLAP = 1 << 10
 #: Code points that decide where a pre-token ends, at most, beyond those of the pre-token.
 SURE = 3
 #: Pre-tokens whose ids a Python worker remembers.
@@ -129,7 +129,7 @@ def encode_chunk(coder: Coder, part: str, chunk: int, last: bool) -> tuple[list[
         places = [x for x in places if over is not None and x[0] < chunk + over]
     ids = [coder.known[x] for _, x in places]
     before = np.cumsum([0, *map(len, ids)]).tolist()
-    heads = [(at, n) for (at, _), n in zip(places, before) if at <= len(part) - chunk or at <= OVERLAP]
+    heads = [(at, n) for (at, _), n in zip(places, before) if at <= max(len(part) - chunk, OVERLAP)]
     return list(chain.from_iterable(ids)), [at for at, _ in heads], [n for _, n in heads], over
 
 
