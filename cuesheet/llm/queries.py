@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cuesheet.scratch import spread
 
-from . import bpe, exact_dedup, html_extract, langid, line_dedup, merkle, packing, secrets, simhash, token_counts
+from . import bpe, exact_dedup, html_extract, langid, line_dedup, merkle, mixing, packing, secrets, simhash, token_counts
 from .common import prepare
 
 
@@ -63,6 +63,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir), weights=(1, 2, 3), most=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_secret_scans": op9_secret_scans,
     "op10_language_id": op10_language_id,
+    "op11_mixing": op11_mixing,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
