@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cuesheet.scratch import spread
 
-from . import bpe, exact_dedup, html_extract, langid, line_dedup, merkle, mixing, packing, secrets, simhash, token_counts
+from . import bpe, conversations, exact_dedup, html_extract, langid, line_dedup, merkle, mixing, negatives, packing, secrets, simhash, token_counts
 from .common import prepare
 
 
@@ -67,6 +67,19 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir), weights=(1, 2, 3), most=3)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    damaged = conversations.damage(spread(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+    return conversations.repair(damaged, F.col("present"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
@@ -79,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scans": op9_secret_scans,
     "op10_language_id": op10_language_id,
     "op11_mixing": op11_mixing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -99,4 +114,19 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS body FROM documents)
         WINDOW w AS (PARTITION BY body)
     """,
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ),
+        s AS (
+            SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id AS id, a.label = b.label AS alike, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0
+        ),
+        p AS (SELECT * FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id NULLS LAST, r) <= 5)
+        SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.id NULLS LAST, n.r)::INTEGER AS rank
+        FROM p JOIN s n ON p.anchor = n.anchor AND NOT n.alike AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+        QUALIFY rank <= 3
+    """,
 }

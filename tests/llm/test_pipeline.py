@@ -176,7 +176,8 @@ def test_an_empty_table_passes_through(spark, empty, tmp_path):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_against_sql(spark, name):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     want = connection.execute(ORACLE_SQL[name]).to_arrow_table()
     got = QUERIES[name](spark, str(DATA)).toArrow()
     columns = sorted(want.column_names)
@@ -187,8 +188,7 @@ def test_queries_against_sql(spark, name):
 @needs_tables
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_other_queries_run_over_whole_tables(spark, name):
-    table = "pages" if name.startswith("op3_") else "documents"
-    key = "page_id" if table == "pages" else "doc_id"
+    table, key = {"op3": ("pages", "page_id"), "op13": ("conversations", "conv_id")}.get(name.split("_")[0], ("documents", "doc_id"))
     want = {x[0] for x in spark.read.parquet(f"{DATA}/{table}.parquet").select(key).collect()}
     assert {x[0] for x in QUERIES[name](spark, str(DATA)).select(key).collect()} == want
 
