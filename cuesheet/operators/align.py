@@ -96,7 +96,10 @@ def nearest(segments: DataFrame, frames: DataFrame, max_gap: float = 10.0) -> Da
 
 
 def build_dataset(segments: DataFrame, frames: DataFrame, max_gap: float = 10.0, k: int = 3, mode: str = "overlap_topk") -> DataFrame:
-    """Every segment with its attached frame, the candidates and the frames before and after its middle."""
+    """Every segment with its attached frame, the candidates and the frames before and after its middle.
+
+    Frames with ocr (full_text, crops: their records) or with ocr_text give frame_ocr_text too, and with ocr frame_ocr_crops.
+    """
     key = ["video_id", "seq"]
     if mode == "overlap_topk":
         best = top_candidates(segments.select(*key, "start", "end"), frames, max_gap, k)
@@ -109,9 +112,15 @@ def build_dataset(segments: DataFrame, frames: DataFrame, max_gap: float = 10.0,
     joined = prev_next(segments, frames).join(lists, key, "left")
     some = F.col("attached").isNotNull()
     candidates = F.transform("c", lambda x: x.dropFields("rank"))
+    said = {}
+    if "ocr" in frames.columns:
+        said = {"frame_ocr_text": F.col("attached.ocr.full_text"), "frame_ocr_crops": F.col("attached.ocr.crops")}
+    elif "ocr_text" in frames.columns:
+        said = {"frame_ocr_text": F.col("attached.ocr_text")}
     return joined.select(
         *segments.columns,
         *(F.col(f"attached.{x}").alias(y) for x, y in (("timestamp", "frame_timestamp"), ("frame_path", "frame_path"), ("ocr_provider", "ocr_provider"))),
+        *(column.alias(name) for name, column in said.items()),
         F.coalesce(candidates, F.array().cast(joined.select(candidates.alias("c")).schema["c"].dataType)).alias("frame_candidates"),
         F.col("prev").alias("frame_prev"),
         F.col("next").alias("frame_next"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import ship
 from ..functions import numbers, quality, text
 from ..operators import align, candidates, crops, frames, report, scan, segments, settings, tuning, windows
+from ..operators import frame_cascade
 from ..operators import frame_ocr as recognition
 from ..sources import events as event_logs
 from ..sources import showinfo
@@ -822,3 +823,77 @@ def frame_ocr_crops(spark, sf_dir):
     own = fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "ocr_text", F.lit(640).alias("width"), F.lit(480).alias("height"))
     answers = recognition.crop_requests(own, [6, 11]).withColumns({"text": F.expr(_BOX_TEXT.format("concat(ocr_text, ' once more')")), "avg_conf": F.expr(_BOX_CONF)})
     return recognition.better_crops(answers, 6).select("video_id", "seq", "name", "text", "avg_conf", "psm_used", "box.x1", "box.y1")
+
+
+# --- providers in turn, box by box --------------------------------------------------------------------------------
+
+_TWO_BOXES = "(VALUES (1, 'FULL'), (2, 'MANUAL_01'))"
+#: What the stages say of a box: text, confidence, error.
+_SAID = {
+    "google_a": ("case when (seq + place) % 4 = 0 then '' when seq % 3 = 0 then replace(ocr_text, 'e', '#') else ocr_text end", "case when seq % 5 = 0 then null else cast((seq * 7 + place * 13) % 101 as double) end", "case when (seq + place) % 11 = 0 then 'timeout' end"),
+    "google_b": ("case when (seq + place) % 6 = 0 then '' else concat(ocr_text, ' again.') end", "cast((seq * 11 + place * 5) % 101 as double)", "case when (seq + place) % 13 = 0 then 'timeout b' end"),
+    "azure_read": ("concat('Read: ', ocr_text, case when seq % 2 = 0 then '' else ' ((' end)", "cast((seq * 3 + place) % 101 as double)", "case when (seq + place) % 7 = 0 then 'throttled' end"),
+}
+_CANDIDATE_RANK = "struct_pack(a := coalesce(score, 0), b := length(text), c := coalesce(avg_conf, 0), d := -stage)"
+_ASKED = f"""asked AS (SELECT f.video_id, f.seq, f.ocr_text, place, name FROM fx_frames f, {_TWO_BOXES} AS b(place, name)),
+    every AS ({" UNION ALL ".join(f"SELECT video_id, seq, place, name, {i} AS stage, '{v}' AS variant, {said} AS text, {conf} AS avg_conf, {error} AS error FROM asked" for i, (v, (said, conf, error)) in enumerate(_SAID.items()))}),
+    {_QUALITY.replace("fx_ocr", "every")},
+    rated AS (SELECT *, {_round("quality", 4)} AS score FROM z),
+    one AS (SELECT video_id, seq, place, max(CASE WHEN coalesce(error, '') <> '' OR score < 0.55 THEN 1 ELSE 0 END) AS weak FROM rated WHERE stage = 0 GROUP BY ALL),
+    two AS (SELECT video_id, seq, place, arg_max(CASE WHEN coalesce(error, '') <> '' OR score < 0.55 THEN 1 ELSE 0 END, {_CANDIDATE_RANK}) AS weak FROM rated JOIN one USING (video_id, seq, place) WHERE stage < 1 + weak GROUP BY ALL),
+    cand AS (SELECT rated.* FROM rated JOIN one USING (video_id, seq, place) JOIN two USING (video_id, seq, place) WHERE stage = 0 OR stage = 1 AND one.weak = 1 OR stage = 2 AND two.weak = 1),
+    boxes AS (SELECT video_id, seq, place, any_value(name) AS name, arg_max(struct_pack(text := text, avg_conf := avg_conf, error := error, score := score, variant := variant), {_CANDIDATE_RANK}) AS best, count(*) AS n, string_agg(variant, ',' ORDER BY stage) AS variants FROM cand GROUP BY video_id, seq, place)"""
+_FOLDED = f"""{_ASKED}, fold AS (SELECT video_id, seq, trim(coalesce(string_agg('[' || name || ']' || chr(10) || best.text, chr(10) || chr(10) ORDER BY place) FILTER (best.text <> ''), ''), chr(32) || chr(9) || chr(10)) AS text,
+        {_round("sum(best.avg_conf::decimal(30,6))::double / count(best.avg_conf)", 2)} AS avg_conf, sum(n)::bigint AS n_candidates, bool_or(best.variant = 'azure_read') AS fallback_used,
+        coalesce(string_agg(name || '=' || best.error, ',' ORDER BY place) FILTER (coalesce(best.error, '') <> ''), '') AS errors, string_agg(variants, ';' ORDER BY place) AS variants FROM boxes GROUP BY video_id, seq)"""
+_FRAME_QUALITY = _QUALITY.replace("fx_ocr", "fold").replace("t AS (", "t2 AS (", 1).replace("FROM t)", "FROM t2)")
+for _x in ("m", "r", "q", "z"):
+    _FRAME_QUALITY = _FRAME_QUALITY.replace(f"    {_x} AS (", f"    {_x}2 AS (").replace(f"FROM {_x})", f"FROM {_x}2)")
+
+
+def _cascaded(spark, sf_dir):
+    own = fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "ocr_text", F.lit(640).alias("width"), F.lit(480).alias("height"))
+    requests = recognition.crop_requests(own, [0], "none", ["5,6,300,200"]).withColumn("place", F.when(F.col("name") == "FULL", 1).otherwise(2)).drop("psm")
+
+    def said(variant):
+        columns = {x: F.expr(y) for x, y in zip(("text", "avg_conf", "error"), _SAID[variant])}
+        return lambda asked: asked.withColumns(columns)
+
+    stages = [frame_cascade.Stage("azure" if x == "azure_read" else "google", x, said(x), fallback=x == "azure_read") for x in _SAID]
+    return frame_cascade.cascade_boxes(requests, stages)
+
+
+@query(f"{_ASKED} SELECT video_id, seq, name, best.text AS text, best.avg_conf AS avg_conf, best.error AS error, best.score AS quality_score, best.variant AS variant, best.variant = 'azure_read' AS fallback_used, n AS n_candidates, variants FROM boxes")
+def cascade_boxes(spark, sf_dir):
+    out = _cascaded(spark, sf_dir)
+    variants = F.array_join(F.transform("candidates", lambda x: x["variant"]), ",")
+    return out.select("video_id", "seq", "name", *(f"best.{x}" for x in ("text", "avg_conf", "error", "quality_score", "variant")), "fallback_used", F.size("candidates").cast("long").alias("n_candidates"), variants.alias("variants"))
+
+
+@query(f"""{_FOLDED}, {_FRAME_QUALITY} SELECT video_id, seq, text AS full_text, avg_conf, {_round("quality", 4)} AS quality_score, n_candidates, fallback_used, errors, variants FROM z2""")
+def cascade_records(spark, sf_dir):
+    out = frame_cascade.cascade_records(_cascaded(spark, sf_dir), settings={"feature": "document_text_detection", "fallback_provider": "azure"})
+    errors = F.array_join(F.transform("provider_meta.errors", lambda x: F.concat(x["crop"], F.lit("="), F.col("provider_meta.per_crop_errors")[x["crop"]])), ",")
+    variants = F.array_join(F.transform("ocr.crops", lambda x: F.array_join(F.transform(x["provider_candidates"], lambda y: y["variant"]), ",")), ";")
+    return out.select("video_id", "seq", "ocr.full_text", "ocr.avg_conf", "quality_score", F.size("provider_candidates").cast("long").alias("n_candidates"), "fallback_used", errors.alias("errors"), variants.alias("variants"))
+
+
+@query(f"""{_FOLDED}, {_FRAME_QUALITY}, zz AS (SELECT *, {_round("quality", 4)} AS score, len(regexp_extract_all(variants, 'azure')) AS azure FROM z2)
+    SELECT video_id, count(*) AS frame_records, {_round("count(*) FILTER (trim(text) <> '') / count(*)::double", 4)} AS ocr_nonempty_rate, {_round("count(*) FILTER (score < 0.55) / count(*)::double", 4)} AS low_quality_rate,
+        count(*) FILTER (errors <> '') AS provider_error_count, count(*) FILTER (fallback_used) AS fallback_used_count, sum(n_candidates - 1)::bigint AS retry_invocations, sum(azure)::bigint AS azure_candidate_count FROM zz GROUP BY video_id""")
+def cascade_stats(spark, sf_dir):
+    records = frame_cascade.cascade_records(_cascaded(spark, sf_dir))
+    return report.ocr_stats(frame_cascade.for_report(records)).withColumns({x: numbers.round_to(F.col(x), 4) for x in ("ocr_nonempty_rate", "low_quality_rate")})
+
+
+@query(f"""{_FOLDED}, {_RANKED}, first_box AS (SELECT video_id, seq, arg_min(name || ':' || best.variant, place) AS crop FROM boxes GROUP BY ALL)
+    SELECT s.video_id, s.seq, r.frame_path, o.text AS frame_ocr_text, CASE WHEN r.seq IS NULL THEN -1 ELSE 2 END::bigint AS n_crops, b.crop AS first_crop
+    FROM fx_segments s LEFT JOIN ranked r ON s.video_id = r.video_id AND s.seq = r.seq AND r.rank = 1
+    LEFT JOIN fold o ON o.video_id = r.video_id AND o.seq = r.frame_seq LEFT JOIN first_box b ON b.video_id = r.video_id AND b.seq = r.frame_seq""")
+def dataset_recognised(spark, sf_dir):
+    records = frame_cascade.cascade_records(_cascaded(spark, sf_dir)).select("video_id", "seq", "ocr")
+    own = fixture(spark, sf_dir, "fx_frames").drop("ocr_text").join(records, ["video_id", "seq"])
+    out = align.build_dataset(fixture(spark, sf_dir, "fx_segments"), own)
+    first = F.get("frame_ocr_crops", F.lit(0))
+    used = F.filter(first["provider_candidates"], lambda x: x["text"] == first["text"])
+    return out.select("video_id", "seq", "frame_path", "frame_ocr_text", F.coalesce(F.size("frame_ocr_crops"), F.lit(-1)).cast("long").alias("n_crops"), F.concat(first["name"], F.lit(":"), F.get(used, F.lit(0))["variant"]).alias("first_crop"))
