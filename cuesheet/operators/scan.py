@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,6 +10,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .blocks import fresh, last_kept_before, replay, true_entries, with_block
+
+#: Frames of a recording from which on its blocks of so many seconds are run side by side.
+LONG, BLOCK = 20_000, 600.0
+
 
 def ordered_scan(df: DataFrame, key: str | list[str], order: list, columns: list[str], start: Callable, step: Callable, schema: str) -> DataFrame:
     """Runs step over the rows of each key in order, and adds what it returns to them.
@@ -62,22 +68,29 @@ def numbered_as_read(rows: DataFrame, name: str) -> DataFrame:
     return own.join(F.broadcast(before), "__p").withColumn(name, F.col("__i") + F.col("__before")).drop("__p", "__i", "__before", "__id")
 
 
-def keep_spaced(df: DataFrame, epsilon: float = 0.2, key: str = "video_id", ts: str = "timestamp", seq: str = "seq", strict: bool = True) -> DataFrame:
+def keep_spaced(df: DataFrame, epsilon: float = 0.2, key: str = "video_id", ts: str = "timestamp", seq: str = "seq", strict: bool = True, width: float | None = None) -> DataFrame:
     """Rows whose ts is more than epsilon after the last row kept of their key; the first row of a key stays.
 
     With strict False a distance of exactly epsilon is enough. Ties in ts go by seq. The last row kept is compared,
-    not the row before: 0, 0.15 and 0.3 with 0.2 keep 0 and 0.3.
+    not the row before: 0, 0.15 and 0.3 with 0.2 keep 0 and 0.3. Rows without a time don't stay.
+
+    A block of width seconds maps the last time kept before it to the last one kept in it. These maps are small, are
+    composed over a recording's blocks, and each block is then run from the time it gets: tasks are blocks, not recordings.
     """
+    (block,) = fresh(df.columns, "block")
+    keep = fresh(df.columns, "keep")[0]
+    rows = with_block(df, ts, width or max(600.0, 1000 * epsilon), block)
+    entries = last_kept_before(rows, key, block, ts, epsilon, strict)
 
-    def step(state: dict, row: dict):
-        t, last = row[ts], state.get("last")
-        keep = t is not None and (last is None or (abs(t - last) > epsilon if strict else abs(t - last) >= epsilon))
-        if keep:
-            state["last"] = t
-        return (keep,)
+    def step(state: list, row: dict):
+        t, last = row[ts], state[0]
+        kept = last is None or (t - last > epsilon if strict else t - last >= epsilon)
+        if kept:
+            state[0] = t
+        return (kept,)
 
-    marked = ordered_scan(df, key, [ts, seq], [ts], dict, step, "__keep boolean")
-    return marked.filter("__keep").drop("__keep")
+    marked = replay(rows, entries, key, block, [ts, seq], [ts], lambda entry: [None if entry is None else float(entry)], step, f"`{keep}` boolean")
+    return marked.filter(F.col(keep)).drop(keep, block)
 
 
 def suppress_near_duplicates(
@@ -100,15 +113,19 @@ def suppress_near_duplicates(
     least transition_delta. Frames without a hash stay but are compared with no other. Adds status (kept or dropped),
     duplicate_of, hash_distance, drop_blocked_reason and candidate_delta_ratio.
 
-    The state of a recording is the frames kept in the last time_gap seconds.
+    The state of a recording is the frames kept in the last time_gap seconds. Where a recording has more than LONG frames,
+    recordings are cut into blocks of BLOCK seconds, which are run side by side (see blocks.true_entries); a pause of more
+    than time_gap empties the state, so blocks after one need nothing from before.
     """
     columns = list(dict.fromkeys(["timestamp", "seq", "frame_path", "hash_hi", "hash_lo", *delta_columns]))
 
-    def step(state: dict, row: dict):
+    def settle(recent: list, t: float) -> list:
+        return [x for x in recent if t - x["timestamp"] <= time_gap]
+
+    def step(recent: list, row: dict):
         if row["hash_hi"] is None or row["hash_lo"] is None:
             return ("kept", None, None, None, None)
         t = row["timestamp"]
-        recent = state.setdefault("recent", [])
         while recent and t - recent[0]["timestamp"] > time_gap:
             recent.pop(0)
         for kept in reversed(recent):
@@ -126,4 +143,11 @@ def suppress_near_duplicates(
         return ("dropped", kept["frame_path"], distance, None, None)
 
     schema = "status string, duplicate_of string, hash_distance long, drop_blocked_reason string, candidate_delta_ratio double"
-    return ordered_scan(df, key, ["timestamp", "seq"], columns, dict, step, schema)
+    order = ["timestamp", "seq"]
+    most = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    if most <= LONG:
+        return ordered_scan(df, key, order, columns, list, step, schema)
+    (block,) = fresh(df.columns, "block")
+    rows = with_block(df, "timestamp", max(BLOCK, 10 * time_gap), block)
+    entries = true_entries(rows, key, block, order, columns, "timestamp", step, settle)
+    return replay(rows, entries, key, block, order, columns, json.loads, step, schema).drop(block)
