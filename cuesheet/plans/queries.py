@@ -194,7 +194,8 @@ def label_vs_quality(spark, sf_dir):
     return out.withColumnRenamed("label", "quality")
 
 
-_SIZES = "(VALUES (1, 1920, 1080), (2, 640, 480), (3, 7, 9), (4, 1, 1)) AS v(id, w, h)"
+_WIDTH, _HEIGHT = "1 + (video_id * 37) % 1930", "1 + (video_id * 53) % 1090"
+_SIZES = f"(SELECT video_id AS id, {_WIDTH} AS w, {_HEIGHT} AS h FROM fx_videos) AS v"
 
 
 @query(f"""SELECT id, name, x1::int AS x1, y1::int AS y1, x2::int AS x2, y2::int AS y2 FROM (
@@ -204,17 +205,18 @@ _SIZES = "(VALUES (1, 1920, 1080), (2, 640, 480), (3, 7, 9), (4, 1, 1)) AS v(id,
     UNION ALL SELECT id, 'BOTTOM', 0, floor(h * 0.80::double), w, h FROM {_SIZES}
     UNION ALL SELECT id, 'MANUAL_01', least(w - 1, 5), least(h - 1, 6), least(w, 300), least(h, 200) FROM {_SIZES} WHERE least(w, 300) > least(w - 1, 5) AND least(h, 200) > least(h - 1, 6))""")
 def crop_boxes(spark, sf_dir):
-    images = spark.createDataFrame([(1, 1920, 1080), (2, 640, 480), (3, 7, 9), (4, 1, 1)], "id int, width int, height int")
+    images = fixture(spark, sf_dir, "fx_videos").select(F.col("video_id").alias("id"), F.expr(_WIDTH).cast("int").alias("width"), F.expr(_HEIGHT).cast("int").alias("height"))
     return crops.crop_boxes(images, "preset", ["5,6,300,200"]).select("id", "name", "box.*")
 
 
-_BOXES = "(VALUES (1, -5, -5, 50, 50), (2, 90, 90, 200, 200), (3, 150, 10, 160, 20), (4, 10, 10, 20, 20)) AS v(id, x1, y1, x2, y2)"
+_EDGES = {"x1": "(event_id * 7) % 220 - 60", "y1": "(event_id * 11) % 200 - 50", "x2": "(event_id * 13) % 260 - 40", "y2": "(event_id * 17) % 240 - 30"}
+_BOXES = f"(SELECT event_id AS id, {', '.join(f'({y})::int AS {x}' for x, y in _EDGES.items())} FROM events) AS v"
 
 
 @query(f"""SELECT id, CASE WHEN ok THEN a END AS x1, CASE WHEN ok THEN b END AS y1, CASE WHEN ok THEN c END AS x2, CASE WHEN ok THEN d END AS y2 FROM (SELECT *, c > a AND d > b AS ok FROM (
     SELECT id, greatest(0, least(99, x1)) AS a, greatest(0, least(99, y1)) AS b, greatest(1, least(100, x2)) AS c, greatest(1, least(100, y2)) AS d FROM {_BOXES}))""")
 def clip_box(spark, sf_dir):
-    rows = spark.createDataFrame([(1, -5, -5, 50, 50), (2, 90, 90, 200, 200), (3, 150, 10, 160, 20), (4, 10, 10, 20, 20)], "id int, x1 int, y1 int, x2 int, y2 int")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"), *(F.expr(y).cast("int").alias(x) for x, y in _EDGES.items()))
     clipped = crops.clip_box(crops.box(*(F.col(x) for x in ("x1", "y1", "x2", "y2"))), F.lit(100), F.lit(100))
     return rows.select("id", clipped.alias("b")).select("id", "b.*")
 
@@ -265,7 +267,8 @@ def conf_flatten_mean(spark, sf_dir):
 
 # --- scalar functions ---------------------------------------------------------------------------------------------
 
-_SPEAKERS = "(VALUES (1, '0'), (2, '1'), (3, '26'), (4, 'a'), (5, ' B '), (6, 'host'), (7, ''), (8, NULL), (9, '25')) AS v(id, raw)"
+_SPEAKER = "case event_id % 6 when 0 then cast(event_id % 40 as {0}) when 1 then chr(cast(97 + event_id % 26 as int)) when 2 then concat(' ', upper(event_type), ' ') when 3 then '' when 4 then event_type end"
+_SPEAKERS = f"(SELECT event_id AS id, {_SPEAKER.format('varchar')} AS raw FROM events)"
 
 
 @query(f"""SELECT id, CASE WHEN x = '' THEN NULL WHEN regexp_full_match(x, '[A-Za-z]') THEN upper(x) WHEN regexp_full_match(x, '[0-9]+') AND x::int <= 25 THEN chr(65 + x::int)
@@ -273,13 +276,16 @@ _SPEAKERS = "(VALUES (1, '0'), (2, '1'), (3, '26'), (4, 'a'), (5, ' B '), (6, 'h
     CASE WHEN x = '' THEN NULL WHEN regexp_full_match(x, '[0-9]+') THEN x WHEN regexp_full_match(x, '[A-Za-z]') THEN (ord(upper(x)) - 64)::varchar ELSE x END AS number
     FROM (SELECT id, trim(raw) AS x FROM {_SPEAKERS})""")
 def normalize_speaker(spark, sf_dir):
-    rows = spark.createDataFrame([(1, "0"), (2, "1"), (3, "26"), (4, "a"), (5, " B "), (6, "host"), (7, ""), (8, None), (9, "25")], "id int, raw string")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"), F.expr(_SPEAKER.format("string")).alias("raw"))
     return rows.select("id", text.speaker_label(F.col("raw"), "alpha").alias("alpha"), text.speaker_label(F.col("raw"), "numeric").alias("number"))
 
 
-@query("SELECT id, coalesce(try_cast(x AS double) / 1000.0::double, 0.0) AS seconds FROM (VALUES (1, '1500'), (2, NULL), (3, 'x'), (4, ' 20.5 '), (5, '0')) AS v(id, x)")
+_MILLIS = "case event_id % 5 when 0 then cast(event_id * 37 as {0}) when 1 then null when 2 then concat('x', event_type) when 3 then concat(' ', cast(event_id as {0}), '.5 ') else '0' end"
+
+
+@query(f"SELECT id, coalesce(try_cast(x AS double) / 1000.0::double, 0.0) AS seconds FROM (SELECT event_id AS id, {_MILLIS.format('varchar')} AS x FROM events)")
 def ms_to_seconds(spark, sf_dir):
-    rows = spark.createDataFrame([(1, "1500"), (2, None), (3, "x"), (4, " 20.5 "), (5, "0")], "id int, x string")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"), F.expr(_MILLIS.format("string")).alias("x"))
     return rows.select("id", numbers.ms_to_seconds(F.col("x")).alias("seconds"))
 
 
@@ -296,16 +302,19 @@ def file_stamp(spark, sf_dir):
 
 @query("""SELECT id, CASE WHEN s < 60 THEN printf('%.1fs', s) WHEN floor(s / 60) < 60 THEN printf('%dm %ds', floor(s / 60)::bigint, round_even(s % 60, 0)::bigint)
     ELSE printf('%dh %dm', floor(floor(s / 60) / 60)::bigint, floor(s / 60)::bigint % 60) END AS said
-    FROM (VALUES (1, 0.0::double), (2, 59.95), (3, 61.0), (4, 119.7), (5, 3599.0), (6, 3600.0), (7, 9000.0)) AS v(id, s)""")
+    FROM (SELECT event_id AS id, (event_id * 137 % 100000)::double / 10.0::double AS s FROM events)""")
 def human_duration(spark, sf_dir):
-    rows = spark.createDataFrame([(1, 0.0), (2, 59.95), (3, 61.0), (4, 119.7), (5, 3599.0), (6, 3600.0), (7, 9000.0)], "id int, s double")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"), F.expr("cast(event_id * 137 % 100000 as double) / 10.0D").alias("s"))
     return rows.select("id", text.human_duration(F.col("s")).alias("said"))
 
 
-@query("""SELECT id, CASE WHEN trim(x) = '' THEN NULL ELSE CASE lower(trim(x)) WHEN 'eng' THEN 'en' WHEN 'spa' THEN 'es' WHEN 'fra' THEN 'fr' WHEN 'deu' THEN 'de' ELSE trim(x) END END AS hint
-    FROM (VALUES (1, 'eng'), (2, ' SPA '), (3, 'ita'), (4, ''), (5, NULL)) AS v(id, x)""")
+_CODE = "case event_id % 8 when 0 then 'eng' when 1 then ' SPA ' when 2 then 'ita' when 3 then '' when 4 then 'Fra' when 5 then concat(' deu', ' ') when 6 then event_type end"
+
+
+@query(f"""SELECT id, CASE WHEN trim(x) = '' THEN NULL ELSE CASE lower(trim(x)) WHEN 'eng' THEN 'en' WHEN 'spa' THEN 'es' WHEN 'fra' THEN 'fr' WHEN 'deu' THEN 'de' ELSE trim(x) END END AS hint
+    FROM (SELECT event_id AS id, {_CODE} AS x FROM events)""")
 def lang_hint(spark, sf_dir):
-    rows = spark.createDataFrame([(1, "eng"), (2, " SPA "), (3, "ita"), (4, ""), (5, None)], "id int, x string")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"), F.expr(_CODE).alias("x"))
     return rows.select("id", text.language_hint(F.col("x")).alias("hint"))
 
 
@@ -508,17 +517,26 @@ def events_clean(spark, sf_dir):
     return out.select(F.col("event_id").cast("long").alias("event_id"), "timestamp", "event_type", F.get_json_object("payload", "$.k").alias("k"))
 
 
-@query("""SELECT id, try_cast(nullif(regexp_extract(line, 'pts_time:([0-9eE+\\-.]+)', 1), '') AS double) AS pts FROM (VALUES (1, '[Parsed_showinfo_1] n: 0 pts_time:1.25 fmt'), (2, 'frame= 1'),
-    (3, '[Parsed_showinfo_1] n: 1 pts_time:3e1'), (4, 'showinfo pts_time:--'), (5, 'pts_time:7')) AS v(id, line) WHERE contains(line, 'showinfo') AND contains(line, 'pts_time:') AND pts IS NOT NULL""")
+_LOG = """case seq % 5 when 0 then concat('[Parsed_showinfo_1] n: ', cast(seq as {0}), ' pts_time:', cast(timestamp as {0}), ' fmt') when 1 then concat('frame= ', cast(seq as {0}))
+    when 2 then concat('[Parsed_showinfo_1] n: 1 pts_time:', cast(seq % 9 as {0}), 'e1') when 3 then 'showinfo pts_time:--' else concat('pts_time:', cast(seq as {0})) end"""
+
+
+@query(f"""SELECT id, try_cast(nullif(regexp_extract(line, 'pts_time:([0-9eE+\\-.]+)', 1), '') AS double) AS pts FROM (SELECT seq AS id, {_LOG.format('varchar')} AS line FROM fx_frames)
+    WHERE contains(line, 'showinfo') AND contains(line, 'pts_time:') AND pts IS NOT NULL""")
 def showinfo_parse(spark, sf_dir):
-    lines = [(1, "[Parsed_showinfo_1] n: 0 pts_time:1.25 fmt"), (2, "frame= 1"), (3, "[Parsed_showinfo_1] n: 1 pts_time:3e1"), (4, "showinfo pts_time:--"), (5, "pts_time:7")]
-    return showinfo.parse_lines(spark.createDataFrame(lines, "id int, value string")).select("id", "pts")
+    lines = fixture(spark, sf_dir, "fx_frames").select(F.col("seq").alias("id"), F.expr(_LOG.format("string")).alias("value"))
+    return showinfo.parse_lines(lines).select("id", "pts")
+
+
+_LINE = """case event_id % 6 when 0 then concat('{{"ts": ', cast(event_id / 4.0{1} as {0}), ', "type": "click", "payload": {{"x": ', cast(event_id as {0}), '}}}}') when 1 then concat('{{"time": "', cast(event_id as {0}), '.25", "event": "KEY", "code": "a"}}')
+    when 2 then '{{"ts": "bad", "type": "click"}}' when 3 then 'not json' when 4 then '' else concat('{{"timestamp": ', cast(event_id as {0}), '.5, "type": "scroll", "payload": "far"}}') end"""
 
 
-@query("""SELECT id::int AS event_id, timestamp, event_type, payload FROM (VALUES (1, 1.5::double, 'click', '{"x":1}'), (2, 2.25, 'key', '{"code":"a"}'), (6, 0.5, 'scroll', '{"raw":"far"}')) AS v(id, timestamp, event_type, payload)""")
+@query("""SELECT event_id::int + 1 AS event_id, CASE event_id % 6 WHEN 0 THEN event_id / 4.0::double WHEN 1 THEN event_id + 0.25::double ELSE event_id + 0.5::double END AS timestamp,
+    CASE event_id % 6 WHEN 0 THEN 'click' WHEN 1 THEN 'key' ELSE 'scroll' END AS event_type, CASE event_id % 6 WHEN 0 THEN '{"x":' || event_id || '}' WHEN 1 THEN '{"code":"a"}' ELSE '{"raw":"far"}' END AS payload
+    FROM events WHERE event_id % 6 IN (0, 1, 5)""")
 def events_formats(spark, sf_dir):
-    rows = ['{"ts": 1.5, "type": "click", "payload": {"x": 1}}', '{"time": "2.25", "event": "KEY", "code": "a"}', '{"ts": "bad", "type": "click"}', "not json", "", '{"timestamp": 0.5, "type": "scroll", "payload": "far"}']
-    lines = spark.createDataFrame(list(enumerate(rows, 1)), "position int, value string")
+    lines = spark.read.parquet(f"{sf_dir}/events.parquet").select((F.col("event_id") + 1).cast("int").alias("position"), F.expr(_LINE.format("string", "D")).alias("value"))
     return event_logs.from_lines(lines, strict=False)
 
 
@@ -634,11 +652,14 @@ def tune_diff(spark, sf_dir):
     return tuning.compare_with_defaults(tuning.tune(_probes(spark, sf_dir)))
 
 
-@query("""SELECT a, g, z, CASE WHEN a THEN 'assemblyai' ELSE 'whisper' END AS transcribe_provider, CASE WHEN g THEN 'google' ELSE 'tesseract' END AS ocr_provider, CASE WHEN g AND z THEN 'azure' ELSE 'none' END AS ocr_fallback_provider
-    FROM (VALUES (true), (false)) AS x(a), (VALUES (true), (false)) AS y(g), (VALUES (true), (false)) AS w(z)""")
+_REACHED = {"a": "video_id % 2 = 0", "g": "video_id % 3 <> 0", "z": "video_id % 5 < 3"}
+
+
+@query(f"""SELECT video_id, CASE WHEN a THEN 'assemblyai' ELSE 'whisper' END AS transcribe_provider, CASE WHEN g THEN 'google' ELSE 'tesseract' END AS ocr_provider, CASE WHEN g AND z THEN 'azure' ELSE 'none' END AS ocr_fallback_provider
+    FROM (SELECT video_id, {", ".join(f"{y} AS {x}" for x, y in _REACHED.items())} FROM fx_videos)""")
 def provider_stack(spark, sf_dir):
-    rows = spark.createDataFrame([(a, g, z) for a in (True, False) for g in (True, False) for z in (True, False)], "a boolean, g boolean, z boolean")
-    return rows.select("a", "g", "z", tuning.provider_stack(F.col("a"), F.col("g"), F.col("z")).alias("p")).select("a", "g", "z", "p.*")
+    stack = tuning.provider_stack(*map(F.expr, _REACHED.values()))
+    return fixture(spark, sf_dir, "fx_videos").select("video_id", stack.alias("p")).select("video_id", "p.*")
 
 
 @query("""SELECT video_id, seq, CASE WHEN starts_with(p, '/data/out/') THEN substring(p, 11) ELSE p END AS frame_path FROM (SELECT video_id, seq, CASE WHEN seq % 3 = 0 THEN '/data/out/' ELSE '/other/' END || frame_path AS p FROM fx_frames)""")
@@ -647,10 +668,13 @@ def relativize(spark, sf_dir):
     return fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", text.relative_path(p, "/data/out").alias("frame_path"))
 
 
-@query("""SELECT * FROM (VALUES (1, 1280, 720, 29.97002997002997::double), (2, 1920, 1080, 30.0), (3, 640, 480, 30.0), (4, 1920, 480, 25.0), (5, 10, 20, 240.0), (6, 10, 20, 30.0)) AS v(id, width, height, fps)""")
+_FPS_LINE = "case video_id % 6 when 0 then concat('1280,', cast(height as {0}), ',30000/1001') when 1 then '' when 2 then concat('640,', cast(height as {0}), ',30/0') when 3 then 'x,480,25' when 4 then concat(cast(video_id as {0}), ',20,1000/1') else '10,20,a/b' end"
+
+
+@query("""SELECT video_id, CASE video_id % 6 WHEN 0 THEN 1280 WHEN 2 THEN 640 WHEN 4 THEN video_id WHEN 5 THEN 10 ELSE 1920 END::int AS width, CASE video_id % 6 WHEN 1 THEN 1080 WHEN 3 THEN 480 WHEN 4 THEN 20 WHEN 5 THEN 20 ELSE height END::int AS height,
+    CASE video_id % 6 WHEN 0 THEN 30000 / 1001.0::double WHEN 3 THEN 25.0 WHEN 4 THEN 240.0 ELSE 30.0 END::double AS fps FROM fx_videos""")
 def fps_parse(spark, sf_dir):
-    rows = [(1, "1280,720,30000/1001"), (2, ""), (3, "640,480,30/0"), (4, "x,480,25"), (5, "10,20,1000/1"), (6, "10,20,a/b")]
-    return spark.createDataFrame(rows, "id int, line string").select("id", tuning.parse_stream_line(F.col("line")).alias("s")).select("id", "s.*")
+    return fixture(spark, sf_dir, "fx_videos").select("video_id", tuning.parse_stream_line(F.expr(_FPS_LINE.format("string"))).alias("s")).select("video_id", "s.*")
 
 
 @query("SELECT video_id, seq, timestamp FROM fx_frames WHERE timestamp < least(200.0::double, 1.5 * 60.0)")
@@ -770,12 +794,23 @@ def union_frames(spark, sf_dir):
     return frames.union_frames(own.filter("source = 'scene'"), own.filter("source = 'sample'"), grid).select("video_id", "timestamp", "source", "seq")
 
 
-@query("""SELECT * FROM (VALUES (1, 'auto', 'assemblyai', 'google', 'azure', 3.0::double, 'none', 3, 45.0::double), (2, 'local_safe', 'whisper', 'tesseract', 'none', 2.0, 'preset', 5, 45.0), (3, 'quality_first', 'whisper', 'google', 'azure', 2.0, 'preset', 3, 30.0),
-    (4, 'auto', 'whisper', 'google', 'none', 1.5, 'preset', 3, 45.0)) AS v(video_id, profile, transcribe_provider, ocr_provider, ocr_fallback_provider, ocr_scale, ocr_crops, align_topk, window_seconds)""")
+_GIVEN = {
+    "profile": "case video_id % 4 when 1 then 'local_safe' when 2 then 'quality_first' end",
+    "transcribe_provider": "case when video_id % 7 = 3 then 'whisper' end",
+    "ocr_provider": "case when video_id % 5 = 1 then 'google' end",
+    "align_topk": "case when video_id % 3 = 0 then 5 end",
+    "window_seconds": "case when video_id % 6 = 2 then cast(30 as double) end",
+}
+
+
+@query(f"""SELECT video_id, CASE WHEN video_id % 5 = 0 THEN 'auto' ELSE base END AS profile, coalesce(transcribe_provider, CASE base WHEN 'local_safe' THEN 'whisper' ELSE 'assemblyai' END) AS transcribe_provider,
+    coalesce(ocr_provider, CASE base WHEN 'local_safe' THEN 'tesseract' ELSE 'google' END) AS ocr_provider, CASE base WHEN 'local_safe' THEN 'none' ELSE 'azure' END AS ocr_fallback_provider,
+    CASE WHEN video_id % 5 <> 0 THEN 2.0 WHEN height < 720 THEN 3.0 ELSE 1.5 END::double AS ocr_scale, CASE WHEN video_id % 10 = 0 THEN 'none' ELSE 'preset' END AS ocr_crops, coalesce(align_topk, 3)::int AS align_topk, coalesce(window_seconds, 45.0::double) AS window_seconds
+    FROM (SELECT *, coalesce(profile, 'quality_first') AS base FROM (SELECT video_id, height, {", ".join(f"{y} AS {x}" for x, y in _GIVEN.items())} FROM fx_videos))""")
 def config_overlay(spark, sf_dir):
-    rows = [(1, None, None, None, None, None), (2, "local_safe", None, None, 5, None), (3, "quality_first", "whisper", None, None, 30.0), (4, "local_safe", None, "google", None, None)]
-    runs = spark.createDataFrame(rows, "video_id int, profile string, transcribe_provider string, ocr_provider string, align_topk int, window_seconds double")
-    tuned = spark.createDataFrame([(1, 3.0, "none"), (4, 1.5, "preset")], "video_id int, ocr_scale double, ocr_crops string")
+    videos = fixture(spark, sf_dir, "fx_videos")
+    runs = videos.select("video_id", *(F.expr(y).alias(x) for x, y in _GIVEN.items()))
+    tuned = videos.filter("video_id % 5 = 0").select("video_id", F.expr("case when height < 720 then 3.0D else 1.5D end").alias("ocr_scale"), F.expr("if(video_id % 10 = 0, 'none', 'preset')").alias("ocr_crops"))
     return settings.effective_settings(runs, tuned).select("video_id", "profile", "transcribe_provider", "ocr_provider", "ocr_fallback_provider", "ocr_scale", "ocr_crops", "align_topk", "window_seconds")
 
 
@@ -816,9 +851,10 @@ def frame_ocr(spark, sf_dir):
 
 
 @query(f"""asked AS (SELECT f.video_id, f.seq, f.ocr_text, place, name, psm FROM fx_frames f, {_BOX_NAMES} AS b(place, name), (VALUES (6), (11)) AS p(psm)),
-    said AS (SELECT *, {_BOX_TEXT.format("ocr_text || ' once more'")} AS said, {_BOX_CONF} AS conf FROM asked)
-    SELECT a.video_id, a.seq, a.name, CASE WHEN length(b.said) > length(a.said) THEN b.said ELSE a.said END AS text, CASE WHEN length(b.said) > length(a.said) THEN b.conf ELSE a.conf END AS avg_conf, CASE WHEN length(b.said) > length(a.said) THEN 11 ELSE 6 END AS psm_used,
-        CASE a.place WHEN 4 THEN 96 ELSE 0 END AS x1, CASE a.place WHEN 4 THEN 72 WHEN 5 THEN 384 ELSE 0 END AS y1 FROM said a JOIN said b USING (video_id, seq, place) WHERE a.psm = 6 AND b.psm = 11""")
+    said AS (SELECT *, {_BOX_TEXT.format("ocr_text || ' once more'")} AS said, {_BOX_CONF} AS conf FROM asked),
+    passes AS (SELECT video_id, seq, name, any_value(place) AS place, max(said) FILTER (psm = 6) AS a, max(said) FILTER (psm = 11) AS b, max(conf) FILTER (psm = 6) AS ca, max(conf) FILTER (psm = 11) AS cb FROM said GROUP BY video_id, seq, name)
+    SELECT video_id, seq, name, CASE WHEN length(b) > length(a) THEN b ELSE a END AS text, CASE WHEN length(b) > length(a) THEN cb ELSE ca END AS avg_conf, CASE WHEN length(b) > length(a) THEN 11 ELSE 6 END AS psm_used,
+        CASE place WHEN 4 THEN 96 ELSE 0 END AS x1, CASE place WHEN 4 THEN 72 WHEN 5 THEN 384 ELSE 0 END AS y1 FROM passes""")
 def frame_ocr_crops(spark, sf_dir):
     own = fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "ocr_text", F.lit(640).alias("width"), F.lit(480).alias("height"))
     answers = recognition.crop_requests(own, [6, 11]).withColumns({"text": F.expr(_BOX_TEXT.format("concat(ocr_text, ' once more')")), "avg_conf": F.expr(_BOX_CONF)})
