@@ -490,14 +490,46 @@ def dedupe_transition(spark, sf_dir):
     return _marked(spark, sf_dir, delta=_synthetic_delta).select("video_id", "seq", "status", "duplicate_of", F.coalesce("hash_distance", F.lit(-1)).alias("hash_distance"))
 
 
-@query()
+_FETCHED = ("(video_id * 2654435761 + {0} * 40503) % 4294967296", "(video_id * 40503 + {0} * 2654435761) % 4294967296")
+
+
+def _settled(source: str, name: str) -> str:
+    """Near-duplicates of source (video_id, seq, timestamp, frame_path, hi, lo) marked in name, row by row."""
+    own = "{'t': timestamp, 'hi': hi, 'lo': lo}"
+    return f"""{name}_o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY timestamp, seq) AS rn FROM {source}),
+    {name} AS (SELECT video_id, rn, seq, timestamp, frame_path, hi, lo, [{own}] AS held, 'kept' AS status FROM {name}_o WHERE rn = 1
+        UNION ALL SELECT video_id, rn, seq, timestamp, frame_path, hi, lo, CASE WHEN n = 0 THEN list_append(held, {own}) ELSE held END, CASE WHEN n = 0 THEN 'kept' ELSE 'dropped' END
+        FROM (SELECT o.*, r.held, len(list_filter(r.held, lambda x: o.timestamp - x.t <= 10.0 AND bit_count(xor(x.hi, o.hi)) + bit_count(xor(x.lo, o.lo)) <= 28)) AS n
+              FROM {name} r JOIN {name}_o o ON o.video_id = r.video_id AND o.rn = r.rn + 1))"""
+
+
+def _round_of(k: int) -> str:
+    own, hashes = "video_id, timestamp, seq, frame_path, hi, lo", ", ".join(x.format("round(timestamp * 1000)::bigint") for x in _FETCHED)
+    return f"""pts{k} AS (SELECT video_id, timestamp, seq FROM k{k - 1} UNION ALL SELECT video_id, unnest([0.0::double, greatest(0.0, duration - 0.5)]), 4611686018427387904 FROM fx_videos WHERE duration > 0),
+    {_greedy(f"pts{k}", "0.2", name=f"g{k}")},
+    gaps{k} AS (SELECT *, lead(timestamp) OVER (PARTITION BY video_id ORDER BY rn) AS until FROM g{k}),
+    fill{k} AS (SELECT video_id, until, timestamp + i * 8.0::double AS p FROM (SELECT *, unnest(generate_series(1, floor((until - timestamp) / 8.0::double)::bigint)) AS i FROM gaps{k} WHERE until - timestamp > 8.0)),
+    at{k} AS (SELECT video_id, {_round("p", 3)} AS timestamp FROM fill{k} WHERE p < until - 0.2::double),
+    found{k} AS MATERIALIZED (SELECT video_id, timestamp, 'fill/' || printf('%010.3f', timestamp) AS frame_path, {hashes.replace(", (", " AS hi, (", 1)} AS lo FROM at{k}),
+    u{k} AS MATERIALIZED (SELECT video_id, timestamp, row_number() OVER (PARTITION BY video_id ORDER BY src, seq, timestamp) AS seq, frame_path, hi, lo
+        FROM (SELECT 0 AS src, {own} FROM k{k - 1} WHERE EXISTS (SELECT 1 FROM found{k}) UNION ALL SELECT 1, video_id, timestamp, 0, frame_path, hi, lo FROM found{k})),
+    {_greedy(f"u{k}", "0.05", name=f"m{k}")},
+    mm{k} AS (SELECT u{k}.* FROM u{k} JOIN m{k} USING (video_id, seq)),
+    {_settled(f"mm{k}", f"rec{k}")},
+    k{k} AS MATERIALIZED (SELECT {own} FROM rec{k} WHERE status = 'kept' UNION ALL SELECT {own} FROM k{k - 1} WHERE NOT EXISTS (SELECT 1 FROM found{k}))"""
+
+
+@query(f"""b0 AS (SELECT f.video_id, f.timestamp, f.seq, f.frame_path, h.hash_hi AS hi, h.hash_lo AS lo FROM fx_frames f JOIN fx_hash h USING (vec_id)),
+    {_settled("b0", "rec0")}, k0 AS MATERIALIZED (SELECT video_id, timestamp, seq, frame_path, hi, lo FROM rec0 WHERE status = 'kept'), {", ".join(map(_round_of, (1, 2, 3)))}
+    SELECT video_id, timestamp, frame_path, 'kept' AS status, NULL::varchar AS dropped_phase FROM k3 UNION ALL {" UNION ALL ".join(f"SELECT video_id, timestamp, frame_path, status, 'gap_backfill_round_{k}' FROM rec{k} WHERE status = 'dropped'" for k in (1, 2, 3))}""", recursive=True)
 def backfill_rounds(spark, sf_dir):
     own = fixture(spark, sf_dir, "fx_frames").select("video_id", "timestamp", "seq", "frame_path", "vec_id").join(fixture(spark, sf_dir, "fx_hash"), "vec_id")
     suppress = lambda x: scan.suppress_near_duplicates(x.drop("status", "duplicate_of", "hash_distance", "drop_blocked_reason", "candidate_delta_ratio"), 10.0, 28)
+    hashes = {x: F.expr(y.format("cast(round(timestamp * 1000) as bigint)")) for x, y in zip(("hash_hi", "hash_lo"), _FETCHED)}
 
     def fetch(points: DataFrame) -> DataFrame:
         made = points.withColumns({"seq": F.lit(0).cast("long"), "frame_path": F.concat(F.lit("fill/"), text.file_stamp(F.col("timestamp"))), "vec_id": F.lit(-1).cast("long")})
-        return made.withColumns({"hash_hi": F.pmod(F.xxhash64("video_id", "timestamp"), F.lit(2**32)), "hash_lo": F.pmod(F.xxhash64("timestamp", "video_id"), F.lit(2**32))})
+        return made.withColumns(hashes)
 
     kept = suppress(own).filter("status = 'kept'").select(*own.columns)
     out = frames.backfill(kept, fixture(spark, sf_dir, "fx_videos"), fetch, suppress, 8.0)
