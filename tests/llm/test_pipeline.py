@@ -69,6 +69,25 @@ def test_hashes_are_packed():
         assert near_copies.unpack(near_copies.pack(own)).tolist() == own.tolist()
 
 
+def test_sketches_rule_out_no_alike_sets():
+    rng = np.random.default_rng(2)
+    ruled_out = 0
+    for _ in range(300):
+        n = int(rng.integers(1, 900))
+        pool = np.unique(rng.integers(-(1 << 63), (1 << 63) - 1, 2 * n + 2))
+        a, b = (np.sort(rng.choice(pool[: int(len(pool) * rng.uniform(0.5, 1))], min(n, len(pool) // 2), replace=False)) for _ in range(2))
+        if rng.random() < 0.5:
+            b = np.union1d(a[rng.random(len(a)) < rng.uniform(0.7, 1)], b[: len(a) // 9])
+        shared = len(np.intersect1d(a, b))
+        alike = shared >= 0.8 * (len(a) + len(b) - shared) - 1e-9
+        may = near_copies.may_be_alike(near_copies.sketch(a), near_copies.sketch(b), 0.8)
+        assert may or not alike
+        ruled_out += not may
+    assert ruled_out > 50
+    crowded = np.arange(300, dtype=np.int64)
+    assert near_copies.sketch(crowded) == b"" and near_copies.may_be_alike(b"", near_copies.sketch(pool), 0.8)
+
+
 def test_repeated_keys(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "SHARD", 100)
     rng = random.Random(1)
