@@ -93,6 +93,40 @@ def keep_spaced(df: DataFrame, epsilon: float = 0.2, key: str = "video_id", ts:
     return marked.filter(F.col(keep)).drop(keep, block)
 
 
+#: What is decided of a frame.
+DECISION = "status string, duplicate_of string, hash_distance long, drop_blocked_reason string, candidate_delta_ratio double"
+
+
+def suppression(time_gap: float, max_distance: int, transition_gap: float, transition_delta: float, delta: Callable | None) -> tuple[Callable, Callable]:
+    """The rule of suppress_near_duplicates as settle(recent, t), the kept frames that still matter at t, and step(recent, row),
+    which decides on a row (a dict) and appends it to recent if it is kept."""
+
+    def settle(recent: list, t: float) -> list:
+        return [x for x in recent if t - x["timestamp"] <= time_gap]
+
+    def step(recent: list, row: dict):
+        if row["hash_hi"] is None or row["hash_lo"] is None:
+            return ("kept", None, None, None, None)
+        t = row["timestamp"]
+        while recent and t - recent[0]["timestamp"] > time_gap:
+            recent.pop(0)
+        for kept in reversed(recent):
+            distance = (kept["hash_hi"] ^ row["hash_hi"]).bit_count() + (kept["hash_lo"] ^ row["hash_lo"]).bit_count()
+            if distance <= max_distance:
+                break
+        else:
+            recent.append(row)
+            return ("kept", None, None, None, None)
+        if delta is not None and t - kept["timestamp"] <= transition_gap:
+            ratio = delta(row, kept)
+            if ratio >= transition_delta:
+                recent.append(row)
+                return ("kept", kept["frame_path"], distance, "transition_preserved", round(ratio, 6))
+        return ("dropped", kept["frame_path"], distance, None, None)
+
+    return settle, step
+
+
 def suppress_near_duplicates(
     df: DataFrame,
     time_gap: float = 2.0,
@@ -119,30 +153,8 @@ def suppress_near_duplicates(
     """
     columns = list(dict.fromkeys(["timestamp", "seq", "frame_path", "hash_hi", "hash_lo", *delta_columns]))
 
-    def settle(recent: list, t: float) -> list:
-        return [x for x in recent if t - x["timestamp"] <= time_gap]
-
-    def step(recent: list, row: dict):
-        if row["hash_hi"] is None or row["hash_lo"] is None:
-            return ("kept", None, None, None, None)
-        t = row["timestamp"]
-        while recent and t - recent[0]["timestamp"] > time_gap:
-            recent.pop(0)
-        for kept in reversed(recent):
-            distance = (kept["hash_hi"] ^ row["hash_hi"]).bit_count() + (kept["hash_lo"] ^ row["hash_lo"]).bit_count()
-            if distance <= max_distance:
-                break
-        else:
-            recent.append(row)
-            return ("kept", None, None, None, None)
-        if preserve_transitions and delta is not None and t - kept["timestamp"] <= transition_gap:
-            ratio = delta(row, kept)
-            if ratio >= transition_delta:
-                recent.append(row)
-                return ("kept", kept["frame_path"], distance, "transition_preserved", round(ratio, 6))
-        return ("dropped", kept["frame_path"], distance, None, None)
-
-    schema = "status string, duplicate_of string, hash_distance long, drop_blocked_reason string, candidate_delta_ratio double"
+    settle, step = suppression(time_gap, max_distance, transition_gap, transition_delta, delta if preserve_transitions else None)
+    schema = DECISION
     order = ["timestamp", "seq"]
     most = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
     if most <= LONG:
