@@ -12,7 +12,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -81,6 +81,42 @@ def replay(df: DataFrame, entries: DataFrame, key: str, block: str, order: list,
     return placed.mapInArrow(run, StructType([*both.schema.fields, *fields])).drop(entry, is_row)
 
 
+# --- places and order statistics ----------------------------------------------------------------------------------
+
+
+def placed(df: DataFrame, key: str, block: str, order: list, name: str) -> DataFrame:
+    """df with each row's place, from 1, among its key's rows in order, of which block is the coarse part.
+
+    Blocks are ordered by themselves; what is before one comes from the blocks' counts, a row a block. So a key with many
+    rows is spread over tasks. Blocks are no nulls.
+    """
+    i, n, before = fresh(df.columns, "i", "n", "before")
+    counts = df.groupBy(key, block).agg(F.count("*").alias(n))
+    earlier = F.coalesce(F.sum(n).over(Window.partitionBy(key).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = df.withColumn(i, F.row_number().over(Window.partitionBy(key, block).orderBy(*order)))
+    return own.join(counts.select(key, block, earlier.alias(before)), [key, block]).withColumn(name, F.col(i) + F.col(before)).drop(i, before)
+
+
+def value_at(df: DataFrame, key: str, value: str, share: float, width: float) -> DataFrame:
+    """key, n (its rows), value: of a key's n sorted values the one at floor(share * (n - 1)), from 0; nulls come first.
+
+    Values are counted in buckets of width; only the bucket that has the place is looked into, and its values are counted,
+    not sorted, before that. Nothing orders all of a key's values.
+    """
+    bucket = F.floor(F.col(value) / width)
+    rows = df.select(F.col(key), F.coalesce(bucket, F.lit(-(2**62))).alias("bucket"), F.col(value).alias("value"))
+
+    def reached(counts: DataFrame, by: list[str], order: str, place) -> DataFrame:
+        earlier = F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(F.asc_nulls_first(order)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        at = counts.withColumn("earlier", earlier).withColumn("at", place)
+        return at.filter((F.col("earlier") <= F.col("at")) & (F.col("at") < F.col("earlier") + F.col("n"))).withColumn("at", F.col("at") - F.col("earlier"))
+
+    counts = rows.groupBy(key, "bucket").agg(F.count("*").alias("n")).withColumn("total", F.sum("n").over(Window.partitionBy(key)))
+    buckets = reached(counts, [key], "bucket", F.floor((F.col("total") - 1) * share)).select(key, "bucket", "at", "total")
+    inside = rows.join(buckets, [key, "bucket"]).groupBy(key, "bucket", "value").agg(F.count("*").alias("n"), F.first("at").alias("place"), F.first("total").alias("total"))
+    return reached(inside, [key], "value", F.col("place")).select(key, F.col("total").alias("n"), "value")
+
+
 # --- greedy spacing -----------------------------------------------------------------------------------------------
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
 from ..scratch import scratch_root
+from .blocks import fresh, placed
 from .scan import keep_spaced
 
 #: Distance from a recording's end at which its last frame is wanted.
@@ -25,18 +26,30 @@ def sample_grid(videos: DataFrame, interval: float = 15.0) -> DataFrame:
     return rows.select("video_id", round_to(F.col("i") * interval, 3).alias("timestamp"), F.lit("sample").alias("source"), (F.col("i") + 1).cast("int").alias("original_index"))
 
 
+#: Seconds of the blocks in which a recording's frames are numbered.
+BLOCK = 600.0
+
+
+def _in_order(df: DataFrame, key: str, ts: str, seq: str, name: str) -> DataFrame:
+    """df with each row's place in its recording, from 1; rows without a time come first."""
+    (block,) = fresh(df.columns, "block")
+    t = F.col(ts).cast("double")
+    return placed(df.withColumn(block, F.when(t.isNull(), -(2**62)).when(F.isnan(t), 2**62).otherwise(F.floor(t / BLOCK))), key, block, [ts, seq], name).drop(block)
+
+
 def systematic_sample(df: DataFrame, most: int = 5, key: str = "video_id", ts: str = "timestamp", seq: str = "seq") -> DataFrame:
     """Every k-th row of each key with k = max(1, n div most), the first most of these."""
-    by = Window.partitionBy(key)
-    numbered = df.withColumns({"__i": F.row_number().over(by.orderBy(ts, seq)) - 1, "__n": F.count("*").over(by)})
-    step = F.greatest(F.lit(1), F.expr(f"__n div {most}"))
-    return numbered.filter((F.col("__i") % step == 0) & (F.col("__i") / step < most)).drop("__i", "__n")
+    place, n = fresh(df.columns, "place", "n")
+    sizes = df.groupBy(key).agg(F.count("*").alias(n))
+    numbered = _in_order(df, key, ts, seq, place).join(sizes, key)
+    step, i = F.greatest(F.lit(1), F.expr(f"`{n}` div {most}")), F.col(place) - 1
+    return numbered.filter((i % step == 0) & (i / step < most)).select(*df.columns)
 
 
 def merge_entries(df: DataFrame, epsilon: float = 0.2) -> DataFrame:
     """Frames more than epsilon apart, numbered from 1 by original_index."""
     kept = keep_spaced(df, epsilon)
-    return kept.withColumn("original_index", F.row_number().over(Window.partitionBy("video_id").orderBy("timestamp", "seq")))
+    return _in_order(kept.drop("original_index"), "video_id", "timestamp", "seq", "original_index")
 
 
 def merge_legacy(df: DataFrame, min_gap: float = 0.05) -> DataFrame:

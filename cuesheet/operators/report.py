@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
 from ..functions.text import strip
+from .blocks import value_at
 
 #: The gates' targets. Name, column of the report, comparison, target.
 GATES = (
@@ -19,6 +20,8 @@ GATES = (
     ("provider_error_count", "<=", 0.0),
 )
 LOW_QUALITY = 0.55
+#: Seconds of a bucket in which durations are counted before one of them is looked for.
+DURATION_BUCKET = 0.1
 
 
 def coverage(frames: DataFrame, videos: DataFrame) -> DataFrame:
@@ -37,9 +40,7 @@ def coverage(frames: DataFrame, videos: DataFrame) -> DataFrame:
 def p95_durations(segments: DataFrame) -> DataFrame:
     """video_id, segment_count, p95_segment_duration_sec: of n sorted durations the one at floor(0.95 (n - 1)), from 0."""
     d = segments.select("video_id", (F.col("end") - F.col("start")).alias("d"))
-    by = Window.partitionBy("video_id")
-    placed = d.withColumns({"i": F.row_number().over(by.orderBy("d")) - 1, "n": F.count("*").over(by)})
-    return placed.groupBy("video_id").agg(F.count("*").alias("segment_count"), F.max(F.when(F.col("i") == F.floor((F.col("n") - 1) * 0.95), F.col("d"))).alias("p95_segment_duration_sec"))
+    return value_at(d, "video_id", "d", 0.95, DURATION_BUCKET).select("video_id", F.col("n").alias("segment_count"), F.col("value").alias("p95_segment_duration_sec"))
 
 
 def attach_rates(dataset: DataFrame) -> DataFrame:

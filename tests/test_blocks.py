@@ -96,3 +96,26 @@ def test_suppression_by_blocks_is_the_scan(spark, monkeypatch, kind, delta):
     parts = scan.suppress_near_duplicates(df, 2.0, 6, **more)
     assert sorted(map(tuple, parts.collect()), key=repr) == whole
     assert {x[7] for x in whole} == {"kept", "dropped"}
+
+
+def test_places_and_order_statistics(spark, monkeypatch):
+    from cuesheet.operators import frames as policy
+    from cuesheet.operators import report
+
+    monkeypatch.setattr(policy, "BLOCK", 3.0)
+    rng = random.Random(8)
+    times = [(v, rng.choice([round(rng.uniform(0, 40), 1), 5.0]), i) for v in range(3) for i in range([1, 6, 170][v])]
+    df = spark.createDataFrame([(*x, "z") for x in times] + [(5, None, 0, "z")], "video_id long, timestamp double, seq long, place string")
+    for most in (1, 5, 50):
+        want = []
+        for v in range(3):
+            own = sorted(x for x in times if x[0] == v)
+            want += own[:: max(1, len(own) // most)][:most]
+        got = policy.systematic_sample(df, most)
+        assert got.columns == df.columns and sorted(tuple(x)[:3] for x in got.filter("video_id < 5").collect()) == sorted(want)
+    segs = spark.createDataFrame([(v, 1.0, 1.0 + t) for v, t, _ in times] + [(7, 1.0, None)], "video_id long, start double, end double")
+    got = {x["video_id"]: (x["segment_count"], x["p95_segment_duration_sec"]) for x in report.p95_durations(segs).collect()}
+    for v in range(3):
+        own = sorted(1.0 + t - 1.0 for x, t, _ in times if x == v)
+        assert got[v] == (len(own), own[int(0.95 * (len(own) - 1))])
+    assert got[7] == (1, None)
