@@ -29,3 +29,8 @@ def ms_to_seconds(x: Column) -> Column:
 def trim_seconds(max_seconds: Column, max_minutes: Column) -> Column:
     """The smaller of two limits, of which either may be null; null if both are."""
     return F.least(max_seconds, max_minutes * 60.0)
+
+
+def one_decimal(x: Column) -> Column:
+    """A number as text with one decimal, rounded by its exact binary value, of ties to the even digit: 0.85, which is a little less, is 0.8."""
+    return F.call_function("format_number", x, F.lit("0.0"))

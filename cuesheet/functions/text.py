@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numbers import one_decimal
+
 #: White space, token and line patterns with the meaning they have for Unicode strings.
 EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 SPACES = r"(?U)[\s\x1c-\x1f]+"
@@ -70,7 +72,7 @@ def file_stamp(seconds: Column) -> Column:
 def human_duration(seconds: Column) -> Column:
     minutes = F.floor(seconds / 60).cast("long")
     return (
-        F.when(seconds < 60, F.format_string("%.1fs", seconds))
+        F.when(seconds < 60, F.concat(one_decimal(seconds), F.lit("s")))
         .when(minutes < 60, F.format_string("%dm %ss", minutes, F.bround(seconds % 60, 0).cast("long").cast("string")))
         .otherwise(F.format_string("%dh %dm", F.floor(minutes / 60), minutes % 60))
     )

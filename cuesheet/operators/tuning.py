@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import one_decimal
 from ..functions.text import strip
 
 #: What holds without tuning, and without a probe of text.
@@ -46,11 +47,13 @@ def probe(videos: DataFrame, streams: DataFrame, audio: DataFrame, sampled: Data
     return out.withColumns({**known, **zero, "has_audio": F.coalesce("has_audio", F.lit(False))}).withColumnRenamed("duration", "duration_seconds")
 
 
-#: How the reasons for tuned parameters begin.
-HIGH_RATE, SOME_RATE, LOW_RATE = "high", "moderate", "low"
-LOW_RES, MIDDLE_RES, HIGH_RES = "low res", "HD", "high res"
-SPARSE, DENSE = "sparse text detected", "dense text detected"
-LONG, SHORT, STANDARD = "long video (>30min)", "short video (<2min)", "standard duration"
+#: The reasons for tuned parameters.
+REASONS = {
+    "high_rate": "high scene rate (%s/min)", "some_rate": "moderate scene rate (%s/min)", "low_rate": "low scene rate (%s/min)",
+    "low_res": "low res (%dp)", "middle_res": "HD (%dp)", "high_res": "high res (%dp)",
+    "sparse": "sparse text detected", "dense": "dense text detected",
+    "long": "long video (>30min)", "short": "short video (<2min)", "standard": "standard duration",
+}
 
 
 def tune(probes: DataFrame) -> DataFrame:
@@ -59,8 +62,7 @@ def tune(probes: DataFrame) -> DataFrame:
     base = F.when(rate > 6, 5.0).when(rate > 2, 10.0).otherwise(20.0)
     short = F.when(duration < 120, F.greatest(F.lit(3.0), F.least(base, F.lit(5.0)))).otherwise(base)
     interval = F.when(duration > 1800, F.greatest(short, F.lit(15.0))).otherwise(short)
-    per_minute = lambda x: F.concat(F.lit(f"{x} scene rate ("), F.format_string("%.1f", rate), F.lit("/min)"))
-    lines = lambda x: F.concat(F.lit(f"{x} ("), height.cast("string"), F.lit("p)"))
+    said = lambda x, *values: F.format_string(REASONS[x], *values)
     long_or_short = lambda a, b, c: F.when(duration > 1800, a).when(duration < 120, b).otherwise(c)
     sparse = F.col("avg_text_length") < 100
     return probes.withColumns(
@@ -72,10 +74,10 @@ def tune(probes: DataFrame) -> DataFrame:
             "ocr_crops": F.when(sparse, "none").otherwise("preset"),
             "dedupe_time_gap_sec": long_or_short(3.0, 1.5, 2.0),
             "dedupe_hash_threshold": long_or_short(8, 5, 6),
-            "frame_reason": F.when(rate > 6, per_minute(HIGH_RATE)).when(rate > 2, per_minute(SOME_RATE)).otherwise(per_minute(LOW_RATE)),
-            "scale_reason": F.when(height < 720, lines(LOW_RES)).when(height <= 1080, lines(MIDDLE_RES)).otherwise(lines(HIGH_RES)),
-            "crops_reason": F.when(sparse, SPARSE).otherwise(DENSE),
-            "dedup_reason": long_or_short(LONG, SHORT, STANDARD),
+            "frame_reason": F.when(rate > 6, said("high_rate", one_decimal(rate))).when(rate > 2, said("some_rate", one_decimal(rate))).otherwise(said("low_rate", one_decimal(rate))),
+            "scale_reason": F.when(height < 720, said("low_res", height)).when(height <= 1080, said("middle_res", height)).otherwise(said("high_res", height)),
+            "crops_reason": F.when(sparse, REASONS["sparse"]).otherwise(REASONS["dense"]),
+            "dedup_reason": long_or_short(REASONS["long"], REASONS["short"], REASONS["standard"]),
         }
     )
 

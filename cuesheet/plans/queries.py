@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,8 +13,9 @@ from ..functions import numbers, quality, text
 from ..operators import align, candidates, crops, frames, report, scan, segments, settings, tuning, windows
 from ..operators import frame_cascade
 from ..operators import frame_ocr as recognition
+from ..scratch import scratch_root
 from ..sources import events as event_logs
-from ..sources import showinfo
+from ..sources import providers, showinfo, sinks
 from .fixtures import fixture, with_fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -302,9 +304,9 @@ def file_stamp(spark, sf_dir):
 
 @query("""SELECT id, CASE WHEN s < 60 THEN printf('%.1fs', s) WHEN floor(s / 60) < 60 THEN printf('%dm %ds', floor(s / 60)::bigint, round_even(s % 60, 0)::bigint)
     ELSE printf('%dh %dm', floor(floor(s / 60) / 60)::bigint, floor(s / 60)::bigint % 60) END AS said
-    FROM (SELECT event_id AS id, (event_id * 137 % 100000)::double / 10.0::double AS s FROM events)""")
+    FROM (SELECT event_id AS id, (event_id * 137 % 100000)::double / CASE WHEN event_id % 3 = 0 THEN 2000.0 ELSE 10.0 END::double AS s FROM events)""")
 def human_duration(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"), F.expr("cast(event_id * 137 % 100000 as double) / 10.0D").alias("s"))
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"), F.expr("cast(event_id * 137 % 100000 as double) / case when event_id % 3 = 0 then 2000.0D else 10.0D end").alias("s"))
     return rows.select("id", text.human_duration(F.col("s")).alias("said"))
 
 
@@ -965,3 +967,61 @@ def dataset_recognised(spark, sf_dir):
     first = F.get("frame_ocr_crops", F.lit(0))
     used = F.filter(first["provider_candidates"], lambda x: x["text"] == first["text"])
     return out.select("video_id", "seq", "frame_path", "frame_ocr_text", F.coalesce(F.size("frame_ocr_crops"), F.lit(-1)).cast("long").alias("n_crops"), F.concat(first["name"], F.lit(":"), F.get(used, F.lit(0))["variant"]).alias("first_crop"))
+
+
+# --- what is written and read back, and what other queries leave out ----------------------------------------------
+
+
+def _written(spark: SparkSession, name: str) -> str:
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT video_id, seq, start, end_, speaker, text, asr_provider FROM fx_segments")
+def json_written(spark, sf_dir):
+    path = _written(spark, "json")
+    sinks.write_json(fixture(spark, sf_dir, "fx_segments"), path)
+    return sinks.read_json(spark, path).select("video_id", "seq", "start", F.col("end").alias("end_"), "speaker", "text", "asr_provider")
+
+
+@query("""s AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY seq) AS i, round(start::decimal(30,12) * 1000)::bigint AS a, round(end_::decimal(30,12) * 1000)::bigint AS b FROM fx_segments)
+    SELECT video_id, string_agg(i || chr(10) || printf('%02d:%02d:%02d,%03d', a // 3600000, a % 3600000 // 60000, a % 60000 // 1000, a % 1000) || ' --> ' || printf('%02d:%02d:%02d,%03d', b // 3600000, b % 3600000 // 60000, b % 60000 // 1000, b % 1000)
+        || chr(10) || trim(text, chr(32) || chr(9) || chr(10) || chr(13)) || chr(10) || chr(10), '' ORDER BY i) AS content FROM s GROUP BY video_id""")
+def srt_written(spark, sf_dir):
+    path = _written(spark, "srt")
+    sinks.write_srt(fixture(spark, sf_dir, "fx_segments"), ["seq"], path)
+    # One file for each recording, whose cues are in order.
+    return spark.read.text(path, wholetext=True).select("video_id", F.col("value").alias("content")).withColumn("video_id", F.col("video_id").cast("long"))
+
+
+@query("""SELECT video_id, utterance_id, string_agg(text, ' ' ORDER BY word_ix) AS words, count(*) AS n FROM fx_words WHERE word_ix % 7 <> 3 GROUP BY ALL""")
+def blank_words(spark, sf_dir):
+    """Words that are blank are no words: every seventh is replaced by white space."""
+    words = fixture(spark, sf_dir, "fx_words").withColumn("text", F.when(F.col("word_ix") % 7 == 3, F.expr("case word_ix % 3 when 0 then '' when 1 then ' \\t' end")).otherwise(F.col("text")))
+    chunks = segments.split_words(words, 1e9, 1e9)
+    parts = chunks.groupBy("video_id", "utterance_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "text"))), lambda x: x["text"]).alias("t"))
+    joined = F.array_join("t", " ")
+    return parts.select("video_id", "utterance_id", joined.alias("words"), F.size(F.split(joined, " ")).cast("long").alias("n"))
+
+
+_SWITCH = "case event_id % 6 when 0 then 'Yes' when 1 then ' true ' when 2 then 'F' when 3 then '0' when 4 then 'n' else 'T' end"
+
+
+@query(f"SELECT event_id, lower(trim({_SWITCH})) IN ('1', 'true', 't', 'yes', 'y') AS switch FROM events")
+def switches(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", text.str2bool(F.expr(_SWITCH)).alias("switch"))
+
+
+@query(f"""{_PROBES} SELECT video_id, CASE WHEN scene_changes_per_minute > 6 THEN 'high' WHEN scene_changes_per_minute > 2 THEN 'moderate' ELSE 'low' END || ' scene rate (' || printf('%.1f', scene_changes_per_minute) || '/min)' AS frame_reason,
+    CASE WHEN height < 720 THEN 'low res' WHEN height <= 1080 THEN 'HD' ELSE 'high res' END || ' (' || height || 'p)' AS scale_reason, CASE WHEN avg_text_length < 100 THEN 'sparse text detected' ELSE 'dense text detected' END AS crops_reason,
+    CASE WHEN duration > 1800 THEN 'long video (>30min)' WHEN duration < 120 THEN 'short video (<2min)' ELSE 'standard duration' END AS dedup_reason FROM pr""")
+def tune_reasons(spark, sf_dir):
+    return tuning.tune(_probes(spark, sf_dir)).select("video_id", "frame_reason", "scale_reason", "crops_reason", "dedup_reason")
+
+
+@query("""SELECT v.video_id, 0.0::double AS start, duration AS end_, 'all of ' || v.video_id AS text, 'global_fallback' AS split_reason FROM fx_videos v
+    WHERE v.video_id % 3 <> 1 AND NOT EXISTS (SELECT 1 FROM fx_segments s WHERE s.video_id = v.video_id AND s.video_id % 2 = 0)""")
+def fallback_segments(spark, sf_dir):
+    videos = fixture(spark, sf_dir, "fx_videos")
+    texts = videos.filter("video_id % 3 <> 1").select("video_id", F.concat(F.lit("all of "), F.col("video_id").cast("string")).alias("text"))
+    own = fixture(spark, sf_dir, "fx_segments").filter("video_id % 2 = 0")
+    return providers.fallback_segments(videos, own, texts).select("video_id", "start", F.col("end").alias("end_"), "text", "split_reason")
