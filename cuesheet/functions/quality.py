@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..names import fresh
 from .numbers import clamp01, conf_to_unit, round_to
 from .text import SPACE_CLASS
 
@@ -105,8 +106,9 @@ def with_quality(df, text: str = "text", conf: str = "avg_conf"):
     into tokens once; tokens are tested one by one.
     """
     once = lambda column, name: F.explode_outer(F.array(column)).alias(name)
-    scored = df.select("*", once(tokens_of(F.col(text)), "__t"))
-    scored = scored.select("*", once(text_counts(F.col(text), F.col("__t")), "__c")).drop("__t")
-    scored = scored.select("*", once(lexical_metrics(F.col("__c")), "__m"))
-    scored = scored.select("*", once(score_text(F.col("__m"), F.col(conf)), "__q"))
-    return scored.withColumns({x: F.col(f"__q.{x}") for x in ("quality_score", "quality_flags", "quality_metrics")}).drop("__c", "__m", "__q")
+    t, c, m, q = fresh(df.columns, "tokens", "counts", "metrics", "score")
+    scored = df.select("*", once(tokens_of(F.col(text)), t))
+    scored = scored.select("*", once(text_counts(F.col(text), F.col(t)), c)).drop(t)
+    scored = scored.select("*", once(lexical_metrics(F.col(c)), m))
+    scored = scored.select("*", once(score_text(F.col(m), F.col(conf)), q))
+    return scored.withColumns({x: F.col(f"{q}.{x}") for x in ("quality_score", "quality_flags", "quality_metrics")}).drop(c, m, q)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
+from ..names import fresh
 
 LEAST_GAP = 1e-6
 
@@ -31,14 +32,18 @@ def in_range_pairs(segments: DataFrame, frames: DataFrame, max_gap: float = 10.0
     """Pairs of a segment and a frame in [start - max_gap, end + max_gap]: the segment's columns, frame (a struct).
 
     Time is cut into buckets: a segment goes to each that its range meets, a frame to its own, and recording and
-    bucket are the join's keys, so a long recording is spread over many tasks.
+    bucket are the join's keys, so a long recording is spread over many tasks. A segment has no buckets before the first
+    or after the last frame of its recording, so one with a wrong end has no more than there are.
     """
     width = bucket or max(2 * max_gap, 10.0)
+    b, first, last = fresh(segments.columns + ["frame"], "b", "first", "last")
     low, high = F.floor((F.col("start") - max_gap) / width), F.floor((F.col("end") + max_gap) / width)
-    left = segments.filter("start is not null and end >= start").withColumn("__b", F.explode(F.sequence(low, high)))
-    right = frames.filter("timestamp is not null").select("video_id", F.floor(F.col("timestamp") / width).alias("__b"), F.struct(*[x for x in frames.columns if x != "video_id"]).alias("frame"))
+    right = frames.filter("timestamp is not null").select("video_id", F.floor(F.col("timestamp") / width).alias(b), F.struct(*[x for x in frames.columns if x != "video_id"]).alias("frame"))
+    ends = right.groupBy("video_id").agg(F.min(b).alias(first), F.max(b).alias(last))
+    left = segments.filter("start is not null and end >= start").join(ends, "video_id").filter((low <= F.col(last)) & (high >= F.col(first)))
+    left = left.withColumn(b, F.explode(F.sequence(F.greatest(low, F.col(first)), F.least(high, F.col(last))))).drop(first, last)
     inside = F.col("frame.timestamp").between(F.col("start") - max_gap, F.col("end") + max_gap)
-    return left.join(right, ["video_id", "__b"]).filter(inside).drop("__b")
+    return left.join(right, ["video_id", b]).filter(inside).drop(b)
 
 
 def top_candidates(segments: DataFrame, frames: DataFrame, max_gap: float = 10.0, k: int = 3) -> DataFrame:
@@ -86,7 +91,8 @@ def nearest(segments: DataFrame, frames: DataFrame, max_gap: float = 10.0) -> Da
     """
     # For equal times prev must be the smallest seq as well, so one frame stands for each time.
     first = F.row_number().over(Window.partitionBy("video_id", "timestamp").orderBy("seq"))
-    single = frames.withColumn("__n", first).filter("__n = 1").drop("__n")
+    (n,) = fresh(frames.columns, "n")
+    single = frames.withColumn(n, first).filter(F.col(n) == 1).drop(n)
     middle = (F.col("start") + F.col("end")) / 2.0
     placed = prev_next(segments, single).withColumns({"__p": middle - F.col("prev.timestamp"), "__q": F.col("next.timestamp") - middle})
     frame = F.when(F.col("__q").isNull() | (F.col("__p") <= F.col("__q")), F.col("prev")).otherwise(F.col("next"))

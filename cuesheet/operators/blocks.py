@@ -16,19 +16,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..names import fresh
 from ..scratch import scratch_root
 
 
-def fresh(columns: list[str], *names: str) -> list[str]:
-    """names, changed so that none is one of columns."""
-    out = []
-    for name in names:
-        while name in columns or name in out:
-            name += "_"
-        out.append(name)
-    return out
-
-
 def with_block(df: DataFrame, ts: str, width: float, name: str) -> DataFrame:
     """Rows that have a time, with their block of width seconds."""
     t = F.col(ts).cast("double")

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
+from ..names import fresh
 from ..scratch import scratch_root
-from .blocks import fresh, placed
+from .blocks import placed
 from .scan import keep_spaced
 
 #: Distance from a recording's end at which its last frame is wanted.

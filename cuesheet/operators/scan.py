@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .blocks import fresh, last_kept_before, replay, true_entries, with_block
+from ..names import fresh
+from .blocks import last_kept_before, replay, true_entries, with_block
 
 #: Frames of a recording from which on its blocks of so many seconds are run side by side.
 LONG, BLOCK = 20_000, 600.0

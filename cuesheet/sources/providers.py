@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..names import fresh
 from ..scratch import scratch_root
 
 #: name -> provider
@@ -34,13 +35,13 @@ def register(name: str, ask: Callable[[DataFrame], DataFrame]) -> Provider:
 
 def precomputed(name: str, answers: DataFrame, key: list[str]) -> Provider:
     """A provider whose answers are a table; requests without one get an error."""
-    known = answers.withColumn("__known", F.lit(True))
 
     def ask(requests: DataFrame) -> DataFrame:
-        joined = requests.join(known, key, "left")
-        missing = F.when(F.col("__known").isNull(), F.lit("no answer"))
+        (known,) = fresh(requests.columns + answers.columns, "known")
+        joined = requests.join(answers.withColumn(known, F.lit(True)), key, "left")
+        missing = F.when(F.col(known).isNull(), F.lit("no answer"))
         error = F.coalesce("error", missing) if "error" in answers.columns else missing
-        return joined.withColumn("error", error).drop("__known")
+        return joined.withColumn("error", error).drop(known)
 
     return register(name, ask)
 

@@ -119,3 +119,12 @@ def test_places_and_order_statistics(spark, monkeypatch):
         own = sorted(1.0 + t - 1.0 for x, t, _ in times if x == v)
         assert got[v] == (len(own), own[int(0.95 * (len(own) - 1))])
     assert got[7] == (1, None)
+
+
+def test_a_wrong_end_makes_no_more_buckets_than_there_are(spark):
+    from cuesheet.operators import align
+
+    segs = spark.createDataFrame([(1, 0, 0.0, 1e9, "x"), (1, 1, -1e9, -1e8, "x"), (2, 0, 0.0, 1e9, "x")], "video_id long, seq long, start double, end double, b string")
+    shots = spark.createDataFrame([(1, i, float(i * 7)) for i in range(40)], "video_id long, seq long, timestamp double")
+    pairs = align.in_range_pairs(segs, shots, 10.0)
+    assert pairs.columns == [*segs.columns, "frame"] and pairs.count() == 40
