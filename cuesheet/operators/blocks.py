@@ -12,7 +12,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -88,6 +88,21 @@ def placed(df: DataFrame, key: str, block: str, order: list, name: str) -> DataF
     return own.join(counts.select(key, block, earlier.alias(before)), [key, block]).withColumn(name, F.col(i) + F.col(before)).drop(i, before)
 
 
+def previous(df: DataFrame, key: str, block: str, order: list[str], value: Column, name: str) -> DataFrame:
+    """df with the value of the row before in its key's order, of which block is the coarse part; null for the first.
+
+    Within a block it is the neighbour's; a block's first row has it from the last row of the block before.
+    """
+    (edge,) = fresh(df.columns + [name], "edge")
+    ends = df.groupBy(key, block).agg(F.max_by(F.struct(value.alias("v")), F.struct(*order)).alias(edge))
+    ends = ends.select(key, block, F.lag(edge).over(Window.partitionBy(key).orderBy(block))["v"].alias(edge))
+    first = F.row_number().over(Window.partitionBy(key, block).orderBy(*order)) == 1
+    (is_first,) = fresh(df.columns + [name, edge], "is_first")
+    own = df.withColumns({is_first: first, name: F.lag(value).over(Window.partitionBy(key, block).orderBy(*order))})
+    joined = own.join(ends, [key, block])
+    return joined.withColumn(name, F.when(F.col(is_first), F.col(edge)).otherwise(F.col(name))).drop(is_first, edge)
+
+
 def value_at(df: DataFrame, key: str, value: str, share: float, width: float) -> DataFrame:
     """key, n (its rows), value: of a key's n sorted values the one at floor(share * (n - 1)), from 0; nulls come first.
 

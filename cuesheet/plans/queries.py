@@ -756,6 +756,19 @@ def pixel_delta(spark, sf_dir):
     return own.withColumn("before", F.lag("image").over(by)).select("video_id", "seq", numbers.round_to(delta, 9).alias("delta"))
 
 
+@query(f"""o AS (SELECT video_id, timestamp, seq, vec_id, lag(seq) OVER w AS seq0, lag(vec_id) OVER w AS vec0 FROM fx_frames WINDOW w AS (PARTITION BY video_id ORDER BY timestamp, seq)),
+    d AS (SELECT video_id, seq, sum(abs(({_PIXEL.format(s='seq', v='vec_id')}) - ({_PIXEL.format(s='seq0', v='vec0')}))) * 100.0::double / (48 * 64) / 256 AS delta
+        FROM o, (SELECT unnest(range(48)) AS y), (SELECT unnest(range(64)) AS x) WHERE seq0 IS NOT NULL GROUP BY ALL),
+    c AS (SELECT video_id, timestamp, seq, coalesce(delta, 0.0) AS change, coalesce(lag(coalesce(delta, 0.0)) OVER (PARTITION BY video_id ORDER BY timestamp, seq), 0.0) AS last FROM o LEFT JOIN d USING (video_id, seq)),
+    s AS (SELECT *, least(change, abs(change - last), 100.0) / 100.0 AS score FROM c)
+    SELECT video_id, timestamp, seq, {_round("score", 9)} AS score FROM s WHERE score > 0.02::double""")
+def scene_changes(spark, sf_dir):
+    from ..operators import images, scenes
+
+    own = images.drawn(fixture(spark, sf_dir, "fx_frames").select("video_id", "timestamp", "seq", "vec_id"))
+    return scenes.scene_changes(own, 0.02).withColumn("score", numbers.round_to(F.col("score"), 9))
+
+
 @query()
 def preprocess(spark, sf_dir):
     from ..operators import images
