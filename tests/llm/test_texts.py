@@ -320,21 +320,26 @@ def test_pieces_and_stitching(encoding):
         assert ids == encoding.encode_ordinary(text), text
         assert coder.decode(ids) == text.encode()
         chunk, overlap = rng.randrange(3, 12), rng.randrange(0, 9)
-        stitched, over = [], 0
-        for at in range(0, max(1, len(text)), chunk):
-            own, starts, before, then = bpe.encode_chunk(coder, text[at : at + chunk + overlap], chunk, at + chunk >= len(text))
-            known = dict(zip(starts, before))
-            if over is None or at and own and over not in known:
-                over = None
-                break
-            stitched += own[known.get(over, 0) if at else 0 :]
-            over = then
-            shared += at > 0
-        assert over is None or stitched == ids, (text, chunk, overlap)
-        unshared += over is None and len(text) > chunk
+        chunks = [bpe.encode_chunk(coder, text[at : at + chunk + overlap], chunk, at + chunk >= len(text), overlap) for at in range(0, max(1, len(text)), chunk)]
+        stitched = bpe.stitch(chunks)
+        assert stitched in (None, ids), (text, chunk, overlap)
+        assert bpe.encode_text(coder, text, chunk, overlap) == ids, (text, chunk, overlap)
+        shared += sum(x[3] is not None for x in chunks)
+        unshared += stitched is None
     assert shared > 500 and unshared > 100
 
 
+def test_chunks_reach_a_real_share_of_the_texts(spark, encoding):
+    """Nearly half of all code points of the test documents are in texts that are cut; all of those stitch, and come out right."""
+    coder = bpe.Coder(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    rows = [x["text"] or "" for x in spark.read.parquet(str(DATA / "documents.parquet")).select("text").collect()]
+    cut = [x for x in rows if len(x) > bpe.CHUNK + bpe.OVERLAP]
+    assert sum(map(len, cut)) > 0.3 * sum(map(len, rows))
+    for text in cut:
+        parts = [bpe.encode_chunk(coder, text[at : at + bpe.CHUNK + bpe.OVERLAP], bpe.CHUNK, at + bpe.CHUNK >= len(text)) for at in range(0, len(text), bpe.CHUNK)]
+        assert bpe.stitch(parts) == encoding.encode_ordinary(text)
+
+
 def test_other_patterns_split_by_themselves():
     coder = bpe.Coder(bpe.read_ranks(RANKS), r"[a-z]+|\s+|.")
     assert coder.pieces("Hello World é") == ["H", "ello", " ", "W", "orld", " ", "é"]
@@ -342,9 +347,9 @@ def test_other_patterns_split_by_themselves():
     assert coder.encode("Hello World é") == own.encode_ordinary("Hello World é")
 
 
-@pytest.mark.parametrize(("chunk", "overlap"), [(bpe.CHUNK, bpe.OVERLAP), (50, 8)])
-def test_encoding_of_a_table(clashing, encoding, chunk, overlap):
-    got = rows_of(bpe.round_trip_digests(clashing, RANKS, public_tokenizers.PATTERN, chunk, overlap), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+@pytest.mark.parametrize("sizes", [(), (50, 8), (20, 5, 50, 8)])
+def test_encoding_of_a_table(clashing, encoding, sizes):
+    got = rows_of(bpe.round_trip_digests(clashing, RANKS, public_tokenizers.PATTERN, *sizes), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
     want = []
     for doc, text in odd():
         ids = encoding.encode_ordinary(text or "")
