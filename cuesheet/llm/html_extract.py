@@ -1,10 +1,15 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one for each block element, in one pass over the page. Chrome (menus, headers, footers,
-sidebars, notices, adverts, forms, readers' comments, scripts and styles) is left out, so it never parts the text. The
-other lines have a length: that of their text outside links. Where a page marks articles, lines in them count whole
-and lines outside of them nothing. Over the lengths a window slides; where the sum surges from nothing the text begins,
-where it dives to nothing it ends, on every page. The text between a surge and its dive is kept.
+Markup is stripped into lines in one pass over the page, menus, adverts and footers with it: each tag of a block
+element ends a line, so where several follow each other lines between them are empty. A line has a length: that of its
+text outside links. Over the lengths a window slides; where the sum surges from nothing a stretch begins, where it
+dives to nothing the stretch ends. Paragraphs that follow each other have one empty line between them, what is in
+another part of the page has more, so adverts, menus and footers are stretches of their own. The stretches of the
+largest length are the text, with what is between them and what stands beside their paragraphs.
+
+Names then correct the edges: lines in elements that say they are chrome (menus, headers, footers, sidebars, notices,
+adverts, forms, readers' comments, scripts and styles) have no length and are left out; where a page marks articles,
+the text is extended to their ends and clipped to them.
 """
 
 from __future__ import annotations
@@ -19,9 +24,11 @@ from pyspark.sql import functions as F
 
 from .common import slices, texts
 
-#: Lines whose lengths are summed in a window.
-WINDOW = 3
-#: Share of the longest stretch's length from which another stretch of a page without articles is text as well.
+#: Lines whose lengths are summed in a window, empty ones too.
+WINDOW = 2
+#: Blocks around a line, from the page's root on, that its place knows.
+PLACE = 64
+#: Share of the largest stretch's length from which another stretch is text as well.
 ALSO_TEXT = 0.2
 
 #: Elements of HTML, by how they affect the text. All others are part of a line.
@@ -31,6 +38,9 @@ VOID = frozenset("area base basefont br col embed frame hr img input link meta p
 RAW = frozenset("script style template iframe textarea title noembed noframes".split())
 CHROME = frozenset("nav header footer aside form button select dialog menu fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold one paragraph, and those that hold a whole page.
+PARAGRAPHS = HEADINGS | frozenset("p pre blockquote li dt dd figcaption".split())
+ROOTS = frozenset(("", "html", "body"))
 ARTICLES = frozenset(("article", "main"))
 #: Elements whose end tag may be missing: an open one ends where one of the named elements begins.
 CLOSED_BY = {
@@ -92,12 +102,16 @@ def _is_chrome(name: str, attributes: str, inside: bool) -> bool:
 
 
 class Line:
-    """Text of one block outside chrome: the text, its length outside links, whether a heading h1, and its article (0: none)."""
+    """Text of one block: the text, its length outside links, whether a heading h1, its article (0: none), whether chrome, block tags before it, what it stands in.
 
-    __slots__ = ("article", "length", "text", "top")
+    The place is the numbers of the open blocks from the page's root on, the last being the line's own if that is a
+    paragraph; roots is how many of them hold a whole page.
+    """
+
+    __slots__ = ("article", "breaks", "chrome", "length", "paragraph", "place", "roots", "text", "top")
 
-    def __init__(self, text: str, length: int, top: bool, article: int):
-        self.text, self.length, self.top, self.article = text, length, top, article
+    def __init__(self, text: str, length: int, top: bool, article: int, chrome: bool, breaks: int, place: tuple[int, ...], roots: int, paragraph: bool):
+        self.text, self.length, self.top, self.article, self.chrome, self.breaks, self.place, self.roots, self.paragraph = text, length, top, article, chrome, breaks, place, roots, paragraph
 
 
 class Reader:
@@ -113,14 +127,23 @@ class Reader:
         self.named: dict[str, list[int]] = {}
         self.parts: list[str] = []
         self.linked = self.links = self.chrome = self.article = self.articles = 0
+        #: Tags of blocks since the last line, and blocks so far.
+        self.breaks = self.made = 0
+        #: Of each open block its number.
+        self.numbers: list[int] = []
         self.quotes = True
 
     def end_line(self) -> None:
         if self.parts:
             text = _SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
             self.parts.clear()
-            if text and not self.chrome:
-                self.lines.append(Line(text, max(0, len(text) - self.linked), bool(self.named.get("h1")), self.article))
+            if text:
+                # Places are cut at PLACE blocks, so that a page of deeply nested blocks takes linear time.
+                names = [self.open[i][0] for i in self.blocks[:PLACE]]
+                roots = sum(x in ROOTS for x in names)
+                paragraph = bool(names) and len(self.blocks) <= PLACE and names[-1] in PARAGRAPHS
+                self.lines.append(Line(text, max(0, len(text) - self.linked), bool(self.named.get("h1")), self.article, self.chrome > 0, self.breaks, tuple(self.numbers[:PLACE]), roots, paragraph))
+                self.breaks = 0
         self.linked = 0
 
     def close(self, at: int) -> None:
@@ -129,6 +152,7 @@ class Reader:
             if name in BLOCK:
                 self.end_line()
                 self.blocks.pop()
+                self.numbers.pop()
             if name in ARTICLES:
                 self.article = outer
             self.open.pop()
@@ -174,6 +198,8 @@ class Reader:
         if name in BLOCK:
             self.end_line()
             self.blocks.append(len(self.open))
+            self.made += 1
+            self.numbers.append(self.made)
         elif attributes.endswith("/"):
             return at
         own = self.named.setdefault(name, [])
@@ -206,12 +232,14 @@ class Reader:
                 at = self.after("-->", tag + 2) if after == "!--" else self.after("]]>" if page.startswith("<![CDATA[", tag) else ">", tag)
             else:
                 name, at = m[0].lower(), end
+                ends = name.lstrip("/") in BLOCK
                 if name[0] != "/":
                     at = self.start(name, page[m.end() : end - 1].rstrip(), end)
                 elif own := self.named.get(name[1:]):
                     self.close(own[-1])
                 elif name == "/p":
                     self.end_line()
+                self.breaks += ends
             look = at
         self.add_text(page[at:])
         self.close(0)
@@ -220,46 +248,69 @@ class Reader:
 
 
 def lines_of(page: str) -> list[Line]:
-    """The non-empty lines of a page outside chrome, in order, with character references decoded and white space made single."""
+    """The non-empty lines of a page, in order, with character references decoded and white space made single."""
     return Reader(page).read()
 
 
-def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
+def stretches(lengths: list[int], breaks: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
     """First and last line, end exclusive, of each stretch between a surge and its dive.
 
-    A surge is a line with a length where there was none; a dive is where the window that follows a line sums to nothing.
+    lengths: those of the lines that aren't empty; breaks: tags of blocks before each, all but one of which make an empty
+    line. A surge is a line with a length where there was none; a dive is where the window that follows a line sums to
+    nothing, as all lines in it are empty or without length.
     """
-    out, start, ahead = [], None, sum(lengths[1 : window + 1])
+    out, start, last, zeros = [], None, 0, 0
     for i, length in enumerate(lengths):
-        if start is None and length:
-            start = i
-        if start is not None and not ahead:
-            out.append((start, i + 1))
+        zeros += max(breaks[i] - 1, 0)
+        if not length:
+            zeros += 1
+            continue
+        if start is not None and zeros >= window:
+            out.append((start, last + 1))
             start = None
-        ahead -= lengths[i + 1] if i + 1 < len(lengths) else 0
-        ahead += lengths[i + 1 + window] if i + 1 + window < len(lengths) else 0
-    return out
+        if start is None:
+            start = i
+        last, zeros = i, 0
+    return out if start is None else [*out, (start, last + 1)]
+
+
+def found_by_windows(lines: list[Line]) -> list[bool]:
+    """Which lines the distribution of lengths makes text, whatever articles are marked.
+
+    The stretch of the largest length, those of ALSO_TEXT of it or more and those with a heading of the first rank; what
+    is between the first and the last of them; what is in the innermost block that holds all of them, if that is part of
+    a page; and paragraphs that stand beside one of theirs.
+    """
+    lengths = [0 if x.chrome else x.length for x in lines]
+    found = [(a, b, sum(lengths[a:b]), any(x.top and not x.chrome for x in lines[a:b])) for a, b in stretches(lengths, [x.breaks for x in lines])]
+    most = max((n for _, _, n, _ in found), default=0)
+    if not most:
+        return [False] * len(lines)
+    chosen = [(a, b) for a, b, n, top in found if top or n >= ALSO_TEXT * most]
+    own = [x for a, b in chosen for x in lines[a:b] if not x.chrome and x.length]
+    around = [x.place[:-1] if x.paragraph else x.place for x in own]
+    low, high = min(around), max(around)
+    same = 0
+    while same < min(len(low), len(high)) and low[same] == high[same]:
+        same += 1
+    inner = low[:same]
+    part = same > max(x.roots for x in own)
+    beside = {x.place[:-1] for x in own if x.paragraph}
+    first, end = chosen[0][0], chosen[-1][1]
+    return [not x.chrome and (first <= i < end or (part and x.place[:same] == inner) or (x.paragraph and x.length > 0 and x.place[:-1] in beside)) for i, x in enumerate(lines)]
 
 
 def main_text(page: str) -> str:
     """The page's main text: its blocks joined by one space; empty if there is none.
 
-    On a page that marks articles (outermost article and main elements), their lines count whole and others nothing,
-    and all stretches stay without the lines that count nothing. On other pages the stretch of the largest length
-    stays, with those of a fifth of it or more and those with a heading of the first rank, links in them too.
+    On a page that marks articles (outermost article and main elements) with text, their lines outside chrome are the
+    text: what the windows found, extended to the articles' ends and clipped to them. On others it is what they found.
     """
     lines = lines_of(page)
-    marked = any(x.article for x in lines)
-    lengths = [(len(x.text) if x.article else 0) if marked else x.length for x in lines]
-    found = [(a, b, sum(lengths[a:b])) for a, b in stretches(lengths)]
-    most = max((n for _, _, n in found), default=0)
-    out = []
-    for a, b, n in found:
-        if marked:
-            out += [lines[i].text for i in range(a, b) if lengths[i]]
-        elif n >= ALSO_TEXT * most or any(x.top for x in lines[a:b]):
-            out += [x.text for x in lines[a:b]]
-    return " ".join(out)
+    keep = found_by_windows(lines)
+    if any(x.article and not x.chrome for x in lines):
+        keep = [x.article > 0 and not x.chrome for x in lines]
+    return " ".join(x.text for x, kept in zip(lines, keep) if kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:
