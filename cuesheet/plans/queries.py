@@ -15,7 +15,7 @@ from ..operators import frame_cascade
 from ..operators import frame_ocr as recognition
 from ..scratch import scratch_root
 from ..sources import events as event_logs
-from ..sources import providers, showinfo, sinks
+from ..sources import json_arrays, providers, showinfo, sinks
 from .fixtures import fixture, with_fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -574,6 +574,26 @@ def events_formats(spark, sf_dir):
     return event_logs.from_lines(lines, strict=False)
 
 
+#: Files that events are written to, one JSON array each, in one line.
+_ARRAYS = 8
+
+
+@query(f"""WITH e AS (SELECT event_id, user_id % {_ARRAYS} AS bucket, row_number() OVER (PARTITION BY user_id % {_ARRAYS} ORDER BY event_id) AS i, (epoch_us(ts) % 300000000) / 1000000.0::double AS t, event_type, props FROM events)
+    SELECT bucket::int AS bucket, i AS event_id, {_round('t', 3)} AS timestamp, event_type, json_extract_string(props, '$.k') AS k FROM e WHERE event_type IN ('click', 'scroll', 'key')""")
+def events_arrays(spark, sf_dir):
+    """Events written as JSON arrays and read back in splits; each array is numbered by itself."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("bucket", F.expr(f"cast(user_id % {_ARRAYS} as int)"))
+    ends = rows.groupBy("bucket").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+    payload = F.struct("bucket", F.get_json_object("props", "$.k").alias("k"), F.lit('}, {"[').alias("mark"))
+    logged = F.to_json(F.struct(F.expr("(unix_micros(cast(ts as timestamp)) % 300000000) / 1000000.0D").alias("ts"), F.upper("event_type").alias("type"), payload.alias("payload")))
+    value = F.concat(F.when(F.col("event_id") == F.col("first"), "[").otherwise(","), logged, F.when(F.col("event_id") == F.col("last"), "]").otherwise(""))
+    lines = rows.join(F.broadcast(ends), "bucket").select("bucket", "event_id", value.alias("value"))
+    path = _written(spark, "arrays")
+    lines.repartition("bucket").sortWithinPartitions("bucket", "event_id").select("bucket", "value").write.option("lineSep", " ").partitionBy("bucket").text(path)
+    out = event_logs.from_array(json_arrays.read_array(spark, path))
+    return out.select(F.get_json_object("payload", "$.bucket").cast("int").alias("bucket"), F.col("event_id").cast("long").alias("event_id"), "timestamp", "event_type", F.get_json_object("payload", "$.k").alias("k"))
+
+
 # --- report -------------------------------------------------------------------------------------------------------
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import round_to
 from ..functions.text import EDGE_SPACE, LINE_END
 from ..operators.scan import numbered_as_read
+from .json_arrays import read_array
 
 #: The types that are kept, and the keys that are no payload.
 EVENT_TYPES = ("click", "scroll", "key")
@@ -61,11 +62,17 @@ def from_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
     return clean_events(objects.select("position", F.from_json(F.col("value"), FIELDS).alias("fields")))
 
 
+def from_array(elements: DataFrame) -> DataFrame:
+    """elements: position, value (a variant). Elements that are no objects count but have no event."""
+    objects = elements.filter(F.schema_of_variant("value").startswith("OBJECT"))
+    return clean_events(objects.select("position", F.from_json(F.to_json("value"), FIELDS).alias("fields")))
+
+
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     """The events of a log file, in the form that its suffix names; other suffixes are JSON lines of which bad ones are left out.
 
     Lines and rows are read in splits and numbered by the counts of the splits before; blank lines before the first
-    event don't count. A JSON document is one value, and read whole.
+    event don't count. A JSON array is read in splits too; a document around one is one value, and read whole.
     """
     kind = path.rsplit(".", 1)[-1].lower()
     if kind in ("csv", "tsv"):
@@ -74,6 +81,9 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
         fields = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*(F.coalesce(F.col(f"`{x}`"), F.lit("")) for x in names)))
         return clean_events(numbered_as_read(table.select(fields.alias("fields")), "position")).orderBy("timestamp", "event_id")
     if kind == "json":
+        head = spark.read.option("lineSep", "}").text(path).first()
+        if head and head["value"].lstrip().startswith("["):
+            return from_array(read_array(spark, path)).orderBy("timestamp", "event_id")
         whole = spark.read.text(path, wholetext=True).select(_strip(F.col("value")).alias("value"))
         doc = F.parse_json("value")
         listed = F.when(F.schema_of_variant(doc).startswith("ARRAY"), F.col("value")).otherwise(F.get_json_object("value", "$.events"))
