@@ -1,10 +1,11 @@
 """Exact deduplication by a log-structured merge index of text digests.
 
 A task's memtable maps digests to the identifier that stays and the number of rows; when it is full or the task ends it
-is flushed as a sorted run. Compaction merges runs by ranges of digests to one entry each. Every run has a filter of
-its digests: a lookup asks a run for those digests only that pass its filter. Rows whose digest is no hit (no other row
-has it) are answered without meeting the index, as the hits' filter does not let them pass; the texts of hits are
-compared byte by byte.
+is flushed as a sorted run; a table's splits are added in turn, a share of them a run. Compaction merges runs by ranges
+of digests to one entry each. Every run has a filter of its digests: a lookup asks a run for those digests only that
+pass its filter. So of digests that are once in their run only those meet the other runs that a filter there lets
+through. Rows whose digest is no hit (no other row has it) are answered without meeting the index, as the hits' filter
+does not let them pass; the texts of hits are compared byte by byte.
 
 Texts are equal if they are the same after A-Z are lower-cased; null is the empty text.
 """
@@ -28,6 +29,8 @@ from .common import NULL_ID, KeyFilter, join_unique, key_filter, materialise, ma
 MEMTABLE = 200_000
 #: Runs that an index has at most before they are merged.
 FANOUT = 4
+#: Runs that a table's splits are added in; beyond FANOUT of them the first ones are merged on the way.
+RUNS = 6
 
 
 def _normalised(column: pa.Array) -> list[bytes]:
@@ -155,6 +158,18 @@ class MergeIndex:
             out = asked if out is None else out.unionByName(asked)
         return keys.sparkSession.createDataFrame([], ENTRY) if out is None else merge(out, self.keep)
 
+    def repeated(self) -> DataFrame:
+        """The entries of digests that several rows have, in whatever runs: what is once in its run is looked up in the others' filters."""
+        out = None
+        for run, own in self.runs:
+            several = F.col("n") > 1
+            for _, made in self.runs:
+                if made is not own:
+                    several |= may_hold(made, run.sparkSession)(_key("key"))
+            some = run.filter(several)
+            out = some if out is None else out.unionByName(some)
+        return (out if len(self.runs) == 1 else merge(out, self.keep)).filter("n > 1")
+
 
 def hit_texts(docs: DataFrame, hits: KeyFilter, key_bytes: int = 32) -> DataFrame:
     """The normalised texts of docs whose digest may be a hit (the filter lets all hits through): doc_id, key, sha, body."""
@@ -170,7 +185,7 @@ def hit_texts(docs: DataFrame, hits: KeyFilter, key_bytes: int = 32) -> DataFram
     return signed.select("doc_id", F.substring("sha", 1, key_bytes).alias("key"), "sha", "body")
 
 
-def exact_groups(docs: DataFrame, keep: str = "largest", key_bytes: int = 32) -> DataFrame:
+def exact_groups(docs: DataFrame, keep: str = "largest", key_bytes: int = 32, runs: int = 1) -> DataFrame:
     """Every row of docs (doc_id, text) with its group of equal texts: doc_id, keep_id, group_size, kept, text_sha256.
 
     keep: which identifier of a group stays, the largest or the smallest. keep_id is null if no row of the group has
@@ -178,14 +193,15 @@ def exact_groups(docs: DataFrame, keep: str = "largest", key_bytes: int = 32) ->
     identifier stays only in a group of nulls), so of ties one row stays, whichever. An empty table gives no rows.
     Texts of any length are read whole. Other columns of docs are not read, whatever their names.
 
+    runs: how many runs the rows' digests are added in, by the splits that they are read in; the result is the same.
     A digest under which the comparison finds two different texts is split by the texts themselves.
     """
     spark = docs.sparkSession
     rows = signed(docs, key_bytes)
     index = MergeIndex(keep)
-    index.add(rows)
-    entries, _ = index.runs[0]
-    hits = materialise(entries.filter("n > 1"))
+    for k in range(runs):
+        index.add(rows if runs == 1 else rows.filter(F.shiftright("entry_id", 33) % runs == k))
+    hits = materialise(index.repeated())
     hit_filter = key_filter(hits.select(_key("key").alias("key")))
     passes = may_hold(hit_filter, spark)(_key("key"))
 

@@ -24,7 +24,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(_documents(spark, sf_dir), keep="largest")
+    return exact_dedup.exact_groups(_documents(spark, sf_dir), keep="largest", runs=exact_dedup.RUNS)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

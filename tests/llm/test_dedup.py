@@ -55,7 +55,7 @@ def test_runs_are_merged_and_asked(spark, keep):
     rng = random.Random(3)
     index = exact_dedup.MergeIndex(keep, fanout=2)
     all_rows = []
-    for batch in range(5):
+    for batch in range(6):
         own = [(rng.choice([None, rng.randrange(50)]), bytes([rng.randrange(40)]), 1000 * batch + i) for i in range(60)]
         all_rows += own
         index.add(spark.createDataFrame(own, "doc_id long, key binary, entry_id long").repartition(3))
@@ -71,9 +71,21 @@ def test_runs_are_merged_and_asked(spark, keep):
         doc, entry = best(known)
         assert got.pop(key) == (doc if any(x[0] is not None for x in own) else None, entry, len(own))
     assert not got
+    assert len(index.runs) > 1
+    found = {bytes(x["key"]): x["n"] for x in index.repeated().collect()}
+    assert found == {key: len(own) for key, own in want.items() if len(own) > 1}
     assert exact_dedup.MergeIndex().find(keys).count() == 0
 
 
+def test_runs_meet_in_lookups(spark):
+    """Rows in many splits, most digests once: those that another run has are found, whether or not runs were merged."""
+    docs = spark.range(0, 3000, 1, 12).selectExpr("id as doc_id", "cast(if(id % 10 = 0, id % 700, id) as string) as text")
+    want = sorted(map(tuple, exact_dedup.exact_groups(docs).collect()))
+    assert sum(x[2] > 1 for x in want) > 100
+    for runs in (2, exact_dedup.RUNS):
+        assert sorted(map(tuple, exact_dedup.exact_groups(docs, runs=runs).collect())) == want
+
+
 def test_memtables_are_flushed_when_full(spark):
     rows = spark.createDataFrame([(i, bytes([i % 7]), i) for i in range(100)], "doc_id long, key binary, entry_id long").coalesce(1)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
@@ -84,7 +96,7 @@ def test_memtables_are_flushed_when_full(spark):
 
 
 def test_exact_dedup_of_nothing(empty):
-    assert exact_dedup.exact_groups(empty).count() == 0
+    assert exact_dedup.exact_groups(empty).count() == exact_dedup.exact_groups(empty, runs=3).count() == 0
     assert exact_dedup.drop_exact_copies(empty).columns == empty.columns
 
 
