@@ -5,7 +5,9 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from collections.abc import Callable, Iterable
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import file_stamp
+from ..scratch import small_batches
 
 IMAGE = "height int, width int, data binary"
 
@@ -22,8 +25,9 @@ def _array(height: int, width: int, data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype=np.uint8).reshape(height, width)
 
 
-def _struct(images: list[np.ndarray]) -> pd.DataFrame:
-    return pd.DataFrame({"height": [x.shape[0] for x in images], "width": [x.shape[1] for x in images], "data": [x.astype(np.uint8).tobytes() for x in images]})
+def _struct(images: Iterable[np.ndarray]) -> pd.DataFrame:
+    """Images as rows; each is turned to bytes before the next one is made."""
+    return pd.DataFrame([(*x.shape, x.astype(np.uint8).tobytes()) for x in images], columns=["height", "width", "data"])
 
 
 def gray_of_source(image: Column) -> Column:
@@ -31,11 +35,11 @@ def gray_of_source(image: Column) -> Column:
 
     @F.pandas_udf(IMAGE)
     def convert(x: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for row in x.itertuples():
+        def gray(row) -> np.ndarray:
             pixels = np.frombuffer(row.data, dtype=np.uint8).reshape(row.height, row.width, row.nChannels).astype(np.float32)
-            out.append(np.rint(pixels[..., 0] if row.nChannels == 1 else pixels[..., :3] @ np.array([0.114, 0.587, 0.299], np.float32)))
-        return _struct(out)
+            return np.rint(pixels[..., 0] if row.nChannels == 1 else pixels[..., :3] @ np.array([0.114, 0.587, 0.299], np.float32))
+
+        return _struct(map(gray, x.itertuples()))
 
     return convert(image)
 
@@ -47,16 +51,21 @@ DRAWN = (48, 64)
 def drawn(frames: DataFrame) -> DataFrame:
     """frames (vec_id, seq) with an image each, drawn by a rule in whole numbers: a texture by vec_id, a white block by seq."""
 
+    small_batches(frames.sparkSession)
+
     @F.pandas_udf(IMAGE)
     def draw(vec: pd.Series, seq: pd.Series) -> pd.DataFrame:
         y, x = np.mgrid[0 : DRAWN[0], 0 : DRAWN[1]]
-        out = []
-        for v, s in zip(vec, seq):
-            image = (7 * x * x + 13 * y * y + x * y * (v % 17 + 3) + 31 * v) % 256
+        # Bytes wrap around at 256, which is what the rule asks for.
+        still, slope = (7 * x * x + 13 * y * y).astype(np.uint8), (x * y).astype(np.uint8)
+
+        def image(v: int, s: int) -> np.ndarray:
+            out = still + slope * np.uint8(v % 17 + 3) + np.uint8(31 * v % 256)
             top, left = s % 5 * 8, s % 7 * 8
-            image[top : top + 6, left : left + 6] = 255
-            out.append(image)
-        return _struct(out)
+            out[top : top + 6, left : left + 6] = 255
+            return out
+
+        return _struct(map(image, vec.tolist(), seq.tolist()))
 
     return frames.withColumn("image", draw("vec_id", "seq"))
 
@@ -115,21 +124,28 @@ def with_phash(frames: DataFrame, column: str = "image") -> DataFrame:
     return out.withColumns({"hash_hi": F.col("__h.hash_hi"), "hash_lo": F.col("__h.hash_lo"), "phash_hex": F.concat(half("hash_hi"), half("hash_lo")), "phash_error": F.col("__h.error")}).drop("__h")
 
 
+def difference(a: dict | None, b: dict | None) -> tuple[int, int]:
+    """The sum of the differences of two images' pixels over their common size, and how many pixels that has; 0 if one is null or empty."""
+    if not a or not b or not a["data"] or not b["data"]:
+        return 0, 0
+    u, v = (_array(int(x["height"]), int(x["width"]), x["data"]) for x in (a, b))
+    h, w = min(u.shape[0], v.shape[0]), min(u.shape[1], v.shape[1])
+    u, v = u[:h, :w], v[:h, :w]
+    return int((np.maximum(u, v) - np.minimum(u, v)).sum(dtype=np.int64)), h * w
+
+
+def ratio(a: dict | None, b: dict | None) -> float:
+    """The mean difference of two images' pixels over their common size, 0 to 1; 0 if one is null or empty."""
+    total, n = difference(a, b)
+    return total / (n * 255.0) if n else 0.0
+
+
 def delta_ratio(a: Column, b: Column) -> Column:
     """The mean difference of two images' pixels over their common size, 0 to 1; 0 if one is null or empty."""
 
     @F.pandas_udf("double")
     def differ(x: pd.DataFrame, y: pd.DataFrame) -> pd.Series:
-        out = []
-        for p, q in zip(x.itertuples(), y.itertuples()):
-            if p.data is None or q.data is None or not p.data or not q.data:
-                out.append(0.0)
-                continue
-            u, v = _array(int(p.height), int(p.width), p.data), _array(int(q.height), int(q.width), q.data)
-            h, w = min(u.shape[0], v.shape[0]), min(u.shape[1], v.shape[1])
-            total = np.abs(u[:h, :w].astype(np.int16) - v[:h, :w]).sum(dtype=np.int64)
-            out.append(float(total) / (h * w * 255.0) if h * w else 0.0)
-        return pd.Series(out)
+        return pd.Series([ratio(p, q) for p, q in zip(x.to_dict("records"), y.to_dict("records"))], dtype="float64")
 
     return differ(a, b)
 
@@ -175,7 +191,7 @@ def write_images(frames: DataFrame, folder: str) -> DataFrame:
 
 def stretch(image: np.ndarray, cutoff: float = 0.0) -> np.ndarray:
     """Contrast stretched to 0 to 255, without cutoff percent of the pixels at either end."""
-    low, high = np.percentile(image, [cutoff, 100 - cutoff], method="nearest")
+    low, high = np.percentile(image, [cutoff, 100 - cutoff], method="nearest") if cutoff else (image.min(), image.max())
     return image.astype(np.float64) if high <= low else np.clip((image - low) * 255.0 / (high - low), 0, 255)
 
 
@@ -186,9 +202,24 @@ def _around(image: np.ndarray) -> np.ndarray:
     return np.stack([padded[y : y + h, x : x + w] for y in range(3) for x in range(3)])
 
 
+#: Comparisons that leave the median of nine values in the fifth place (Paeth 1990).
+_MEDIAN = ((1, 2), (4, 5), (7, 8), (0, 1), (3, 4), (6, 7), (1, 2), (4, 5), (7, 8), (0, 3), (5, 8), (4, 7), (3, 6), (1, 4), (2, 5), (4, 7), (4, 2), (6, 4), (4, 2))
+
+
 def _middle(image: np.ndarray) -> np.ndarray:
     """The median of the nine values around each pixel."""
-    return np.partition(_around(image), 4, axis=0)[4]
+    around = list(_around(image))
+    for a, b in _MEDIAN:
+        around[a], around[b] = np.minimum(around[a], around[b]), np.maximum(around[a], around[b])
+    return around[4]
+
+
+def _weighed(shifted: Iterable[np.ndarray], weights: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    out, one = np.zeros(shape), np.empty(shape)
+    for x, k in zip(shifted, weights):
+        np.multiply(x, k, out=one)
+        out += one
+    return out
 
 
 def blur(image: np.ndarray, radius: float) -> np.ndarray:
@@ -197,9 +228,9 @@ def blur(image: np.ndarray, radius: float) -> np.ndarray:
     weights /= weights.sum()
     h, w = image.shape
     rows = np.pad(image, ((0, 0), (reach, reach)), mode="edge")
-    across = sum(k * rows[:, i : i + w] for i, k in enumerate(weights))
+    across = _weighed((rows[:, i : i + w] for i in range(len(weights))), weights, (h, w))
     columns = np.pad(across, ((reach, reach), (0, 0)), mode="edge")
-    return sum(k * columns[i : i + h] for i, k in enumerate(weights))
+    return _weighed((columns[i : i + h] for i in range(len(weights))), weights, (h, w))
 
 
 def sharpen(image: np.ndarray, radius: float, percent: float, threshold: float) -> np.ndarray:
@@ -227,19 +258,41 @@ def threshold(image: np.ndarray, mode: str, block: int = 35, c: float = 11) -> n
     raise ValueError(f"unknown threshold mode: {mode}")
 
 
+class Results:
+    """Results of a Python worker by digests of what they were made from. The last ones stay, most bytes of them at most."""
+
+    def __init__(self, most: int):
+        self.most, self.held, self.known = most, 0, {}
+
+    def of(self, image: np.ndarray, settings: tuple, make: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        key = (blake2b(image, digest_size=16).digest(), image.shape, settings)
+        if key not in self.known:
+            out = self.known[key] = make(image)
+            self.held += out.nbytes
+            while self.held > self.most:
+                self.held -= self.known.pop(next(iter(self.known))).nbytes
+            return out
+        return self.known[key]
+
+
+#: Equal images, as those of a still recording, are preprocessed once by a worker while they are among the last 64 MB.
+_PREPROCESSED = Results(1 << 26)
+
+
 def preprocessed(image: Column, scale: float = 2.0, mode: str = "adaptive", denoise: bool = True, sharp: bool = True) -> Column:
     """Scaled, stretched, sharpened, freed of specks and thresholded. Close to what image libraries give, not the same."""
 
+    def process(own: np.ndarray) -> np.ndarray:
+        own = stretch(_resize(own, max(1, int(own.shape[0] * scale)), max(1, int(own.shape[1] * scale))))
+        own = sharpen(own, 2, 175, 3) if sharp else own
+        own = _middle(own) if denoise else own
+        return np.rint(threshold(own, mode)).astype(np.uint8)
+
     @F.pandas_udf(IMAGE)
     def run(x: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for row in x.itertuples():
-            own = _array(int(row.height), int(row.width), row.data)
-            own = stretch(_resize(own, max(1, int(own.shape[0] * scale)), max(1, int(own.shape[1] * scale))))
-            own = sharpen(own, 2, 175, 3) if sharp else own
-            own = _middle(own) if denoise else own
-            out.append(np.rint(threshold(own, mode)))
-        return _struct(out)
+        from cuesheet.operators.images import _PREPROCESSED as results  # the worker's own, not one sent along
+
+        return _struct(results.of(_array(int(row.height), int(row.width), row.data), (scale, mode, denoise, sharp), process) for row in x.itertuples())
 
     return run(image)
 

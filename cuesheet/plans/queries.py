@@ -13,7 +13,7 @@ from ..functions import numbers, quality, text
 from ..operators import align, candidates, crops, frames, report, scan, segments, settings, tuning, windows
 from ..operators import frame_cascade
 from ..operators import frame_ocr as recognition
-from ..scratch import scratch_root
+from ..scratch import scratch_root, tasks
 from ..sources import events as event_logs
 from ..sources import json_arrays, providers, showinfo, sinks
 from .fixtures import fixture, with_fixtures
@@ -794,7 +794,7 @@ def scene_changes(spark, sf_dir):
 def preprocess(spark, sf_dir):
     from ..operators import images
 
-    own = images.drawn(fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "vec_id"))
+    own = images.drawn(fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "vec_id").repartition(tasks(spark)))
     return own.select("video_id", "seq", images.preprocessed(F.col("image")).alias("image")).select("video_id", "seq", "image.height", "image.width", F.sha2("image.data", 256).alias("sha"))
 
 

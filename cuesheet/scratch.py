@@ -1,4 +1,4 @@
-"""Where intermediate results go, and how small tables are dealt out."""
+"""Where intermediate results go, and how tables are dealt out."""
 
 from __future__ import annotations
 
@@ -27,3 +27,19 @@ def spread(df: DataFrame) -> DataFrame:
     """df dealt out evenly if it is read in fewer parts than there are cores, as a table of one small file is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+#: Rows of a batch between Spark and Python where rows hold images, as both sides hold batches whole.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's Arrow batches to BATCH_ROWS rows, if they are larger."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def tasks(spark: SparkSession) -> int:
+    """Parts for rows that are small but take long: by size alone adaptive execution would put them together."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
