@@ -1,22 +1,21 @@
 """Scene changes over a table of decoded frames, in which images are compared where they are.
 
 Frames are in ranges of (recording, time), as a table of them is stored. A task compares each image with the one before
-in its range; of each range only the first and last image of a recording are handed on, to be compared across ranges.
+in its range; of each range only the first and the last image are handed on, to be compared across ranges.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import scratch_root
+from ..scratch import scratch_root, small_batches, tasks
 from .blocks import previous, with_block
-from .images import IMAGE
+from .images import IMAGE, difference, ratio
 
 #: A change is in percent of 256 levels, and from which score on a frame is a scene change.
 LEVELS, THRESHOLD = 256, 0.25
@@ -26,63 +25,76 @@ BLOCK = 600.0
 
 def _change(before: dict, now: dict) -> float:
     """The mean difference of two images' pixels over their common size, in percent of LEVELS; 0 if one is empty."""
-    u, v = (np.frombuffer(x["data"], dtype=np.uint8).reshape(int(x["height"]), int(x["width"])) for x in (before, now))
-    h, w = min(u.shape[0], v.shape[0]), min(u.shape[1], v.shape[1])
-    if not h * w:
-        return 0.0
-    return float(np.abs(u[:h, :w].astype(np.int16) - v[:h, :w]).sum(dtype=np.int64)) * 100.0 / (h * w) / LEVELS
+    total, n = difference(before, now)
+    return float(total) * 100.0 / n / LEVELS if n else 0.0
 
 
-def _in_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in order: each one's change, null for a recording's first row in the task; image stays with first and last rows."""
+def _in_ranges(batches: Iterator[pa.RecordBatch], measure: Callable[[dict, dict], float]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order, an image the last of their columns: each one's change, null for a recording's first row in the task.
+
+    The image stays with the task's first row, marked as open, and its last one: no others have neighbours elsewhere.
+    """
     held: tuple | None = None
-    schema = None
+    schema, n = None, 0
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], kind) for i, kind in enumerate(schema.types)], schema=schema)
 
     for batch in batches:
         if schema is None:
-            schema = pa.schema([*(batch.schema.field(i) for i in range(3)), ("change", pa.float64()), ("first", pa.bool_()), batch.schema.field(3).with_nullable(True)])
+            n = batch.num_columns - 1
+            schema = pa.schema([*(batch.schema.field(i) for i in range(n)), ("change", pa.float64()), ("open", pa.bool_()), batch.schema.field(n).with_nullable(True)])
         rows = []
-        for key, at, seq, image in zip(*(x.to_pylist() for x in batch.columns)):
-            if held and held[0] == key:
-                rows.append(held[:5] + (held[5] if held[4] else None,))
-                held = (key, at, seq, _change(held[5], image), False, image)
-            else:
-                if held:
-                    rows.append(held)
-                held = (key, at, seq, None, True, image)
+        for *own, image in zip(*(x.to_pylist() for x in batch.columns)):
+            if held:
+                rows.append((*held[:-1], held[-1] if held[-2] else None))
+            change = measure(held[-1], image) if held and held[0] == own[0] else None
+            held = (*own, change, held is None, image)
         yield out(rows)
     if held:
         yield out([held])
 
 
-def image_changes(frames: DataFrame, ordered: bool = False) -> DataFrame:
-    """video_id, timestamp, seq, change of frames (video_id, timestamp, seq, image): null for a recording's first frame.
+def compared(frames: DataFrame, order: list[str], measure: Callable[[dict, dict], float], ordered: bool = False, decode: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """video_id, order's columns, change of frames: measure of the image before and its own, null for a recording's first frame.
 
-    ordered: each part of frames is a range of (video_id, timestamp, seq), in order, as in a table written so; no image is
-    shuffled then but two for each part. Otherwise frames are put in ranges first. Frames without a time or an image go.
+    frames have images, or decode adds them to rows that are in ranges of (video_id, order) by then, so that no image is
+    shuffled but two for each part. ordered: each part of frames is such a range, in order, as in a table written so.
     """
-    scratch_root(frames.sparkSession)
-    order = ["video_id", "timestamp", "seq"]
-    own = frames.filter("timestamp IS NOT NULL AND image.data IS NOT NULL").select(*order, "image")
-    if not ordered:
-        own = own.repartitionByRange(*order).sortWithinPartitions(*order)
-    kind = frames.schema["video_id"].dataType.simpleString()
-    seq = frames.schema["seq"].dataType.simpleString()
-    ts = frames.schema["timestamp"].dataType.simpleString()
+    spark = frames.sparkSession
+    scratch_root(spark)
+    small_batches(spark)
+    keys = ["video_id", *order]
+    own = frames if ordered else frames.repartitionByRange(tasks(spark), *keys).sortWithinPartitions(*keys)
+    own = (decode(own) if decode else own).select(*keys, "image")
+    kinds = ", ".join(f"`{x}` {frames.schema[x].dataType.simpleString()}" for x in keys)
     shape = ", ".join(x.replace(" ", ": ") for x in IMAGE.split(", "))
-    marked = own.mapInArrow(_in_ranges, f"video_id {kind}, timestamp {ts}, seq {seq}, change double, first boolean, image struct<{shape}>").checkpoint()
-    edges = marked.filter("image IS NOT NULL").withColumn("before", F.lag("image").over(Window.partitionBy("video_id").orderBy("timestamp", "seq")))
+    marked = own.mapInArrow(lambda x: _in_ranges(x, measure), f"{kinds}, change double, open boolean, image struct<{shape}>").checkpoint()
+    edges = marked.filter("image IS NOT NULL OR open").withColumn("before", F.lag(F.struct("image")).over(Window.partitionBy("video_id").orderBy(*order)))
 
     @F.pandas_udf("double")
     def across(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-        rows = zip(a.to_dict("records"), b.to_dict("records"))
-        return pd.Series([None if x["data"] is None else _change(x, y) for x, y in rows], dtype="float64")
+        return pd.Series([measure(x, y) for x, y in zip(a.to_dict("records"), b.to_dict("records"))], dtype="float64")
+
+    joined = edges.filter("open").select(*keys, F.when(F.col("before").isNotNull(), across("before.image", "image")).alias("change"))
+    return marked.filter("NOT open").select(*keys, "change").unionByName(joined)
+
+
+def image_changes(frames: DataFrame, ordered: bool = False, decode: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """video_id, timestamp, seq, change of frames (video_id, timestamp, seq, image): null for a recording's first frame.
+
+    ordered, decode: see compared. Frames without a time or an image go.
+    """
+
+    def with_images(own: DataFrame) -> DataFrame:
+        return (decode(own) if decode else own).filter("image.data IS NOT NULL")
+
+    return compared(frames.filter("timestamp IS NOT NULL"), ["timestamp", "seq"], _change, ordered, with_images)
+
 
-    joined = edges.filter("first").select(*order, F.when(F.col("before").isNotNull(), across("before", "image")).alias("change"))
-    return marked.filter("NOT first").select(*order, "change").unionByName(joined)
+def pixel_deltas(frames: DataFrame, ordered: bool = False, decode: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """video_id, seq, delta: images.ratio of each frame (video_id, seq, image) and the one before by seq; 0 for the first."""
+    return compared(frames, ["seq"], ratio, ordered, decode).select("video_id", "seq", F.coalesce("change", F.lit(0.0)).alias("delta"))
 
 
 def scene_scores(changes: DataFrame) -> DataFrame:
@@ -94,6 +106,6 @@ def scene_scores(changes: DataFrame) -> DataFrame:
     return compared.withColumn("score", score).drop("last", "block")
 
 
-def scene_changes(frames: DataFrame, threshold: float = THRESHOLD, ordered: bool = False) -> DataFrame:
+def scene_changes(frames: DataFrame, threshold: float = THRESHOLD, ordered: bool = False, decode: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """video_id, timestamp, seq, score of the frames whose score is above threshold, not at it."""
-    return scene_scores(image_changes(frames, ordered)).filter(F.col("score") > threshold).select("video_id", "timestamp", "seq", "score")
+    return scene_scores(image_changes(frames, ordered, decode)).filter(F.col("score") > threshold).select("video_id", "timestamp", "seq", "score")

@@ -786,8 +786,8 @@ def pixel_delta(spark, sf_dir):
 def scene_changes(spark, sf_dir):
     from ..operators import images, scenes
 
-    own = images.drawn(fixture(spark, sf_dir, "fx_frames").select("video_id", "timestamp", "seq", "vec_id"))
-    return scenes.scene_changes(own, 0.02).withColumn("score", numbers.round_to(F.col("score"), 9))
+    own = fixture(spark, sf_dir, "fx_frames").select("video_id", "timestamp", "seq", "vec_id")
+    return scenes.scene_changes(own, 0.02, decode=images.drawn).withColumn("score", numbers.round_to(F.col("score"), 9))
 
 
 @query()
