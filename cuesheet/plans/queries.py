@@ -769,12 +769,10 @@ def phash_numpy(spark, sf_dir):
         FROM o, (SELECT unnest(range(48)) AS y), (SELECT unnest(range(64)) AS x) WHERE seq0 IS NOT NULL GROUP BY ALL)
     SELECT o.video_id, o.seq, {_round("coalesce(delta, 0.0)", 9)} AS delta FROM o LEFT JOIN d USING (video_id, seq)""")
 def pixel_delta(spark, sf_dir):
-    from ..operators import images
+    from ..operators import images, scenes
 
-    own = images.drawn(fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "vec_id"))
-    by = Window.partitionBy("video_id").orderBy("seq")
-    delta = images.delta_ratio(F.col("image"), F.col("before"))
-    return own.withColumn("before", F.lag("image").over(by)).select("video_id", "seq", numbers.round_to(delta, 9).alias("delta"))
+    own = fixture(spark, sf_dir, "fx_frames").select("video_id", "seq", "vec_id")
+    return scenes.pixel_deltas(own, decode=images.drawn).withColumn("delta", numbers.round_to(F.col("delta"), 9))
 
 
 @query(f"""o AS (SELECT video_id, timestamp, seq, vec_id, lag(seq) OVER w AS seq0, lag(vec_id) OVER w AS vec0 FROM fx_frames WINDOW w AS (PARTITION BY video_id ORDER BY timestamp, seq)),
