@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.quality import with_quality
 from ..functions.text import labelled_text
+from ..scratch import tasks
 from .candidates import better_pass, mean_confidence
 from .crops import crop_boxes
 
@@ -20,9 +21,10 @@ KEY = ["video_id", "seq"]
 def crop_requests(frames: DataFrame, passes: list[int], mode: str = "preset", manual: list[str] | None = None) -> DataFrame:
     """What is asked of a provider: a row for each frame (video_id, seq, width, height), box and pass (name, box, place, psm).
 
-    passes: the modes of segmentation, one or two; a second one that equals the first is left out.
+    passes: the modes of segmentation, one or two; a second one that equals the first is left out. Frames are dealt out
+    by their key before they are taken apart, so that a frame's boxes and passes are where they are put together again.
     """
-    boxes = crop_boxes(frames, mode, manual)
+    boxes = crop_boxes(frames.repartition(tasks(frames.sparkSession), *KEY), mode, manual)
     asked = F.array(*map(F.lit, dict.fromkeys(passes)))
     names = ["FULL", "TOP", "LEFT", "MAIN", "BOTTOM", *(f"MANUAL_{i:02d}" for i in range(1, len(manual or []) + 1))]
     place = F.array_position(F.array(*map(F.lit, names)), F.col("name")).cast("int")
