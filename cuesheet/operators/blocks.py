@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..names import fresh
-from ..scratch import scratch_root
+from ..scratch import checkpointed
 
 
 def with_block(df: DataFrame, ts: str, width: float, name: str) -> DataFrame:
@@ -300,7 +300,6 @@ def true_entries(df: DataFrame, key: str, block: str, order: list, columns: list
     ago is forgotten, this takes few rounds: one where blocks are cut at a pause, two where states fall together, and as
     many as there are phases where rows repeat in a period. Each round completes one block of a recording at least.
     """
-    scratch_root(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     narrow = df.select(key, block, *columns)
     entry, is_row = fresh(narrow.columns, "entry", "is_row")
@@ -311,7 +310,7 @@ def true_entries(df: DataFrame, key: str, block: str, order: list, columns: list
         marks = wanted.select(key, block, F.col("entry").alias(entry), F.lit(False).alias(is_row))
         placed = marked.unionByName(marks, allowMissingColumns=True)
         placed = _together(placed, key, block).sortWithinPartitions(key, block, is_row, *order)
-        return placed.mapInArrow(lambda x: _explored(x, columns, ts, step, settle), f"`{key}` {kind}, `{block}` long, entry string, first double, leaves string").checkpoint()
+        return checkpointed(placed.mapInArrow(lambda x: _explored(x, columns, ts, step, settle), f"`{key}` {kind}, `{block}` long, entry string, first double, leaves string"))
 
     def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None
@@ -327,7 +326,7 @@ def true_entries(df: DataFrame, key: str, block: str, order: list, columns: list
 
     known = explore(df.select(key, block).distinct().withColumn("entry", F.lit("[]")))
     while True:
-        found = known.repartition(key).sortWithinPartitions(key, block).mapInArrow(compose, f"`{key}` {kind}, `{block}` long, entry string, kind string").checkpoint()
+        found = checkpointed(known.repartition(key).sortWithinPartitions(key, block).mapInArrow(compose, f"`{key}` {kind}, `{block}` long, entry string, kind string"))
         true = found.filter("kind = 'true'").select(key, block, "entry")
         # Blocks that have a true entry, and have been run from it.
         if known.select(key, block).distinct().count() == true.join(known, [key, block, "entry"]).count():

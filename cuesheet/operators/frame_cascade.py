@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.quality import with_quality
 from ..functions.text import strip
-from ..scratch import scratch_root
+from ..scratch import checkpointed
 from .candidates import QUALITY_THRESHOLD, mean_confidence
 from .frame_ocr import KEY
 
@@ -56,7 +56,6 @@ def cascade_boxes(requests: DataFrame, stages: list[Stage], threshold: float = Q
     scores below threshold. requests may have any columns besides text, avg_conf, error, meta, candidates, best and those
     of text quality; stages hand them on. Null texts count as empty.
     """
-    scratch_root(requests.sparkSession)
     own = requests.columns
     left = requests.withColumn("candidates", F.array().cast(f"array<{CANDIDATE}>"))
     settled = None
@@ -65,7 +64,7 @@ def cascade_boxes(requests: DataFrame, stages: list[Stage], threshold: float = Q
         answers = answers.withColumns({"text": F.coalesce("text", F.lit("")), "meta": F.col("meta").cast("string") if "meta" in answers.columns else F.lit(None).cast("string")})
         scored = with_quality(answers)
         new = F.struct(F.lit(stage.provider).alias("provider"), F.lit(stage.variant).alias("variant"), "text", F.col("avg_conf").cast("double").alias("avg_conf"), F.col("error").cast("string").alias("error"), "quality_score", "quality_flags", "quality_metrics", "meta")
-        asked = scored.select(*own, F.concat("candidates", F.array(new.cast(CANDIDATE))).alias("candidates")).checkpoint()
+        asked = checkpointed(scored.select(*own, F.concat("candidates", F.array(new.cast(CANDIDATE))).alias("candidates")))
         last = k == len(stages) - 1
         weak = F.lit(False) if last else is_weak(best_of(F.col("candidates")), threshold)
         done = asked.filter(~weak)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
 from ..names import fresh
-from ..scratch import scratch_root
+from ..scratch import checkpointed
 from .blocks import placed
 from .scan import keep_spaced
 
@@ -118,14 +118,13 @@ def backfill(kept: DataFrame, videos: DataFrame, fetch, suppress, max_gap: float
     Each round merges the fetched frames in at epsilon and deduplicates again; frames that it drops are marked by
     dropped_phase. Rounds stop when there is nothing to fill. Returns kept and dropped frames.
     """
-    scratch_root(kept.sparkSession)
     dropped = None
     for k in range(1, rounds + 1):
-        found = fetch(gap_fill(kept, videos, max_gap)).checkpoint()
+        found = checkpointed(fetch(gap_fill(kept, videos, max_gap)))
         if found.isEmpty():
             break
         own = [x for x in kept.columns if x in found.columns]
-        marked = suppress(merge_entries(union_frames(kept.select(own), found.select(own)), epsilon)).checkpoint()
+        marked = checkpointed(suppress(merge_entries(union_frames(kept.select(own), found.select(own)), epsilon)))
         kept = marked.filter("status = 'kept'").withColumn("dropped_phase", F.lit(None).cast("string"))
         lost = marked.filter("status = 'dropped'").withColumn("dropped_phase", F.lit(f"gap_backfill_round_{k}"))
         dropped = lost if dropped is None else dropped.unionByName(lost)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..scratch import scratch_root
+from ..scratch import checkpointed
 
 SPLIT = ["file", "block"]
 
@@ -72,8 +72,7 @@ def read_array(spark: SparkSession, path: str) -> DataFrame:
     Elements may be of any kind; a file is read in splits, however long its lines are. An empty array has no rows; a
     file that is no JSON array raises, as does one that ends too early. Strings may hold braces, brackets and quotes.
     """
-    scratch_root(spark)
-    marked = _with_ends(pieces(spark, path)).checkpoint()
+    marked = checkpointed(_with_ends(pieces(spark, path)))
     numbered = _running(marked, "ends", "part")
     parts = numbered.groupBy("file", "part").agg(F.sort_array(F.collect_list(F.struct("block", "at", "value"))).alias("own"), F.max("ends").alias("ended"), F.max("total").alias("total"))
     text = F.concat(F.when(F.col("part") > 0, "[{}").otherwise(""), F.array_join("own.value", "}"), F.when(F.col("ended") == 1, "}]").otherwise(""))
@@ -81,5 +80,5 @@ def read_array(spark: SparkSession, path: str) -> DataFrame:
     sound = F.when((F.col("total") == -1) & ((F.col("ended") == 1) | text.rlike(r"\]\s*$")), text).otherwise(F.raise_error(F.concat(F.lit("not a JSON array: "), F.col("file"))))
     parsed = F.parse_json(sound).cast("array<variant>")
     items = F.when(F.col("part") > 0, F.slice(parsed, 2, F.greatest(F.size(parsed) - 1, F.lit(0)))).otherwise(parsed)
-    listed = parts.select("file", F.col("own")[0]["block"].alias("block"), F.col("own")[0]["at"].alias("at"), items.alias("items")).withColumn("n", F.size("items")).checkpoint()
+    listed = checkpointed(parts.select("file", F.col("own")[0]["block"].alias("block"), F.col("own")[0]["at"].alias("at"), items.alias("items")).withColumn("n", F.size("items")))
     return _running(listed, "n", "earlier").select("file", "earlier", F.posexplode("items").alias("i", "value")).select("file", (F.col("earlier") + F.col("i") + 1).alias("position"), "value")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..names import fresh
-from ..scratch import scratch_root
+from ..scratch import checkpointed
 
 #: name -> provider
 REGISTRY: dict[str, Provider] = {}
@@ -57,8 +57,7 @@ def ask_in_turn(requests: DataFrame, first: Provider, then: Provider, is_weak: C
     The weak ones are filtered before the second provider runs: inside CASE a Python function would run for all rows.
     first's answers are written to the checkpoint folder, so that they are not asked for twice.
     """
-    scratch_root(requests.sparkSession)
-    answered = first.ask(requests).checkpoint()
+    answered = checkpointed(first.ask(requests))
     weak = answered.filter(is_weak()).select(*requests.columns)
     return answered.withColumn("asked", F.lit(first.name)).unionByName(then.ask(weak).withColumn("asked", F.lit(then.name)), allowMissingColumns=True)
 
