@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import checkpointed, small_batches, tasks
+from ..scratch import scratch_root, small_batches, tasks
 from .blocks import previous, with_block
 from .images import IMAGE, difference, ratio
 
@@ -62,13 +62,14 @@ def compared(frames: DataFrame, order: list[str], measure: Callable[[dict, dict]
     shuffled but two for each part. ordered: each part of frames is such a range, in order, as in a table written so.
     """
     spark = frames.sparkSession
+    scratch_root(spark)
     small_batches(spark)
     keys = ["video_id", *order]
     own = frames if ordered else frames.repartitionByRange(tasks(spark), *keys).sortWithinPartitions(*keys)
     own = (decode(own) if decode else own).select(*keys, "image")
     kinds = ", ".join(f"`{x}` {frames.schema[x].dataType.simpleString()}" for x in keys)
     shape = ", ".join(x.replace(" ", ": ") for x in IMAGE.split(", "))
-    marked = checkpointed(own.mapInArrow(lambda x: _in_ranges(x, measure), f"{kinds}, change double, open boolean, image struct<{shape}>"))
+    marked = own.mapInArrow(lambda x: _in_ranges(x, measure), f"{kinds}, change double, open boolean, image struct<{shape}>").checkpoint()
     edges = marked.filter("image IS NOT NULL OR open").withColumn("before", F.lag(F.struct("image")).over(Window.partitionBy("video_id").orderBy(*order)))
 
     @F.pandas_udf("double")

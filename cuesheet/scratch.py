@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,16 +23,6 @@ def scratch_root(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df.checkpoint(), worked out once: by itself that counts the rows first, and works them out again to write them."""
-    scratch_root(df.sparkSession)
-    held = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        return held.checkpoint()
-    finally:
-        held.unpersist()
-
-
 def spread(df: DataFrame) -> DataFrame:
     """df dealt out evenly if it is read in fewer parts than there are cores, as a table of one small file is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
