@@ -1020,9 +1020,9 @@ def json_written(spark, sf_dir):
         || chr(10) || trim(text, chr(32) || chr(9) || chr(10) || chr(13)) || chr(10) || chr(10), '' ORDER BY i) AS content FROM s GROUP BY video_id""")
 def srt_written(spark, sf_dir):
     path = _written(spark, "srt")
-    sinks.write_srt(fixture(spark, sf_dir, "fx_segments"), ["seq"], path)
+    sinks.write_srt(fixture(spark, sf_dir, "fx_segments"), ["seq"], path, shards=tasks(spark))
     # One file for each recording, whose cues are in order.
-    return spark.read.text(path, wholetext=True).select("video_id", F.col("value").alias("content")).withColumn("video_id", F.col("video_id").cast("long"))
+    return sinks.read_srt(spark, path)
 
 
 @query("""SELECT video_id, utterance_id, string_agg(text, ' ' ORDER BY word_ix) AS words, count(*) AS n FROM fx_words WHERE word_ix % 7 <> 3 GROUP BY ALL""")

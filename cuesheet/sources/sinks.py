@@ -16,11 +16,26 @@ def srt_cues(segments: DataFrame, order: list[str]) -> DataFrame:
     return segments.select("video_id", number.alias("cue"), F.concat_ws("\n", number.cast("string"), times, strip(F.col("text"))).alias("lines"))
 
 
-def write_srt(segments: DataFrame, order: list[str], path: str) -> None:
-    """A folder of text files for each recording, with its cues in order and a blank line after each."""
+def write_srt(segments: DataFrame, order: list[str], path: str, shards: int | None = None) -> None:
+    """A folder of text files for each recording, with its cues in order and a blank line after each.
+
+    shards: the recordings' folders are put into so many folders, each written by one task. For many recordings: the
+    driver then commits and lists these folders, not each recording's.
+    """
     cues = srt_cues(segments, order)
-    lines = cues.withColumn("lines", F.concat("lines", F.lit("\n"))).repartition("video_id").sortWithinPartitions("video_id", "cue")
-    lines.select("video_id", "lines").write.mode("overwrite").partitionBy("video_id").text(path)
+    lines = cues.withColumn("lines", F.concat("lines", F.lit("\n")))
+    if shards is None:
+        folders, dealt = ["video_id"], lines.repartition("video_id")
+    else:
+        folders = ["shard", "video_id"]
+        dealt = lines.withColumn("shard", F.pmod(F.xxhash64("video_id"), F.lit(shards)).cast("int")).repartition(shards, "shard")
+    ordered = dealt.sortWithinPartitions(*folders, "cue")
+    ordered.select(*folders, "lines").write.mode("overwrite").partitionBy(*folders).text(path)
+
+
+def read_srt(spark: SparkSession, path: str) -> DataFrame:
+    """video_id, content: the recordings that write_srt wrote, each with one file."""
+    return spark.read.text(path, wholetext=True).select(F.col("video_id").cast("long").alias("video_id"), F.col("value").alias("content"))
 
 
 def write_json(df: DataFrame, path: str) -> None:

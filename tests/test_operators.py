@@ -255,6 +255,17 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "json")).count() == 2
 
 
+def test_subtitles_of_many_recordings_are_in_few_folders(spark, tmp_path):
+    segs = spark.createDataFrame([(v, k, float(k), k + 0.5, "A", f"{v} {k}", "whisper") for v in range(40) for k in (1, 0)], SEGMENTS)
+    path = tmp_path / "srt"
+    sinks.write_srt(segs, ["seq"], str(path), shards=3)
+    folders = {x.name for x in path.iterdir() if x.is_dir()}
+    assert folders == {"shard=0", "shard=1", "shard=2"}
+    assert sorted(len(list(x.glob("*.txt"))) for x in path.glob("shard=*/video_id=*")) == [1] * 40
+    want = [(v, "".join(f"{k + 1}\n00:00:0{k},000 --> 00:00:0{k},500\n{v} {k}\n\n" for k in range(2))) for v in range(40)]
+    assert values(sinks.read_srt(spark, str(path)), "video_id", "content") == want
+
+
 def test_providers(spark):
     requests = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     a = providers.precomputed("a", spark.createDataFrame([(1, "x", None), (2, "y", "failed")], "k int, text string, error string"), ["k"])
