@@ -1,7 +1,8 @@
 """Documents whose sets of word shingles are alike, to the last pair: the near-dedup stage's links.
 
-SimHash can't find these: at a similarity of 0.8 fingerprints differ in about 10 of 64 bits, some in 18, and no key
-of such a radius parts documents. So candidates come from prefixes. Shingles are put in one order, common ones last.
+The first candidates are those of fingerprints, which the caller finds (simhash.py); their pairs are verified, and what
+they link is compared no more. But at a similarity of 0.8 fingerprints differ in about 10 of 64 bits, some in 18, and no
+key of such a radius parts documents. So the rest comes from prefixes. Shingles are put in one order, common ones last.
 Two sets of similarity s or more share a shingle among the first n - ceil(s n) + 1 of each, so documents meet at the
 shingles of their prefixes, and each pair is verified by its whole sets.
 
@@ -15,7 +16,7 @@ prefixes are taken anew: any order that is the same for all documents is right,
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -95,14 +96,19 @@ def _common(docs: DataFrame, words: int, total: int) -> KeyFilter:
     return key_filter(materialise(rows.orderBy(F.desc("n"), "key").limit(MOST_COMMON)))
 
 
-def _prefixes(docs: DataFrame, words: int, similarity: float, late: list[KeyFilter]) -> DataFrame:
-    """doc_id, digest, node, size, sketch, keys: each document's first shingles, those in more of the late filters coming later."""
+def _prefixes(docs: DataFrame, words: int, similarity: float, late: list[KeyFilter], sign: Callable[[bytes], int] | None = None) -> DataFrame:
+    """doc_id, digest, node, size, sketch, keys: each document's first shingles, those in more of the late filters coming later.
+
+    Where sign is given, fp is what it makes of each text, as a signed number.
+    """
+    more = ["fp long"] if sign is not None else []
     shared = docs.sparkSession.sparkContext.broadcast([(x.words, x.places) for x in late])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [KeyFilter(*x) for x in shared.value]
         for batch in slices(batches):
-            sets = [shingle_hashes(x, words) for x in utf8(batch.column("text"))]
+            own = utf8(batch.column("text"))
+            sets = [shingle_hashes(x, words) for x in own]
             flat = np.concatenate([np.empty(0, np.int64), *sets])
             weight = np.sum([x.may_hold(flat) for x in filters], axis=0, dtype=np.int64) if filters else np.zeros(len(flat), np.int64)
             sizes = np.array([len(x) for x in sets], dtype=np.int64)
@@ -114,9 +120,12 @@ def _prefixes(docs: DataFrame, words: int, similarity: float, late: list[KeyFilt
             kept = flat[order[place < np.repeat(first, sizes)]]
             keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(first)]).astype(np.int32)), pa.array(kept))
             nodes = np.array([node_of(x) for x in sets], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(nodes), pa.array(sizes.astype(np.int32)), pa.array([sketch(x) for x in sets], pa.binary()), keys], ["doc_id", "digest", "node", "size", "sketch", "keys"])
+            columns = {"doc_id": batch.column("doc_id"), "digest": batch.column("digest"), "node": pa.array(nodes), "size": pa.array(sizes.astype(np.int32)), "sketch": pa.array([sketch(x) for x in sets], pa.binary()), "keys": keys}
+            if sign is not None:
+                columns["fp"] = pa.array(np.array([sign(x) for x in own], dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.select("doc_id", "digest", "text").mapInArrow(cut, "doc_id long, digest long, node long, size int, sketch binary, keys array<long>")
+    return docs.select("doc_id", "digest", "text").mapInArrow(cut, ", ".join(["doc_id long, digest long, node long, size int, sketch binary, keys array<long>", *more]))
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -220,14 +229,18 @@ def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, words: int
     pairs = materialise(met.filter(possible("a", "b")).select("u", "v"))
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
     wanted = materialise(known.select("node", "row").join(nodes, "node", "left_semi"))
-    rows = docs.filter(may_hold(key_filter(wanted, "row"), spark)(F.xxhash64("doc_id", "digest")))
+    made = key_filter(wanted, "row")
+    asked = spark.sparkContext.broadcast((made.words, made.places))
 
+    # The filter is asked by the function that reads: a filter of its own would have a second Python worker in each task.
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = KeyFilter(*asked.value)
         for batch in slices(batches):
+            batch = batch.filter(pa.array(own.may_hold(batch.column("row").to_numpy(zero_copy_only=False))))
             sets = [shingle_hashes(x, words) for x in utf8(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in sets], pa.int64()), _lists(sets)], ["node", "hashes"])
 
-    sets = rows.select("text").mapInArrow(read, "node long, hashes array<long>")
+    sets = docs.select(F.xxhash64("doc_id", "digest").alias("row"), "text").mapInArrow(read, "node long, hashes array<long>")
     bodies = materialise(sets)
     # Rows that repeat a doc_id and a text are read all; few others that no pair needs are too.
     n, distinct = bodies.join(wanted.select("node"), "node", "left_semi").agg(F.count("*"), F.count_distinct("node")).first()
@@ -247,11 +260,23 @@ def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, words: int
     return out
 
 
-def alike_groups(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+def signed_links(prefixes: DataFrame, docs: DataFrame, words: int, similarity: float, candidates: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """node, root of the components of what candidates finds among nodes (node, fp): pairs (u, v) of which those count that are as similar."""
+    spark = docs.sparkSession
+    began = mark(spark)
+    nodes = materialise(prefixes.groupBy("node").agg(F.min("fp").alias("fp")))
+    roots = materialise(connected_components(_verified(candidates(nodes), prefixes, docs, words, similarity)))
+    clean_up(spark, began, mark(spark) - 1)
+    return roots
+
+
+def alike_groups(docs: DataFrame, words: int, similarity: float, sign: Callable[[bytes], int] | None = None, candidates: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """doc_id, digest, component_id of every row of docs (doc_id, digest, text).
 
     Rows link if the Jaccard similarity of their sets of word shingles is this or more. component_id is the smallest
-    doc_id that can be reached, null where no row reached has one. Texts without words are all alike.
+    doc_id that can be reached, null where no row reached has one. Texts without words are all alike. sign and
+    candidates: a fingerprint of a text, and pairs of nodes by these, as in signed_links; both or neither. They change
+    which pairs are compared, not the result.
     """
     spark, total = docs.sparkSession, docs.count()
     release(spark)
@@ -262,13 +287,22 @@ def alike_groups(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     fits = lambda a, b: f"{alike} and {enough}".format(a, b)
     for k in range(ROUNDS):
         began = mark(spark)
-        prefixes = materialise(_prefixes(docs, words, similarity, late))
+        prefixes = materialise(_prefixes(docs, words, similarity, late, None if k else sign))
+        if not k and candidates is not None:
+            roots = signed_links(prefixes, docs, words, similarity, candidates)
+            links = roots.filter("node <> root").selectExpr("node as u", "root as v")
+            release(spark)
         hashes = prefixes.agg(F.sum(F.size("keys"))).first()[0] or 0
         rows = materialise(_rows(prefixes, key_filter(materialise(repeated_keys(prefixes, hashes)))))
         release(spark)
         hubs = rows.groupBy("key").agg(F.min(F.struct("node", "size", "at")).alias("hub"), F.count("*").alias("n")).filter("n > 1")
         met = materialise(join_unique(rows, materialise(hubs), "key", rows.count()))
         stars = met.filter(f"node <> hub.node and {fits('met', 'hub')}".replace("met.", "")).selectExpr("node as u", "hub.node as v")
+        if links is not None:
+            # What is linked already is not compared again.
+            own, other = (links.select(F.col("u").alias(x), F.col("v").alias(f"{x}_root")) for x in "uv")
+            known = materialise(stars.distinct()).join(own, "u", "left").join(other, "v", "left")
+            stars = known.filter("coalesce(u_root, u) <> coalesce(v_root, v)").select("u", "v")
         found = _verified(stars, prefixes, docs, words, similarity)
         links = found if links is None else links.union(found)
         release(spark)

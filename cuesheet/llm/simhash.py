@@ -147,6 +147,19 @@ def links_between(fps: DataFrame) -> DataFrame:
     return pairs.union(stars).distinct()
 
 
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """u, v: pairs of nodes (node, fp; a node once) whose fingerprints differ in MAX_BITS bits or fewer, by Golay keys.
+
+    They connect all such nodes: those of one fingerprint to the smallest of them, and these as in links_between.
+    """
+    total = nodes.count()
+    distinct = materialise(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")))
+    alone = join_unique(nodes, distinct, "fp", total).filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    u, v = (distinct.select(F.col("fp").alias(x), F.col("first").alias(f"{x}_node")) for x in "uv")
+    across = links_between(distinct).join(u, "u").join(v, "v")
+    return alone.union(across.select(F.greatest("u_node", "v_node"), F.least("u_node", "v_node")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Every row of docs (doc_id, text) with its component: doc_id, fingerprint, component_id, component_size (rows).
 
@@ -174,14 +187,14 @@ def drop_near_copies(docs: DataFrame, words: int = SHINGLE, similarity: float |
     """The rows of docs that stay, with all their columns: one document, of the smallest doc_id, for each component.
 
     Documents link by their fingerprints of three words, or, where a similarity is given, if that of their sets of
-    shingles of so many words is as high. Each row goes by its own component, also where rows without a doc_id or of
+    shingles of so many words is as high: pairs by fingerprints are verified first, then the rest by other keys. Each row goes by its own component, also where rows without a doc_id or of
     the same doc_id are in others. Rows without a doc_id stay where their component has no row with one. Rows that
     repeat a doc_id in one component stay or go together: exact deduplication comes first.
     """
     if similarity is None:
         own = _components(materialise(fingerprints(docs, digests=True)))
     else:
-        own = alike_groups(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest"), F.col("text").cast("string").alias("text")), words, similarity)
+        own = alike_groups(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest"), F.col("text").cast("string").alias("text")), words, similarity, fingerprint, fingerprint_pairs)
     gone = materialise(own.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("doc_id").alias("id"), "digest", F.xxhash64("doc_id", "digest").alias("key")).distinct())
     # Most rows stay where they are: only those that may be gone are compared.
     may_be_gone = may_hold(key_filter(gone), docs.sparkSession)
