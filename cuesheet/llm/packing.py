@@ -37,6 +37,8 @@ GROUP = 64
 #: The id after each document.
 END = 1
 END_BYTES = END.to_bytes(4, "little")
+#: Pieces of a batch that is handed on, and ids where these are: both sides hold batches whole.
+BATCH_PIECES, BATCH_IDS = 10_000, 1 << 18
 #: Words whose ids a Python worker remembers.
 REMEMBERED = 100_000
 
@@ -226,14 +228,16 @@ def _packed(docs: DataFrame, path: str, capacity: int, schema: str, with_ids: bo
 
         base = TaskContext.get().partitionId() << 33
         rows: list[tuple] = []
+        held = 0
         for k, sequence in enumerate(pack(documents(), capacity)):
             offset = 0
             for doc, start, ids, total in sequence:
                 rows.append((doc, start, len(ids), zlib.crc32(ids.tobytes()), total, base + k, offset, *([ids] if with_ids else [])))
                 offset += len(ids)
-            if len(rows) > 10_000:
+            held += offset * with_ids
+            if len(rows) > BATCH_PIECES or held > BATCH_IDS:
                 yield _rows(rows, with_ids)
-                rows = []
+                rows, held = [], 0
         yield _rows(rows, with_ids)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

@@ -9,13 +9,14 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_cases import COLUMNS, odd_rows, sentence
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cuesheet.llm import exact_dedup, langid, near_copies, secrets, simhash
+from cuesheet.llm import exact_dedup, langid, near_copies, packing, secrets, simhash
 from cuesheet.llm.queries import ORACLE_SQL, QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
@@ -99,6 +100,80 @@ def test_repeated_keys(spark, monkeypatch):
     assert {(x % 2**64) >> 16 for x, n in counts.items() if n > 1} <= got == {(x % 2**64) >> 16 for x, n in twice.items() if n > 1}
 
 
+def test_near_copies_by_fingerprint_are_found_without_prefixes(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "_rows", lambda prefixes, repeated: prefixes.limit(0).select(F.col("node").alias("key"), "node", "size", F.lit(0).alias("at")))
+    rng = random.Random(5)
+    rows = []
+    for _ in range(8):
+        base = sentence(rng, 900).split()
+        for k in range(4):
+            own = list(base)
+            if k:
+                own[rng.randrange(900)] = f"new{k}"
+            rows.append((len(rows), " ".join(own)))
+    # Few words often: one fingerprint, other shingles.
+    rows += [(len(rows), "a b c " * 40 + "d"), (len(rows) + 1, "a b c " * 40 + "d e f g h i")]
+    fps = [simhash.fingerprint(x.encode()) for _, x in rows]
+    sets = [{tuple(x.split()[i : i + 5]) for i in range(len(x.split()) - 4)} for _, x in rows]
+    near = [[j for j in range(len(rows)) if (fps[i] ^ fps[j]).bit_count() <= 2] for i in range(len(rows))]
+    assert any(5 * len(sets[i] & sets[j]) < 4 * len(sets[i] | sets[j]) for i in range(len(rows)) for j in near[i])
+    seen, want = set(), []
+    for i in range(len(rows)):
+        if i not in seen:
+            want.append(i)
+            todo = [i]
+            while todo:
+                x = todo.pop()
+                if x not in seen:
+                    seen.add(x)
+                    todo += [j for j in near[x] if 5 * len(sets[x] & sets[j]) >= 4 * len(sets[x] | sets[j])]
+    assert len(want) < len(rows) - 8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(x["doc_id"] for x in corpus_pipeline.near_copies(spark, docs, "").collect()) == want
+
+
+def test_fingerprint_pairs_connect_what_two_bits_do(spark):
+    rng = random.Random(6)
+    fps = [rng.getrandbits(64) for _ in range(40)]
+    fps += [x ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for x in fps[:20]] + fps[10:25]
+    nodes = [(k * 1001 - 30_000, int(np.uint64(x).astype(np.int64))) for k, x in enumerate(fps)]
+    pairs = {tuple(x) for x in simhash.fingerprint_pairs(spark.createDataFrame(nodes, "node long, fp long")).collect()}
+    by = dict(zip((x for x, _ in nodes), fps))
+    assert all(u > v and (by[u] ^ by[v]).bit_count() <= 2 for u, v in pairs)
+
+    def groups(links):
+        root = {x: x for x in by}
+        for _ in by:
+            for u, v in links:
+                root[u] = root[v] = min(root[u], root[v])
+        return root
+
+    assert groups(pairs) == groups([(a, b) for a in by for b in by if (by[a] ^ by[b]).bit_count() <= 2])
+
+
+def test_ids_are_handed_on_in_small_batches(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(packing, "BATCH_IDS", 5000)
+    monkeypatch.setattr(packing, "_rows", lambda rows, with_ids, own=packing._rows: sizes.append(sum(len(x[7]) for x in rows)) or own(rows, with_ids))
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(7)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(60), pa.int64()), "text": [sentence(rng, 800) for _ in range(60)]})
+
+    class Docs:
+        sparkSession = spark
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return pa.Table.from_batches(list(run(iter([batch]))))
+
+    out = packing.packed_ids(Docs(), path)
+    assert sum(sizes) == sum(out["length"].to_pylist()) > 40_000 and max(sizes) <= 5000 + packing.CAPACITY
+    assert out["ids"].combine_chunks().value_lengths().to_pylist() == out["length"].to_pylist()
+
+
 @pytest.mark.parametrize("apart", [32, 2])
 def test_near_copies_are_dropped_as_by_brute_force(spark, monkeypatch, apart):
     monkeypatch.setattr(near_copies, "APART", apart)
