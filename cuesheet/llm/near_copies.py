@@ -11,6 +11,9 @@ such a shingle each document is first compared with one of them, the hub. Then t
 that came of it are compared with all others there. Pairs of one component need no link, so this is exact, and a large
 group of copies takes a row a document. Shingles at which many documents stay apart go to the end of the order, and
 prefixes are taken anew: any order that is the same for all documents is right, so a filter says which these are.
+
+Documents that share a passage meet at each of its shingles, but need to be compared at the first that both have only.
+So each carries the last few shingles before the one it meets others at, and two with one of these in common don't meet.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import KeyFilter, clean_up, join_unique, key_filter, mark, materialise, may_hold, release, slices, utf8
@@ -32,8 +35,10 @@ SEED = 42
 #: Documents that common shingles are first learned from, about; how often they have one; how many are sent out at most.
 SAMPLED, COMMON, MOST_COMMON = 10_000, 5, 100_000
 #: Documents that stay apart at a shingle from which it goes to the end of the order, how often prefixes are taken, and
-#: from how many pairs for each row a further time pays.
-APART, ROUNDS, MANY_PAIRS = 32, 3, 4
+#: from how many pairs for each hash of a prefix a further time pays.
+APART, ROUNDS, MANY_PAIRS = 32, 3, 0.5
+#: Shingles before the one at which documents meet that each carries there.
+BEFORE = 16
 #: Hashes of a shard, about, in which tasks' packed hashes meet, and the bits of a hash that are packed.
 SHARD, PACKED_BITS = 1 << 19, 48
 
@@ -260,6 +265,23 @@ def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, words: int
     return out
 
 
+def first_meetings(placed: DataFrame, apart: DataFrame, fits: Callable[[str, str], str]) -> DataFrame:
+    """u, v, seldom more than once each: nodes in different components that fit at the first key that both have.
+
+    placed: key, node, size, at, hub, root, a row for each node and key; apart: key, all (rows of the key), top, for keys
+    at which nodes stay outside top.root. Of two such nodes, or one of them and another, neither is the key's hub. Of the
+    keys that two nodes have in common only the first counts: keys whose BEFORE ones before, of those in apart, have one
+    in common come later.
+    """
+    own = join_unique(placed, apart.select("key", "all", "top"), "key", placed.count(), n="all")
+    last = Window.partitionBy("node").orderBy("at").rowsBetween(-BEFORE, -1)
+    own = own.withColumn("before", F.collect_list("key").over(last)).filter("node <> hub.node")
+    own = materialise(own.selectExpr("key", "node", "size", "at", "root", "before", "root <> top.root as outside"))
+    once = "(a.node > b.node or not b.outside) and not arrays_overlap(a.before, b.before)"
+    met = own.filter("outside").alias("a").join(own.alias("b"), "key").filter(f"a.root <> b.root and {fits('a', 'b')} and {once}")
+    return met.selectExpr("greatest(a.node, b.node) as u", "least(a.node, b.node) as v")
+
+
 def signed_links(prefixes: DataFrame, docs: DataFrame, words: int, similarity: float, candidates: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """node, root of the components of what candidates finds among nodes (node, fp): pairs (u, v) of which those count that are as similar."""
     spark = docs.sparkSession
@@ -311,18 +333,15 @@ def alike_groups(docs: DataFrame, words: int, similarity: float, sign: Callable[
         placed = materialise(met.join(roots, "node", "left").select("key", "node", "size", "at", "hub", F.coalesce("root", "node").alias("root")))
         counted = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"))
         counted = materialise(counted)
-        rest = materialise(join_unique(placed, counted, "key", placed.count()).filter("root <> top.root and node <> hub.node").drop("top"))
-        if k + 1 == ROUNDS:
-            break
-        apart = materialise(rest.groupBy("key").agg(F.count("*").alias("n")).join(counted.select("key", F.col("n").alias("all")), "key"))
-        if (apart.agg(F.sum(F.col("n") * F.col("all"))).first()[0] or 0) <= MANY_PAIRS * hashes:
+        rest = join_unique(placed, counted, "key", placed.count()).filter("root <> top.root and node <> hub.node")
+        apart = materialise(rest.groupBy("key").agg(F.count("*").alias("n")).join(counted.select("key", F.col("n").alias("all"), "top"), "key"))
+        if k + 1 == ROUNDS or (apart.agg(F.sum(F.col("n") * F.col("all"))).first()[0] or 0) <= MANY_PAIRS * hashes:
             break
         late.append(key_filter(materialise(apart.filter(F.col("n") > APART).select("key"))))
         # Of this round only its links are read again.
         links = materialise(links)
         clean_up(spark, began, mark(spark) - 1)
-    pairs = rest.alias("a").join(placed.alias("b"), "key").filter(f"a.root <> b.root and b.node <> b.hub.node and {fits('a', 'b')}")
-    links = links.union(_verified(pairs.selectExpr("greatest(a.node, b.node) as u", "least(a.node, b.node) as v"), prefixes, docs, words, similarity))
+    links = links.union(_verified(first_meetings(placed, apart, fits), prefixes, docs, words, similarity))
     release(spark)
     roots = connected_components(links)
     nodes = materialise(prefixes.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))

@@ -205,6 +205,39 @@ def test_near_copies_are_dropped_as_by_brute_force(spark, monkeypatch, apart):
     assert 12 < len(want) < 60 and sorted(got) == want
 
 
+def test_near_copies_with_a_passage_in_common_are_compared_once(spark, monkeypatch):
+    compared, verified = [], near_copies._verified
+
+    def counted(pairs, *more):
+        compared.append((pairs.count(), pairs.distinct().count()))
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(near_copies, "_verified", counted)
+    rng = random.Random(5)
+    rows = []
+    for _ in range(15):
+        passage = sentence(rng, 40)
+        rows += [(len(rows) + k, f"{sentence(rng, 20)} {passage} {sentence(rng, 20)}") for k in range(4)]
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in rows], COLUMNS)
+    assert corpus_pipeline.near_copies(spark, docs, "").count() == len(rows)
+    pairs, distinct = compared[-1]
+    assert pairs == distinct > 20
+
+
+def test_secrets_are_masked_with_one_python_worker_a_task(spark, monkeypatch):
+    rows = [(k, f"text {k}" + " token=abcdefgh12345678" * (k % 2), "en", "s", 0) for k in range(20)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    monkeypatch.setattr(type(spark), "createDataFrame", None)  # an empty table made of a Python list starts workers of another kind
+    out = secrets.redact_secrets(docs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    masks = [k for k, x in enumerate(plan) if "ArrowEvalPython" in x and "masked" in x]
+    assert masks
+    for k in masks:
+        below = [x for x in plan[k + 1 :]]
+        assert next(x for x in below if "RebalancePartitions" in x or "ArrowEvalPython" in x and "probe" in x).find("RebalancePartitions") >= 0
+    assert {x["text"] for x in out.collect()} == {f"text {k}" + " <SECRET>" * (k % 2) for k in range(20)}
+
+
 ENGLISH = "the of and to in that is was for with on are this be which have from not they".split()
 GERMAN = "der die und den von zu das mit sich des auf für ist im dem nicht ein eine als".split()
 
