@@ -7,10 +7,13 @@ Two sets of similarity s or more share a shingle among the first n - ceil(s n) +
 shingles of their prefixes, and each pair is verified by its whole sets.
 
 Only shingles that several prefixes have are kept; they are found by their hashes, sorted and packed by each task. At
-such a shingle each document is first compared with one of them, the hub. Then those outside the largest component
-that came of it are compared with all others there. Pairs of one component need no link, so this is exact, and a large
-group of copies takes a row a document. Shingles at which many documents stay apart go to the end of the order, and
-prefixes are taken anew: any order that is the same for all documents is right, so a filter says which these are.
+such a shingle each document is first compared with one of them, the hub. A hub that is itself much edited is unlike
+many of a large group of near copies; where many stay apart, each document is compared with a few that have most of
+such shingles, in rounds. Then those outside the largest component that came of it are compared with all others there.
+Pairs of one component need no link, so this is exact, and a large group of copies takes a few rows a document. Shingles
+at which many documents stay apart, and all others of a document that has the most of these, go to the end of the order,
+and prefixes are taken anew: a group's text or a common passage is then last as a whole, and documents of which too much
+else is their own don't meet. Any order that is the same for all documents is right, so a filter says which these are.
 
 Documents that share a passage meet at each of its shingles, but need to be compared at the first that both have only.
 So each carries the last few shingles before the one it meets others at, and two with one of these in common don't meet.
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,6 +41,9 @@ SAMPLED, COMMON, MOST_COMMON = 10_000, 5, 100_000
 #: Documents that stay apart at a shingle from which it goes to the end of the order, how often prefixes are taken, and
 #: from how many pairs for each hash of a prefix a further time pays.
 APART, ROUNDS, MANY_PAIRS = 32, 3, 4
+#: Classes of nodes that each give a shingle a hub in a round, rounds of such hubs at most, and from how many pairs for
+#: each row of a prefix, at shingles where more than APART stay apart, a round pays.
+HUBS, HUB_ROUNDS, CROWDED = 4, 2, 1
 #: Shingles before the one at which documents meet that each carries there.
 BEFORE = 16
 #: Hashes of a shard, about, in which tasks' packed hashes meet, and the bits of a hash that are packed.
@@ -210,6 +217,22 @@ def _rows(prefixes: DataFrame, repeated: KeyFilter) -> DataFrame:
     return prefixes.select("node", "size", "keys").mapInArrow(pick, "key long, node long, size int, at int").distinct()
 
 
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """node, hashes of the rows of docs that wanted (row) has, and of few others."""
+    made = key_filter(wanted, "row")
+    asked = docs.sparkSession.sparkContext.broadcast((made.words, made.places))
+
+    # The filter is asked by the function that reads: a filter of its own would have a second Python worker in each task.
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = KeyFilter(*asked.value)
+        for batch in slices(batches):
+            batch = batch.filter(pa.array(own.may_hold(batch.column("row").to_numpy(zero_copy_only=False))))
+            sets = [shingle_hashes(x, words) for x in utf8(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in sets], pa.int64()), _lists(sets)], ["node", "hashes"])
+
+    return docs.select(F.xxhash64("doc_id", "digest").alias("row"), "text").mapInArrow(read, "node long, hashes array<long>")
+
+
 def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs (u, v) of nodes that are as similar as asked.
 
@@ -234,19 +257,7 @@ def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, words: int
     pairs = materialise(met.filter(possible("a", "b")).select("u", "v"))
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
     wanted = materialise(known.select("node", "row").join(nodes, "node", "left_semi"))
-    made = key_filter(wanted, "row")
-    asked = spark.sparkContext.broadcast((made.words, made.places))
-
-    # The filter is asked by the function that reads: a filter of its own would have a second Python worker in each task.
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = KeyFilter(*asked.value)
-        for batch in slices(batches):
-            batch = batch.filter(pa.array(own.may_hold(batch.column("row").to_numpy(zero_copy_only=False))))
-            sets = [shingle_hashes(x, words) for x in utf8(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in sets], pa.int64()), _lists(sets)], ["node", "hashes"])
-
-    sets = docs.select(F.xxhash64("doc_id", "digest").alias("row"), "text").mapInArrow(read, "node long, hashes array<long>")
-    bodies = materialise(sets)
+    bodies = materialise(_sets(docs, wanted, words))
     # Rows that repeat a doc_id and a text are read all; few others that no pair needs are too.
     n, distinct = bodies.join(wanted.select("node"), "node", "left_semi").agg(F.count("*"), F.count_distinct("node")).first()
     if n > distinct:
@@ -265,6 +276,37 @@ def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, words: int
     return out
 
 
+def _crowded_rows(placed: DataFrame, crowded: DataFrame) -> DataFrame:
+    """key, node, size, at, root of the rows of placed at the keys of crowded (key, all: rows of the key), and known: how many of these keys the node has."""
+    rows = placed.select("key", "node", "size", "at", "root")
+    own = materialise(join_unique(rows, crowded.select("key", "all"), "key", placed.count(), n="all"))
+    return materialise(own.join(own.groupBy("node").agg(F.count("*").alias("known")), "node"))
+
+
+def hub_pairs(known: DataFrame, crowded: DataFrame, used: DataFrame | None, fits: Callable[[str, str], str]) -> DataFrame:
+    """u, v: for each node HUBS nodes at most of other components that it meets at the keys of crowded and fits there.
+
+    known: as _crowded_rows gives it. v is a hub: of each class of nodes the one with the most of these keys of those that
+    a key has, and among these of the fewest shingles before, as what is little edited is like the most of a group. No node
+    of used is one.
+    """
+    free = known if used is None else known.join(used, "node", "left_anti")
+    of_class = F.pmod(F.xxhash64("node"), F.lit(HUBS))
+    hubs = free.groupBy("key").agg(*[F.max(F.when(of_class == i, F.struct("known", (-F.col("at") / F.col("size")).alias("early"), "node", "size", "at", "root"))).alias(f"hub{i}") for i in range(HUBS)])
+    met = join_unique(known, materialise(hubs.join(crowded.select("key", "all"), "key")), "key", known.count(), n="all")
+    fit = [fits("known", f"hub{i}").replace("known.", "") for i in range(HUBS)]
+    best = materialise(met.groupBy("node").agg(*[F.max(F.when(F.expr(f"root <> hub{i}.root and {fit[i]}"), F.col(f"hub{i}"))).alias(f"hub{i}") for i in range(HUBS)]))
+    pairs = [best.filter(f"hub{i} is not null").selectExpr("node as u", f"hub{i}.node as v") for i in range(HUBS)]
+    return reduce(DataFrame.union, pairs)
+
+
+def whole_texts(known: DataFrame, prefixes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """key: all shingles of the nodes with the most keys of those that each key of known has, and few others."""
+    nodes = known.groupBy("key").agg(F.max(F.struct("known", -F.col("at") / F.col("size"), "node")).alias("hub")).select("hub.node").distinct()
+    wanted = prefixes.join(materialise(nodes), "node", "left_semi").groupBy("node").agg(F.min(F.xxhash64("doc_id", "digest")).alias("row"))
+    return _sets(docs, materialise(wanted), words).select(F.explode("hashes").alias("key")).distinct()
+
+
 def first_meetings(placed: DataFrame, apart: DataFrame, fits: Callable[[str, str], str]) -> DataFrame:
     """u, v, seldom more than once each: nodes in different components that fit at the first key that both have.
 
@@ -307,6 +349,8 @@ def alike_groups(docs: DataFrame, words: int, similarity: float, sign: Callable[
     alike = f"least({{0}}.size, {{1}}.size) >= {similarity} * greatest({{0}}.size, {{1}}.size) - 1e-9"
     enough = f"least({{0}}.size - {{0}}.at, {{1}}.size - {{1}}.at) >= {similarity / (1 + similarity)} * ({{0}}.size + {{1}}.size) - 1e-6"
     fits = lambda a, b: f"{alike} and {enough}".format(a, b)
+    # What a node needs to fit any other of its key, whose smallest size is least.
+    room = f"size - at >= {similarity / (1 + similarity)} * (size + greatest(least, {similarity} * size)) - 1e-6"
     for k in range(ROUNDS):
         began = mark(spark)
         prefixes = materialise(_prefixes(docs, words, similarity, late, None if k else sign))
@@ -327,17 +371,36 @@ def alike_groups(docs: DataFrame, words: int, similarity: float, sign: Callable[
             stars = known.filter("coalesce(u_root, u) <> coalesce(v_root, v)").select("u", "v")
         found = _verified(stars, prefixes, docs, words, similarity)
         links = found if links is None else links.union(found)
-        release(spark)
-        roots = materialise(connected_components(links))
-        links = roots.filter("node <> root").selectExpr("node as u", "root as v")
-        placed = materialise(met.join(roots, "node", "left").select("key", "node", "size", "at", "hub", F.coalesce("root", "node").alias("root")))
-        counted = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"))
-        counted = materialise(counted)
-        rest = join_unique(placed, counted, "key", placed.count()).filter("root <> top.root and node <> hub.node")
-        apart = materialise(rest.groupBy("key").agg(F.count("*").alias("n")).join(counted.select("key", F.col("n").alias("all"), "top"), "key"))
-        if k + 1 == ROUNDS or (apart.agg(F.sum(F.col("n") * F.col("all"))).first()[0] or 0) <= MANY_PAIRS * hashes:
+        used = None
+        for j in range(HUB_ROUNDS + 1):
+            release(spark)
+            start = mark(spark)
+            roots = materialise(connected_components(links))
+            links = roots.filter("node <> root").selectExpr("node as u", "root as v")
+            if j:
+                clean_up(spark, before, until)
+            placed = materialise(met.join(roots, "node", "left").select("key", "node", "size", "at", "hub", F.coalesce("root", "node").alias("root")))
+            counted = placed.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("size").alias("least")).groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"), F.min("least").alias("least"))
+            counted = materialise(counted)
+            rest = join_unique(placed, counted, "key", placed.count()).filter(f"root <> top.root and node <> hub.node and {room}")
+            apart = materialise(rest.groupBy("key").agg(F.count("*").alias("n")).join(counted.select("key", F.col("n").alias("all"), "top"), "key"))
+            crowded = apart.filter(F.col("n") > APART)
+            many = (crowded.agg(F.sum(F.col("n") * F.col("all"))).first()[0] or 0) > CROWDED * placed.count()
+            if j == HUB_ROUNDS or not many:
+                break
+            pairs = materialise(hub_pairs(_crowded_rows(placed, crowded), crowded, used, fits))
+            found = _verified(pairs, prefixes, docs, words, similarity)
+            if found.isEmpty():
+                break
+            # Of this round only its links and hubs are read again.
+            before, until = start, mark(spark)
+            tried = pairs.select(F.col("v").alias("node")).distinct()
+            used = materialise(tried if used is None else used.union(tried).distinct())
+            links = links.union(found)
+        if k + 1 == ROUNDS or not many and (apart.agg(F.sum(F.col("n") * F.col("all"))).first()[0] or 0) <= MANY_PAIRS * hashes:
             break
-        late.append(key_filter(materialise(apart.filter(F.col("n") > APART).select("key"))))
+        later = whole_texts(_crowded_rows(placed, crowded), prefixes, docs, words).union(crowded.select("key"))
+        late.append(key_filter(materialise(later.distinct())))
         # Of this round only its links are read again.
         links = materialise(links)
         clean_up(spark, began, mark(spark) - 1)
