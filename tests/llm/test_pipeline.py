@@ -224,6 +224,24 @@ def test_near_copies_with_a_passage_in_common_are_compared_once(spark, monkeypat
     assert pairs == distinct > 20
 
 
+def test_a_large_group_is_compared_with_its_least_edited_nodes(spark):
+    # Nodes 0 to 9 have no shingle of their own before the group's, others have more; each is its own component.
+    rows = [(key, node, 100, key + (node >= 10) * (1 + node % 7), node) for node in range(300) for key in range(3)]
+    placed = spark.createDataFrame(rows, "key long, node long, size int, at int, root long")
+    crowded = spark.createDataFrame([(key, 300) for key in range(3)], "key long, all long")
+    fits = lambda a, b: f"least({a}.size, {b}.size) > 0"
+    used = None
+    for _ in range(2):
+        pairs = near_copies.hub_pairs(near_copies._crowded_rows(placed, crowded), crowded, used, fits).collect()
+        hubs = {x["v"] for x in pairs}
+        assert len(hubs) <= near_copies.HUBS and len(pairs) <= near_copies.HUBS * 300 and {x["u"] for x in pairs} == set(range(300))
+        if used is None:
+            assert any(x < 10 for x in hubs) and all(x["u"] != x["v"] for x in pairs)
+        else:
+            assert not hubs & first
+        first, used = hubs, spark.createDataFrame([(x,) for x in hubs], "node long")
+
+
 def test_secrets_are_masked_with_one_python_worker_a_task(spark, monkeypatch):
     rows = [(k, f"text {k}" + " token=abcdefgh12345678" * (k % 2), "en", "s", 0) for k in range(20)]
     docs = spark.createDataFrame(rows, COLUMNS)
