@@ -106,13 +106,16 @@ class KeyFilter:
         return ((self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)
 
 
-def key_filter(keys: DataFrame, key: str = "key") -> KeyFilter:
-    """The filter of a column of longs without nulls. Only its bits, which are bounded, come to the driver."""
+def key_filter(keys: DataFrame, key: str = "key", most_places: int = 4) -> KeyFilter:
+    """The filter of a column of longs without nulls. Only its bits, which are bounded, come to the driver.
+
+    most_places: bits of a key at most. Fewer are made faster and let more other keys through: of 1 a tenth at 10 bits a key.
+    """
     n = keys.count()
     bits = 1 << 12
     while bits < min(MAX_FILTER_BITS, BITS_PER_KEY * n):
         bits *= 2
-    places = max(1, min(4, round(0.69 * bits / max(n, 1))))
+    places = max(1, min(most_places, round(0.69 * bits / max(n, 1))))
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -67,7 +67,7 @@ def _stars(links: DataFrame, total: int) -> DataFrame:
 def connected_components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     """links (u, v), longs, in either direction; repeats and loops are allowed. Returns node, root (its smallest reachable node).
 
-    A round writes two tables and deletes those before. Nulls and an empty table give no rows.
+    A round writes two tables and deletes those before; fewer than BLOCK links are left to one task. Nulls and an empty table give no rows.
     """
     spark = links.sparkSession
     began = mark(spark)
@@ -77,6 +77,11 @@ def connected_components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
         n, distinct = now.agg(F.count("*"), F.count_distinct("u")).first()
         if n == distinct and now.select(F.col("v").alias("u")).distinct().join(now.select("u"), "u", "left_semi").isEmpty():
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", "v").distinct())
+        if n < BLOCK:
+            # Few links, however many rows the caller has: one block contracts them to stars.
+            now = materialise(_contracted(now.coalesce(1)))
+            clean_up(spark, began, mark(spark) - 1)
+            continue
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = materialise(_stars(both, 2 * n).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         small = _stars(large, n)

@@ -100,6 +100,48 @@ def test_repeated_keys(spark, monkeypatch):
     assert {(x % 2**64) >> 16 for x, n in counts.items() if n > 1} <= got == {(x % 2**64) >> 16 for x, n in twice.items() if n > 1}
 
 
+def test_words_have_one_hash_wherever_they_are(monkeypatch):
+    monkeypatch.setattr(near_copies, "PIECE", 50)
+    rng, seen = random.Random(8), {}
+    for _ in range(500):
+        own = [bytes(rng.choice(b"abAB\x00\xc3") for _ in range(rng.choice([1, 2, 3, 31, 32, 33, 70]))) for _ in range(rng.randrange(12))]
+        text = b"".join(rng.choice([b" ", b"\n", b"  ", b"\t\x0b", b"\r\x0c"]) + x for x in own) + rng.choice([b"", b" "])
+        hashes = near_copies.word_hashes(text).tolist()
+        assert len(hashes) == len(own)
+        for word, got in zip(text.lower().split(), hashes):
+            assert seen.setdefault(word, got) == got
+    assert len(set(seen.values())) == len(seen) > 1000
+    sets = [near_copies.shingle_hashes(x, 2) for x in (b"a b c a b", b" A\nb  c a b ", b"a b c a", b"b a c", b"", b"  ")]
+    assert [len(x) for x in sets] == [3, 3, 3, 2, 1, 1] and all(sets[0].tolist() == x.tolist() for x in sets[1:3]) and sets[4] == sets[5]
+    assert not set(sets[0].tolist()) & set(sets[3].tolist())
+
+
+def test_documents_with_too_much_of_their_own_are_left_out(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "MANY_DOCS", 0)
+    read, prefixes = [], near_copies._prefixes
+    monkeypatch.setattr(near_copies, "_prefixes", lambda docs, *more: read.append(docs.count()) or prefixes(docs, *more))
+    rng = random.Random(9)
+    passage = sentence(rng, 40)
+    rows = [(k, f"{sentence(rng, 60)} {passage} {sentence(rng, 60)}") for k in range(40)]
+    sets = lambda: [{tuple(x.lower().split()[i : i + 5]) for i in range(max(1, len(x.split()) - 4))} for _, x in rows]
+    for k in range(10):
+        own = rows[k][1].split()
+        for at in rng.sample(range(160), k):
+            own[at] = f"new{rng.randrange(10**6)}"
+        rows.append((len(rows), " ".join(own)))
+    rows += [(len(rows) + k, x) for k, x in enumerate(["", "  ", "one two", "one  Two"])]
+    linked = [[j for j, b in enumerate(sets()) if 5 * len(a & b) >= 4 * len(a | b)] for a in sets()]
+    root = list(range(len(rows)))
+    for _ in rows:
+        root = [min(root[j] for j in own) for own in linked]
+    want = sorted(set(root))
+    rows.append((None, sentence(rng, 30)))
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in rows], COLUMNS).repartition(3)
+    got = sorted(corpus_pipeline.near_copies(spark, docs, "").collect(), key=lambda x: (x["doc_id"] is None, x["doc_id"]))
+    assert [x["doc_id"] for x in got] == [*want, None] and 40 < len(want) < 50
+    assert read[0] < 35
+
+
 def test_near_copies_by_fingerprint_are_found_without_prefixes(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "_rows", lambda prefixes, repeated: prefixes.limit(0).select(F.col("node").alias("key"), "node", "size", F.lit(0).alias("at")))
     rng = random.Random(5)
