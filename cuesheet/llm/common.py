@@ -123,12 +123,48 @@ def key_filter(keys: DataFrame, key: str = "key", most_places: int = 4) -> KeyFi
             masks = np.left_shift(np.uint64(1), at & np.uint64(63)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(masks)], ["word", "mask"])
 
-    rows = keys.select(key).mapInArrow(marks, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
     words = np.zeros(bits // 64, dtype=np.int64)
-    words[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64)
+    if len(words) > CHUNK:
+        chunks = keys.select(key).mapInArrow(lambda x: _marked(x, bits, places), "chunk long, at binary").groupBy("chunk").applyInPandas(_put_together, "chunk long, words binary")
+        for chunk, data in chunks.toPandas().itertuples(index=False):
+            words[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(data, dtype=np.int64)
+    else:
+        rows = keys.select(key).mapInArrow(marks, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+        words[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64)
     return KeyFilter(words.view(np.uint64), places)
 
 
+#: Words of a filter that are put together by one task and come to the driver as one value, and keys of a task marked at a time.
+CHUNK, MARKED = 1 << 13, 1 << 18
+
+
+def _marked(batches: Iterator[pa.RecordBatch], bits: int, places: int) -> Iterator[pa.RecordBatch]:
+    """chunk, at: the places of a filter's bits in each of its chunks, of MARKED keys at a time or more, each once."""
+
+    def end() -> pa.RecordBatch:
+        at = np.unique(KeyFilter.at(np.concatenate([np.empty(0, np.int64), *held]), bits, places).ravel())
+        chunk = (at >> np.uint64(6)) // np.uint64(CHUNK)
+        starts = np.flatnonzero(np.diff(chunk, prepend=chunk[:1] + np.uint64(1)))
+        own = np.split((at % np.uint64(64 * CHUNK)).astype(np.uint32), starts[1:])
+        return pa.RecordBatch.from_arrays([pa.array(chunk[starts].astype(np.int64)), pa.array([x.tobytes() for x in own[: len(starts)]], pa.binary())], ["chunk", "at"])
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch.column(0).to_numpy(zero_copy_only=False))
+        n += len(held[-1])
+        if n >= MARKED:
+            yield end()
+            held, n = [], 0
+    yield end()
+
+
+def _put_together(group: pd.DataFrame) -> pd.DataFrame:
+    own = np.zeros(64 * CHUNK, dtype=bool)
+    for data in group["at"]:
+        own[np.frombuffer(data, dtype=np.uint32)] = True
+    return pd.DataFrame({"chunk": group["chunk"].iloc[:1], "words": [np.packbits(own, bitorder="little").tobytes()]})
+
+
 def may_hold(made: KeyFilter, spark: SparkSession) -> Callable[[Column], Column]:
     """made as a function of a column of longs; only these go to Python, whatever else a row holds."""
     shared = spark.sparkContext.broadcast((made.words, made.places))

@@ -299,3 +299,15 @@ def test_written_tables_are_deleted(spark):
     assert common.clean_up(spark, began) == 1 and common.clean_up(spark, began) == 0
     with pytest.raises(Exception, match="(?i)not.*exist|path"):
         spark.read.parquet(a.inputFiles()[0]).count()
+
+
+@pytest.mark.parametrize("places", [1, 4])
+def test_large_filters_are_put_together_by_chunks(spark, places):
+    table = spark.range(60_000).select(F.xxhash64("id").alias("key")).repartition(3)
+    made = common.key_filter(table, most_places=places)
+    assert len(made.words) == 2 * common.CHUNK and made.places == places
+    keys = np.array([x["key"] for x in table.collect()], dtype=np.int64)
+    at = common.KeyFilter.at(keys, 64 * len(made.words), places).ravel()
+    want = np.zeros(len(made.words), dtype=np.uint64)
+    np.bitwise_or.at(want, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    assert (made.words == want).all() and made.may_hold(keys).all()
