@@ -14,7 +14,7 @@ from ..functions.numbers import round_to
 from ..names import fresh
 from ..scratch import scratch_root
 from .blocks import placed
-from .scan import keep_spaced
+from .scan import are_short, keep_spaced
 
 #: Distance from a recording's end at which its last frame is wanted.
 END_OFFSET = 0.5
@@ -47,9 +47,11 @@ def systematic_sample(df: DataFrame, most: int = 5, key: str = "video_id", ts: s
     return numbered.filter((i % step == 0) & (i / step < most)).select(*df.columns)
 
 
-def merge_entries(df: DataFrame, epsilon: float = 0.2) -> DataFrame:
-    """Frames more than epsilon apart, numbered from 1 by original_index."""
-    kept = keep_spaced(df, epsilon)
+def merge_entries(df: DataFrame, epsilon: float = 0.2, short: bool = False) -> DataFrame:
+    """Frames more than epsilon apart, numbered from 1 by original_index. short: as in keep_spaced."""
+    kept = keep_spaced(df, epsilon, short=short)
+    if short:
+        return kept.withColumn("original_index", F.row_number().over(Window.partitionBy("video_id").orderBy("timestamp", "seq")).cast("long"))
     return _in_order(kept.drop("original_index"), "video_id", "timestamp", "seq", "original_index")
 
 
@@ -79,11 +81,11 @@ def required_anchors(frames: DataFrame, videos: DataFrame, epsilon: float = 0.2)
     return missing.select("video_id", round_to(F.col("anchor"), 3).alias("timestamp"))
 
 
-def gap_fill(frames: DataFrame, videos: DataFrame, max_gap: float = 15.0, epsilon: float = 0.2, ends: bool = True) -> DataFrame:
+def gap_fill(frames: DataFrame, videos: DataFrame, max_gap: float = 15.0, epsilon: float = 0.2, ends: bool = True, short: bool = False) -> DataFrame:
     """Points that leave no gap over max_gap between a recording's frames, its start and its end (if ends).
 
     After frames within epsilon are merged, a gap gets points each max_gap from its start on, as long as they are
-    before its end less epsilon. A recording without frames or ends gets 0.
+    before its end less epsilon. A recording without frames or ends gets 0. short: as in keep_spaced.
     """
     if max_gap <= 0:
         return videos.select("video_id", F.lit(0.0).alias("timestamp")).limit(0)
@@ -91,7 +93,7 @@ def gap_fill(frames: DataFrame, videos: DataFrame, max_gap: float = 15.0, epsilo
     if ends:
         virtual = F.array(F.lit(0.0), F.greatest(F.lit(0.0), F.col("duration") - END_OFFSET))
         points = points.unionByName(videos.filter("duration > 0").select("video_id", F.explode(virtual).alias("timestamp"), F.lit(2**62).alias("seq")))
-    kept = keep_spaced(points, epsilon)
+    kept = keep_spaced(points, epsilon, short=short)
     gaps = kept.withColumn("until", F.lead("timestamp").over(Window.partitionBy("video_id").orderBy("timestamp", "seq"))).filter(F.col("until") - F.col("timestamp") > max_gap)
     n = F.floor((F.col("until") - F.col("timestamp")) / max_gap).cast("long")
     filled = gaps.select("video_id", "until", "timestamp", F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("k")).withColumn("at", F.col("timestamp") + F.col("k") * max_gap)
@@ -116,16 +118,20 @@ def backfill(kept: DataFrame, videos: DataFrame, fetch, suppress, max_gap: float
 
     fetch(points) returns frames at points (video_id, timestamp); suppress(frames) marks near-duplicates in status.
     Each round merges the fetched frames in at epsilon and deduplicates again; frames that it drops are marked by
-    dropped_phase. Rounds stop when there is nothing to fill. Returns kept and dropped frames.
+    dropped_phase. Rounds stop when there is nothing to fill. Returns kept and dropped frames. What a round is given and
+    what it merges is worked out once, as both are read several times.
     """
     scratch_root(kept.sparkSession)
+    kept = kept.checkpoint()
     dropped = None
     for k in range(1, rounds + 1):
-        found = fetch(gap_fill(kept, videos, max_gap)).checkpoint()
+        short = are_short(kept)
+        found = fetch(gap_fill(kept, videos, max_gap, short=short)).checkpoint()
         if found.isEmpty():
             break
         own = [x for x in kept.columns if x in found.columns]
-        marked = suppress(merge_entries(union_frames(kept.select(own), found.select(own)), epsilon)).checkpoint()
+        merged = merge_entries(union_frames(kept.select(own), found.select(own)), epsilon, short).checkpoint()
+        marked = suppress(merged).checkpoint()
         kept = marked.filter("status = 'kept'").withColumn("dropped_phase", F.lit(None).cast("string"))
         lost = marked.filter("status = 'dropped'").withColumn("dropped_phase", F.lit(f"gap_backfill_round_{k}"))
         dropped = lost if dropped is None else dropped.unionByName(lost)

@@ -69,7 +69,7 @@ def numbered_as_read(rows: DataFrame, name: str) -> DataFrame:
     return own.join(F.broadcast(before), "__p").withColumn(name, F.col("__i") + F.col("__before")).drop("__p", "__i", "__before", "__id")
 
 
-def keep_spaced(df: DataFrame, epsilon: float = 0.2, key: str = "video_id", ts: str = "timestamp", seq: str = "seq", strict: bool = True, width: float | None = None) -> DataFrame:
+def keep_spaced(df: DataFrame, epsilon: float = 0.2, key: str = "video_id", ts: str = "timestamp", seq: str = "seq", strict: bool = True, width: float | None = None, short: bool = False) -> DataFrame:
     """Rows whose ts is more than epsilon after the last row kept of their key; the first row of a key stays.
 
     With strict False a distance of exactly epsilon is enough. Ties in ts go by seq. The last row kept is compared,
@@ -77,11 +77,11 @@ def keep_spaced(df: DataFrame, epsilon: float = 0.2, key: str = "video_id", ts:
 
     A block of width seconds maps the last time kept before it to the last one kept in it. These maps are small, are
     composed over a recording's blocks, and each block is then run from the time it gets: tasks are blocks, not recordings.
+    short: recordings are known to be so, and are scanned in one task each, in one shuffle. The result is the same.
     """
     (block,) = fresh(df.columns, "block")
     keep = fresh(df.columns, "keep")[0]
     rows = with_block(df, ts, width or max(600.0, 1000 * epsilon), block)
-    entries = last_kept_before(rows, key, block, ts, epsilon, strict)
 
     def step(state: list, row: dict):
         t, last = row[ts], state[0]
@@ -90,10 +90,19 @@ def keep_spaced(df: DataFrame, epsilon: float = 0.2, key: str = "video_id", ts:
             state[0] = t
         return (kept,)
 
+    if short:
+        marked = ordered_scan(rows, key, [ts, seq], [ts], lambda: [None], step, f"`{keep}` boolean")
+        return marked.filter(F.col(keep)).drop(keep, block)
+    entries = last_kept_before(rows, key, block, ts, epsilon, strict)
     marked = replay(rows, entries, key, block, [ts, seq], [ts], lambda entry: [None if entry is None else float(entry)], step, f"`{keep}` boolean")
     return marked.filter(F.col(keep)).drop(keep, block)
 
 
+def are_short(df: DataFrame, key: str = "video_id") -> bool:
+    """Whether no key has more than LONG rows."""
+    return (df.groupBy(key).count().agg(F.max("count")).first()[0] or 0) <= LONG
+
+
 #: What is decided of a frame.
 DECISION = "status string, duplicate_of string, hash_distance long, drop_blocked_reason string, candidate_delta_ratio double"
 
@@ -157,8 +166,7 @@ def suppress_near_duplicates(
     settle, step = suppression(time_gap, max_distance, transition_gap, transition_delta, delta if preserve_transitions else None)
     schema = DECISION
     order = ["timestamp", "seq"]
-    most = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    if most <= LONG:
+    if are_short(df, key):
         return ordered_scan(df, key, order, columns, list, step, schema)
     (block,) = fresh(df.columns, "block")
     rows = with_block(df, "timestamp", max(BLOCK, 10 * time_gap), block)

@@ -295,6 +295,35 @@ def test_backfill_leaves_no_large_gap(spark):
     assert values(out.filter("status = 'kept'"), "timestamp") == [0.0, 10.0, 20.0, 30.0]
 
 
+def test_backfill_works_out_what_it_is_given_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    given = hashes(spark, (0, 0), (30, 1)).withColumn("status", F.lit("kept"))
+    kept = given.mapInArrow(count, given.schema)
+    fetch = lambda p: p.select("video_id", F.lit(0).cast("long").alias("seq"), "timestamp", F.lit("new").alias("frame_path"), F.lit(0).cast("long").alias("hash_hi"), F.round(F.col("timestamp") * 1001).cast("long").alias("hash_lo"))
+    suppress = lambda x: scan.suppress_near_duplicates(x.drop("status"), 2.0, 0)
+    out = frames.backfill(kept, video(spark, 30.5), fetch, suppress, 10.0)
+    assert values(out.filter("status = 'kept'"), "timestamp") == [0.0, 10.0, 20.0, 30.0]
+    assert seen.value == 2
+
+
+def test_short_recordings_are_spaced_as_long_ones(spark):
+    rng = random.Random(11)
+    rows = [(rng.randrange(3), round(rng.random() * 40, 1) if rng.random() < 0.95 else rng.choice([None, float("nan")]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "video_id long, timestamp double, seq long")
+    for epsilon, strict in ((0.2, True), (0.5, False), (0.0, True)):
+        long, short = (sorted(map(tuple, scan.keep_spaced(df, epsilon, strict=strict, short=x).collect())) for x in (False, True))
+        assert long == short and 0 < len(short) < 400
+    long, short = (frames.merge_entries(df, 0.3, x) for x in (False, True))
+    assert long.schema["original_index"].dataType == short.schema["original_index"].dataType
+    assert sorted(map(tuple, long.select("seq", "original_index").collect())) == sorted(map(tuple, short.select("seq", "original_index").collect()))
+
+
 def test_a_long_recording_is_cut_into_buckets(spark):
     rng = random.Random(6)
     frames_ = [frame(i, round(rng.random() * 900, 1)) for i in range(60)] + [frame(100, 0.0), frame(101, 899.9), frame(102, 450.0), frame(103, 450.0)]
